@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 GEOMETRY_TYPE = "array<array<array<struct<x:double,y:double>>>>"
 WGS84 = 4326
@@ -165,15 +166,15 @@ def centroid(geom: Column) -> Column:
     m = _total_moments(geom, origin)
     vertices = F.flatten(F.flatten(geom))
     count = F.size(vertices).cast("double")
-    mean = {
-        axis: F.aggregate(
-            vertices, F.lit(0.0), lambda acc, v, axis=axis: acc + (v[axis] - origin[axis])
+
+    def mean(axis: str) -> Column:
+        total = F.aggregate(
+            vertices, F.lit(0.0), lambda acc, v: acc + (v[axis] - origin[axis])
         )
-        / F.nullif(count, F.lit(0.0))
-        for axis in ("x", "y")
-    }
-    x = F.when(m["a"] == 0, mean["x"]).otherwise(F.try_divide(m["mx"], 3.0 * m["a"]))
-    y = F.when(m["a"] == 0, mean["y"]).otherwise(F.try_divide(m["my"], 3.0 * m["a"]))
+        return F.try_divide(total, count)
+
+    x = F.when(m["a"] == 0, mean("x")).otherwise(F.try_divide(m["mx"], 3.0 * m["a"]))
+    y = F.when(m["a"] == 0, mean("y")).otherwise(F.try_divide(m["my"], 3.0 * m["a"]))
     return F.when(
         F.size(vertices) > 0, point(origin["x"] + x, origin["y"] + y)
     )
@@ -193,7 +194,9 @@ def point_to_wkt(p: Column, digits: int = 8) -> Column:
     return F.concat(F.lit("POINT ("), _pair(p, digits, " "), F.lit(")"))
 
 
-def _nested_text(geom: Column, vertex: Callable[[Column], Column], l: str, r: str, sep: str):
+def _nested_text(
+    geom: Column, vertex: Callable[[Column], Column], l: str, r: str, sep: str
+) -> Column:
     def group(items: Column) -> Column:
         return F.concat(F.lit(l), F.array_join(items, sep), F.lit(r))
 
@@ -242,7 +245,7 @@ def to_wkb(geom: Column) -> Column:
     return _multipolygon_bytes(rings)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _multipolygon_bytes(shapes: pd.Series) -> pd.Series:
     def encode(polygons) -> bytes | None:
         if polygons is None:

@@ -47,7 +47,7 @@ def last_known(df: DataFrame, entity: str, order: str, columns: Sequence[str]) -
     """Per entity the newest non-NULL value of every column, one row each."""
     return df.groupBy(entity).agg(
         *[
-            F.max_by(F.struct(c), F.when(F.col(c).isNotNull(), F.col(order)))[c].alias(c)
+            F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c)
             for c in columns
         ]
     )
