@@ -19,11 +19,19 @@ SEED_GEOCODE = "geo_code string, geo_name string"
 
 
 def read_csv(
-    spark: SparkSession, paths: str | Sequence[str], schema: str, sep: str = ","
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: str,
+    sep: str = ",",
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header and a declared schema; quoted fields may span lines."""
+    """CSV with a header and a declared schema.
+
+    ``multi_line`` allows line breaks inside quoted fields; such files cannot be
+    split, so it is off unless asked for.
+    """
     reader = spark.read.schema(schema)
-    return reader.csv(paths, header=True, sep=sep, escape='"', multiLine=True)
+    return reader.csv(paths, header=True, sep=sep, escape='"', multiLine=multi_line)
 
 
 def read_map_files(
@@ -52,7 +60,10 @@ def read_seeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "seed_measure": SEED_MEASURE,
         "seed_geocode": SEED_GEOCODE,
     }
-    return {name: read_csv(spark, f"{folder}/{name}.csv", s) for name, s in schemas.items()}
+    return {
+        name: read_csv(spark, f"{folder}/{name}.csv", s, multi_line=True)
+        for name, s in schemas.items()
+    }
 
 
 def write_extract(df: DataFrame, folder: str, name: str, stamp: str) -> str:
@@ -121,14 +132,14 @@ def read_features(
     paths: Sequence[str],
     properties: str,
     duedates: Sequence[str] | None = None,
-    coordinates: str = GEOMETRY_TYPE,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """GeoJSON feature collections as one table.
+    """GeoJSON features as one table.
 
     ``properties`` is the DDL of the feature properties; names become lower case.
-    Several files are united by name, each with its own ``duedate`` if given. A file
-    is one JSON document; feature collections written one feature per line can be
-    split by Spark and are read the same way.
+    Several files are united by name, each with its own ``duedate`` if given. A line
+    is a feature or a feature collection; files with one feature per line can be
+    split. ``multi_line`` reads documents that are broken over several lines.
     """
     feature = (
         f"struct<properties: struct<{properties}>, "
@@ -137,7 +148,7 @@ def read_features(
 
     def one(path: str) -> DataFrame:
         schema = f"features array<{feature}>, {feature[7:-1]}"
-        raw = spark.read.schema(schema).json(path)
+        raw = spark.read.schema(schema).json(path, multiLine=multi_line)
         single = F.array(F.struct("properties", "geometry"))
         each = raw.select(F.explode(F.coalesce("features", single)).alias("f"))
         shape = F.transform(
@@ -149,7 +160,7 @@ def read_features(
                 ),
             ),
         )
-        return lower_names(each.select("f.properties.*", shape.cast(coordinates).alias("geometry")))
+        return lower_names(each.select("f.properties.*", shape.cast(GEOMETRY_TYPE).alias("geometry")))
 
     parts = [one(p) for p in paths]
     if duedates is not None:
