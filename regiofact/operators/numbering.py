@@ -46,12 +46,13 @@ def page(
 ) -> DataFrame:
     """Rows ``skip + 1 .. skip + limit`` in a total order.
 
-    A page near the start is a top-k. A deep or open-ended page is cut out by
-    row number, so the skipped rows never meet on one task.
+    Without either, the rows come back as they are. A page near the start is a
+    top-k. A deep or open-ended page is cut out by row number, so the skipped rows
+    never meet on one task.
     """
     skip, limit = skip or 0, limit or None
     if not skip and limit is None:
-        return df.orderBy(*order)
+        return df
     if limit is not None and skip + limit <= TOP_ROWS:
         return df.orderBy(*order).offset(skip).limit(limit)
     numbered = number_rows(df, order, "_row")

@@ -271,6 +271,30 @@ TAX_LEGAL = {
     "Steuer": 109,
     "DurchschnittProzentAbzugBeteiligung": 110,
 }
+# Indicator numbers of the tax measures of natural persons.
+TAX_NATURAL = {
+    "AnzahlSteuerpflichtige": 111,
+    "AnzahlSteuerpflichtigeohneSteuer": 112,
+    "DurchschnittReineinkommen": 113,
+    "DurchschnittReinesAequivalenzeinkommen": 114,
+    "DurchschnittSteuerbaresAequivalenzeinkommen": 115,
+    "DurchschnittSteuerbaresEinkommen": 116,
+    "DurchschnittSteuerbetrag": 117,
+    "EinnahmenDBST": 118,
+    "GiniReineinkommen": 119,
+    "GiniReineinkommenAeq": 120,
+    "GiniSteuerbaresAequivalenzeinkommen": 121,
+    "GiniSteuerbareseinkommen": 122,
+    "GiniSteuerbetrag": 123,
+    "MedianReineinkommen": 124,
+    "MedianReinesAequivalenzeinkommen": 125,
+    "MedianSteuerbaresAequivalenzeinkommen": 126,
+    "MedianSteuerbaresEinkommen": 127,
+    "MedianSteuerbetrag": 128,
+}
+# The rows of the natural-person table that are published.
+ALL_TAXPAYERS = "Steuerpflichtige mit und ohne einer Belastung durch die direkte Bundessteuer"
+ALL_CIVIL_STATES = "T"
 # Labels and first load day of the tax source.
 TAX_SOURCE = "Eidgenössische Steuerverwaltung ESTV"
 TAX_KNOWN_SINCE = "2025-01-23"
@@ -299,3 +323,47 @@ def build_tax_indicators(
         }
     )
     return typecast(out, contract)
+
+
+def build_tax_legal(staged: DataFrame, contract: Mapping[str, str] = INTM) -> DataFrame:
+    """Legal persons over all quartiles."""
+    rows = F.col("quartile").isNull()
+    return build_tax_indicators(staged, TAX_LEGAL, rows, contract=contract)
+
+
+def build_tax_natural(staged: DataFrame, contract: Mapping[str, str] = INTM) -> DataFrame:
+    """Natural persons of all civil states, with and without federal tax, by municipality."""
+    rows = (
+        (F.col("zivilstand") == ALL_CIVIL_STATES)
+        & (F.col("geo_code") == "polg")
+        & (F.col("belastung_dbst") == ALL_TAXPAYERS)
+    )
+    return build_tax_indicators(staged, TAX_NATURAL, rows, contract=contract)
+
+
+# Indicator numbers and sources of the two wide tables.
+ENERGY_LABEL_INDICATORS = WideIndicators(
+    columns={
+        "anzahl_minergie": 95,
+        "anzahl_minergie_eco": 96,
+        "anzahl_minergie_a": 97,
+        "anzahl_minergie_a_eco": 98,
+        "anzahl_minergie_p": 99,
+        "anzahl_minergie_p_eco": 100,
+    },
+    geo_value="gemeinde_bfs_id",
+    period_ref=VALID_FROM,
+    source="Bundesamt für Energie BFE",
+)
+SECOND_HOME_INDICATORS = WideIndicators(
+    columns={
+        "wohnungen": 101,
+        "erstwohnungen": 102,
+        "erstwohnung_gleichgestellt": 103,
+        "anteil_erstwohnung": 104,
+        "anteil_zweitwohnung": 105,
+    },
+    geo_value="gemeinde_bfs_id",
+    period_ref="stichtag",
+    source="Wohnungsinventar - Bundesamt für Raumentwicklung",
+)

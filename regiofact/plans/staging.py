@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from regiofact.functions.dates import year_end
 from regiofact.functions.keys import surrogate_key
 from regiofact.functions.text import (
     GEO_PARSERS,
@@ -20,7 +21,7 @@ from regiofact.functions.text import (
 from regiofact.operators.filters import optional_columns
 from regiofact.operators.joins import resolve_by_name
 from regiofact.operators.quality import detect_format
-from regiofact.operators.reshape import unpivot_text
+from regiofact.operators.reshape import distinct_on, unpivot_text
 
 
 def stage(df: DataFrame, spec: Mapping[str, tuple[str, str]]) -> DataFrame:
@@ -97,7 +98,8 @@ def stage_cube(
         (F.col("geo_value").isNotNull() | F.col("geo_value_name").isNotNull())
         & F.col("indicator_value").isNotNull()
     )
-    unique = kept.dropDuplicates(["_surr_key"])
+    order = [F.col("indicator_value").desc(), F.col("source").asc_nulls_last()]
+    unique = distinct_on(kept, ["_surr_key"], order)
     return unique.withColumns(dict(extra)) if extra else unique
 
 
@@ -228,26 +230,44 @@ def stage_tax(
     df: DataFrame,
     keep: Sequence[str],
     drop: Sequence[str],
+    geo_code: Column,
     *,
     geo_value: str = "GemeindeID",
     year: str = "Steuerperiode",
-    level: str | None = "Typ",
     extra: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """A wide tax export as long rows; ``NA`` is missing.
 
-    ``level`` names the column that says whether a row is a municipality; without
-    it every row is one.
+    ``geo_code`` is an expression over the kept columns; ``extra`` keeps further ones
+    under a new name. Area numbers stay text, since larger areas have none.
     """
-    long = unpivot_text(df, keep, drop)
-    geo_code = F.lit("polg")
-    if level:
-        geo_code = F.when(F.col(level) == "Gemeinde", "polg")
-    return long.select(
+    return unpivot_text(df, keep, drop).select(
         geo_code.alias("geo_code"),
-        F.col(geo_value).cast("int").alias("geo_value"),
-        F.make_date(F.col(year).cast("int"), F.lit(12), F.lit(31)).alias("period_ref"),
+        F.col(geo_value).cast("string").alias("geo_value"),
+        year_end(F.col(year)).alias("period_ref"),
         *[F.col(src).alias(c) for c, src in (extra or {}).items()],
         "indicator",
         clean_numeric(F.col("indicator_value"), TAX_MISSING).alias("indicator_value_numeric"),
     )
+
+
+def stage_tax_legal(df: DataFrame) -> DataFrame:
+    """Legal persons: every column that is not named here is a measure."""
+    return stage_tax(
+        df,
+        keep=["Typ", "GemeindeID", "Steuerperiode", "Quartil"],
+        drop=["Kanton", "KantonID", "Gemeinde"],
+        geo_code=F.when(F.col("Typ") == "Gemeinde", "polg"),
+        extra={"quartile": "Quartil"},
+    )
+
+
+def stage_tax_natural(df: DataFrame) -> DataFrame:
+    """Natural persons: rows without a municipality number are cantons."""
+    return stage_tax(
+        df,
+        keep=["BelastungDBST", "GemeindeID", "Steuerperiode", "Zivilstand"],
+        drop=["Kanton", "KantonID", "Gemeindename", "ZivilstandBez"],
+        geo_code=F.when(F.col("GemeindeID") == "NA", "kant").otherwise("polg"),
+        extra={"belastung_dbst": "BelastungDBST", "zivilstand": "Zivilstand"},
+    )
