@@ -141,17 +141,15 @@ def read_features(
     is a feature or a feature collection; files with one feature per line can be
     split. ``multi_line`` reads documents that are broken over several lines.
     """
-    feature = (
-        f"struct<properties: struct<{properties}>, "
-        "geometry: struct<type: string, coordinates: array<array<array<array<double>>>>>>"
-    )
+    shape = "struct<type: string, coordinates: array<array<array<array<double>>>>>"
+    feature = f"struct<properties: struct<{properties}>, geometry: {shape}>"
+    schema = f"features array<{feature}>, properties struct<{properties}>, geometry {shape}"
 
     def one(path: str) -> DataFrame:
-        schema = f"features array<{feature}>, {feature[7:-1]}"
         raw = spark.read.schema(schema).json(path, multiLine=multi_line)
         single = F.array(F.struct("properties", "geometry"))
         each = raw.select(F.explode(F.coalesce("features", single)).alias("f"))
-        shape = F.transform(
+        border = F.transform(
             F.col("f.geometry.coordinates"),
             lambda polygon: F.transform(
                 polygon,
@@ -160,7 +158,7 @@ def read_features(
                 ),
             ),
         )
-        return lower_names(each.select("f.properties.*", shape.cast(GEOMETRY_TYPE).alias("geometry")))
+        return lower_names(each.select("f.properties.*", border.cast(GEOMETRY_TYPE).alias("geometry")))
 
     parts = [one(p) for p in paths]
     if duedates is not None:
