@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("loading", "shaping")
+MODULES = ("loading", "shaping", "facts")
 
 
 def load_all() -> None:
