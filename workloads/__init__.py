@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("loading", "shaping", "facts")
+MODULES = ("loading", "shaping", "facts", "geography")
 
 
 def load_all() -> None:

@@ -37,7 +37,9 @@ def plain(df: DataFrame) -> DataFrame:
             return c.cast("string")
         if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
             return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-        if isinstance(kind, (T.DecimalType, T.DoubleType, T.FloatType)):
+        if isinstance(kind, T.DecimalType):
+            return F.round(c, 4).cast("double")
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
             return F.round(c.cast("double"), 4)
         if isinstance(kind, T.IntegralType):
             return c.cast("bigint")

@@ -160,7 +160,7 @@ def per_capita(spark: SparkSession, d: str) -> DataFrame:
 @entry(
     _measured_sql(
         {
-            "zahl": "round(CAST(v AS DOUBLE) * pop / 1000, 4)",
+            "zahl": "CAST(round(CAST(v * pop AS DECIMAL(28,2)) * 0.001, 4) AS DOUBLE)",
             "pro100": "CASE WHEN pop <> 0 THEN round(CAST(v AS DOUBLE) / 10, 4) END",
             "pro1000": "CASE WHEN pop <> 0 THEN CAST(v AS DOUBLE) END",
         }
@@ -545,8 +545,7 @@ def dictionary_growth(spark: SparkSession, d: str) -> DataFrame:
 
 
 @entry(
-    """SELECT DISTINCT unnest([CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END, o_orderpriority]) AS value
-       FROM orders WHERE value IS NOT NULL"""
+    """SELECT o_orderstatus AS value FROM orders WHERE o_orderstatus <> 'P' UNION SELECT o_orderpriority FROM orders"""
 )
 def collected_values(spark: SparkSession, d: str) -> DataFrame:
     """Distinct values over several columns in one pass."""
