@@ -10,6 +10,7 @@ node search compares polygons, by one shuffle on the vertices.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -28,19 +29,40 @@ def _area2(a: Point, b: Point, c: Point) -> float:
     return (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
 
 
-def _blocked(a: Point, b: Point, c: Point, others: np.ndarray) -> bool:
-    """Whether another vertex of the arc lies in the corner to be cut off."""
-    low, high = np.minimum(np.minimum(a, b), c), np.maximum(np.maximum(a, b), c)
-    near = others[((others >= low) & (others <= high)).all(axis=1)]
-    corner = {a, b, c}
-    for x, y in near:
-        p = (float(x), float(y))
-        if p in corner:
-            continue
-        signs = [_area2(a, b, p), _area2(b, c, p), _area2(c, a, p)]
-        if min(signs) >= 0 or max(signs) <= 0:
-            return True
-    return False
+class _Vertices:
+    """The vertices an arc still has, found by place through a grid of cells."""
+
+    def __init__(self, points: Sequence[Point]) -> None:
+        xs, ys = [p[0] for p in points], [p[1] for p in points]
+        self.points = points
+        self.x0, self.y0 = min(xs), min(ys)
+        extent = max(max(xs) - self.x0, max(ys) - self.y0)
+        self.step = extent / math.sqrt(len(points)) or 1.0
+        self.cells: dict[tuple[int, int], set[int]] = {}
+        for i, p in enumerate(points):
+            self.cells.setdefault(self._cell(*p), set()).add(i)
+
+    def _cell(self, x: float, y: float) -> tuple[int, int]:
+        return int((x - self.x0) / self.step), int((y - self.y0) / self.step)
+
+    def remove(self, i: int) -> None:
+        self.cells[self._cell(*self.points[i])].discard(i)
+
+    def in_corner(self, a: Point, b: Point, c: Point) -> bool:
+        """Whether a vertex other than its own lies in the corner to be cut off."""
+        x0, x1 = min(a[0], b[0], c[0]), max(a[0], b[0], c[0])
+        y0, y1 = min(a[1], b[1], c[1]), max(a[1], b[1], c[1])
+        (i0, j0), (i1, j1) = self._cell(x0, y0), self._cell(x1, y1)
+        for i in range(i0, i1 + 1):
+            for j in range(j0, j1 + 1):
+                for k in self.cells.get((i, j), ()):
+                    p = self.points[k]
+                    if not (x0 <= p[0] <= x1 and y0 <= p[1] <= y1) or p in (a, b, c):
+                        continue
+                    sides = _area2(a, b, p), _area2(b, c, p), _area2(c, a, p)
+                    if min(sides) >= 0 or max(sides) <= 0:
+                        return True
+        return False
 
 
 def simplify_arc(arc: Sequence[Point], tolerance: float) -> list[Point]:
@@ -50,8 +72,7 @@ def simplify_arc(arc: Sequence[Point], tolerance: float) -> list[Point]:
     points = list(reversed(arc)) if backwards else list(arc)
     n = len(points)
     before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-    alive = np.ones(n, dtype=bool)
-    coordinates = np.array(points, dtype="float64")
+    alive = [True] * n
     version = [0] * n
     limit = tolerance * tolerance
 
@@ -59,7 +80,10 @@ def simplify_arc(arc: Sequence[Point], tolerance: float) -> list[Point]:
         return points[before[i]], points[i], points[after[i]]
 
     heap = [(abs(_area2(*corner(i))) / 2.0, i, 0) for i in range(1, n - 1)]
+    if not heap or min(heap)[0] >= limit:
+        return list(arc)
     heapq.heapify(heap)
+    vertices = _Vertices(points)
     left, fewest = n, 4 if closed else 2
     while heap and left > fewest:
         size, i, seen = heapq.heappop(heap)
@@ -67,9 +91,10 @@ def simplify_arc(arc: Sequence[Point], tolerance: float) -> list[Point]:
             continue
         if size >= limit:
             break
-        if _blocked(*corner(i), coordinates[alive]):
+        if vertices.in_corner(*corner(i)):
             continue
         alive[i] = False
+        vertices.remove(i)
         left -= 1
         a, c = before[i], after[i]
         after[a], before[c] = c, a
@@ -101,8 +126,9 @@ def _simplify_shapes(tolerances: Sequence[float]):
         columns: dict[str, list] = {n: [] for n in names}
         for shape, numbers, places in zip(shapes, ring_no, place):
             nodes: dict[int, list[int]] = {}
-            for r, p in zip(numbers if numbers is not None else (), places if places is not None else ()):
-                nodes.setdefault(int(r), []).append(int(p))
+            if numbers is not None:
+                for r, p in zip(numbers, places):
+                    nodes.setdefault(int(r), []).append(int(p))
             for name, tolerance in zip(names, tolerances):
                 number, polygons = 0, []
                 for polygon in shape if shape is not None else ():
@@ -221,7 +247,10 @@ def coverage_simplify(
         .agg(F.collect_list(F.struct("ring_no", "place")).alias("_cuts"))
     )
     thin = _simplify_shapes(list(tolerances.values()))
-    out = df.join(cuts, ident, "left").withColumn(
+    # The join needs this partitioning anyway; asking for it by number keeps small but
+    # costly tables from being merged into few tasks.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = df.repartition(tasks, *ident).join(cuts, ident, "left").withColumn(
         "_thin", thin(_as_coordinates(F.col(geom)), F.col("_cuts.ring_no"), F.col("_cuts.place"))
     )
     return out.select(

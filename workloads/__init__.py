@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("loading", "shaping", "facts", "geography")
+MODULES = ("loading", "shaping", "facts", "geography", "answers", "checks")
 
 
 def load_all() -> None:
