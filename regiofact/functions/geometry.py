@@ -27,6 +27,11 @@ def map_vertices(geom: Column, fn: Callable[[Column], Column]) -> Column:
     )
 
 
+def bound(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with the value computed once, however often ``fn`` uses it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
@@ -42,6 +47,11 @@ def force_2d(geom: Column) -> Column:
 def _to_lv95(v: Column) -> Column:
     lam = (v["x"] * 3600.0 - 26782.5) / 10000.0
     phi = (v["y"] * 3600.0 - 169028.66) / 10000.0
+    return bound(F.struct(lam.alias("lam"), phi.alias("phi")), _from_seconds)
+
+
+def _from_seconds(s: Column) -> Column:
+    lam, phi = s["lam"], s["phi"]
     east = (
         2600072.37
         + 211455.93 * lam
@@ -63,6 +73,11 @@ def _to_lv95(v: Column) -> Column:
 def _to_wgs84(v: Column) -> Column:
     y = (v["x"] - 2600000.0) / 1000000.0
     x = (v["y"] - 1200000.0) / 1000000.0
+    return bound(F.struct(y.alias("y"), x.alias("x")), _from_megametres)
+
+
+def _from_megametres(s: Column) -> Column:
+    y, x = s["y"], s["x"]
     lam = (
         2.6779094
         + 4.728982 * y
@@ -89,13 +104,15 @@ def reproject_point(p: Column, src: int, dst: int) -> Column:
         return p
     if (src, dst) not in _CONVERSIONS:
         raise ValueError(f"no conversion from {src} to {dst}")
-    return _CONVERSIONS[src, dst](p)
+    return bound(p, _CONVERSIONS[src, dst])
 
 
 def reproject(geom: Column, src: int, dst: int) -> Column:
     if src == dst:
         return geom
-    return map_vertices(geom, lambda v: reproject_point(v, src, dst))
+    if (src, dst) not in _CONVERSIONS:
+        raise ValueError(f"no conversion from {src} to {dst}")
+    return map_vertices(geom, _CONVERSIONS[src, dst])
 
 
 def _ring_moments(ring: Column, origin: Column) -> Column:
@@ -108,22 +125,25 @@ def _ring_moments(ring: Column, origin: Column) -> Column:
         F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my")
     )
 
+    def shifted(v: Column) -> Column:
+        return F.struct((v["x"] - origin["x"]).alias("x"), (v["y"] - origin["y"]).alias("y"))
+
     def add(acc: Column, pair: Column) -> Column:
-        x0, y0 = pair["p"]["x"] - origin["x"], pair["p"]["y"] - origin["y"]
-        x1, y1 = pair["q"]["x"] - origin["x"], pair["q"]["y"] - origin["y"]
-        cross = x0 * y1 - x1 * y0
+        p, q = pair["p"], pair["q"]
+        cross = p["x"] * q["y"] - q["x"] * p["y"]
         return F.struct(
             (acc["a"] + cross).alias("a"),
-            (acc["mx"] + (x0 + x1) * cross).alias("mx"),
-            (acc["my"] + (y0 + y1) * cross).alias("my"),
+            (acc["mx"] + (p["x"] + q["x"]) * cross).alias("mx"),
+            (acc["my"] + (p["y"] + q["y"]) * cross).alias("my"),
         )
 
-    following = F.slice(ring, F.lit(2), F.greatest(F.size(ring) - 1, F.lit(0)))
-    pairs = F.arrays_zip(
-        F.slice(ring, F.lit(1), F.greatest(F.size(ring) - 1, F.lit(0))).alias("p"),
-        following.alias("q"),
-    )
-    return F.aggregate(pairs, zero, add)
+    def segments(vertices: Column) -> Column:
+        n = F.greatest(F.size(vertices) - 1, F.lit(0))
+        return F.arrays_zip(
+            F.slice(vertices, F.lit(1), n).alias("p"), F.slice(vertices, F.lit(2), n).alias("q")
+        )
+
+    return F.aggregate(bound(F.transform(ring, shifted), segments), zero, add)
 
 
 def _total_moments(geom: Column, origin: Column) -> Column:
@@ -155,29 +175,37 @@ def _total_moments(geom: Column, origin: Column) -> Column:
     return F.aggregate(rings, zero, add)
 
 
+def _first_vertex(geom: Column) -> Column:
+    return F.get(F.get(F.get(geom, F.lit(0)), F.lit(0)), F.lit(0))
+
+
 def area(geom: Column) -> Column:
-    origin = F.get(F.get(F.get(geom, F.lit(0)), F.lit(0)), F.lit(0))
-    return _total_moments(geom, origin)["a"] / 2.0
+    return bound(_first_vertex(geom), lambda origin: _total_moments(geom, origin)["a"] / 2.0)
 
 
 def centroid(geom: Column) -> Column:
     """Area-weighted centre; the mean vertex where there is no area."""
-    origin = F.get(F.get(F.get(geom, F.lit(0)), F.lit(0)), F.lit(0))
-    m = _total_moments(geom, origin)
-    vertices = F.flatten(F.flatten(geom))
-    count = F.size(vertices).cast("double")
-
-    def mean(axis: str) -> Column:
-        total = F.aggregate(
-            vertices, F.lit(0.0), lambda acc, v: acc + (v[axis] - origin[axis])
-        )
-        return F.try_divide(total, count)
 
-    x = F.when(m["a"] == 0, mean("x")).otherwise(F.try_divide(m["mx"], 3.0 * m["a"]))
-    y = F.when(m["a"] == 0, mean("y")).otherwise(F.try_divide(m["my"], 3.0 * m["a"]))
-    return F.when(
-        F.size(vertices) > 0, point(origin["x"] + x, origin["y"] + y)
-    )
+    def around(origin: Column) -> Column:
+        def mean(vertices: Column) -> Column:
+            def axis(name: str) -> Column:
+                shifted = F.transform(vertices, lambda v: v[name] - origin[name])
+                total = F.aggregate(shifted, F.lit(0.0), lambda acc, x: acc + x)
+                return origin[name] + F.try_divide(total, F.size(vertices).cast("double"))
+
+            return point(axis("x"), axis("y"))
+
+        def centre(m: Column) -> Column:
+            weighted = point(
+                origin["x"] + F.try_divide(m["mx"], 3.0 * m["a"]),
+                origin["y"] + F.try_divide(m["my"], 3.0 * m["a"]),
+            )
+            flat = bound(F.flatten(F.flatten(geom)), mean)
+            return F.when(m["a"] != 0, weighted).otherwise(flat)
+
+        return bound(_total_moments(geom, origin), centre)
+
+    return F.when(_first_vertex(geom).isNotNull(), bound(_first_vertex(geom), around))
 
 
 def _number(c: Column, digits: int) -> Column:

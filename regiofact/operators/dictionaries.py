@@ -16,18 +16,25 @@ def collect_values(facts: DataFrame, columns: list[str], name: str) -> DataFrame
     ).distinct()
 
 
-def collect_sources(facts: DataFrame) -> DataFrame:
-    return collect_values(facts, ["source"], "source")
-
-
-def collect_group_names(facts: DataFrame) -> DataFrame:
-    return collect_values(facts, [f"group_{n}_name" for n in GROUPS], "group_name")
-
-
 def collect_group_values(facts: DataFrame) -> DataFrame:
     return collect_values(facts, [f"group_{n}_value" for n in GROUPS], "group_value_name")
 
 
+def collect_texts(facts: DataFrame) -> DataFrame:
+    """Distinct sources, group names and group values as (kind, text), in one pass."""
+    columns = {"source": ["source"]}
+    for kind, part in (("group", "name"), ("group_value", "value")):
+        columns[kind] = [f"group_{n}_{part}" for n in GROUPS]
+    pairs = F.array(
+        *[
+            F.struct(F.lit(kind).alias("kind"), F.col(c).alias("text"))
+            for kind, names in columns.items()
+            for c in names
+        ]
+    )
+    return facts.select(F.explode(pairs).alias("p")).select("p.*").dropna().distinct()
+
+
 def empty_dictionary(
     spark: SparkSession, id_name: str, name: str, id_type: str = "smallint"
 ) -> DataFrame:

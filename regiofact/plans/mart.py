@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiofact.functions.keys import is_total
 from regiofact.operators.dictionaries import (
-    collect_group_names,
-    collect_group_values,
-    collect_sources,
+    collect_texts,
     empty_dictionary,
     extend_dictionary,
     group_value_seed,
@@ -31,13 +30,13 @@ class Dictionaries:
     group: DataFrame
     group_value: DataFrame
 
-    @property
+    @cached_property
     def small(self) -> tuple[bool, bool, bool]:
         """Whether each may be broadcast; dictionaries are written tables, so this is cheap."""
         return fits(self.source), fits(self.group), fits(self.group_value)
 
 
-def new_dictionaries(spark, id_type: str = "smallint") -> Dictionaries:
+def new_dictionaries(spark: SparkSession, id_type: str = "smallint") -> Dictionaries:
     return Dictionaries(
         empty_dictionary(spark, "id", "source", id_type),
         empty_dictionary(spark, "group_id", "group_name", id_type),
@@ -47,10 +46,17 @@ def new_dictionaries(spark, id_type: str = "smallint") -> Dictionaries:
 
 def extend_dictionaries(known: Dictionaries, facts: DataFrame) -> Dictionaries:
     """Dictionaries that cover all texts of the facts; written once, then only read."""
+    texts = materialize(collect_texts(facts))
+
+    def extended(dictionary: DataFrame, kind: str) -> DataFrame:
+        found = texts.filter(F.col("kind") == kind)
+        values = found.select(F.col("text").alias(dictionary.columns[1]))
+        return materialize(extend_dictionary(dictionary, values))
+
     return Dictionaries(
-        materialize(extend_dictionary(known.source, collect_sources(facts))),
-        materialize(extend_dictionary(known.group, collect_group_names(facts))),
-        materialize(extend_dictionary(known.group_value, collect_group_values(facts))),
+        extended(known.source, "source"),
+        extended(known.group, "group"),
+        extended(known.group_value, "group_value"),
     )
 
 

@@ -25,7 +25,6 @@ class Warehouse:
     dictionaries: Dictionaries
     areas: dict[str, DataFrame]
     catalogue: DataFrame
-    available: DataFrame | None = None
 
 
 # Fixed names: the columns of an answer, in order.

@@ -7,6 +7,7 @@ the queries read the written tables.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,7 +52,8 @@ WIDE_FACT = widened(INTM_MEASURED, geo_value="bigint")
 WIDE_MART = widened(MART, geo_value="bigint")
 TODAY = dt.date(2025, 6, 30)
 
-_CACHE: dict[tuple[str, str], Warehouse] = {}
+_STORES: dict[tuple[str, str], Warehouse] = {}
+_AREAS_OF: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def _coarse_facts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -121,6 +123,7 @@ def _areas(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
     def with_borders(df: DataFrame, key: str, size: int) -> DataFrame:
         shaped = df.withColumn("geometry", cell(F.col(key), size)).withColumn("part", F.lit("latest"))
+        shaped = materialize(shaped)
         simple = coverage_simplify(shaped, [key], "part", "geometry", TOLERANCES)
         out = simple.select(
             *df.columns,
@@ -160,17 +163,24 @@ def fact_parts(spark: SparkSession, d: str) -> list[DataFrame]:
     ]
 
 
-def warehouse(spark: SparkSession, d: str) -> Warehouse:
+def store(spark: SparkSession, d: str) -> Warehouse:
+    """The written mart with its dictionaries, without areas."""
     key = (spark.sparkContext.applicationId, d)
-    if key not in _CACHE:
+    if key not in _STORES:
         parts = [materialize(p) for p in fact_parts(spark, d)]
         path = new_path(spark, "mart")
         dims = publish(parts, new_dictionaries(spark), path, WIDE_MART)
-        mart = read_mart(spark, path, WIDE_MART)
         seed = materialize(catalogue(spark, d))
-        available = materialize(available_indicators(mart, seed))
-        _CACHE[key] = Warehouse(mart, dims, _areas(spark, d), seed, available)
-    return _CACHE[key]
+        _STORES[key] = Warehouse(read_mart(spark, path, WIDE_MART), dims, {}, seed)
+    return _STORES[key]
+
+
+def warehouse(spark: SparkSession, d: str) -> Warehouse:
+    """The same with the areas of the three levels."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _AREAS_OF:
+        _AREAS_OF[key] = _areas(spark, d)
+    return replace(store(spark, d), areas=_AREAS_OF[key])
 
 
 # ---------------------------------------------------------------------------
@@ -323,13 +333,13 @@ def _values_sql(where: str) -> str:
 @entry(_values_sql(_OPEN))
 def latest_values(spark: SparkSession, d: str) -> DataFrame:
     """The latest number of every indicator and municipality."""
-    return get_values(warehouse(spark, d), "polg")
+    return get_values(store(spark, d), "polg")
 
 
 @entry(_values_sql("measure_code = 'zahl' AND kfrom <= DATE '1998-01-01' AND (kto > DATE '1998-01-01' OR kto IS NULL)"))
 def latest_values_as_of(spark: SparkSession, d: str) -> DataFrame:
     """The latest counts as known on a day that starts and ends knowledge periods."""
-    return get_values(warehouse(spark, d), "polg", measure="zahl", knowledge_date="1998-01-01")
+    return get_values(store(spark, d), "polg", measure="zahl", knowledge_date="1998-01-01")
 
 
 _HELD = f"""WITH {_FACT}, held AS (
@@ -343,14 +353,14 @@ _HELD = f"""WITH {_FACT}, held AS (
 )
 def available_measures(spark: SparkSession, d: str) -> DataFrame:
     """Measures held per indicator and level, from the whole mart."""
-    w = warehouse(spark, d)
+    w = store(spark, d)
     return available_indicators(w.mart, w.catalogue)
 
 
 @entry(f"""{_HELD} SELECT CAST(indicator_id AS BIGINT) AS indicator_id{_INFO}, measure_codes FROM held JOIN seed USING (indicator_id) WHERE geo_code = 'polg'""")
 def indicator_catalogue(spark: SparkSession, d: str) -> DataFrame:
     """The catalogue of municipalities."""
-    w = warehouse(spark, d)
+    w = store(spark, d)
     return get_indicators(available_indicators(w.mart, w.catalogue), "polg")
 
 
@@ -362,7 +372,7 @@ def indicator_catalogue(spark: SparkSession, d: str) -> DataFrame:
 )
 def topic_tree(spark: SparkSession, d: str) -> DataFrame:
     """The topic tree as edges."""
-    w = warehouse(spark, d)
+    w = store(spark, d)
     return topic_edges(get_indicators(available_indicators(w.mart, w.catalogue), "polg"))
 
 
@@ -381,7 +391,7 @@ def topic_tree(spark: SparkSession, d: str) -> DataFrame:
 )
 def encoded_mart(spark: SparkSession, d: str) -> DataFrame:
     """The dictionary-encoded fact as written, one partition per indicator."""
-    return warehouse(spark, d).mart.select(
+    return store(spark, d).mart.select(
         "indicator_id", "geo_code", "geo_value", "knowledge_date_from", "knowledge_date_to", "period_ref",
         "group_1_id", "group_value_1_id", "_group_value_1_is_total", "group_value_2_id", "_group_value_2_is_total",
         "measure_code", "indicator_value_numeric", "indicator_value_text", "source_id",

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from regiofact.functions.geometry import bound, point
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -195,9 +197,13 @@ def cell(n: Column, size: int = 1000) -> Column:
     def vertex(k: Column) -> Column:
         a = 4 * i + F.when(k <= 4, k).when(k <= 8, 4).when(k <= 12, 12 - k).otherwise(0)
         b = 4 * j + F.when(k <= 4, 0).when(k <= 8, k - 4).when(k <= 12, 4).otherwise(16 - k)
+        return bound(F.struct(a.alias("a"), b.alias("b")), placed)
+
+    def placed(s: Column) -> Column:
+        a, b = s["a"], s["b"]
         x = 2600000 + a * (size // 4) + F.pmod(a * 37 + b * 101, F.lit(61))
         y = 1100000 + b * (size // 4) + F.pmod(a * 53 + b * 29, F.lit(61))
-        return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+        return point(x, y)
 
     ring = F.transform(F.sequence(F.lit(0), F.lit(16)), vertex)
     return F.array(F.array(ring))
