@@ -16,14 +16,11 @@ from regiofact.schemas import GEO_LEVELS
 MISSING_VALUE = -9999
 UNGROUPED = "total"
 
-DISTRIBUTION_LIST = "struct<content: struct<distribution: struct<values: array<double>>>>"
-DISTRIBUTION_MAP = (
-    "struct<content: struct<distribution: struct<values: map<string, array<double>>>>>"
-)
-DISTRIBUTION_META = (
-    "struct<content: struct<nivgeo: string, indic: struct<c_id_indicateur: string,"
-    " c_lib_indicateur: string, c_desc_indicateur: string, c_source: string,"
-    " c_id_view: string>>>"
+# ``values`` is kept as raw JSON text: it is a list in some responses, a map in others.
+RESPONSE = (
+    "content struct<distribution: struct<values: string>, nivgeo: string,"
+    " indic: struct<c_id_indicateur: string, c_lib_indicateur: string,"
+    " c_desc_indicateur: string, c_source: string, c_id_view: string>>"
 )
 
 
@@ -59,25 +56,22 @@ def unnest_distribution(responses: DataFrame) -> DataFrame:
     areas), ``period_ref``. Values are a list, or a map of lists by group. Lists that
     do not match the areas in length are skipped.
     """
-    body = F.col("response")
-    # a list fails to parse as a map and the other way round, each giving NULL
-    as_list = F.from_json(body, DISTRIBUTION_LIST)["content"]["distribution"]["values"]
-    as_map = F.from_json(body, DISTRIBUTION_MAP)["content"]["distribution"]["values"]
-    first = F.substring(F.ltrim(F.get_json_object(body, "$.content.distribution.values")), 1, 1)
-    groups = F.when(first == "[", F.create_map(F.lit(UNGROUPED), as_list)).when(
-        first == "{", as_map
+    parsed = responses.select(
+        "codgeo", "libgeo", "period_ref", F.from_json("response", RESPONSE)["content"].alias("c")
     )
-    meta = F.from_json(body, DISTRIBUTION_META)["content"]
-    indic = meta["indic"]
-    base = responses.select(
+    raw = F.ltrim("c.distribution.values")
+    groups = F.when(
+        raw.startswith("["), F.create_map(F.lit(UNGROUPED), F.from_json(raw, "array<double>"))
+    ).when(raw.startswith("{"), F.from_json(raw, "map<string, array<double>>"))
+    base = parsed.select(
         "codgeo",
         "libgeo",
-        indic["c_id_indicateur"].alias("bfs_indicateur_id"),
-        indic["c_lib_indicateur"].alias("indicator_name"),
-        indic["c_desc_indicateur"].alias("indicator_unit"),
-        indic["c_source"].alias("source"),
-        indic["c_id_view"].alias("map_id"),
-        meta["nivgeo"].alias("bfs_nivgeo"),
+        F.col("c.indic.c_id_indicateur").alias("bfs_indicateur_id"),
+        F.col("c.indic.c_lib_indicateur").alias("indicator_name"),
+        F.col("c.indic.c_desc_indicateur").alias("indicator_unit"),
+        F.col("c.indic.c_source").alias("source"),
+        F.col("c.indic.c_id_view").alias("map_id"),
+        F.col("c.nivgeo").alias("bfs_nivgeo"),
         "period_ref",
         F.explode(groups).alias("group_name", "_values"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regiofact.functions.geometry import bound, point
+from regiofact.session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,7 +76,7 @@ lines AS (
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    li, o = spread(table(spark, sf_dir, "lineitem")), table(spark, sf_dir, "orders")
     joined = li.join(o, li.l_orderkey == o.o_orderkey)
     return joined.select(
         "o_orderkey", "o_custkey", "l_suppkey", "l_linenumber",

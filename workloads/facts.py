@@ -112,7 +112,7 @@ def group_totals_with_nulls(spark: SparkSession, d: str) -> DataFrame:
     f"""WITH {LINES}
     SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, 'Flag' AS group_1_name,
            CASE l_returnflag WHEN 'N' THEN 'GROUP TOTAL' ELSE l_returnflag END AS group_1_value,
-           NULL AS group_2_name, NULL AS group_2_value FROM lines"""
+           CAST(NULL AS VARCHAR) AS group_2_name, CAST(NULL AS VARCHAR) AS group_2_value FROM lines"""
 )
 def source_totals(spark: SparkSession, d: str) -> DataFrame:
     """A source's own total label; a group without totals is dropped."""

@@ -26,13 +26,14 @@ from regiofact.plans.geo_dims import (
     build_geo_dim,
     list_geo,
 )
+from regiofact.session import spread
 from workloads.base import cell, cell_sql, entry, table, to_wgs84_sql
 
 NOW = "2001-12-31"
 
 
 def _areas(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").select(
+    return spread(table(spark, d, "customer")).select(
         F.col("c_custkey").alias("id"), cell(F.col("c_custkey")).alias("geometry")
     )
 
