@@ -212,7 +212,7 @@ def coverage_simplify(
         found = lookup_join(corners, of, [part, "x", "y"], "left_semi")
         return found.select(*ident, "ring_no", "place")
 
-    at_nodes = places(nodes)
+    at_nodes = materialize(places(nodes))
     # A ring cut at two nodes only could collapse to a line: pin its far vertex too,
     # for every polygon that shares it.
     two = (

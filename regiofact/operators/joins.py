@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from regiofact.session import materialize
+
 #: A lookup of at most this many rows is sent to every executor.
 BROADCAST_ROWS = 200_000
-#: Pieces a hot key is split into when the lookup is too large for that.
-SALTS = 16
+#: A key with more than one part in this many of all rows is hot.
+HOT_SHARE = 1_000
+_SPREAD = 1 << 20
 
 
 def fits(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -19,10 +24,10 @@ def fits(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return lookup.limit(max_rows + 1).count() <= max_rows
 
 
-def row_salt(df: DataFrame, salts: int = SALTS) -> Column:
-    """A number below ``salts`` that spreads equal keys, and copies of one row.
+def _row_hash(df: DataFrame) -> Column:
+    """A number that tells rows apart, and copies of a row by their partition.
 
-    It depends on the content of a row and its partition, so a recomputed task
+    It depends on the content of a row and its partition only, so a recomputed task
     gives every row the same number again.
     """
     hashable = [
@@ -30,8 +35,54 @@ def row_salt(df: DataFrame, salts: int = SALTS) -> Column:
         for f in df.schema.fields
         if not isinstance(f.dataType, (T.MapType, T.VariantType))
     ]
-    content = F.xxhash64(*hashable) if hashable else F.lit(0)
-    return F.pmod(content + F.spark_partition_id(), F.lit(salts)).cast("int")
+    return F.xxhash64(*hashable) + F.spark_partition_id()
+
+
+def hot_keys(rows: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
+    """Keys with more than ``1 / share`` of the rows: fewer than ``share`` of them."""
+    counts = materialize(rows.select(*on).dropna().groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    return counts.filter(F.col("_n") > total / share).select(*on)
+
+
+def _join_large(
+    rows: DataFrame, lookup: DataFrame, on: list[str], how: str, share: int
+) -> DataFrame:
+    """Shuffle join that keeps hot keys out of it.
+
+    The lookup rows of the hot keys, a bounded number, are broadcast first. Rows that
+    are thereby done, or can match nothing for a NULL key, take part in the shuffle
+    under a number of their own, which spreads them evenly over all tasks.
+    """
+    values = [c for c in lookup.columns if c not in on]
+    hot = materialize(hot_keys(rows, on, share))
+    answered = lookup.join(F.broadcast(hot), on).select(
+        *on, F.lit(True).alias("_hot_found"), *[F.col(c).alias(f"_hot_{c}") for c in values]
+    )
+    side = materialize(hot.withColumn("_hot", F.lit(True)).join(answered, on, "left"))
+    tagged = rows.join(F.broadcast(side), on, "left")
+    done = F.coalesce("_hot", F.lit(False)) | reduce(or_, [F.col(k).isNull() for k in on])
+    number = F.pmod(_row_hash(rows), F.lit(_SPREAD)) + 1
+    spread = tagged.withColumn("_lane", F.when(done, number).otherwise(0))
+    # zero, but not a constant: that would be moved out of the join key
+    lane = F.pmod(F.xxhash64(*on), F.lit(1))
+    others = lookup.select(
+        *on, lane.alias("_lane"), F.lit(True).alias("_cold_found"),
+        *[F.col(c).alias(f"_cold_{c}") for c in values],
+    )
+    joined = spread.join(others, [*on, "_lane"], "left")
+    found = F.coalesce("_hot_found", "_cold_found", F.lit(False))
+    if how in ("inner", "left_semi"):
+        joined = joined.filter(found)
+    elif how == "left_anti":
+        joined = joined.filter(~found)
+    taken = [] if how in ("left_semi", "left_anti") else values
+    return joined.select(
+        *on,
+        *[c for c in rows.columns if c not in on],
+        *[F.when(F.col("_hot"), F.col(f"_hot_{c}")).otherwise(F.col(f"_cold_{c}")).alias(c)
+          for c in taken],
+    )
 
 
 def lookup_join(
@@ -42,24 +93,26 @@ def lookup_join(
     *,
     small: bool | None = None,
     max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    share: int = HOT_SHARE,
+    derived: bool = False,
 ) -> DataFrame:
     """Equi-join a large row set with a table that is unique, or nearly so, on its key.
 
-    A lookup within ``max_rows`` is broadcast. A larger one is repeated once per
-    salt while the rows get a salt each, so the rows of one hot key are shared out
-    over ``salts`` tasks. Pass ``small`` where the size is already known. ``how``
-    is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+    A lookup within ``max_rows`` is broadcast; a larger one is shuffled, with the hot
+    keys of ``rows`` handled apart. Pass ``small`` where the size is already known, and
+    ``derived`` where the lookup takes work to compute, so that it is computed once.
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
+    keys = list(on)
+    if how in ("left_semi", "left_anti"):
+        lookup = lookup.select(*keys).distinct()
+    if derived and small is not True:
+        lookup = materialize(lookup)
     if fits(lookup, max_rows) if small is None else small:
-        return rows.join(F.broadcast(lookup), list(on), how)
-    salted = rows.withColumn("_salt", row_salt(rows, salts))
-    repeated = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+        return rows.join(F.broadcast(lookup), keys, how)
+    return _join_large(rows, lookup, keys, how, share)
 
 
 def lookup_column(
@@ -100,7 +153,9 @@ def join_population(
         F.col("indicator_value_numeric").alias("population"),
     )
     rows = facts.withColumn("_year", F.year("period_ref"))
-    joined = lookup_join(rows, side, ["geo_code", "geo_value", "_year"], small=small)
+    joined = lookup_join(
+        rows, side, ["geo_code", "geo_value", "_year"], small=small, derived=True
+    )
     return joined.select(*facts.columns, "population")
 
 
@@ -114,8 +169,9 @@ def resolve_by_name(
 ) -> DataFrame:
     """Fill a missing municipality number by its name; of equal names the highest wins."""
     by_name = places.groupBy(F.col(name).alias("_name")).agg(F.max(number).alias("_number"))
-    keyed = df.withColumn("_name", F.when(F.col("geo_code") == "polg", F.col("geo_value_name")))
-    found = lookup_join(keyed, by_name, ["_name"], small=small)
+    searched = (F.col("geo_code") == "polg") & F.col("geo_value").isNull()
+    keyed = df.withColumn("_name", F.when(searched, F.col("geo_value_name")))
+    found = lookup_join(keyed, by_name, ["_name"], small=small, derived=True)
     return found.withColumn("geo_value", F.coalesce("geo_value", "_number")).select(*df.columns)
 
 
@@ -130,7 +186,7 @@ def expand_ancestors(
     structure_id), the last being the parent. Levels that no map reaches are left
     out. A child with several parents gives one row per path.
     """
-    parents = edges.distinct()
+    parents = materialize(edges.distinct())
     small = fits(parents)
     out = maps
     for level in range(max_depth):

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from regiofact.session import materialize
 
-#: Up to this many leading rows a page is taken by a top-k, which merges on one task.
-TOP_ROWS = 100_000
+#: Up to this many leading rows a page is taken by a top-k, which merges that many rows
+#: of every task on one.
+TOP_ROWS = 2_000
 
 
 def number_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:

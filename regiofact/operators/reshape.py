@@ -40,7 +40,8 @@ def latest_per_entity(
 ) -> DataFrame:
     """Rows at the greatest ``order`` of their entity; ties all stay."""
     newest = df.groupBy(entity).agg(F.max(order).alias(order))
-    return lookup_join(df, newest, [entity, order], "inner", small=small).select(*df.columns)
+    joined = lookup_join(df, newest, [entity, order], "inner", small=small, derived=True)
+    return joined.select(*df.columns)
 
 
 def last_known(df: DataFrame, entity: str, order: str, columns: Sequence[str]) -> DataFrame:
@@ -60,7 +61,7 @@ def fill_last_known(
     renamed = last_known(df, entity, order, columns).select(
         entity, *[F.col(c).alias(f"_known_{c}") for c in columns]
     )
-    joined = lookup_join(df, renamed, [entity], small=small)
+    joined = lookup_join(df, renamed, [entity], small=small, derived=True)
     return joined.select(
         *[
             F.coalesce(c, f"_known_{c}").alias(c) if c in columns else F.col(c)

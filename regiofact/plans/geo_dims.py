@@ -17,7 +17,7 @@ from regiofact.functions.geometry import (
     reproject_point,
 )
 from regiofact.operators.coverage import coverage_simplify
-from regiofact.operators.joins import fits, lookup_join
+from regiofact.operators.joins import lookup_join
 from regiofact.operators.numbering import page
 from regiofact.operators.reshape import (
     distinct_on,
@@ -133,7 +133,7 @@ def boundary_snapshots(past: DataFrame, present: DataFrame, level: str, now: str
 def add_latest(snapshots: DataFrame, key: str) -> DataFrame:
     """Code every snapshot by its day and repeat the newest of each area as ``latest``."""
     newest = snapshots.groupBy(key).agg(F.max("snapshot_date").alias("_newest"))
-    joined = lookup_join(snapshots, newest, [key])
+    joined = lookup_join(snapshots, newest, [key], derived=True)
     codes = F.array(
         snapshot_code(F.col("snapshot_date")),
         F.when(F.col("snapshot_date") == F.col("_newest"), LATEST),
@@ -170,15 +170,12 @@ def latest_only(dim: DataFrame) -> DataFrame:
 GEOMETRY_ROWS = 5_000
 
 
-def hierarchy(
-    level: str, dims: dict[str, DataFrame], geometry: str | None = None
-) -> DataFrame:
+def hierarchy(level: str, dims: dict[str, DataFrame]) -> DataFrame:
     """Area -> its parents, keyed by ``geo_value``, one row per area with a full chain.
 
     ``dims`` holds the latest rows of the levels needed. The chain is resolved among
-    the dimensions first, so facts join once. ``geometry`` names the column to carry.
+    the dimensions first, so facts join once.
     """
-    shape = [F.col(f"a.{geometry}").alias("geometry")] if geometry else []
     own = dims[level].alias("a")
     kanton = dims["kant"].select(
         F.col("kanton_bfs_id").alias("_kant"), F.col("kanton_name")
@@ -187,7 +184,6 @@ def hierarchy(
         return own.select(
             F.col("a.kanton_bfs_id").alias("geo_value"),
             F.col("a.kanton_name").alias("geo_name"),
-            *shape,
         )
     parents = own.join(kanton, F.col("a.kanton_bfs_id") == F.col("k._kant"))
     if level == "bezk":
@@ -196,7 +192,6 @@ def hierarchy(
             F.col("a.bezirk_name").alias("geo_name"),
             F.col("k._kant").alias("kanton_bfs_id"),
             F.col("k.kanton_name"),
-            *shape,
         )
     bezirk = dims["bezk"].select(
         F.col("bezirk_bfs_id").alias("_bezk"), F.col("bezirk_name")
@@ -208,16 +203,18 @@ def hierarchy(
         F.col("b.bezirk_name"),
         F.col("k._kant").alias("kanton_bfs_id"),
         F.col("k.kanton_name"),
-        *shape,
     )
 
 
 def join_geo(facts: DataFrame, areas: DataFrame, small: bool | None = None) -> DataFrame:
     """Facts of areas with a complete hierarchy; the others drop out."""
-    bound = GEOMETRY_ROWS if "geometry" in areas.columns else None
-    if small is None and bound is not None:
-        small = fits(areas, bound)
-    return lookup_join(facts, areas, ["geo_value"], "inner", small=small)
+    return lookup_join(facts, areas, ["geo_value"], "inner", small=small, derived=True)
+
+
+def add_geometry(facts: DataFrame, dim: DataFrame, level: str, column: str) -> DataFrame:
+    """Add the geometry of each fact's area, one of the dimension's geometry columns."""
+    shapes = dim.select(F.col(LEVELS[level].key).alias("geo_value"), F.col(column).alias("geometry"))
+    return lookup_join(facts, shapes, ["geo_value"], max_rows=GEOMETRY_ROWS)
 
 
 def geometry_column(mode: str | None) -> str:

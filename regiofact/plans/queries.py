@@ -12,7 +12,7 @@ from regiofact.functions.text import indicator_label
 from regiofact.operators.filters import expand_groups, known_at, knowledge_label, where_set
 from regiofact.operators.numbering import page
 from regiofact.operators.reshape import distinct_on
-from regiofact.plans.geo_dims import geometry_column, hierarchy, join_geo
+from regiofact.plans.geo_dims import add_geometry, geometry_column, hierarchy, join_geo
 from regiofact.plans.mart import CATALOGUE, Dictionaries, decode, join_indicator
 from regiofact.schemas import GEO_LEVELS, GROUPS
 
@@ -69,8 +69,7 @@ def _answer(
     rows = rows.filter(F.col("geo_code") == geo_code)
     rows = where_set(rows, measure_code=measure, geo_value=geo_value, period_ref=day)
     rows = expand_groups(known_at(rows, knowledge_date), expand_all_groups, *expand)
-    areas = hierarchy(geo_code, w.areas, shape)
-    out = join_geo(decode(rows, w.dictionaries), areas)
+    out = join_geo(decode(rows, w.dictionaries), hierarchy(geo_code, w.areas))
     columns = [*ANSWER, "knowledge_date"]
     out = out.withColumn(
         "knowledge_date", knowledge_label(knowledge_date, today or dt.date.today())
@@ -89,7 +88,9 @@ def _answer(
             "indicator_value_numeric", "indicator_value_text",
         )
     ]
-    return page(out, order, skip, limit).select(*columns, "geometry")
+    cut = page(out, order, skip, limit)
+    # borders come last: they are neither sorted nor shuffled with the facts
+    return add_geometry(cut, w.areas[geo_code], geo_code, shape).select(*columns, "geometry")
 
 
 def get_indicator(w: Warehouse, geo_code: str, indicator_id: int, **options) -> DataFrame:

@@ -94,22 +94,16 @@ def write_snapshot_year(df: DataFrame, path: str, year: int | None = None) -> No
     )
 
 
-def write_mart(df: DataFrame, path: str, files_per_indicator: int = 8) -> None:
+def write_mart(df: DataFrame, path: str) -> None:
     """Write fact rows as one partition per indicator.
 
-    Rows of one indicator are spread over ``files_per_indicator`` tasks by area, so
-    a large indicator is not written by one task, and are sorted by area for
-    min/max skipping. Only the partitions in ``df`` are replaced.
+    Rows are gathered by indicator; the rebalance hint lets adaptive execution split a
+    large indicator over many tasks and files and merge small ones. Files are sorted by
+    area for min/max skipping. Only the partitions in ``df`` are replaced.
     """
-    piece = F.pmod(
-        F.xxhash64("geo_value", "period_ref", "knowledge_date_from", "indicator_value_numeric"),
-        F.lit(files_per_indicator),
-    )
     (
-        df.withColumn("_piece", piece)
-        .repartition("indicator_id", "_piece")
+        df.hint("rebalance", "indicator_id")
         .sortWithinPartitions("indicator_id", "geo_code", "geo_value")
-        .drop("_piece")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("indicator_id")

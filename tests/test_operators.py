@@ -36,21 +36,40 @@ from regiofact.operators.totals import build_totals, check_aggregate, group_colu
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_broadcast_join(spark, rows, how):
-    hot = [("a", 1)] * 300 + [("a", i) for i in range(50)] + [("b", 1), ("c", 2), (None, 3)]
+@pytest.mark.parametrize("share", [1, 3, 1000])
+def test_large_join_equals_broadcast_join(spark, rows, how, share):
+    hot = [("a", 1)] * 300 + [("a", i) for i in range(50)] + [("b", 1), ("c", 2), (None, 3), (None, 3)]
+    hot += [("miss", 0)] * 200
     facts = spark.createDataFrame(hot, "k string, v int").repartition(4)
-    lookup = spark.createDataFrame([("a", "x"), ("b", "y"), ("d", "z")], "k string, w string")
+    lookup = spark.createDataFrame([("a", "x"), ("b", "y"), ("d", "z"), ("b", None)], "k string, w string")
     small = lookup_join(facts, lookup, ["k"], how, small=True)
-    large = lookup_join(facts, lookup, ["k"], how, max_rows=1, salts=5)
+    large = lookup_join(facts, lookup, ["k"], how, max_rows=1, share=share)
     assert rows(small) == rows(large) and small.columns == large.columns
 
 
+def test_hot_rows_are_spread(spark):
+    facts = spark.range(0, 6000, numPartitions=3).select(F.lit("hot").alias("k"), F.lit(1).alias("v"))
+    facts = facts.union(spark.range(3000).select(F.col("id").cast("string"), F.lit(1)))
+    lookup = spark.range(3000).select(F.col("id").cast("string").alias("k"), F.lit(2).alias("w"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup_join(facts.withColumn("n", F.monotonically_increasing_id()), lookup, ["k"], small=False)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        plain = facts.join(lookup, "k", "left")
+        worst = max(r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 9000 and worst >= 6000 and max(sizes) < 2 * 9000 / 8
+
+
 def test_lookup_size_decides_the_plan(spark):
     facts = spark.range(100).withColumnRenamed("id", "k")
     plan = lookup_join(facts, facts, ["k"], max_rows=10)._jdf.queryExecution().toString()
-    assert "_salt" in plan
+    assert "_lane" in plan
     plan = lookup_join(facts, facts, ["k"], max_rows=100)._jdf.queryExecution().toString()
-    assert "_salt" not in plan and "Broadcast" in plan
+    assert "_lane" not in plan and "Broadcast" in plan
 
 
 def test_snapshot_grid_includes_both_ends(spark, rows):

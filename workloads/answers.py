@@ -265,7 +265,7 @@ def indicator_one_group(spark: SparkSession, d: str) -> DataFrame:
 @entry(
     _answer_sql(
         f"f.indicator_id = 104 AND f.geo_code = 'polg' AND {_OPEN} AND {_TOTAL_1} AND {_TOTAL_2} AND measure_code = 'pro1000' AND y = 1997",
-        tail="ORDER BY f.geo_value LIMIT 100 OFFSET 50",
+        tail="ORDER BY f.geo_value LIMIT 100 OFFSET 5",
     )
 )
 def indicator_page(spark: SparkSession, d: str) -> DataFrame:
@@ -273,7 +273,7 @@ def indicator_page(spark: SparkSession, d: str) -> DataFrame:
     return _shown(
         get_indicator(
             warehouse(spark, d), "polg", 104, measure="pro1000", period_ref="1997-12-31",
-            skip=50, limit=100, today=TODAY,
+            skip=5, limit=100, today=TODAY,
         )
     )
 
