@@ -36,6 +36,10 @@ class MeasureSpec:
     base: str | None = None
     calc: Sequence[str] | None = None
 
+    def __post_init__(self) -> None:
+        if self.calc is not None:
+            object.__setattr__(self, "calc", tuple(self.calc))
+
 
 @dataclass(frozen=True)
 class CubeIndicator:
@@ -50,7 +54,10 @@ class CubeIndicator:
 
 @dataclass(frozen=True)
 class AtlasV1:
-    """First-generation atlas rows: chosen by variable and mother-path patterns."""
+    """First-generation atlas rows: chosen by variable and mother-path patterns.
+
+    ``distinct_rows`` may be set but changes nothing: one row per key is kept anyway.
+    """
 
     indicator_regex: str
     path_regex: Sequence[str] = ()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,62 +30,85 @@ def population_rows(facts: DataFrame) -> DataFrame:
     ).select("geo_code", "geo_value", "period_ref", "indicator_value_numeric")
 
 
-def expand_measures(
-    facts: DataFrame,
-    population: DataFrame,
-    spec: MeasureSpec | None,
-    *,
-    small: bool | None = None,
-) -> DataFrame:
-    """Label or expand the rows by measure.
-
-    Without a spec the measure is NULL (text indicators). With a base only, rows
-    are labelled. With ``calc``, every row becomes one ``zahl`` row and one row per
-    ratio in ``calc + [base]``. A base given per inhabitants is first turned into
-    counts. The population is joined once, whatever the number of ratios.
-    """
+def _check(spec: MeasureSpec | None) -> None:
     if spec is None:
-        return facts.withColumn("measure_code", F.lit(None).cast("string"))
+        return
     if spec.base != "zahl" and spec.base not in MEASURE_BASIS:
         raise ValueError(f"unknown base measure: {spec.base}")
     unknown = set(spec.calc or ()) - {"zahl", *MEASURE_BASIS}
     if unknown:
         raise ValueError(f"unknown measures: {sorted(unknown)}")
 
-    per = MEASURE_BASIS.get(spec.base)
-    ratios = [m for m in [*(spec.calc or ()), spec.base] if m != "zahl"]
-    value = F.col("indicator_value_numeric")
-    if per is None and (spec.calc is None or not ratios):
-        return facts.withColumn("measure_code", F.lit("zahl"))
 
-    columns = [c for c in facts.columns if c != "indicator_value_numeric"]
-    joined = join_population(facts, population, small=small)
-    persons = F.col("population").cast(_PERSONS)
-    if per is None:
-        count = value
-    else:
-        count = (value.cast(_RATE) * persons / F.lit(per)).cast(VALUE_TYPE)
+def _needs_population(spec: MeasureSpec | None) -> bool:
+    return spec is not None and (
+        spec.base in MEASURE_BASIS or any(m != "zahl" for m in spec.calc or ())
+    )
 
-    if spec.calc is None:
-        out = [(spec.base, count)]
+
+def _measures(spec: MeasureSpec | None) -> Column:
+    """The (measure_code, value) pairs of a row, from its value and ``population``."""
+    value = F.col("indicator_value_numeric")
+    if spec is None:
+        out = [(None, value)]
     else:
-        out = [("zahl", count)]
+        per = MEASURE_BASIS.get(spec.base)
+        persons = F.col("population").cast(_PERSONS)
+        count = value
+        if per is not None:
+            count = value.cast(_RATE) * persons / F.lit(per)
+        out = [(spec.base if spec.calc is None else "zahl", count)]
+        ratios = [] if spec.calc is None else [m for m in [*spec.calc, spec.base] if m != "zahl"]
         for measure in ratios:
             basis = MEASURE_BASIS[measure]
             if per is None:
-                ratio = _ratio(value, persons, basis)
+                out.append((measure, _ratio(value, persons, basis)))
             else:
                 # count * basis / persons with the persons cancelled
-                exact = (value.cast(_RATE) * F.lit(basis) / F.lit(per)).cast(VALUE_TYPE)
-                ratio = F.when(persons != 0, exact)
-            out.append((measure, ratio))
-    made = F.array(
+                exact = value.cast(_RATE) * F.lit(basis) / F.lit(per)
+                out.append((measure, F.when(persons != 0, exact)))
+    return F.array(
         *[
-            F.struct(F.lit(m).alias("measure_code"), v.cast(VALUE_TYPE).alias("value"))
+            F.struct(
+                F.lit(m).cast("string").alias("measure_code"), v.cast(VALUE_TYPE).alias("value")
+            )
             for m, v in out
         ]
     )
-    exploded = joined.select(*columns, F.explode(made).alias("_m"))
+
+
+def expand_measures(
+    facts: DataFrame,
+    population: DataFrame,
+    spec: MeasureSpec | None | Mapping[int, MeasureSpec | None],
+    *,
+    small: bool | None = None,
+) -> DataFrame:
+    """Label or expand the rows by measure.
+
+    Without a spec the measure is NULL (text indicators). With a base only, rows
+    are labelled. With ``calc``, every row becomes one ``zahl`` row and one row per
+    ratio in ``calc + [base]``. A base given per inhabitants is first turned into
+    counts. A mapping from indicator to spec treats many indicators in one pass; those
+    not in it have none. The population is joined once, whatever the number of ratios.
+    """
+    specs = dict(spec) if isinstance(spec, Mapping) else None
+    used = list(specs.values()) if specs is not None else [spec]
+    for one in used:
+        _check(one)
+    if specs is None:
+        made = _measures(spec)
+    else:
+        made = _measures(None)
+        for one in dict.fromkeys(used):
+            members = [i for i, s in specs.items() if s == one]
+            made = F.when(F.col("indicator_id").isin(*members), _measures(one)).otherwise(made)
+    if any(map(_needs_population, used)):
+        rows = join_population(facts, population, small=small)
+    else:
+        rows = facts.withColumn("population", F.lit(None).cast(VALUE_TYPE))
+    columns = [c for c in facts.columns if c != "indicator_value_numeric"]
+    exploded = rows.select(*columns, F.explode(made).alias("_m"))
     return exploded.withColumns(
         {"indicator_value_numeric": F.col("_m.value"), "measure_code": F.col("_m.measure_code")}
     ).select(*facts.columns, "measure_code")

@@ -7,9 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from regiofact.config import CubeFamily, MeasureSpec
+from regiofact.config import AtlasIndicator, CubeFamily, MeasureSpec
 from regiofact.operators.measures import expand_measures
-from regiofact.plans.indicators import build_cube_indicators
+from regiofact.plans.indicators import build_atlas_indicators, build_cube_indicators
 from regiofact.plans.mart import Dictionaries, build_mart, extend_dictionaries
 from regiofact.plans.staging import typecast
 from regiofact.schemas import INTM, INTM_MEASURED, MART
@@ -19,7 +19,7 @@ from regiofact.sources.files import write_mart
 def measured(
     facts: DataFrame,
     population: DataFrame,
-    spec: MeasureSpec | None,
+    spec: MeasureSpec | None | Mapping[int, MeasureSpec | None],
     contract: Mapping[str, str] = INTM_MEASURED,
 ) -> DataFrame:
     return typecast(expand_measures(facts, population, spec), contract)
@@ -36,6 +36,19 @@ def cube_family(
     return measured(facts, population, family.measure, {**contract, "measure_code": "string"})
 
 
+def atlas_family(
+    v1: DataFrame | None,
+    v2: DataFrame | None,
+    indicators: Sequence[AtlasIndicator],
+    population: DataFrame,
+    contract: Mapping[str, str] = INTM,
+) -> DataFrame:
+    """Atlas histories to measured indicator rows, each indicator with its own measures."""
+    facts = build_atlas_indicators(v1, v2, indicators, contract=contract)
+    specs = {cfg.indicator_id: cfg.measure for cfg in indicators}
+    return measured(facts, population, specs, {**contract, "measure_code": "string"})
+
+
 def publish(
     parts: Sequence[DataFrame],
     known: Dictionaries,

@@ -17,6 +17,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -33,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        configured = sc.getConf().get("spark.checkpoint.dir")
+        configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="regiofact-"))

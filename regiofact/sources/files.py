@@ -113,8 +113,8 @@ def write_mart(df: DataFrame, path: str) -> None:
 
 def read_mart(spark: SparkSession, path: str, contract: Mapping[str, str]) -> DataFrame:
     """All partitions of the fact, typed and ordered by its contract."""
-    df = spark.read.parquet(path)
-    return df.select(*[F.col(c).cast(kind).alias(c) for c, kind in contract.items()])
+    schema = ", ".join(f"{c} {kind}" for c, kind in contract.items())
+    return spark.read.schema(schema).parquet(path).select(*contract)
 
 
 def lower_names(df: DataFrame) -> DataFrame:

@@ -217,6 +217,21 @@ def test_measure_labels(measured):
         measured(MeasureSpec("pro7"))
 
 
+def test_measures_of_many_indicators_in_one_pass(spark, rows):
+    facts = spark.createDataFrame(
+        [(i, "polg", 1, dt.date(2020, 12, 31), Decimal(50)) for i in (1, 2, 3, 4)], "indicator_id int, " + FACT
+    )
+    population = spark.createDataFrame([("polg", 1, dt.date(2020, 6, 1), Decimal(200))], FACT)
+    specs = {1: MeasureSpec("zahl", ["pro100"]), 2: MeasureSpec("pro1000", ["zahl"]), 3: None}
+    together = expand_measures(facts, population, specs)
+    apart = [
+        expand_measures(facts.filter(F.col("indicator_id") == i), population, specs.get(i))
+        for i in (1, 2, 3, 4)
+    ]
+    assert rows(together) == sorted((r for df in apart for r in rows(df)), key=lambda r: tuple(map(str, r)))
+    assert together.count() == 6
+
+
 # -- history ------------------------------------------------------------------
 
 STATE = "k string, v string, w int"

@@ -111,6 +111,23 @@ def test_atlas_groups_collapse_unless_keyed(spark):
     assert build_atlas_indicators(None, v2, [cfg], keys=KEY_GROUPS).count() == 3
 
 
+def test_atlas_family_has_own_measures(spark):
+    from regiofact.plans.warehouse import atlas_family
+
+    v2 = spark.createDataFrame(
+        [(i, "polg2020", 1, "totvars", "2020", "m1", Decimal(30)) for i in ("a", "b", "pop")],
+        "bfs_indicateur_id string, bfs_nivgeo string, geo_value int, group_name string, period_ref string, map_id string, indicator_value decimal(38,18)",
+    ).select("*", F.lit("s").alias("source"), F.lit("2021-01-01").cast("timestamp_ntz").alias(VALID_FROM), F.lit(None).cast("timestamp_ntz").alias(VALID_TO))
+    end = "make_date(period_ref::int, 12, 31)"
+    cfg = [
+        AtlasIndicator(1, "duedate", "year", v2=AtlasV2("a", period_ref=end), measure=MeasureSpec("zahl", ["pro100"])),
+        AtlasIndicator(2, "duedate", "year", v2=AtlasV2("b", period_ref=end)),
+    ]
+    people = spark.createDataFrame([("polg", 1, dt.date(2020, 12, 31), Decimal(60))], "geo_code string, geo_value int, period_ref date, indicator_value_numeric decimal(38,18)")
+    got = {(r.indicator_id, r.measure_code): int(r.indicator_value_numeric) for r in atlas_family(None, v2, cfg, people).collect()}
+    assert got == {(1, "zahl"): 30, (1, "pro100"): 50, (2, None): 30}
+
+
 def test_yearly_dimension(areas):
     dim = areas["polg"]
     got = sorted((r.snapshot_code, r.gemeinde_bfs_id, r.gemeinde_name, r.bezirk_bfs_id) for r in dim.collect())
