@@ -211,10 +211,12 @@ def join_geo(facts: DataFrame, areas: DataFrame, small: bool | None = None) -> D
     return lookup_join(facts, areas, ["geo_value"], "inner", small=small, derived=True)
 
 
-def add_geometry(facts: DataFrame, dim: DataFrame, level: str, column: str) -> DataFrame:
+def add_geometry(
+    facts: DataFrame, dim: DataFrame, level: str, column: str, small: bool | None = None
+) -> DataFrame:
     """Add the geometry of each fact's area, one of the dimension's geometry columns."""
     shapes = dim.select(F.col(LEVELS[level].key).alias("geo_value"), F.col(column).alias("geometry"))
-    return lookup_join(facts, shapes, ["geo_value"], max_rows=GEOMETRY_ROWS)
+    return lookup_join(facts, shapes, ["geo_value"], small=small, max_rows=GEOMETRY_ROWS)
 
 
 def geometry_column(mode: str | None) -> str:

@@ -18,7 +18,7 @@ from regiofact.operators.coverage import coverage_simplify
 from regiofact.operators.filters import known_at
 from regiofact.operators.measures import expand_measures
 from regiofact.operators.totals import build_totals
-from regiofact.plans.geo_dims import TOLERANCES, hierarchy, join_geo
+from regiofact.plans.geo_dims import TOLERANCES, join_geo
 from regiofact.plans.mart import available_indicators, decode, new_dictionaries
 from regiofact.plans.queries import (
     Warehouse,
@@ -53,7 +53,7 @@ WIDE_MART = widened(MART, geo_value="bigint")
 TODAY = dt.date(2025, 6, 30)
 
 _STORES: dict[tuple[str, str], Warehouse] = {}
-_AREAS_OF: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_COMPLETE: dict[tuple[str, str], Warehouse] = {}
 
 
 def _coarse_facts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -178,9 +178,9 @@ def store(spark: SparkSession, d: str) -> Warehouse:
 def warehouse(spark: SparkSession, d: str) -> Warehouse:
     """The same with the areas of the three levels."""
     key = (spark.sparkContext.applicationId, d)
-    if key not in _AREAS_OF:
-        _AREAS_OF[key] = _areas(spark, d)
-    return replace(store(spark, d), areas=_AREAS_OF[key])
+    if key not in _COMPLETE:
+        _COMPLETE[key] = replace(store(spark, d), areas=_areas(spark, d), _known={})
+    return _COMPLETE[key]
 
 
 # ---------------------------------------------------------------------------
@@ -407,7 +407,7 @@ def decoded_with_hierarchy(spark: SparkSession, d: str) -> DataFrame:
     """All facts known on a day, with their texts and area hierarchy."""
     w = warehouse(spark, d)
     rows = known_at(w.mart.filter("geo_code = 'polg'"), "1999-01-01")
-    out = join_geo(decode(rows, w.dictionaries), hierarchy("polg", w.areas))
+    out = join_geo(decode(rows, w.dictionaries), *w.chain("polg"))
     return out.select(
         "indicator_id", "geo_value", "period_ref", "group_1_value", "group_2_value", "source", "measure_code",
         "geo_name", "bezirk_bfs_id", "kanton_bfs_id",
