@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,18 +122,6 @@ def _areas(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """Latest areas of the three levels; customers in debt have no district."""
     c, n, r = (table(spark, d, t) for t in ("customer", "nation", "region"))
 
-    def with_borders(df: DataFrame, key: str, size: int) -> DataFrame:
-        shaped = df.withColumn("geometry", cell(F.col(key), size)).withColumn("part", F.lit("latest"))
-        shaped = materialize(shaped)
-        simple = coverage_simplify(shaped, [key], "part", "geometry", TOLERANCES)
-        out = simple.select(
-            *df.columns,
-            reproject(F.col("geometry"), LV95, WGS84).alias("geom_border"),
-            *[reproject(F.col(t), LV95, WGS84).alias(t) for t in TOLERANCES],
-            reproject_point(centroid(F.col("geometry")), LV95, WGS84).alias("geom_center"),
-        )
-        return materialize(out)
-
     placed = c.join(n, c.c_nationkey == n.n_nationkey)
     polg = placed.select(
         F.col("c_custkey").alias("gemeinde_bfs_id"), F.col("c_name").alias("gemeinde_name"),
@@ -144,10 +133,33 @@ def _areas(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         F.col("n_regionkey").alias("kanton_bfs_id"),
     )
     kant = r.select(F.col("r_regionkey").alias("kanton_bfs_id"), F.col("r_name").alias("kanton_name"))
+    levels = {
+        "polg": (polg, "gemeinde_bfs_id", 1000),
+        "bezk": (bezk, "bezirk_bfs_id", 8000),
+        "kant": (kant, "kanton_bfs_id", 40000),
+    }
+    borders = [
+        df.select(F.lit(level).alias("level"), F.col(key).cast("bigint").alias("id"),
+                  cell(F.col(key).cast("bigint"), size).alias("geometry"))
+        for level, (df, key, size) in levels.items()
+    ]
+    # the levels are separate coverages, simplified together
+    shaped = materialize(reduce(DataFrame.union, borders))
+    simple = coverage_simplify(shaped, ["id"], "level", "geometry", TOLERANCES)
+    shapes = materialize(
+        simple.select(
+            "level",
+            "id",
+            reproject(F.col("geometry"), LV95, WGS84).alias("geom_border"),
+            *[reproject(F.col(t), LV95, WGS84).alias(t) for t in TOLERANCES],
+            reproject_point(centroid(F.col("geometry")), LV95, WGS84).alias("geom_center"),
+        )
+    )
     return {
-        "polg": with_borders(polg, "gemeinde_bfs_id", 1000),
-        "bezk": with_borders(bezk, "bezirk_bfs_id", 8000),
-        "kant": with_borders(kant, "kanton_bfs_id", 40000),
+        level: materialize(
+            df.join(shapes.filter(F.col("level") == level), F.col(key) == F.col("id")).drop("level", "id")
+        )
+        for level, (df, key, _) in levels.items()
     }
 
 
