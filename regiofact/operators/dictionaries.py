@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiofact.operators.numbering import number_rows
+from regiofact.operators.numbering import number_few
 from regiofact.schemas import GROUP_TOTAL, GROUP_TOTAL_ID, GROUPS
 
 
@@ -59,7 +59,7 @@ def extend_dictionary(dictionary: DataFrame, values: DataFrame) -> DataFrame:
     id_type = dictionary.schema[id_name].dataType
     fresh = values.select(name).filter(F.col(name).isNotNull()).distinct()
     fresh = fresh.join(dictionary.select(name), name, "left_anti")
-    numbered = number_rows(fresh, [F.col(name).asc()], "_position")
+    numbered = number_few(fresh, [F.col(name).asc()], "_position")
     last = dictionary.agg(F.coalesce(F.max(id_name).cast("bigint"), F.lit(0)).alias("m")).scalar()
     added = numbered.select((last + F.col("_position")).cast(id_type).alias(id_name), name)
     return dictionary.unionByName(added)

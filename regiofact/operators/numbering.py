@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from regiofact.operators.joins import fits
 from regiofact.session import materialize
 
 #: Up to this many leading rows a page is taken by a top-k, which merges that many rows
@@ -14,6 +15,15 @@ from regiofact.session import materialize
 TOP_ROWS = 2_000
 
 
+def number_few(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Like ``number_rows``; a table of at most ``TOP_ROWS`` rows is sorted by one task."""
+    written = materialize(df)
+    if fits(written, TOP_ROWS):
+        place = F.row_number().over(Window.orderBy(*order))
+        return written.select("*", place.cast("bigint").alias(name))
+    return number_rows(written, order, name)
+
+
 def number_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Add the 1-based position of every row in the given order.
 

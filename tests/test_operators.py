@@ -299,7 +299,9 @@ def test_empty_filters_count_as_unset(spark):
 # -- dictionaries and numbering -------------------------------------------------
 
 
-def test_dictionary_ids_are_stable_and_unique(spark):
+@pytest.mark.parametrize("top", [2_000, 0])
+def test_dictionary_ids_are_stable_and_unique(spark, monkeypatch, top):
+    monkeypatch.setattr("regiofact.operators.numbering.TOP_ROWS", top)
     values = lambda *v: spark.createDataFrame([(x,) for x in v], "group_value_name string")
     first = extend_dictionary(group_value_seed(spark), values("m", "z", "GROUP TOTAL", None, "m"))
     before = {r.group_value_name: r.group_value_id for r in first.collect()}
