@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured is None and not sc.master.startswith("local"):
+        if configured is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="regiofact-"))
     return sc.getCheckpointDir()
