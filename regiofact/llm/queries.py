@@ -4,7 +4,7 @@ from importlib import import_module
 
 from regiofact.llm.base import ORACLES, QUERIES
 
-MODULES = ("token_counts", "urls")
+MODULES = ("token_counts", "urls", "secrets", "language")
 
 for _name in MODULES:
     import_module(f"regiofact.llm.{_name}")
