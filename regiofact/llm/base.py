@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regiofact.session import new_path
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +47,13 @@ def picked(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`").cast(kind).alias(n) for n, kind in columns.items()])
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write once into the shared folder as Parquet and read back, which cuts the lineage."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def texts_of(batches: Iterable[pa.RecordBatch], budget: int = 8 << 20) -> Iterator[tuple[list, list[str]]]:
     """(ids, texts) of columns 0 and 1 in groups of about ``budget`` characters; null is empty."""
     ids, texts, size = [], [], 0
