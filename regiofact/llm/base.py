@@ -47,11 +47,23 @@ def picked(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`").cast(kind).alias(n) for n, kind in columns.items()])
 
 
+#: Lets Spark delete a query's shuffle files when the query has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write once into the shared folder as Parquet and read back, which cuts the lineage."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write once into the shared folder as Parquet and read back, which cuts the lineage.
+
+    The shuffle files of the written query are not needed again and go at once.
+    """
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def texts_of(batches: Iterable[pa.RecordBatch], budget: int = 8 << 20) -> Iterator[tuple[list, list[str]]]:
