@@ -8,5 +8,6 @@ MODULES = ("token_counts", "urls", "secrets", "language", "simhash", "embedding_
 
 for _name in MODULES:
     import_module(f"regiofact.llm.{_name}")
+import_module("corpus_pipeline")
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -124,6 +124,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def representatives(docs: DataFrame) -> DataFrame:
+    """The document of the smallest doc_id of each component, with the columns of documents.
+
+    Documents without doc_id have no smallest and are all kept. Of rows that repeat a kept
+    doc_id one stays.
+    """
+    stay = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    kept = picked(docs, doc_id="long", text="string", lang="string", source="string", n_chars="long")
+    return kept.join(stay, "doc_id").dropDuplicates(["doc_id"]).unionAll(kept.filter("doc_id is null"))
+
+
 @query()
 def op4_simhash(spark, sf_dir):
     """Groups of near copies among all documents."""

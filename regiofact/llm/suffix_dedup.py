@@ -294,6 +294,17 @@ def _merged(ranges: list[dict]) -> list[tuple[int, int]]:
     return out
 
 
+def _cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The bytes outside of the spans."""
+    ends = [0, *(x for s in spans for x in s), len(text)]
+    return b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
+
+
+def _ranges(docs: DataFrame) -> DataFrame:
+    """k1, k2 and ranges: the runs of repeated windows of each document that has any."""
+    return repeats(docs).groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+
+
 KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<bigint>, kept binary"
 
 
@@ -305,9 +316,8 @@ def _kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_id, data, ranges in zip(*batch.columns, strict=True):
             text = data.as_buffer().to_pybytes() if data.is_valid else b""
             spans = _merged(ranges.as_py() or [])
-            ends = [0, *(x for s in spans for x in s), len(text)]
-            kept = b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
-            rows.append((doc_id.as_py(), len(text), len(text) - len(kept), len(spans), ends[1:-1], kept))
+            kept, ends = _cut(text, spans), [x for s in spans for x in s]
+            rows.append((doc_id.as_py(), len(text), len(text) - len(kept), len(spans), ends, kept))
         columns = zip(*rows, strict=True) if rows else [[]] * len(names)
         yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
@@ -320,8 +330,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     their own, so both lose all such bytes. A null doc_id stays null; other columns are not
     carried. Kept bytes may end inside a character.
     """
-    ranges = repeats(docs).groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
-    ranges = stored(ranges, "ranges")
+    ranges = stored(_ranges(docs), "ranges")
     data = F.col("text").cast("binary").alias("data")
     joined = _keyed(docs).select("k1", "k2", "doc_id", data).join(
         ranges.hint("shuffle_hash"), ["k1", "k2"], "left"
@@ -329,6 +338,33 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", "data", "ranges").mapInArrow(_kept, KEPT)
 
 
+def shortened(docs: DataFrame) -> DataFrame:
+    """Documents without their repeated passages, with the columns of documents.
+
+    Where a passage ends inside a character, the rest of the character goes too. Null texts
+    stay null; n_chars follows the text.
+    """
+    ranges = stored(_ranges(docs), "ranges")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for data, found in zip(batch.column("text"), batch.column("ranges"), strict=True):
+                if data.is_valid and found.is_valid:
+                    texts.append(_cut(data.as_buffer().to_pybytes(), _merged(found.as_py())).decode("utf-8", "ignore"))
+                else:
+                    texts.append(data.as_py())
+            arrays = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
+            yield pa.record_batch(arrays, names)
+
+    kept = picked(docs, doc_id="long", text="string", lang="string", source="string")
+    names = kept.columns
+    keys = F.xxhash64("doc_id", "text").alias("k1"), F.hash("text", "doc_id").alias("k2")
+    joined = kept.select("*", *keys).join(ranges.hint("shuffle_hash"), ["k1", "k2"], "left")
+    out = joined.select(*names, "ranges").mapInArrow(run, kept.schema)
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query()
 def op1_suffix_dedup(spark, sf_dir):
     """Repeated passages of at least 200 bytes in all documents."""
