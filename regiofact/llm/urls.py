@@ -72,7 +72,8 @@ def _shrunk(groups: DataFrame, prior: str) -> DataFrame:
 
     ``groups`` holds n, bad and the prior mean in column ``prior``. The strength follows from
     how much the shares differ from their prior means beyond binomial noise; with no excess it
-    is the largest allowed, 1000 outcomes.
+    is the largest allowed, 1000 outcomes. No prior is stronger than what its own level knows,
+    which column ``certain`` holds.
     """
     share = F.when(F.col("n") > 0, F.col("bad") / F.col("n"))
     noise = F.col(prior) * (1 - F.col(prior))
@@ -86,9 +87,10 @@ def _shrunk(groups: DataFrame, prior: str) -> DataFrame:
     rho = (F.col("d") - F.col("w")) / (F.col("v") - F.col("w"))
     strength = F.when((F.col("v") > F.col("w")) & (rho > 0.001), F.greatest(1 / rho - 1, F.lit(1.0)))
     one_row = moments.select(F.coalesce(strength, F.lit(1000.0)).alias("strength"))
+    weight = F.least("strength", "certain")
     return groups.crossJoin(F.broadcast(one_row)).withColumns({
-        "a": F.col(prior) * F.col("strength") + F.col("bad"),
-        "b": (1 - F.col(prior)) * F.col("strength") + F.col("n") - F.col("bad"),
+        "a": F.col(prior) * weight + F.col("bad"),
+        "b": (1 - F.col(prior)) * weight + F.col("n") - F.col("bad"),
     })
 
 
@@ -108,10 +110,11 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     overall = suffixes.agg(
         F.coalesce(F.sum("bad") / F.nullif(F.sum("n"), F.lit(0)), F.lit(0.0)).alias("overall")
     )
-    level = _shrunk(suffixes.crossJoin(F.broadcast(overall)), "overall")
-    level = level.select("suffix", (F.col("a") / (F.col("a") + F.col("b"))).alias("suffix_mean"))
+    weight = F.col("a") + F.col("b")
+    level = _shrunk(suffixes.crossJoin(F.broadcast(overall)).withColumn("certain", F.lit(1000.0)), "overall")
+    level = level.select("suffix", (F.col("a") / weight).alias("suffix_mean"), weight.alias("certain"))
     level = _shrunk(domains.join(level, "suffix"), "suffix_mean")
-    level = level.select("domain", (F.col("a") / (F.col("a") + F.col("b"))).alias("domain_mean"))
+    level = level.select("domain", (F.col("a") / weight).alias("domain_mean"), weight.alias("certain"))
     level = _shrunk(hosts.join(level, "domain"), "domain_mean")
     a, b = F.col("a"), F.col("b")
     mean = a / (a + b)
@@ -162,11 +165,11 @@ WITH urls AS (
 ), d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL),
 s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY ALL),
 o AS (SELECT COALESCE(sum(bad) / NULLIF(sum(n), 0), 0.0) AS p FROM s),
-s1 AS (SELECT s.*, p FROM s, o),
+s1 AS (SELECT s.*, p, 1000.0 AS certain FROM s, o),
 {{suffix_level}},
-d1 AS (SELECT d.*, s2.m AS p FROM d JOIN s2 USING (suffix)),
+d1 AS (SELECT d.*, s2.m AS p, s2.a + s2.b AS certain FROM d JOIN s2 USING (suffix)),
 {{domain_level}},
-h1 AS (SELECT h.*, d2.m AS p FROM h JOIN d2 USING (domain)),
+h1 AS (SELECT h.*, d2.m AS p, d2.a + d2.b AS certain FROM h JOIN d2 USING (domain)),
 {{host_level}},
 judged AS (
     SELECT host, CASE WHEN m - {DEVIATIONS} * sqrt(m * (1 - m) / (a + b + 1)) > {TOLERATED}
@@ -197,8 +200,9 @@ def _level_sql(name: str) -> str:
     SELECT COALESCE(CASE WHEN v > w AND (d - w) / (v - w) > 0.001
                          THEN greatest((v - w) / (d - w) - 1, 1.0) END, 1000.0) AS k FROM {name}m
 ), {name}2 AS (
-    SELECT *, p * k + bad AS a, (1 - p) * k + n - bad AS b, (p * k + bad) / (k + n) AS m
-    FROM {name}1, {name}k
+    SELECT *, a / (a + b) AS m FROM (
+        SELECT *, p * least(k, certain) + bad AS a, (1 - p) * least(k, certain) + n - bad AS b
+        FROM {name}1, {name}k)
 )"""
 
 
