@@ -208,17 +208,19 @@ def centroid(geom: Column) -> Column:
     return F.when(_first_vertex(geom).isNotNull(), bound(_first_vertex(geom), around))
 
 
-def _number(c: Column, digits: int) -> Column:
-    """Plain decimal text without trailing zeros."""
+def _number(c: Column, digits: int | None) -> Column:
+    """Decimal text without trailing zeros; without ``digits`` the shortest exact one."""
+    if digits is None:
+        return F.regexp_replace(c.cast("string"), r"\.0(?=$|E)", "")
     fixed = F.format_string(f"%.{digits}f", c)
     return F.regexp_replace(fixed, r"\.?0+$", "") if digits else fixed
 
 
-def _pair(v: Column, digits: int, separator: str) -> Column:
+def _pair(v: Column, digits: int | None, separator: str) -> Column:
     return F.concat(_number(v["x"], digits), F.lit(separator), _number(v["y"], digits))
 
 
-def point_to_wkt(p: Column, digits: int = 8) -> Column:
+def point_to_wkt(p: Column, digits: int | None = None) -> Column:
     return F.concat(F.lit("POINT ("), _pair(p, digits, " "), F.lit(")"))
 
 
@@ -238,12 +240,12 @@ def _nested_text(
     )
 
 
-def to_wkt(geom: Column, digits: int = 8) -> Column:
+def to_wkt(geom: Column, digits: int | None = None) -> Column:
     text = _nested_text(geom, lambda v: _pair(v, digits, " "), "(", ")", ", ")
     return F.concat(F.lit("MULTIPOLYGON "), text)
 
 
-def to_geojson(geom: Column, digits: int = 8) -> Column:
+def to_geojson(geom: Column, digits: int | None = None) -> Column:
     """Geometry object text, coordinates as nested arrays."""
     coordinates = _nested_text(
         geom,
@@ -255,7 +257,7 @@ def to_geojson(geom: Column, digits: int = 8) -> Column:
     )
 
 
-def point_to_geojson(p: Column, digits: int = 8) -> Column:
+def point_to_geojson(p: Column, digits: int | None = None) -> Column:
     return F.concat(
         F.lit('{"type":"Point","coordinates":['), _pair(p, digits, ","), F.lit("]}")
     )

@@ -1,118 +1,27 @@
-"""Lookup joins that hold up when one key carries a large share of the rows."""
+"""Lookup joins, and the lookups built on them."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from regiofact.session import materialize
 
-#: A lookup of at most this many rows is sent to every executor.
-BROADCAST_ROWS = 200_000
-#: A key with more than one part in this many of all rows is hot.
-HOT_SHARE = 1_000
-_SPREAD = 1 << 20
-
-
-def fits(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has at most ``max_rows`` rows; reads no further than that."""
-    return lookup.limit(max_rows + 1).count() <= max_rows
-
-
-def _row_hash(df: DataFrame) -> Column:
-    """A number that tells rows apart, and copies of a row by their partition.
-
-    It depends on the content of a row and its partition only, so a recomputed task
-    gives every row the same number again.
-    """
-    hashable = [
-        F.col(f"`{f.name}`")
-        for f in df.schema.fields
-        if not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
-    return F.xxhash64(*hashable) + F.spark_partition_id()
-
-
-def hot_keys(rows: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """Keys with more than ``1 / share`` of the rows: fewer than ``share`` of them."""
-    counts = materialize(rows.select(*on).dropna().groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    return counts.filter(F.col("_n") > total / share).select(*on)
-
-
-def _join_large(
-    rows: DataFrame, lookup: DataFrame, on: list[str], how: str, share: int
-) -> DataFrame:
-    """Shuffle join that keeps hot keys out of it.
-
-    The lookup rows of the hot keys, a bounded number, are broadcast first. Rows that
-    are thereby done, or can match nothing for a NULL key, take part in the shuffle
-    under a number of their own, which spreads them evenly over all tasks.
-    """
-    values = [c for c in lookup.columns if c not in on]
-    hot = materialize(hot_keys(rows, on, share))
-    answered = lookup.join(F.broadcast(hot), on).select(
-        *on, F.lit(True).alias("_hot_found"), *[F.col(c).alias(f"_hot_{c}") for c in values]
-    )
-    side = materialize(hot.withColumn("_hot", F.lit(True)).join(answered, on, "left"))
-    tagged = rows.join(F.broadcast(side), on, "left")
-    done = F.coalesce("_hot", F.lit(False)) | reduce(or_, [F.col(k).isNull() for k in on])
-    number = F.pmod(_row_hash(rows), F.lit(_SPREAD)) + 1
-    spread = tagged.withColumn("_lane", F.when(done, number).otherwise(0))
-    # zero, but not a constant: that would be moved out of the join key
-    lane = F.pmod(F.xxhash64(*on), F.lit(1))
-    others = lookup.select(
-        *on, lane.alias("_lane"), F.lit(True).alias("_cold_found"),
-        *[F.col(c).alias(f"_cold_{c}") for c in values],
-    )
-    joined = spread.join(others, [*on, "_lane"], "left")
-    found = F.coalesce("_hot_found", "_cold_found", F.lit(False))
-    if how in ("inner", "left_semi"):
-        joined = joined.filter(found)
-    elif how == "left_anti":
-        joined = joined.filter(~found)
-    taken = [] if how in ("left_semi", "left_anti") else values
-    return joined.select(
-        *on,
-        *[c for c in rows.columns if c not in on],
-        *[F.when(F.col("_hot"), F.col(f"_hot_{c}")).otherwise(F.col(f"_cold_{c}")).alias(c)
-          for c in taken],
-    )
-
 
 def lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    *,
-    small: bool | None = None,
-    max_rows: int = BROADCAST_ROWS,
-    share: int = HOT_SHARE,
-    derived: bool = False,
+    rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left"
 ) -> DataFrame:
     """Equi-join a large row set with a table that is unique, or nearly so, on its key.
 
-    A lookup within ``max_rows`` is broadcast; a larger one is shuffled, with the hot
-    keys of ``rows`` handled apart. Pass ``small`` where the size is already known, and
-    ``derived`` where the lookup takes work to compute, so that it is computed once.
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+    The planner broadcasts the lookup if its measured bytes allow it; otherwise both sides
+    are shuffled and adaptive execution splits the partitions of hot keys. ``how`` is
+    ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
-    keys = list(on)
-    if how in ("left_semi", "left_anti"):
-        lookup = lookup.select(*keys).distinct()
-    if derived and small is not True:
-        lookup = materialize(lookup)
-    if fits(lookup, max_rows) if small is None else small:
-        return rows.join(F.broadcast(lookup), keys, how)
-    return _join_large(rows, lookup, keys, how, share)
+    return rows.join(lookup, list(on), how)
 
 
 def lookup_column(
@@ -122,13 +31,12 @@ def lookup_column(
     lookup_key: str,
     values: dict[str, str],
     how: str = "left",
-    small: bool | None = None,
 ) -> DataFrame:
     """Add ``values`` (lookup column -> new name) found by ``rows.key = lookup.lookup_key``."""
     side = lookup.select(
         F.col(lookup_key).alias(key), *[F.col(c).alias(name) for c, name in values.items()]
     )
-    return lookup_join(rows, side, [key], how, small=small)
+    return lookup_join(rows, side, [key], how)
 
 
 def map_code(
@@ -139,9 +47,7 @@ def map_code(
     return df.filter(F.col(column).isin(*mapping)).withColumn(target, codes[F.col(column)])
 
 
-def join_population(
-    facts: DataFrame, population: DataFrame, *, small: bool | None = None
-) -> DataFrame:
+def join_population(facts: DataFrame, population: DataFrame) -> DataFrame:
     """Add ``population`` of the same area and calendar year, NULL where unknown.
 
     ``population`` holds (geo_code, geo_value, period_ref, indicator_value_numeric).
@@ -153,9 +59,7 @@ def join_population(
         F.col("indicator_value_numeric").alias("population"),
     )
     rows = facts.withColumn("_year", F.year("period_ref"))
-    joined = lookup_join(
-        rows, side, ["geo_code", "geo_value", "_year"], small=small, derived=True
-    )
+    joined = lookup_join(rows, side, ["geo_code", "geo_value", "_year"])
     return joined.select(*facts.columns, "population")
 
 
@@ -165,43 +69,40 @@ def resolve_by_name(
     *,
     name: str = "gemeinde_name",
     number: str = "gemeinde_bfs_id",
-    small: bool | None = None,
 ) -> DataFrame:
     """Fill a missing municipality number by its name; of equal names the highest wins."""
     by_name = places.groupBy(F.col(name).alias("_name")).agg(F.max(number).alias("_number"))
     searched = (F.col("geo_code") == "polg") & F.col("geo_value").isNull()
     keyed = df.withColumn("_name", F.when(searched, F.col("geo_value_name")))
-    found = lookup_join(keyed, by_name, ["_name"], small=small, derived=True)
+    found = lookup_join(keyed, by_name, ["_name"])
     return found.withColumn("geo_value", F.coalesce("geo_value", "_number")).select(*df.columns)
 
 
-def expand_ancestors(
-    maps: DataFrame,
-    edges: DataFrame,
-    max_depth: int = 6,
-) -> DataFrame:
+def expand_ancestors(maps: DataFrame, edges: DataFrame) -> DataFrame:
     """Walk from each map up the structure, adding ``mother_{i}_id`` and ``_name``.
 
     ``maps`` has a ``structure_id``; ``edges`` has (child_id, child_name,
-    structure_id), the last being the parent. Levels that no map reaches are left
-    out. A child with several parents gives one row per path.
+    structure_id), the last being the parent. The walk goes over the distinct structures
+    until no parent is left, and the maps join its result once. A child with several
+    parents gives one row per path. A structure that is its own ancestor raises.
     """
     parents = materialize(edges.distinct())
-    small = fits(parents)
-    out = maps
-    for level in range(max_depth):
+    children = parents.select(F.col("child_id").alias("_at")).distinct()
+    most = children.count()  # a path without a circle is no longer
+    paths = maps.select("structure_id").distinct().withColumn("_at", F.col("structure_id"))
+    open_paths = paths.join(children, "_at", "left_semi")
+    level = 0
+    while not open_paths.isEmpty():
+        if level >= most:
+            raise ValueError("a structure is its own ancestor")
         step = parents.select(
-            F.col("child_id").alias("structure_id"),
+            F.col("child_id").alias("_at"),
             F.col("child_id").alias(f"mother_{level}_id"),
             F.col("child_name").alias(f"mother_{level}_name"),
             F.col("structure_id").alias("_parent"),
         )
-        out = lookup_join(out, step, ["structure_id"], small=small)
-        out = out.withColumn("structure_id", F.col("_parent")).drop("_parent")
-    reached = out.agg(
-        *[F.count(f"mother_{level}_id").alias(str(level)) for level in range(max_depth)]
-    ).first()
-    empty = [level for level in range(max_depth) if reached[str(level)] == 0]
-    return out.drop(
-        "structure_id", *[f"mother_{level}_{part}" for level in empty for part in ("id", "name")]
-    )
+        paths = lookup_join(paths, step, ["_at"]).drop("_at").withColumnRenamed("_parent", "_at")
+        paths = materialize(paths)
+        open_paths = paths.join(children, "_at", "left_semi")
+        level += 1
+    return lookup_join(maps, paths.drop("_at"), ["structure_id"]).drop("structure_id")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,16 +12,30 @@ from regiofact.config import MeasureSpec
 from regiofact.operators.joins import join_population
 from regiofact.schemas import MEASURE_BASIS, POPULATION_INDICATOR, VALUE_TYPE
 
-# Decimal types that leave at least nine fraction digits, those of the mart, after
-# the products and quotients below. Populations are whole persons.
-_AMOUNT = "decimal(30,9)"
-_RATE = "decimal(24,9)"
-_PERSONS = "decimal(12,0)"
+# Decimal types for which the products and quotients below keep ten fraction digits or
+# more, so that values are rounded once, by the mart's nine. Amounts too large for all 18
+# fraction digits (1e14 and more) keep nine.
+_AMOUNT, _LARGE = "decimal(32,18)", "decimal(29,9)"
+_PERSONS = "decimal(19,9)"
+_EXACT = 10**14
+
+
+def _by_size(amount: Column, calculation: Callable[[Column], Column]) -> Column:
+    """A calculation on an amount with all the fraction digits that fit."""
+    exact = calculation(amount.cast(_AMOUNT)).cast(VALUE_TYPE)
+    large = calculation(amount.cast(_LARGE)).cast(VALUE_TYPE)
+    return F.when(F.abs(amount) < _EXACT, exact).otherwise(large)
+
+
+def _power(basis: int, per: int = 1) -> Column:
+    """``basis / per``, a power of ten, as an exact number."""
+    return F.lit(Decimal(basis) / Decimal(per))
 
 
 def _ratio(amount: Column, persons: Column, basis: int) -> Column:
     """``amount * basis / persons``; NULL where there are no persons."""
-    return F.try_divide(amount.cast(_AMOUNT) * F.lit(basis), persons).cast(VALUE_TYPE)
+    # the persons are scaled, which only moves their decimal point
+    return _by_size(amount, lambda a: F.try_divide(a, persons * _power(1, basis)))
 
 
 def population_rows(facts: DataFrame) -> DataFrame:
@@ -56,7 +71,7 @@ def _measures(spec: MeasureSpec | None) -> Column:
         persons = F.col("population").cast(_PERSONS)
         count = value
         if per is not None:
-            count = value.cast(_RATE) * persons / F.lit(per)
+            count = _by_size(value, lambda a: a * (persons * _power(1, per)))
         out = [(spec.base if spec.calc is None else "zahl", count)]
         ratios = [] if spec.calc is None else [m for m in [*spec.calc, spec.base] if m != "zahl"]
         for measure in ratios:
@@ -65,7 +80,7 @@ def _measures(spec: MeasureSpec | None) -> Column:
                 out.append((measure, _ratio(value, persons, basis)))
             else:
                 # count * basis / persons with the persons cancelled
-                exact = value.cast(_RATE) * F.lit(basis) / F.lit(per)
+                exact = _by_size(value, lambda a: a * _power(basis, per))
                 out.append((measure, F.when(persons != 0, exact)))
     return F.array(
         *[
@@ -81,8 +96,6 @@ def expand_measures(
     facts: DataFrame,
     population: DataFrame,
     spec: MeasureSpec | None | Mapping[int, MeasureSpec | None],
-    *,
-    small: bool | None = None,
 ) -> DataFrame:
     """Label or expand the rows by measure.
 
@@ -104,7 +117,7 @@ def expand_measures(
             members = [i for i, s in specs.items() if s == one]
             made = F.when(F.col("indicator_id").isin(*members), _measures(one)).otherwise(made)
     if any(map(_needs_population, used)):
-        rows = join_population(facts, population, small=small)
+        rows = join_population(facts, population)
     else:
         rows = facts.withColumn("population", F.lit(None).cast(VALUE_TYPE))
     columns = [c for c in facts.columns if c != "indicator_value_numeric"]

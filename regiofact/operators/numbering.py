@@ -6,22 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from regiofact.operators.joins import fits
 from regiofact.session import materialize
 
-#: Up to this many leading rows a page is taken by a top-k, which merges that many rows
-#: of every task on one.
-TOP_ROWS = 2_000
 
-
-def number_few(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    """Like ``number_rows``; a table of at most ``TOP_ROWS`` rows is sorted by one task."""
-    written = materialize(df)
-    if fits(written, TOP_ROWS):
-        place = F.row_number().over(Window.orderBy(*order))
-        return written.select("*", place.cast("bigint").alias(name))
-    return number_rows(written, order, name)
+def content_hash(df: DataFrame) -> Column:
+    """A number that tells different rows apart, whatever partition they are in."""
+    hashable = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*[F.col(f"`{n}`") for n in hashable])
 
 
 def number_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
@@ -29,17 +22,19 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
 
     Rows are range-partitioned and sorted once and written to the shared folder;
     a position is the size of the earlier partitions plus the place inside the
-    own one. Only one count per partition is gathered. Equal rows are told apart
-    by their place in the input, so a large group of copies is split as well.
+    own one. Only one count per partition is gathered. Rows equal in the order follow
+    a hash of their content, so positions do not depend on the input's partitions; full
+    copies are told apart by their place in it, so a large group of them is split as well.
     """
-    tie = df.withColumn("_tie", F.monotonically_increasing_id())
-    ranged = tie.repartitionByRange(*order, F.col("_tie")).sortWithinPartitions(*order, "_tie")
+    tie = df.withColumns({"_hash": content_hash(df), "_tie": F.monotonically_increasing_id()})
+    total = [*order, F.col("_hash"), F.col("_tie")]
+    ranged = tie.repartitionByRange(*total).sortWithinPartitions(*total)
     placed = materialize(
         ranged.withColumn("_part", F.spark_partition_id())
         .withColumn(
             "_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
         )
-        .drop("_tie")
+        .drop("_hash", "_tie")
     )
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -55,17 +50,14 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
 def page(
     df: DataFrame, order: Sequence[Column], skip: int | None = None, limit: int | None = None
 ) -> DataFrame:
-    """Rows ``skip + 1 .. skip + limit`` in a total order.
+    """Rows ``skip + 1 .. skip + limit`` of the given order, ties by content.
 
-    Without either, the rows come back as they are. A page near the start is a
-    top-k. A deep or open-ended page is cut out by row number, so the skipped rows
-    never meet on one task.
+    Without either, the rows come back as they are. Every page is cut out by row number,
+    so pages never overlap or skip rows, and skipped rows never meet on one task.
     """
     skip, limit = skip or 0, limit or None
     if not skip and limit is None:
         return df
-    if limit is not None and skip + limit <= TOP_ROWS:
-        return df.orderBy(*order).offset(skip).limit(limit)
     numbered = number_rows(df, order, "_row")
     wanted = F.col("_row") > skip
     if limit is not None:

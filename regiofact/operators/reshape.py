@@ -35,13 +35,14 @@ def keep_last(df: DataFrame, keys: Sequence[str], ingest_order: Sequence[str]) -
     return distinct_on(df, keys, [F.col(c).desc_nulls_last() for c in ingest_order])
 
 
-def latest_per_entity(
-    df: DataFrame, entity: str, order: str, *, small: bool | None = None
-) -> DataFrame:
-    """Rows at the greatest ``order`` of their entity; ties all stay."""
-    newest = df.groupBy(entity).agg(F.max(order).alias(order))
-    joined = lookup_join(df, newest, [entity, order], "inner", small=small, derived=True)
-    return joined.select(*df.columns)
+def latest_per_entity(df: DataFrame, entity: str, order: str) -> DataFrame:
+    """Rows at the greatest ``order`` of their entity; ties all stay.
+
+    A rank filter, so older rows are dropped before the shuffle.
+    """
+    known = df.filter(F.col(entity).isNotNull() & F.col(order).isNotNull())
+    newest = F.rank().over(Window.partitionBy(entity).orderBy(F.col(order).desc()))
+    return known.withColumn("_rank", newest).filter("_rank = 1").drop("_rank")
 
 
 def last_known(df: DataFrame, entity: str, order: str, columns: Sequence[str]) -> DataFrame:
@@ -55,13 +56,13 @@ def last_known(df: DataFrame, entity: str, order: str, columns: Sequence[str]) -
 
 
 def fill_last_known(
-    df: DataFrame, entity: str, order: str, columns: Sequence[str], *, small: bool | None = None
+    df: DataFrame, entity: str, order: str, columns: Sequence[str]
 ) -> DataFrame:
     """Replace NULLs by the newest value known for the entity."""
     renamed = last_known(df, entity, order, columns).select(
         entity, *[F.col(c).alias(f"_known_{c}") for c in columns]
     )
-    joined = lookup_join(df, renamed, [entity], small=small, derived=True)
+    joined = lookup_join(df, renamed, [entity])
     return joined.select(
         *[
             F.coalesce(c, f"_known_{c}").alias(c) if c in columns else F.col(c)

@@ -133,7 +133,7 @@ def boundary_snapshots(past: DataFrame, present: DataFrame, level: str, now: str
 def add_latest(snapshots: DataFrame, key: str) -> DataFrame:
     """Code every snapshot by its day and repeat the newest of each area as ``latest``."""
     newest = snapshots.groupBy(key).agg(F.max("snapshot_date").alias("_newest"))
-    joined = lookup_join(snapshots, newest, [key], derived=True)
+    joined = lookup_join(snapshots, newest, [key])
     codes = F.array(
         snapshot_code(F.col("snapshot_date")),
         F.when(F.col("snapshot_date") == F.col("_newest"), LATEST),
@@ -166,10 +166,6 @@ def latest_only(dim: DataFrame) -> DataFrame:
     return dim.filter(F.col("snapshot_code") == LATEST)
 
 
-#: A geometry lookup above this many rows is not broadcast.
-GEOMETRY_ROWS = 5_000
-
-
 def hierarchy(level: str, dims: dict[str, DataFrame]) -> DataFrame:
     """Area -> its parents, keyed by ``geo_value``, one row per area with a full chain.
 
@@ -206,17 +202,15 @@ def hierarchy(level: str, dims: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def join_geo(facts: DataFrame, areas: DataFrame, small: bool | None = None) -> DataFrame:
+def join_geo(facts: DataFrame, areas: DataFrame) -> DataFrame:
     """Facts of areas with a complete hierarchy; the others drop out."""
-    return lookup_join(facts, areas, ["geo_value"], "inner", small=small, derived=True)
+    return lookup_join(facts, areas, ["geo_value"], "inner")
 
 
-def add_geometry(
-    facts: DataFrame, dim: DataFrame, level: str, column: str, small: bool | None = None
-) -> DataFrame:
+def add_geometry(facts: DataFrame, dim: DataFrame, level: str, column: str) -> DataFrame:
     """Add the geometry of each fact's area, one of the dimension's geometry columns."""
     shapes = dim.select(F.col(LEVELS[level].key).alias("geo_value"), F.col(column).alias("geometry"))
-    return lookup_join(facts, shapes, ["geo_value"], small=small, max_rows=GEOMETRY_ROWS)
+    return lookup_join(facts, shapes, ["geo_value"])
 
 
 def geometry_column(mode: str | None) -> str:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +15,7 @@ from regiofact.operators.dictionaries import (
     extend_dictionary,
     group_value_seed,
 )
-from regiofact.operators.joins import fits, lookup_column, lookup_join
+from regiofact.operators.joins import lookup_column, lookup_join
 from regiofact.plans.staging import typecast
 from regiofact.schemas import GROUPS, MART
 from regiofact.session import materialize
@@ -30,11 +29,6 @@ class Dictionaries:
     group: DataFrame
     group_value: DataFrame
 
-    @cached_property
-    def small(self) -> tuple[bool, bool, bool]:
-        """Whether each may be broadcast; dictionaries are written tables, so this is cheap."""
-        return fits(self.source), fits(self.group), fits(self.group_value)
-
 
 def new_dictionaries(spark: SparkSession, id_type: str = "smallint") -> Dictionaries:
     return Dictionaries(
@@ -62,34 +56,32 @@ def extend_dictionaries(known: Dictionaries, facts: DataFrame) -> Dictionaries:
 
 def encode(facts: DataFrame, dims: Dictionaries) -> DataFrame:
     """Add the ids of source, group names and group values; unknown texts give NULL."""
-    source_fits, group_fits, value_fits = dims.small
-    out = lookup_column(facts, dims.source, "source", "source", {"id": "source_id"}, small=source_fits)
+    out = lookup_column(facts, dims.source, "source", "source", {"id": "source_id"})
     for n in GROUPS:
         out = lookup_column(
             out, dims.group, f"group_{n}_name", "group_name",
-            {"group_id": f"group_{n}_id"}, small=group_fits,
+            {"group_id": f"group_{n}_id"},
         )
         out = lookup_column(
             out, dims.group_value, f"group_{n}_value", "group_value_name",
-            {"group_value_id": f"group_value_{n}_id"}, small=value_fits,
+            {"group_value_id": f"group_value_{n}_id"},
         )
     return out
 
 
 def decode(mart: DataFrame, dims: Dictionaries) -> DataFrame:
     """Add the texts back; rows without a known source drop out."""
-    source_fits, group_fits, value_fits = dims.small
     out = lookup_column(
-        mart, dims.source, "source_id", "id", {"source": "source"}, "inner", small=source_fits
+        mart, dims.source, "source_id", "id", {"source": "source"}, "inner"
     )
     for n in GROUPS:
         out = lookup_column(
             out, dims.group, f"group_{n}_id", "group_id",
-            {"group_name": f"group_{n}_name"}, small=group_fits,
+            {"group_name": f"group_{n}_name"},
         )
         out = lookup_column(
             out, dims.group_value, f"group_value_{n}_id", "group_value_id",
-            {"group_value_name": f"group_{n}_value"}, small=value_fits,
+            {"group_value_name": f"group_{n}_value"},
         )
     return out
 
@@ -111,10 +103,10 @@ CATALOGUE = [
 ]
 
 
-def join_indicator(facts: DataFrame, seed: DataFrame, small: bool | None = None) -> DataFrame:
+def join_indicator(facts: DataFrame, seed: DataFrame) -> DataFrame:
     """Add the catalogue attributes; indicators outside the catalogue drop out."""
     side = seed.select("indicator_id", *CATALOGUE)
-    return lookup_join(facts, side, ["indicator_id"], "inner", small=small)
+    return lookup_join(facts, side, ["indicator_id"], "inner")
 
 
 def available_indicators(mart: DataFrame, seed: DataFrame) -> DataFrame:

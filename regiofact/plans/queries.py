@@ -3,20 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-from dataclasses import dataclass, field
-from typing import Any
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regiofact.functions.text import indicator_label
 from regiofact.operators.filters import expand_groups, known_at, knowledge_label, where_set
-from regiofact.operators.joins import fits
 from regiofact.operators.numbering import page
 from regiofact.operators.reshape import distinct_on
 from regiofact.plans.geo_dims import (
-    GEOMETRY_ROWS,
     add_geometry,
     geometry_column,
     hierarchy,
@@ -24,7 +20,6 @@ from regiofact.plans.geo_dims import (
 )
 from regiofact.plans.mart import CATALOGUE, Dictionaries, decode, join_indicator
 from regiofact.schemas import GEO_LEVELS, GROUPS
-from regiofact.session import materialize
 
 
 @dataclass(frozen=True)
@@ -35,28 +30,10 @@ class Warehouse:
     dictionaries: Dictionaries
     areas: dict[str, DataFrame]
     catalogue: DataFrame
-    _known: dict = field(default_factory=dict, repr=False, compare=False)
 
-    def _once(self, name: str, level: str, make: Callable[[], Any]) -> Any:
-        if (name, level) not in self._known:
-            self._known[name, level] = make()
-        return self._known[name, level]
-
-    def chain(self, level: str) -> tuple[DataFrame, bool]:
-        """The areas of a level with their parents, and whether they may be broadcast."""
-
-        def make() -> tuple[DataFrame, bool]:
-            areas = materialize(hierarchy(level, self.areas))
-            return areas, fits(areas)
-
-        return self._once("chain", level, make)
-
-    def small_shapes(self, level: str) -> bool:
-        """Whether the borders of a level may be broadcast."""
-        return self._once("shapes", level, lambda: fits(self.areas[level], GEOMETRY_ROWS))
-
-    def small_catalogue(self) -> bool:
-        return self._once("catalogue", "", lambda: fits(self.catalogue))
+    def chain(self, level: str) -> DataFrame:
+        """The areas of a level with their parents."""
+        return hierarchy(level, self.areas)
 
 
 # Fixed names: the columns of an answer, in order.
@@ -101,14 +78,13 @@ def _answer(
     rows = rows.filter(F.col("geo_code") == geo_code)
     rows = where_set(rows, measure_code=measure, geo_value=geo_value, period_ref=day)
     rows = expand_groups(known_at(rows, knowledge_date), expand_all_groups, *expand)
-    areas, small = w.chain(geo_code)
-    out = join_geo(decode(rows, w.dictionaries), areas, small)
+    out = join_geo(decode(rows, w.dictionaries), w.chain(geo_code))
     columns = [*ANSWER, "knowledge_date"]
     out = out.withColumn(
         "knowledge_date", knowledge_label(knowledge_date, today or dt.date.today())
     )
     if with_indicator:
-        out = join_indicator(out, w.catalogue, w.small_catalogue())
+        out = join_indicator(out, w.catalogue)
         columns += CATALOGUE
     if with_geo:
         columns += GEO_COLUMNS[geo_code]
@@ -123,7 +99,7 @@ def _answer(
     ]
     cut = page(out, order, skip, limit)
     # borders come last: they are neither sorted nor shuffled with the facts
-    shown = add_geometry(cut, w.areas[geo_code], geo_code, shape, w.small_shapes(geo_code))
+    shown = add_geometry(cut, w.areas[geo_code], geo_code, shape)
     return shown.select(*columns, "geometry")
 
 

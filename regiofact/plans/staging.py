@@ -73,7 +73,6 @@ def stage_cube(
     grouping: Sequence[str],
     municipalities: DataFrame,
     *,
-    small: bool | None = None,
     extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Typed cube rows with key; missing municipality numbers are found by name.
@@ -93,7 +92,7 @@ def stage_cube(
         "source",
         surrogate_key(*[F.col(c) for c in key]).alias("_surr_key"),
     )
-    placed = resolve_by_name(typed, municipalities, small=small)
+    placed = resolve_by_name(typed, municipalities)
     kept = placed.filter(
         (F.col("geo_value").isNotNull() | F.col("geo_value_name").isNotNull())
         & F.col("indicator_value").isNotNull()

@@ -51,12 +51,3 @@ def materialize(df: DataFrame) -> DataFrame:
     """Compute once into the shared folder and cut the lineage."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input that comes in fewer pieces, e.g. one small file.
-
-    Inputs with enough splits are returned as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

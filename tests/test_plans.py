@@ -175,7 +175,7 @@ def test_answer_options(warehouse):
     assert len(values(expand_all_groups=True)) == 7
     assert len(values(skip=1, limit=1)) == 1
     out = get_indicator(warehouse, "polg", 7, with_geo=True, with_indicator=True, geometry_mode="border")
-    row = out.first()
+    row = out.orderBy("geo_value").first()
     assert (row.geo_name, row.bezirk_name, row.kanton_name, row.indicator_name) == ("Uno", "Ten", "K", "Seven")
     assert len(row.geometry[0][0]) == 5
 

@@ -191,7 +191,7 @@ def warehouse(spark: SparkSession, d: str) -> Warehouse:
     """The same with the areas of the three levels."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _COMPLETE:
-        _COMPLETE[key] = replace(store(spark, d), areas=_areas(spark, d), _known={})
+        _COMPLETE[key] = replace(store(spark, d), areas=_areas(spark, d))
     return _COMPLETE[key]
 
 
@@ -419,7 +419,7 @@ def decoded_with_hierarchy(spark: SparkSession, d: str) -> DataFrame:
     """All facts known on a day, with their texts and area hierarchy."""
     w = warehouse(spark, d)
     rows = known_at(w.mart.filter("geo_code = 'polg'"), "1999-01-01")
-    out = join_geo(decode(rows, w.dictionaries), *w.chain("polg"))
+    out = join_geo(decode(rows, w.dictionaries), w.chain("polg"))
     return out.select(
         "indicator_id", "geo_value", "period_ref", "group_1_value", "group_2_value", "source", "measure_code",
         "geo_name", "bezirk_bfs_id", "kanton_bfs_id",
