@@ -4,15 +4,14 @@ Texts are split into words in blocks. A block keeps its distinct words once and
 positions in that list. The words of all blocks meet by hash, where each distinct word is
 encoded once; its ids go back to the blocks that hold it, and documents are joined by position.
 Decoding looks every id up in the table of pieces, which is as large as the vocabulary.
-Neither texts nor positions are shuffled by word: what travels is each block's distinct words.
+Neither texts nor positions are shuffled: what travels is each block's distinct words.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,85 +19,95 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiofact.llm.base import picked, query, stored, table, texts_of, tokenizer
+from regiofact.llm.base import picked, query, table, texts_of, tokenizer
 from regiofact.llm.word_pieces import word_pieces
+from regiofact.session import new_path
 
-#: Characters of a block; words of one row; most groups of words.
-BLOCK, ROW, GROUPS = 16 << 20, 128, 1 << 16
+#: Characters of a block; words of one row; most groups of words; most buckets of blocks.
+BLOCK, ROW, GROUPS, BUCKETS = 16 << 20, 512, 1 << 16, 50_000
 
-BLOCKS = "block long, doc_id long, codes binary, grp int, at array<int>, words array<string>"
 
-
-def packed(codes: np.ndarray) -> bytes:
+def packed(numbers: np.ndarray) -> bytes:
     """Small numbers in few bytes: the bytes of each rank together, then deflated."""
-    planes = np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
     return zlib.compress(planes.tobytes(), 1)
 
 
 def unpacked(data: bytes) -> np.ndarray:
     planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
-def _rows(schema: str, **columns: list) -> pa.RecordBatch:
-    """A batch of the given schema; columns that are not given are null."""
-    kinds = {
-        "long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string(),
-        "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string()),
-        "array<array<int>>": pa.list_(pa.list_(pa.int32())),
-    }
+def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
     fields = [f.split() for f in schema.split(", ")]
-    size = len(next(iter(columns.values())))
-    arrays = [pa.array(columns.get(n, [None] * size), kinds[k]) for n, k in fields]
+    columns = zip(*rows, strict=True) if rows else [[]] * len(fields)
+    arrays = [pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)]
     return pa.record_batch(arrays, [n for n, _ in fields])
 
 
+#: A row is a document (doc_id, codes) or some of the block's words (grp, at, words).
+BLOCKS = "block long, doc_id long, codes binary, grp int, at binary, words binary"
+
+
 def blocks(docs: DataFrame, path: str, groups: int) -> DataFrame:
-    """Rows of documents (doc_id, codes) and rows of words (grp, at, words), both by block."""
+    """Documents as positions in their block's list of distinct words, and these lists."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = word_pieces(path).split
         first = TaskContext.get().partitionId() << 32
         for number, (ids, texts) in enumerate(texts_of(batches, BLOCK)):
-            block = first + number
-            words = [split(t) for t in texts]
-            counted = Counter()
-            for w in words:
-                counted.update(w)
-            known = {w: i for i, (w, _) in enumerate(counted.most_common())}
-            codes = [packed(np.fromiter(map(known.__getitem__, w), np.uint32, len(w))) for w in words]
-            yield _rows(BLOCKS, block=[block] * len(ids), doc_id=ids, codes=codes)
+            block, known, codes = first + number, {}, []
+            for text in texts:
+                words = split(text)
+                for w in words:
+                    known.setdefault(w, len(known))
+                codes.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
+            # frequent words get small numbers
+            counts = np.bincount(np.concatenate(codes), minlength=len(known))
+            rank = np.empty(len(known), dtype=np.int64)
+            rank[np.argsort(-counts, kind="stable")] = np.arange(len(known))
+            yield _batch(BLOCKS, [
+                (block, i, packed(rank[c]), None, None, None) for i, c in zip(ids, codes, strict=True)
+            ])
             by_group: dict[int, list[tuple[int, str]]] = {}
-            for w, i in known.items():
+            for w, i in zip(known, rank.tolist(), strict=True):
                 by_group.setdefault(zlib.crc32(w.encode()) % groups, []).append((i, w))
-            rows = ((g, p[i : i + ROW]) for g, p in by_group.items() for i in range(0, len(p), ROW))
-            while some := list(islice(rows, 512)):
-                yield _rows(
-                    BLOCKS, block=[block] * len(some), grp=[g for g, _ in some],
-                    at=[[i for i, _ in p] for _, p in some], words=[[w for _, w in p] for _, p in some],
-                )
+            rows = []
+            for group, pairs in by_group.items():
+                pairs.sort()
+                for k in range(0, len(pairs), ROW):
+                    some = pairs[k : k + ROW]
+                    steps = np.diff([i for i, _ in some], prepend=0)
+                    words = zlib.compress("\n".join([w for _, w in some]).encode(), 1)
+                    rows.append((block, None, None, group, packed(steps), words))
+            yield _batch(BLOCKS, rows)
 
     return picked(docs, doc_id="long", text="string").mapInArrow(run, BLOCKS)
 
 
-ENCODED = "block long, at array<int>, ids array<array<int>>"
+ENCODED = "block long, at binary, sizes binary, ids binary"
 
 
 def _encode_words(path: str):
+    """Ids of the words of each row; rows come by group, and a group's words are encoded once."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[int]] = {}
-        now = None
+        now, encode = None, word_pieces(path).encode
         for batch in batches:
-            rows = zip(*(batch.column(n).to_pylist() for n in ("block", "grp", "at", "words")), strict=True)
-            while some := list(islice(rows, 512)):
-                out = []
-                for block, group, at, words in some:
-                    if group != now:
-                        known, now = {}, group
-                    new = [w for w in words if w not in known]
-                    known.update(zip(new, word_pieces(path).encode(new), strict=True))
-                    out.append((block, at, [known[w] for w in words]))
-                yield _rows(ENCODED, block=[r[0] for r in out], at=[r[1] for r in out], ids=[r[2] for r in out])
+            out = []
+            columns = (batch.column(n).to_pylist() for n in ("block", "grp", "at", "words"))
+            for block, group, at, data in zip(*columns, strict=True):
+                if group != now:
+                    known, now = {}, group
+                words = zlib.decompress(data).decode().split("\n")
+                new = [w for w in words if w not in known]
+                known.update(zip(new, encode(new), strict=True))
+                found = [known[w] for w in words]
+                ids = np.array([i for f in found for i in f], dtype=np.int64)
+                out.append((block, at, packed(np.array([len(f) for f in found])), packed(ids)))
+            yield _batch(ENCODED, out)
 
     return run
 
@@ -107,35 +116,30 @@ JOINED = "doc_id long, ids array<int>, decoded string"
 
 
 def _join_back(path: str):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids and decoded texts of a block's documents, from the ids of its words."""
+
+    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
         pieces = word_pieces(path).pieces
-        now, ids, texts, fresh = None, [], [], False
-        for batch in batches:
-            names = ("block", "doc_id", "codes", "at", "ids")
-            out: tuple[list, list, list] = ([], [], [])
-            size = 0
-            for block, doc_id, codes, at, encoded in zip(*(batch.column(n) for n in names), strict=True):
-                if block.as_py() != now:
-                    now, ids, texts, fresh = block.as_py(), {}, {}, True
-                if at.is_valid:
-                    for i, word in zip(at.as_py(), encoded.as_py(), strict=True):
-                        ids[i] = word
-                        texts[i] = " ".join([pieces[k] for k in word])
-                    continue
-                if fresh:  # all words of the block came before its documents
-                    ids = [np.array(ids[i], np.int32) for i in range(len(ids))]
-                    texts = [texts[i] for i in range(len(texts))]
-                    fresh = False
-                at_words = unpacked(codes.as_py()).tolist()
-                out[0].append(doc_id.as_py())
-                out[1].append(np.concatenate([ids[i] for i in at_words]) if at_words else np.array([], np.int32))
-                out[2].append(" ".join([texts[i] for i in at_words]))
-                size += len(at_words)
-                if size > 1 << 20:
-                    yield _rows(JOINED, doc_id=out[0], ids=out[1], decoded=out[2])
-                    out, size = ([], [], []), 0
-            if out[0]:
-                yield _rows(JOINED, doc_id=out[0], ids=out[1], decoded=out[2])
+        rows = zip(*(words.column(n).to_pylist() for n in ("at", "sizes", "ids")), strict=True)
+        rows = [(np.cumsum(unpacked(a)), unpacked(s), unpacked(i)) for a, s, i in rows]
+        none = [np.zeros(0, dtype=np.int64)]
+        at, sizes, flat = (np.concatenate(none + [r[k] for r in rows]) for k in range(3))
+        start = np.zeros(len(at), dtype=np.int64)
+        size = np.zeros(len(at), dtype=np.int64)
+        start[at], size[at] = np.cumsum(sizes) - sizes, sizes
+        ids, decoded = [], []
+        for data in docs.column("codes").to_pylist():
+            codes = unpacked(data)
+            n = size[codes]
+            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            found = flat[np.repeat(start[codes], n) + inside].astype(np.int32)
+            ids.append(found)
+            decoded.append(" ".join(map(pieces.__getitem__, found.tolist())))
+        return pa.table({
+            "doc_id": docs.column("doc_id"),
+            "ids": pa.array(ids, pa.list_(pa.int32())),
+            "decoded": pa.array(decoded, pa.string()),
+        })
 
     return run
 
@@ -146,22 +150,22 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
     Encoding adds no special ids; special strings inside a text are their special id. A null
     text is empty: no ids, empty decoded text. Repeated rows return once each, a null doc_id
     stays null, other columns are not carried.
+
+    The blocks are kept as a table in buckets, in the shared folder, so that only the words'
+    ids are shuffled to them.
     """
-    groups = min(GROUPS, 4 * max(4, docs.rdd.getNumPartitions()))
-    cut = stored(blocks(docs, path, groups), "blocks")
+    spark = docs.sparkSession
+    splits = max(4, docs.rdd.getNumPartitions())
+    groups = min(GROUPS, 4 * splits)
+    buckets = min(BUCKETS, max(4 * splits, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    name = f"word_blocks_{uuid.uuid4().hex}"
+    writer = blocks(docs, path, groups).write.bucketBy(buckets, "block")
+    writer.option("path", new_path(spark, "blocks")).saveAsTable(name)
+    cut = spark.table(name)
     words = cut.filter("grp is not null").select("block", "grp", "at", "words")
     encoded = words.repartition("grp").sortWithinPartitions("grp").mapInArrow(_encode_words(path), ENCODED)
-    none = F.lit(None)
-    both = encoded.select(
-        "block", none.cast("long").alias("doc_id"), none.cast("binary").alias("codes"), "at", "ids"
-    ).unionAll(
-        cut.filter("codes is not null").select(
-            "block", "doc_id", "codes", none.cast("array<int>").alias("at"),
-            none.cast("array<array<int>>").alias("ids"),
-        )
-    )
-    by_block = both.repartition("block").sortWithinPartitions("block", F.col("codes").isNotNull())
-    return by_block.mapInArrow(_join_back(path), JOINED)
+    texts = cut.filter("codes is not null").select("block", "doc_id", "codes")
+    return texts.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(_join_back(path), JOINED)
 
 
 @query()
