@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regiofact.sources.versions import latest_version
+
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
 
 
@@ -23,24 +26,22 @@ def open_history(df: DataFrame, now: str | Column) -> DataFrame:
     )
 
 
-def scd2_apply(
-    history: DataFrame,
+def scd2_changes(
+    current: DataFrame,
     incoming: DataFrame,
     key: str,
     check_cols: Sequence[str],
     now: str,
     hard_deletes: bool = True,
 ) -> DataFrame:
-    """The history after one more load.
+    """What one more load makes of the open rows: each stays open or is closed, and new ones.
 
     A key with a changed checked column (NULL-safe) closes its open row at ``now``
     and opens a new one; a new key opens one; a key missing from the load closes
-    its row, unless ``hard_deletes`` is off. Rows that are already closed are
-    passed through and never shuffled. Keys must be unique in the load and among
+    its row, unless ``hard_deletes`` is off. Keys must be unique in the load and among
     the open rows. Applying the same load again changes nothing.
     """
-    current = current_rows(history)
-    closed = history.filter(F.col(VALID_TO).isNotNull())
+    history = current
     added = [c for c in incoming.columns if c not in history.columns]
     columns = [c for c in history.columns if c not in (VALID_FROM, VALID_TO)] + added
     types = {**{f.name: f.dataType for f in incoming.schema}, **{
@@ -85,7 +86,63 @@ def scd2_apply(
             F.array(F.when(has_old, kept), F.when(has_new & (~has_old | changed), opened))
         ).alias("_row")
     ).filter(F.col("_row").isNotNull())
-    return closed.unionByName(rows.select("_row.*"), allowMissingColumns=True)
+    return rows.select("_row.*")
+
+
+def scd2_apply(
+    history: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    check_cols: Sequence[str],
+    now: str,
+    hard_deletes: bool = True,
+) -> DataFrame:
+    """The history after one more load: closed rows as they are, open ones by ``scd2_changes``.
+
+    For one load on a history at hand. Histories that grow load by load are kept in a
+    ``HistoryTable``, whose plan does not grow with the loads.
+    """
+    closed = history.filter(F.col(VALID_TO).isNotNull())
+    changes = scd2_changes(current_rows(history), incoming, key, check_cols, now, hard_deletes)
+    return closed.unionByName(changes, allowMissingColumns=True)
+
+
+@dataclass(frozen=True)
+class HistoryTable:
+    """A written history: a load reads the open rows only, and closed rows are never rewritten.
+
+    Every load writes one version, split into the rows it left open and those it closed. The
+    history is the open rows of the newest version and the closed rows of all of them.
+    """
+
+    spark: SparkSession
+    path: str
+    key: str
+    check_cols: tuple[str, ...]
+
+    def load(self, incoming: DataFrame, now: str, hard_deletes: bool = True) -> None:
+        """Apply one load as a new version. One writer at a time."""
+        last = latest_version(self.spark, self.path)
+        if last is None:
+            rows = open_history(incoming, now)
+        else:
+            open_rows = self._versions().filter((F.col("version") == last) & (F.col("is_open") == 1))
+            rows = scd2_changes(
+                open_rows.drop("version", "is_open"), incoming, self.key, self.check_cols, now, hard_deletes
+            )
+        split = rows.withColumn("is_open", F.col(VALID_TO).isNull().cast("int"))
+        split.write.partitionBy("is_open").parquet(f"{self.path}/version={(last or 0) + 1}")
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The history as of a version, the newest by default."""
+        last = latest_version(self.spark, self.path) if version is None else version
+        kept = ((F.col("version") == last) & (F.col("is_open") == 1)) | (
+            (F.col("version") <= last) & (F.col("is_open") == 0)
+        )
+        return self._versions().filter(kept).drop("version", "is_open")
+
+    def _versions(self) -> DataFrame:
+        return self.spark.read.option("mergeSchema", "true").parquet(self.path)
 
 
 def current_rows(history: DataFrame) -> DataFrame:

@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import fields
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from regiofact.config import AtlasIndicator, CubeFamily, MeasureSpec
 from regiofact.operators.measures import expand_measures
 from regiofact.plans.indicators import build_atlas_indicators, build_cube_indicators
-from regiofact.plans.mart import Dictionaries, build_mart, extend_dictionaries
+from regiofact.plans.mart import (
+    Dictionaries,
+    build_mart,
+    extend_dictionaries,
+    new_dictionaries,
+)
 from regiofact.plans.staging import typecast
 from regiofact.schemas import INTM, INTM_MEASURED, MART
-from regiofact.sources.files import write_mart
+from regiofact.session import materialize
+from regiofact.sources.files import clear_indicators, write_mart
+from regiofact.sources.versions import read_version, write_version
 
 
 def measured(
@@ -54,9 +62,45 @@ def publish(
     known: Dictionaries,
     path: str,
     contract: Mapping[str, str] = MART,
+    indicators: Iterable[int] | None = None,
 ) -> Dictionaries:
-    """Extend the dictionaries by all parts, then write every part to the mart."""
-    facts = reduce(DataFrame.unionByName, parts)
+    """Extend the dictionaries by all parts, then write every part to the mart.
+
+    The facts are computed and written once; texts and codes are read from there. With
+    ``indicators``, those of the load's configuration, an indicator that has no rows any more
+    loses its old ones too.
+    """
+    facts = materialize(reduce(DataFrame.unionByName, parts))
     dims = extend_dictionaries(known, facts)
     write_mart(build_mart(facts, dims, contract), path)
+    if indicators is not None:
+        # as many values as indicators are configured
+        held = {r[0] for r in facts.select("indicator_id").distinct().collect()}
+        clear_indicators(facts.sparkSession, path, contract, set(indicators) - held)
+    return dims
+
+
+def save_dictionaries(dims: Dictionaries, path: str) -> None:
+    """Write the dictionaries as new versions; readers see the newest."""
+    for field in fields(dims):
+        write_version(getattr(dims, field.name), f"{path}/{field.name}")
+
+
+def saved_dictionaries(spark: SparkSession, path: str) -> Dictionaries:
+    """The newest written dictionaries, or those of an empty warehouse."""
+    found = {f.name: read_version(spark, f"{path}/{f.name}") for f in fields(Dictionaries)}
+    new = new_dictionaries(spark)
+    return Dictionaries(**{n: getattr(new, n) if df is None else df for n, df in found.items()})
+
+
+def publish_to(
+    spark: SparkSession,
+    parts: Sequence[DataFrame],
+    root: str,
+    contract: Mapping[str, str] = MART,
+    indicators: Iterable[int] | None = None,
+) -> Dictionaries:
+    """Publish into a stored warehouse: ids once given are kept over all publications."""
+    dims = publish(parts, saved_dictionaries(spark, f"{root}/dictionaries"), f"{root}/mart", contract, indicators)
+    save_dictionaries(dims, f"{root}/dictionaries")
     return dims

@@ -48,6 +48,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute once into the shared folder and cut the lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute once into a Parquet table of the shared folder and cut the lineage."""
+    path = new_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

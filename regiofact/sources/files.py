@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -111,6 +111,16 @@ def write_mart(df: DataFrame, path: str) -> None:
     )
 
 
+def clear_indicators(
+    spark: SparkSession, path: str, contract: Mapping[str, str], indicators: Iterable[int]
+) -> None:
+    """Replace the partitions of some indicators by empty ones."""
+    schema = ", ".join(f"{c} {kind}" for c, kind in contract.items() if c != "indicator_id")
+    for indicator in sorted(indicators):
+        none = spark.createDataFrame([], schema)
+        none.write.mode("overwrite").parquet(f"{path}/indicator_id={indicator}")
+
+
 def read_mart(spark: SparkSession, path: str, contract: Mapping[str, str]) -> DataFrame:
     """All partitions of the fact, typed and ordered by its contract."""
     schema = ", ".join(f"{c} {kind}" for c, kind in contract.items())

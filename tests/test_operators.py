@@ -11,7 +11,7 @@ from regiofact.operators.dictionaries import (
     group_value_seed,
 )
 from regiofact.operators.filters import known_at, where_set
-from regiofact.operators.history import open_history, scd2_apply
+from regiofact.operators.history import HistoryTable, open_history, scd2_apply
 from regiofact.operators.joins import expand_ancestors, lookup_join, resolve_by_name
 from regiofact.operators.measures import expand_measures
 from regiofact.operators.numbering import number_rows, page
@@ -318,6 +318,21 @@ def test_empty_filters_count_as_unset(spark):
     assert where_set(df, n=0, s="").count() == 2 and where_set(df, n=1).count() == 1
 
 
+def test_history_table_plan_does_not_grow(spark, rows, tmp_path):
+    table = HistoryTable(spark, str(tmp_path / "h"), "k", ("v",))
+    loads = [[("a", "1"), ("b", "1")], [("a", "2"), ("b", "1")], [("a", "2")], [("a", "2"), ("b", "9")], [("a", "3")]]
+    plans, history = [], None
+    for n, items in enumerate(loads):
+        df = spark.createDataFrame(items, "k string, v string")
+        day = f"2020-01-0{n + 1}"
+        table.load(df, day)
+        history = open_history(df, day) if history is None else scd2_apply(history, df, "k", ["v"], day)
+        plans.append(table.read()._jdf.queryExecution().optimizedPlan().toString().count("Relation"))
+    assert plans == [1] * 5
+    assert rows(table.read().select(*history.columns)) == rows(history)
+    assert table.read(1).count() == 2
+
+
 # -- dictionaries and numbering -------------------------------------------------
 
 

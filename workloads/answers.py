@@ -30,7 +30,7 @@ from regiofact.plans.queries import (
     topic_edges,
 )
 from regiofact.plans.staging import typecast
-from regiofact.plans.warehouse import measured, publish
+from regiofact.plans.warehouse import measured, publish, publish_to, saved_dictionaries
 from regiofact.schemas import INTM_MEASURED, MART, widened
 from regiofact.session import materialize, new_path
 from regiofact.sources.files import read_mart
@@ -424,3 +424,35 @@ def decoded_with_hierarchy(spark: SparkSession, d: str) -> DataFrame:
         "indicator_id", "geo_value", "period_ref", "group_1_value", "group_2_value", "source", "measure_code",
         "geo_name", "bezirk_bfs_id", "kanton_bfs_id",
     )
+
+
+# ---------------------------------------------------------------------------
+# A warehouse that is published twice from storage.
+def _twice(spark: SparkSession, d: str, first: str, second: str, indicators=None) -> str:
+    root = new_path(spark, "warehouse")
+    facts = measured(sales(spark, d), people(spark, d), None, WIDE_FACT)
+    publish_to(spark, [facts.filter(first)], root, WIDE_MART)
+    publish_to(spark, [facts.filter(second)], root, WIDE_MART, indicators)
+    return root
+
+
+@entry(
+    f"""WITH {SALES}, texts AS (
+        SELECT source AS text, min(CASE WHEN indicator_id >= 103 THEN 1 ELSE 2 END) AS load FROM sales GROUP BY source
+    ) SELECT row_number() OVER (ORDER BY load, text) AS id, text AS source FROM texts"""
+)
+def dictionary_published_twice(spark: SparkSession, d: str) -> DataFrame:
+    """Sources keep their ids when a second publication brings earlier ones in the alphabet."""
+    root = _twice(spark, d, "indicator_id >= 103", "true")
+    return saved_dictionaries(spark, f"{root}/dictionaries").source
+
+
+@entry(
+    f"""WITH {SALES} SELECT CAST(indicator_id AS BIGINT) AS indicator_id, count(*) AS n FROM sales
+        WHERE indicator_id <> 103 GROUP BY 1"""
+)
+def emptied_indicator(spark: SparkSession, d: str) -> DataFrame:
+    """An indicator without rows in the second publication has none in the mart."""
+    root = _twice(spark, d, "true", "indicator_id <> 103", range(101, 106))
+    mart = read_mart(spark, f"{root}/mart", WIDE_MART)
+    return mart.groupBy("indicator_id").agg(F.count("*").alias("n"))

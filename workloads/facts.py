@@ -24,6 +24,7 @@ from regiofact.operators.dictionaries import (
     group_value_seed,
 )
 from regiofact.operators.history import (
+    HistoryTable,
     VALID_FROM,
     VALID_TO,
     close_at_start_of,
@@ -45,7 +46,7 @@ from regiofact.plans.indicators import (
 )
 from regiofact.plans.staging import stage_tax_legal, stage_tax_natural, typecast
 from regiofact.schemas import INTM, widened
-from regiofact.session import materialize
+from regiofact.session import materialize, new_path
 from workloads.base import (
     LINES,
     PEOPLE,
@@ -418,7 +419,7 @@ def tax_natural(spark: SparkSession, d: str) -> DataFrame:
 # History: the open order book on three days. An order enters when placed, changes as
 # its lines ship and leaves when it is finished and all shipped.
 
-DAYS = ("1999-06-30", "2000-06-30", "2001-06-30")
+DAYS = ("1999-06-30", "2000-06-30", "2001-06-30", "2001-12-31", "2002-06-30")
 
 
 def _book_sql(n: int) -> str:
@@ -486,6 +487,20 @@ def history_three_loads(spark: SparkSession, d: str) -> DataFrame:
     return _history(spark, d, 3)
 
 
+@entry(
+    f"WITH {LINES}, {', '.join(_book_sql(n) for n in range(5))}, {_FIRST}, "
+    + ", ".join(_next_sql(f"h{n - 1}", f"b{n}", DAYS[n], f"h{n}") for n in range(1, 5))
+    + " "
+    + _shown("h4")
+)
+def history_five_loads(spark: SparkSession, d: str) -> DataFrame:
+    """The order book over five loads, each written as a version of one table."""
+    history = HistoryTable(spark, new_path(spark, "history"), "k", ("shipped", "amount"))
+    for n, day in enumerate(DAYS):
+        history.load(_book(spark, d, n), day)
+    return history.read()
+
+
 @entry(
     f"WITH {LINES}, {_book_sql(0)}, {_book_sql(1)}, {_FIRST}, {_next_sql('h0', 'b1', DAYS[1], 'h1', False)} {_shown('h1')}"
 )
