@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from regiofact.llm.base import picked, query, table, texts_of
 
-#: Runs of letters and marks; anything else divides words.
-WORD = regex.compile(r"[\p{L}\p{M}]+")
+#: A letter, then letters and marks; anything else divides words.
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 UNKNOWN = "und"
 FEWEST, MOST = 2, 4
 #: Words a worker remembers before it starts anew.
