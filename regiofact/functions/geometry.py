@@ -11,7 +11,7 @@ import struct
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -275,8 +275,41 @@ def to_wkb(geom: Column) -> Column:
     return _multipolygon_bytes(rings)
 
 
-@F.pandas_udf(T.BinaryType())
-def _multipolygon_bytes(shapes: pd.Series) -> pd.Series:
+def from_wkb(data: Column) -> Column:
+    """Multipolygon of little-endian WKB as written by ``to_wkb``."""
+    return F.transform(
+        _multipolygon_rings(data),
+        lambda polygon: F.transform(
+            polygon,
+            lambda ring: F.transform(
+                F.sequence(F.lit(0), F.size(ring) - 2, F.lit(2)),
+                lambda i: F.struct(F.get(ring, i).alias("x"), F.get(ring, i + 1).alias("y")),
+            ),
+        ),
+    ).cast(GEOMETRY_TYPE)
+
+
+@F.arrow_udf(T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))
+def _multipolygon_rings(shapes: pa.Array) -> pa.Array:
+    def decode(data) -> list | None:
+        if data is None:
+            return None
+        n_polygons, at, out = struct.unpack_from("<I", data, 5)[0], 9, []
+        for _ in range(n_polygons):
+            n_rings, at, rings = struct.unpack_from("<I", data, at + 5)[0], at + 9, []
+            for _ in range(n_rings):
+                n = struct.unpack_from("<I", data, at)[0]
+                rings.append(np.frombuffer(data, "<f8", 2 * n, at + 4).tolist())
+                at += 4 + 16 * n
+            out.append(rings)
+        return out
+
+    rings = pa.list_(pa.list_(pa.list_(pa.float64())))
+    return pa.array([decode(s) for s in shapes.to_pylist()], rings)
+
+
+@F.arrow_udf(T.BinaryType())
+def _multipolygon_bytes(shapes: pa.Array) -> pa.Array:
     def encode(polygons) -> bytes | None:
         if polygons is None:
             return None
@@ -289,4 +322,4 @@ def _multipolygon_bytes(shapes: pd.Series) -> pd.Series:
                 out.append(flat.tobytes())
         return b"".join(out)
 
-    return shapes.map(encode)
+    return pa.array([encode(s) for s in shapes.to_pylist()], pa.binary())

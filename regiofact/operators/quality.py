@@ -52,6 +52,34 @@ def check_between(df: DataFrame, column: str, low: float, high: float) -> DataFr
     return df.agg(F.count_if((c < low) | (c > high)).alias("n_outside")).filter("n_outside > 0")
 
 
+def check_figures(
+    df: DataFrame,
+    rows: tuple[int, int | None] | None = None,
+    between: Mapping[str, tuple[float, float]] = {},
+    not_null: Sequence[str] = (),
+) -> DataFrame:
+    """(rule, column, n_records) of broken row counts, ranges and nulls, in one pass.
+
+    For the row count, n_records is the count; for the others, the rows that break the rule.
+    """
+    low, high = rows or (0, None)
+    n = F.count(F.lit(1))
+    inside = (n >= low) if high is None else (n >= low) & (n <= high)
+    figures = {("rows", ""): (n, ~inside)} if rows is not None else {}
+    for c, (least, most) in between.items():
+        out = F.count_if((F.col(c) < least) | (F.col(c) > most))
+        figures["between", c] = (out, out > 0)
+    for c in not_null:
+        nulls = F.count_if(F.col(c).isNull())
+        figures["not_null", c] = (nulls, nulls > 0)
+    found = [
+        F.struct(F.lit(rule).alias("rule"), F.lit(c).alias("column"), value.alias("n_records"), broken.alias("broken"))
+        for (rule, c), (value, broken) in figures.items()
+    ]
+    one = df.agg(F.array(*found).alias("f")).select(F.explode("f").alias("f")).select("f.*")
+    return one.filter("broken").drop("broken")
+
+
 def check_contract(
     df: DataFrame, not_null: Sequence[str], unique: Sequence[str], types: Mapping[str, str] = {}
 ) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -141,7 +140,8 @@ def read_features(
     """GeoJSON features as one table.
 
     ``properties`` is the DDL of the feature properties; names become lower case.
-    Several files are united by name, each with its own ``duedate`` if given. A line
+    All paths, files or folders of files, are one scan; with ``duedates`` each row has the
+    one of its path. A line
     is a feature or a feature collection; files with one feature per line can be
     split. ``multi_line`` reads documents that are broken over several lines.
     """
@@ -149,28 +149,38 @@ def read_features(
     feature = f"struct<properties: struct<{properties}>, geometry: {shape}>"
     schema = f"features array<{feature}>, properties struct<{properties}>, geometry {shape}"
 
-    def one(path: str) -> DataFrame:
-        raw = spark.read.schema(schema).json(path, multiLine=multi_line)
-        single = F.array(F.struct("properties", "geometry"))
-        each = raw.select(F.explode(F.coalesce("features", single)).alias("f"))
-        border = F.transform(
-            F.col("f.geometry.coordinates"),
-            lambda polygon: F.transform(
-                polygon,
-                lambda ring: F.transform(
-                    ring, lambda v: F.struct(v[0].alias("x"), v[1].alias("y"))
-                ),
-            ),
-        )
-        return lower_names(each.select("f.properties.*", border.cast(GEOMETRY_TYPE).alias("geometry")))
-
-    parts = [one(p) for p in paths]
-    if duedates is not None:
-        parts = [
-            df.withColumn("duedate", F.lit(day).cast("timestamp_ntz"))
-            for df, day in zip(parts, duedates, strict=True)
-        ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    raw = spark.read.schema(schema).json(list(paths), multiLine=multi_line)
+    single = F.array(F.struct("properties", "geometry"))
+    found = F.explode(F.coalesce("features", single)).alias("f")
+    each = raw.select(found, _path_only(F.col("_metadata.file_path")).alias("_file"))
+    border = F.transform(
+        F.col("f.geometry.coordinates"),
+        lambda polygon: F.transform(
+            polygon,
+            lambda ring: F.transform(ring, lambda v: F.struct(v[0].alias("x"), v[1].alias("y"))),
+        ),
+    )
+    rows = lower_names(
+        each.select("f.properties.*", border.cast(GEOMETRY_TYPE).alias("geometry"), "_file")
+    )
+    if duedates is None:
+        return rows.drop("_file")
+    pairs = spark.createDataFrame(list(zip(paths, duedates, strict=True)), "path string, day string")
+    days = pairs.select(
+        F.regexp_replace(_path_only(F.col("path")), "/$", "").alias("_file"),
+        F.col("day").cast("timestamp_ntz").alias("duedate"),
+    )
+    folders = days.toDF("_folder", "_of_folder")
+    placed = rows.withColumn("_folder", F.regexp_replace("_file", "/[^/]*$", ""))
+    dated = placed.join(days, "_file", "left").join(folders, "_folder", "left")
+    due = F.coalesce("duedate", "_of_folder").alias("duedate")
+    return dated.select(*[c for c in rows.columns if c != "_file"], due)
+
+
+def _path_only(path: Column) -> Column:
+    """A path without scheme and host, as written."""
+    bare = F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return F.try_url_decode(F.replace(bare, F.lit("+"), F.lit("%2B")))
 
 
 # Fixed names: the date columns a GeoJSON result carries as text.

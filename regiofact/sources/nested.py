@@ -30,22 +30,29 @@ def explode_cube(
     dims: str = "dims",
     values: str = "values",
     value_name: str = "indicator_value",
+    offset: str | None = None,
 ) -> DataFrame:
     """Dense cubes to one row per cell.
 
+    A large cube may come in several rows, each with a part of the values: ``offset`` names
+    the column that holds the position of the first of them.
+
     A cube row has ``dims``, the member texts of each dimension, and ``values``, one
     per cell with the last dimension running fastest. A position is split into its
     member numbers by division, so no member lists are multiplied out.
     """
-    others = [c for c in cubes.columns if c not in (dims, values)]
-    cells = cubes.select(*others, dims, F.posexplode(values).alias("_pos", value_name))
-    place = F.col("_pos")
+    others = [c for c in cubes.columns if c not in (dims, values, offset)]
+    first = F.lit(0) if offset is None else F.col(offset)
+    cells = cubes.select(
+        *others, dims, first.cast("bigint").alias("_first"), F.posexplode(values).alias("_pos", value_name)
+    )
+    place = F.col("_first") + F.col("_pos")
     out: list[Column] = []
     for i in reversed(range(len(names))):
         members = F.get(F.col(dims), F.lit(i))
         size = F.size(members)
-        out.insert(0, F.get(members, place % size).alias(names[i]))
-        place = F.floor(place / size).cast("int")
+        out.insert(0, F.get(members, (place % size).cast("int")).alias(names[i]))
+        place = F.floor(place / size).cast("bigint")
     return cells.select(*others, *out, value_name)
 
 

@@ -77,6 +77,27 @@ def test_feature_collection_over_several_lines(spark, tmp_path):
     assert got[1][0][0][1] == (3.0, 4.0) and got[2] is None
 
 
+def test_many_feature_files_are_one_scan(spark, tmp_path):
+    paths, days = [], []
+    for i in range(40):
+        path = tmp_path / f"part {i}+.json"
+        path.write_text('{"properties": {"GDENR": %d}, "geometry": null}' % i)
+        paths.append(str(path))
+        days.append(f"20{i + 10}-03-31")
+    df = files.read_features(spark, paths, "GDENR: int", days)
+    assert {r.gdenr: r.duedate.year for r in df.collect()} == {i: 2010 + i for i in range(40)}
+    assert df._jdf.queryExecution().optimizedPlan().toString().count(" json") == 1
+
+
+def test_wkb_round_trip(spark):
+    from regiofact.functions.geometry import GEOMETRY_TYPE, from_wkb, to_wkb
+
+    shapes = [[[[(0.1, 2.5), (1e7, -3.25), (0.1, 2.5)], [(5.0, 6.0)]], [[(7.0, 8.0), (9.0, 1 / 3)]]], [], None]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(shapes)], f"i int, g {GEOMETRY_TYPE}")
+    for r in df.select("g", from_wkb(to_wkb(F.col("g"))).alias("back")).collect():
+        assert r.g == r.back
+
+
 def test_export_formats(spark, tmp_path):
     import json
 

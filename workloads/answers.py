@@ -306,19 +306,20 @@ _CORNER_LON, _CORNER_LAT = to_wgs84_sql("v.x", "v.y")
 
 
 @entry(
-    f"""WITH {_FACT}, shape AS (SELECT c_custkey AS geo_value, {cell_sql('c_custkey')}[1] AS v FROM customer)
-    SELECT CAST(f.geo_value AS BIGINT) AS geo_value, y || '-12-31' AS period_ref, measure_code, CAST(17 AS BIGINT) AS n_vertices,
-           round({_CORNER_LON}, 4) AS lon, round({_CORNER_LAT}, 4) AS lat
+    f"""WITH {_FACT}, shape AS (SELECT c_custkey AS geo_value, unnest({cell_sql('c_custkey')}) AS v, unnest(range(1, 18)) AS i FROM customer)
+    SELECT CAST(f.geo_value AS BIGINT) AS geo_value, y || '-12-31' AS period_ref, measure_code, i,
+           round(1000 * {_CORNER_LON}, 4) AS lon, round(1000 * {_CORNER_LAT}, 4) AS lat
     FROM full_fact f JOIN shape ON shape.geo_value = f.geo_value
     WHERE f.indicator_id = 105 AND f.geo_code = 'polg' AND {_OPEN} AND {_TOTAL_1} AND {_TOTAL_2}"""
 )
 def indicator_borders(spark: SparkSession, d: str) -> DataFrame:
     """One indicator with the full borders of its areas."""
     out = get_indicator(warehouse(spark, d), "polg", 105, geometry_mode="border", today=TODAY)
-    v = F.flatten(F.flatten("geometry"))
-    return out.select(
-        "geo_value", "period_ref", "measure_code", F.size(v).alias("n_vertices"),
-        v[0]["x"].alias("lon"), v[0]["y"].alias("lat"),
+    v = F.posexplode(F.flatten(F.flatten("geometry"))).alias("i", "v")
+    each = out.select("geo_value", "period_ref", "measure_code", v)
+    return each.select(
+        "geo_value", "period_ref", "measure_code", (F.col("i") + 1).alias("i"),
+        (1000 * F.col("v.x")).alias("lon"), (1000 * F.col("v.y")).alias("lat"),
     )
 
 

@@ -8,11 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiofact.operators.quality import (
-    check_between,
     check_columns,
     check_contract,
+    check_figures,
     check_min_rows,
-    check_row_count,
     check_unique,
 )
 from workloads.base import LINES, SALES, entry, lines, sales, table
@@ -55,10 +54,9 @@ def quality_report(spark: SparkSession, d: str) -> DataFrame:
         check_columns(facts, ["indicator_id", "y", "geo_value", "v", "kto"]).select(
             F.lit("columns").alias("check_name"), F.lower("actual").alias("detail"), F.lit(1).alias("n")
         ),
-        check_row_count(facts, 1, 2000).select(F.lit("rows"), F.lit("sales"), count),
-        check_between(facts, "v", 0, 50000).select(F.lit("between"), F.lit("v"), "n_outside"),
-        check_contract(facts, ["indicator_id", "kto"], ["geo_value"], {"geo_value": "bigint"}).select(
-            "rule", "column", count
+        check_figures(facts, (1, 2000), {"v": (0, 50000)}, ["indicator_id", "kto"]).select(
+            "rule", F.when(F.col("rule") == "rows", "sales").otherwise(F.col("column")), count
         ),
+        check_contract(facts, [], ["geo_value"], {"geo_value": "bigint"}).select("rule", "column", count),
     ]
     return reduce(DataFrame.union, parts)

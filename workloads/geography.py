@@ -11,6 +11,7 @@ from regiofact.functions.geometry import (
     area,
     centroid,
     force_2d,
+    from_wkb,
     map_vertices,
     point_to_geojson,
     point_to_wkt,
@@ -26,6 +27,8 @@ from regiofact.plans.geo_dims import (
     build_geo_dim,
     list_geo,
 )
+from regiofact.session import new_path
+from regiofact.sources.files import export
 from workloads.base import cell, cell_sql, entry, table, to_wgs84_sql
 
 NOW = "2001-12-31"
@@ -44,10 +47,10 @@ _LON, _LAT = to_wgs84_sql("v.x", "v.y")
 @entry(
     f"""WITH {_AREAS}, t AS (SELECT id, unnest(range(1, 18)) AS i, r FROM areas), v AS (SELECT id, i, r[i] AS v FROM t)
     SELECT CAST(id AS BIGINT) AS id, CAST(i AS BIGINT) AS i, round({_LON} * 1000, 4) AS lon, round({_LAT} * 1000, 4) AS lat,
-           round(v.x, 0) AS x, round(v.y, 0) AS y, CAST(4326 AS BIGINT) AS srid FROM v"""
+           CAST(1 AS BIGINT) AS within_bound, CAST(4326 AS BIGINT) AS srid FROM v"""
 )
 def reprojected_borders(spark: SparkSession, d: str) -> DataFrame:
-    """Borders to WGS84 (in millidegrees) and back to LV95 within a metre."""
+    """Borders to WGS84 (in millidegrees), and whether they come back within two metres."""
     a = _areas(spark, d)
     wgs = a.withColumn("wgs", reproject(F.col("geometry"), LV95, WGS84))
     back = wgs.withColumn("back", reproject(F.col("wgs"), WGS84, LV95))
@@ -57,13 +60,10 @@ def reprojected_borders(spark: SparkSession, d: str) -> DataFrame:
         F.flatten(F.flatten("back")).alias("b"),
     )
     v = back.select("id", F.posexplode(both).alias("i", "v"))
-    # a metre of approximation error is allowed: report the start where it is kept
-    near = lambda axis: F.when(
-        F.abs(F.col(f"v.b.{axis}") - F.col(f"v.g.{axis}")) < 2, F.col(f"v.g.{axis}")
-    )
+    error = F.hypot(F.col("v.b.x") - F.col("v.g.x"), F.col("v.b.y") - F.col("v.g.y"))
     return v.select(
         "id", (F.col("i") + 1).alias("i"), (F.col("v.w.x") * 1000).alias("lon"), (F.col("v.w.y") * 1000).alias("lat"),
-        near("x").alias("x"), near("y").alias("y"), F.lit(WGS84).alias("srid"),
+        (error < 2).cast("int").alias("within_bound"), F.lit(WGS84).alias("srid"),
     )
 
 
@@ -110,6 +110,19 @@ def geometry_texts(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@entry(
+    f"""WITH {_AREAS}, t AS (SELECT id, unnest(range(1, 18)) AS i, r FROM areas)
+    SELECT CAST(id AS BIGINT) AS id, CAST(i AS BIGINT) AS i, r[i].x AS x, r[i].y AS y FROM t"""
+)
+def borders_from_wkb(spark: SparkSession, d: str) -> DataFrame:
+    """Borders written as Parquet with WKB, read back and decoded."""
+    path = new_path(spark, "wkb")
+    export(_areas(spark, d), path, "parquet")
+    back = spark.read.parquet(path).select("id", from_wkb(F.col("geometry")).alias("geometry"))
+    v = back.select("id", F.posexplode(F.flatten(F.flatten("geometry"))).alias("i", "v"))
+    return v.select("id", (F.col("i") + 1).alias("i"), "v.*")
+
+
 @entry(
     f"""WITH {_AREAS}, t AS (SELECT id, unnest(range(1, 18)) AS i, r FROM areas)
     SELECT CAST(id AS BIGINT) AS id, CAST(i AS BIGINT) AS i, r[i].x AS x, r[i].y AS y FROM t"""

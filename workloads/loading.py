@@ -87,18 +87,17 @@ def map_files(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@entry("SELECT page_id, url, CAST(length(html) AS BIGINT) AS n_chars FROM pages")
+@entry("SELECT page_id, url, html FROM pages")
 def extract_archive(spark: SparkSession, d: str) -> DataFrame:
     """An archived extract read back by its key."""
     folder = new_path(spark, "archive")
-    pages = table(spark, d, "pages").select("page_id", "url", F.length("html").alias("n_chars"))
+    pages = table(spark, d, "pages").select("page_id", "url", "html")
     stamp = "2025-01-23T02:05:00"
     write_extract(pages, folder, "pages", stamp)
     return read_extract(spark, folder, "pages", stamp)
 
 
-@entry(
-    f"""WITH {LINES}
+_CUBE_SQL = f"""WITH {LINES}
     SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
            dims.place AS place, dims.kind AS kind, dims.measure AS measure,
            CASE dims.measure WHEN 'quantity' THEN CAST(q * dims.f AS VARCHAR)
@@ -109,15 +108,16 @@ def extract_archive(spark: SparkSession, d: str) -> DataFrame:
         FROM (VALUES (l_returnflag, 1), (l_linestatus, 10)) p(place, f),
              (VALUES ('gross', 1), ('net', 2)) k(kind, f),
              (VALUES ('quantity'), ('discount'), ('tax')) m(measure)) dims"""
-)
-def cube_cells(spark: SparkSession, d: str) -> DataFrame:
-    """Dense three-dimensional cubes, one per order line, as one row per cell."""
+
+
+def _cubes(spark: SparkSession, d: str) -> DataFrame:
+    """Dense three-dimensional cubes, one per order line."""
     cells = [
         (F.col(m) * f).cast("string")
         for f in (1, 2, 10, 20)
         for m in ("q", "disc", "tax")
     ]
-    cubes = lines(spark, d).select(
+    return lines(spark, d).select(
         "o_orderkey",
         "l_linenumber",
         F.array(
@@ -127,7 +127,21 @@ def cube_cells(spark: SparkSession, d: str) -> DataFrame:
         ).alias("dims"),
         F.array(*cells).alias("values"),
     )
-    return explode_cube(cubes, ["place", "kind", "measure"])
+
+
+@entry(_CUBE_SQL)
+def cube_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Dense three-dimensional cubes, one per order line, as one row per cell."""
+    return explode_cube(_cubes(spark, d), ["place", "kind", "measure"])
+
+
+@entry(_CUBE_SQL)
+def cube_cells_of_parts(spark: SparkSession, d: str) -> DataFrame:
+    """The same cubes when each comes in rows of at most five values."""
+    starts = F.explode(F.sequence(F.lit(0), F.size("values") - 1, F.lit(5)))
+    parts = _cubes(spark, d).withColumn("start", starts)
+    parts = parts.withColumn("values", F.slice("values", F.col("start") + 1, F.lit(5)))
+    return explode_cube(parts, ["place", "kind", "measure"], offset="start")
 
 
 _RESPONSE_SQL = f"""WITH {LINES}, r AS (
@@ -212,8 +226,8 @@ def catalogue_views(spark: SparkSession, d: str) -> DataFrame:
 @entry(
     f"""SELECT CAST(c_custkey AS BIGINT) AS gem_no, c_name AS name, CAST(c_acctbal AS DOUBLE) AS zwg_3150,
        CASE WHEN c_acctbal < 0 THEN '2024-03-31 00:00:00' ELSE '2025-03-31 00:00:00' END AS duedate,
-       CAST(17 AS BIGINT) AS n_vertices, r[3].x AS x, r[3].y AS y
-       FROM (SELECT *, {cell_sql('c_custkey')} AS r FROM customer)"""
+       i, r[i].x AS x, r[i].y AS y
+       FROM (SELECT *, {cell_sql('c_custkey')} AS r FROM customer), range(1, 18) t(i)"""
 )
 def feature_files(spark: SparkSession, d: str) -> DataFrame:
     """Two feature files with their due dates as one table."""
@@ -230,11 +244,10 @@ def feature_files(spark: SparkSession, d: str) -> DataFrame:
         spark, paths, "GEM_NO: bigint, Name: string, ZWG_3150: double",
         ["2024-03-31", "2025-03-31"],
     )
-    vertices = F.flatten(F.flatten("geometry"))
-    return both.select(
-        "gem_no", "name", "zwg_3150", "duedate",
-        F.size(vertices).alias("n_vertices"),
-        vertices[2]["x"].alias("x"), vertices[2]["y"].alias("y"),
+    vertices = F.posexplode(F.flatten(F.flatten("geometry"))).alias("i", "v")
+    each = both.select("gem_no", "name", "zwg_3150", "duedate", vertices)
+    return each.select(
+        "gem_no", "name", "zwg_3150", "duedate", (F.col("i") + 1).alias("i"), "v.x", "v.y"
     )
 
 
