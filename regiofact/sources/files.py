@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiofact.functions.geometry import GEOMETRY_TYPE, to_geojson, to_wkb, to_wkt
+from regiofact.operators.numbering import number_rows
 
 SEED_INDICATOR = (
     "indicator_id int, indicator_name string, topic_1 string, topic_2 string, topic_3 string,"
@@ -205,14 +206,30 @@ def as_features(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     )
 
 
+def as_collection(df: DataFrame, geometry: str = "geometry") -> DataFrame:
+    """The lines of one FeatureCollection document, in order.
+
+    Written as text, the part files one after the other are the document, so any number of
+    tasks can write it.
+    """
+    numbered = number_rows(as_features(df, geometry), [F.col("value")], "_n")
+    comma = F.when(F.col("_n") > 1, ",").otherwise("")
+    body = numbered.select("_n", F.concat(comma, "value").alias("value"))
+    ends = [(0, '{"type":"FeatureCollection","features":['), (1 << 62, "]}")]
+    around = df.sparkSession.createDataFrame(ends, "_n bigint, value string")
+    return body.unionByName(around).orderBy("_n").select("value")
+
+
 def _with_geometry(df: DataFrame, encode, geometry: str) -> DataFrame:
     return df.withColumn(geometry, encode(F.col(geometry))) if geometry in df.columns else df
 
 
 def export(df: DataFrame, path: str, fmt: str, geometry: str = "geometry") -> None:
-    """Write a result: ``parquet`` (WKB), ``csv`` (WKT), ``json`` records or ``geojson``.
+    """Write a result: ``parquet`` (WKB), ``csv`` (WKT), ``json`` records, ``geojson`` or
+    ``featurecollection``.
 
-    GeoJSON is written as one feature per line, so any number of tasks can write it.
+    GeoJSON is written as one feature per line, or as the parts of one collection, so any
+    number of tasks can write it.
     """
     if fmt == "parquet":
         _with_geometry(df, to_wkb, geometry).write.mode("errorifexists").parquet(path)
@@ -227,14 +244,24 @@ def export(df: DataFrame, path: str, fmt: str, geometry: str = "geometry") -> No
         out.write.mode("errorifexists").option("ignoreNullFields", "false").json(path)
     elif fmt == "geojson":
         as_features(df, geometry).write.mode("errorifexists").text(path)
+    elif fmt == "featurecollection":
+        as_collection(df, geometry).write.mode("errorifexists").text(path)
     else:
         raise ValueError(f"unknown format: {fmt}")
 
 
-def load_profile(df: DataFrame, distinct: Mapping[str, Column | str]) -> DataFrame:
-    """Row count, column count and distinct counts of a load, one row."""
+def load_profile(
+    df: DataFrame, distinct: Mapping[str, Column | str], before: int | None = None
+) -> DataFrame:
+    """Row count, column count and distinct counts of a load, one row.
+
+    With the row count of the load ``before``, also the ratio of the two.
+    """
+    n = F.count(F.lit(1))
+    ratio = [] if before is None else [F.try_divide(n, F.lit(before)).alias("size_ratio")]
     return df.agg(
-        F.count(F.lit(1)).alias("num_records"),
+        n.alias("num_records"),
+        *ratio,
         F.lit(len(df.columns)).alias("num_cols"),
         *[F.count_distinct(F.col(c) if isinstance(c, str) else c).alias(name)
           for name, c in distinct.items()],

@@ -118,6 +118,25 @@ def test_export_formats(spark, tmp_path):
         files.export(df, str(tmp_path / "x"), "xlsx")
 
 
+@pytest.mark.parametrize("n", [0, 1, 50])
+def test_feature_collection_is_one_document(spark, tmp_path, n):
+    import json
+
+    shape = [[[(0.0, 0.0), (1.0, 0.0), (1.0, 1.5), (0.0, 0.0)]]]
+    df = spark.createDataFrame([(i, shape) for i in range(n)], f"id int, geometry {files.GEOMETRY_TYPE}").repartition(5)
+    files.export(df, str(tmp_path / "fc"), "featurecollection")
+    parts = sorted(p for p in (tmp_path / "fc").iterdir() if p.name.startswith("part-"))
+    document = json.loads("".join(p.read_text() for p in parts))
+    assert document["type"] == "FeatureCollection" and len(document["features"]) == n
+    assert {f["properties"]["id"] for f in document["features"]} == set(range(n))
+
+
+def test_profile_with_ratio(spark):
+    row = files.load_profile(spark.range(6), {"n": "id"}, before=4).first()
+    assert (row.num_records, float(row.size_ratio), row.n) == (6, 1.5, 6)
+    assert files.load_profile(spark.range(6), {}, before=0).first().size_ratio is None
+
+
 def test_cube_positions(spark):
     dims = [["a", "b"], ["x", "y", "z"], ["m", "f"]]
     values = [f"{i}{j}{k}" for i in dims[0] for j in dims[1] for k in dims[2]]
