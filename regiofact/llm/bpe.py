@@ -93,7 +93,7 @@ def _encode_words(path: str):
     """Ids of the words of each row; rows come by group, and a group's words are encoded once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[int]] = {}
+        known: dict[str, np.ndarray] = {}
         now, encode = None, word_pieces(path).encode
         for batch in batches:
             out = []
@@ -103,10 +103,11 @@ def _encode_words(path: str):
                     known, now = {}, group
                 words = zlib.decompress(data).decode().split("\n")
                 new = [w for w in words if w not in known]
-                known.update(zip(new, encode(new), strict=True))
+                ids, sizes = encode(new)
+                known.update(zip(new, np.split(ids, np.cumsum(sizes)[:-1]), strict=True) if new else ())
                 found = [known[w] for w in words]
-                ids = np.array([i for f in found for i in f], dtype=np.int64)
-                out.append((block, at, packed(np.array([len(f) for f in found])), packed(ids)))
+                sizes = np.array([len(f) for f in found])
+                out.append((block, at, packed(sizes), packed(np.concatenate(found))))
             yield _batch(ENCODED, out)
 
     return run

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,27 +30,33 @@ K1, B = 1.2, 0.75
 QUERY_TERMS = 24
 
 
-class Ids(dict):
-    """Ids of words; a missing word is encoded when it is first asked for."""
+class Ids:
+    """Ids of texts, with a worker's memory of tokens."""
 
     def __init__(self, path: str):
-        super().__init__()
         self.pieces = word_pieces(path)
-
-    def __missing__(self, word: str) -> list[int]:
-        ids = self[word] = self.pieces.encode([word])[0]
-        return ids
+        self.known: dict[str, bytes] = {}
 
     def of(self, text: str, end: int) -> np.ndarray:
         """The ids of a text and the id that ends every document."""
-        if len(self) > MEMORY:
-            self.clear()
-        words = self.pieces.split(text)
-        new = list({w for w in words if w not in self})
-        self.update(zip(new, self.pieces.encode(new), strict=True))
-        out = [i for w in words for i in self[w]]
-        out.append(end)
-        return np.array(out, dtype="<u4")
+        if len(self.known) > MEMORY:
+            self.known.clear()
+        tokens = self.pieces.tokens(text)
+        new = list(set(tokens).difference(self.known))
+        ids, sizes = self.pieces.encode_tokens(new)
+        data, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+        start = 0
+        for token, stop in zip(new, ends, strict=True):
+            self.known[token] = data[start:stop]
+            start = stop
+        joined = b"".join(map(self.known.__getitem__, tokens))
+        return np.frombuffer(joined + end.to_bytes(4, "little"), dtype="<u4")
+
+
+@lru_cache(maxsize=1)
+def ids_of(path: str) -> Ids:
+    """The worker's memory for a vocabulary file; it outlives a task."""
+    return Ids(path)
 
 
 class Index:
@@ -137,7 +144,7 @@ def _shards(path: str, window: int, end: int):
     names = [f.split()[0] for f in PIECES.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Ids(path)
+        known = ids_of(path)
         sequences = TaskContext.get().partitionId() << 36
         for ids, texts in texts_of(batches, SHARD):
             docs = [known.of(t, end) for t in texts]

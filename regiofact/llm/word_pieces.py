@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+import numpy as np
 import regex
 
 #: Fixed value: the split pattern of the vocabulary, on lower-case text.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Characters outside of these are normalised and split by the library, whose tables decide.
 UNUSUAL = regex.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-įı-ň‐-‧]")
-#: Words a worker remembers before it starts anew.
-MEMORY = 500_000
+#: Tokens a worker remembers before it starts anew.
+MEMORY = 1_000_000
 
 
 class WordPieces:
@@ -39,15 +40,48 @@ class WordPieces:
         parts = self.special.split(text) if self.special is not None else [text]
         return [w for p in parts for w in ([p] if p in self.special_ids else self._slow(p))]
 
+    def tokens(self, text: str) -> list[str]:
+        """What white space divides, lower case: no word reaches over it. Other texts as words."""
+        if UNUSUAL.search(text) is None and "<|" not in text:
+            return text.lower().split()
+        return self.split(text)
+
     def _slow(self, text: str) -> list[str]:
         clean = self.full.normalizer.normalize_str(text) if self.full.normalizer else text
         return [clean[a:b] for _, (a, b) in self.full.pre_tokenizer.pre_tokenize_str(clean)]
 
-    def encode(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word, encoded on its own."""
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in a row, how many ids each word has), each word on its own."""
         rest = [w for w in words if w not in self.special_ids]
-        ids = iter(self.bare.encode_batch(rest, add_special_tokens=False))
-        return [[self.special_ids[w]] if w in self.special_ids else next(ids).ids for w in words]
+        found = self.bare.encode(rest, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found.ids, dtype=np.int64)
+        sizes = np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(rest))
+        if len(rest) == len(words):
+            return ids, sizes
+        starts, all_sizes, parts, at = np.cumsum(sizes) - sizes, [], [], 0
+        for w in words:
+            if w in self.special_ids:
+                parts.append([self.special_ids[w]])
+            else:
+                parts.append(ids[starts[at] : starts[at] + sizes[at]])
+                at += 1
+            all_sizes.append(len(parts[-1]))
+        return np.concatenate([np.zeros(0, np.int64), *parts]), np.array(all_sizes, dtype=np.int64)
+
+    def encode_tokens(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for tokens, the words in each encoded on their own."""
+        words, counts = [], []
+        for t in tokens:
+            if t.isalpha() or t in self.special_ids or UNUSUAL.search(t) is not None:
+                words.append(t)
+                counts.append(1)
+            else:
+                found = WORD.findall(t)
+                words += found
+                counts.append(len(found))
+        ids, sizes = self.encode(words)
+        ends = np.cumsum(np.append(0, sizes))[np.cumsum([0, *counts])]
+        return ids, np.diff(ends)
 
     @property
     def pieces(self) -> list[str | None]:
