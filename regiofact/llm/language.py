@@ -13,7 +13,6 @@ minimises their log loss, and the score that all but a small share of them reach
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -29,8 +28,8 @@ from regiofact.llm.base import picked, query, table, texts_of
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 UNKNOWN = "und"
 FEWEST, MOST = 2, 4
-#: Words a worker remembers before it starts anew.
-MEMORY = 400_000
+#: Tokens a worker remembers before it starts anew.
+MEMORY = 250_000
 
 
 @dataclass(frozen=True)
@@ -52,17 +51,45 @@ class Settings:
     seed: int = 7
 
 
-def subwords(word: str, buckets: int) -> list[int]:
-    """Hashed rows of the word and its character n-grams."""
-    marked = f"<{word}>"
-    n = len(marked)
-    grams = {marked} | {marked[i : i + k] for k in range(FEWEST, MOST + 1) for i in range(n - k + 1)}
-    return [zlib.crc32(g.encode()) % buckets for g in grams]
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def subwords(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashed rows, number of their word) of the n-grams of marked words and the words whole."""
+    marked = [f"<{w}>" for w in words]
+    sizes = np.array([len(m) for m in marked], dtype=np.int64)
+    letters = "".join(marked).encode("utf-32-le", "surrogatepass")
+    c = np.frombuffer(letters, "<u4").astype(np.uint64)
+    if not len(c):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ends, owner, at = np.cumsum(sizes), np.repeat(np.arange(len(words)), sizes), np.arange(len(c))
+    left = ends[owner] - at  # letters from here to the word's end
+    hashes, owners = [], []
+    h = np.zeros(len(c), dtype=np.uint64)
+    for k in range(1, MOST + 1):
+        h = h[: len(c) - k + 1] * _BASE + c[k - 1 :]
+        if k >= FEWEST:
+            inside = left[: len(h)] >= k
+            hashes.append(h[inside] + np.uint64(k))
+            owners.append(owner[: len(h)][inside])
+    powers = np.full(int(sizes.max()), _BASE)
+    powers[0] = 1
+    powers = np.cumprod(powers)
+    starts = ends - sizes
+    hashes.append(np.add.reduceat(_mixed(c) * powers[at - starts[owner]], starts))
+    owners.append(np.arange(len(words)))
+    rows = (_mixed(np.concatenate(hashes)) % np.uint64(buckets)).astype(np.int64)
+    return rows, np.concatenate(owners)
 
 
 @dataclass
 class Model:
-    """Class sums per hashed subword, bias, temperature and the rejection score."""
+    """Class values per hashed subword, bias, temperature and the rejection score."""
 
     languages: list[str]
     table: np.ndarray
@@ -71,33 +98,53 @@ class Model:
     least: float = 0.0
 
     def __post_init__(self) -> None:
-        self.known: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        #: What white space divides, with the place of its row of class sums and subword count.
+        self.known: dict[str, int] = {}
+        self.rows = np.zeros((1024, len(self.languages) + 1))
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"known": {}}
-
-    def word(self, word: str) -> np.ndarray:
-        """Sum over the word's subwords of their class values, and how many there are."""
-        row = self.known.get(word)
-        if row is None:
-            at = subwords(word, len(self.table))
-            row = self.known[word] = np.append(self.table[at].sum(axis=0), len(at)).astype(np.float32)
-        return row
-
-    def logits(self, words: Counter) -> np.ndarray:
-        rows = np.array([self.word(w) for w in words], dtype=np.float64)
-        times = np.fromiter(words.values(), dtype=np.float64, count=len(words))
-        total = times @ rows
+        return {k: v for k, v in self.__dict__.items() if k not in ("known", "rows")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._forget()
+
+    def _learn(self, tokens: list[str]) -> None:
+        """Rows of new tokens: the sums over the subwords of all their words."""
+        found = [WORD.findall(t) for t in tokens]
+        of_word = np.repeat(np.arange(len(tokens)), [len(w) for w in found])
+        at, word = subwords([w for words in found for w in words], len(self.table))
+        token, n = of_word[word], len(tokens)
+        first, last = len(self.known), len(self.known) + n
+        while last > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        for k in range(self.table.shape[1]):
+            self.rows[first:last, k] = np.bincount(token, self.table[at, k], n)
+        self.rows[first:last, -1] = np.bincount(token, minlength=n)
+        self.known.update(zip(tokens, range(first, last), strict=True))
+
+    def total(self, tokens: list[str]) -> np.ndarray:
+        """Class sums and number of subwords of a text's tokens."""
+        if new := sorted(set(tokens).difference(self.known)):
+            self._learn(new)
+        at = np.fromiter(map(self.known.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+        return self.rows[at].sum(axis=0)
+
+    def logits(self, tokens: list[str]) -> np.ndarray:
+        total = self.total(tokens)
         return total[:-1] / total[-1] + self.bias
 
     def predict(self, text: str) -> tuple[str, float]:
         """(language, score) of one whole text; no letter: unknown with score 0."""
         if len(self.known) > MEMORY:
-            self.known.clear()
-        words = Counter(WORD.findall(text.lower()))
-        if not words or not self.languages:
+            self._forget()
+        tokens = text.lower().split()
+        if not tokens or not self.languages or self.total(tokens)[-1] == 0:
             return UNKNOWN, 0.0
-        z = self.logits(words) / self.temperature
+        z = self.logits(tokens) / self.temperature
         p = np.exp(z - z.max())
         p /= p.sum()
         best = int(p.argmax())
@@ -113,11 +160,9 @@ def train(samples: list[tuple[str, list[str]]], settings: Settings) -> Model:
     number = {lang: i for i, lang in enumerate(languages)}
     held = [s for i, s in enumerate(samples) if i % 10 == 9]
     used = [s for i, s in enumerate(samples) if i % 10 != 9]
-    cache: dict[str, list[int]] = {}
     features, labels = [], []
     for lang, words in used:
-        rows = [r for w in words for r in cache.setdefault(w, subwords(w, settings.buckets))]
-        features.append(np.array(rows, dtype=np.int64))
+        features.append(subwords(words, settings.buckets)[0].astype(np.int32))
         labels.append(number[lang])
     labels = np.array(labels)
     rng = np.random.default_rng(settings.seed)
@@ -153,7 +198,7 @@ def train(samples: list[tuple[str, list[str]]], settings: Settings) -> Model:
 
 
 def _calibrate(model: Model, held: list[tuple[str, list[str]]], number: dict[str, int], settings: Settings) -> None:
-    z = np.array([model.logits(Counter(words)) for _, words in held])
+    z = np.array([model.logits(words) for _, words in held])
     y = np.array([number[lang] for lang, _ in held])
 
     def probabilities(t: float) -> np.ndarray:

@@ -12,7 +12,7 @@ WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Characters outside of these are normalised and split by the library, whose tables decide.
 UNUSUAL = regex.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-įı-ň‐-‧]")
 #: Tokens a worker remembers before it starts anew.
-MEMORY = 1_000_000
+MEMORY = 800_000
 
 
 class WordPieces:
