@@ -226,6 +226,52 @@ def test_representatives(docs):
     assert 16 in kept and 17 not in kept and None in kept and len(set(kept)) == len(kept)
 
 
+def edited_copies():
+    """(doc_id, text): texts with copies of which 0 to 6 % of the words are replaced, and a large group."""
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randrange(5000)}"
+    texts = []
+    for n in (4, 30, 120, 300, 700) * 4:
+        base = [word() for _ in range(n)]
+        texts.append(base)
+        for share in (0.005, 0.01, 0.02, 0.03, 0.06):
+            texts.append([word() if rng.random() < share else w for w in base])
+    base = [word() for _ in range(150)]
+    texts += [[word() if rng.random() < rng.choice((0.01, 0.03)) else w for w in base] for _ in range(60)]
+    return [(i, " ".join(t)) for i, t in enumerate(texts)] + [(900, None), (901, "  "), (902, "One two")]
+
+
+def runs_of_five(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_similar_texts_against_brute_force(spark, monkeypatch):
+    """Pairs of 0.8 or more in common, which differ in far more than two bits, are linked; no others are."""
+    rows = edited_copies()
+    sets = {i: runs_of_five(t) for i, t in rows}
+    least = {i: i for i in sets}
+    for _ in sets:
+        before = dict(least)
+        for a in sets:
+            for b in sets:
+                both = len(sets[a] & sets[b])
+                if sets[a] == sets[b] or both >= 0.8 * len(sets[a] | sets[b]) > 0:
+                    least[a] = least[b] = min(least[a], least[b])
+        if before == least:
+            break
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(1), "f": F.lit(2), "k": F.lit(3)}
+    )
+    for bucket in (32, 3):
+        monkeypatch.setattr(simhash, "BUCKET", bucket)
+        assert {r.doc_id: r.component_id for r in simhash.similar(docs).collect()} == least
+    kept = {r.doc_id for r in simhash.representatives(docs).collect()}
+    assert kept == set(least.values())
+    far = sum((plain_fingerprint(t) ^ plain_fingerprint(dict(rows)[least[i]])).bit_count() > 2 for i, t in rows)
+    assert far > 20
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 99), (99, 100), (5, 5), (None, 3), (200, 201), (300, 300)]
     edges += [(1000, i) for i in range(1001, 1200)]
