@@ -1,10 +1,13 @@
 """Packing of documents into training sequences with lexically related neighbours.
 
-Documents are taken in shards as the input's splits deliver them. A shard has its own inverted
-index of BM25 weights over token ids; the document that opens a sequence is the query, and the
-shard's unused documents fill the window in the order of their scores. Documents are cut where a
-window ends, and the rest opens the next one, so sequences are full but for a shard's tail; the
-tail is cut into sequences of powers of two, which need no padding. Nothing is shuffled.
+Document frequencies and the mean length are those of all documents. Documents are shuffled by
+their heaviest terms that others have too, so that related ones meet in a shard wherever they
+come from; a frequent term's documents are parted by their second term, then by hash. A shard has
+an inverted index of BM25 weights over token ids; the document that opens a sequence is the query
+with all of its terms, and the shard's unused documents fill the window in the order of their
+scores. Documents are cut where a window ends, and the rest opens the next one, so sequences are
+full but for a shard's tail; the tail is cut into sequences of powers of two, which need no
+padding.
 """
 
 from __future__ import annotations
@@ -19,15 +22,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiofact.llm.base import picked, query, table, texts_of, tokenizer
+from regiofact.llm.base import picked, query, stored, table, texts_of, tokenizer
 from regiofact.llm.word_pieces import MEMORY, word_pieces
 
-#: Characters of a shard.
-SHARD = 24 << 20
+#: Tokens of a shard.
+SHARD = 4 << 20
 #: BM25's saturation and length parameters.
 K1, B = 1.2, 0.75
-#: The query of a seed: its terms of the largest weight, so many of them.
-QUERY_TERMS = 24
+#: Cells of a shard's table of weights of its most frequent terms.
+CELLS = 16 << 20
 
 
 class Ids:
@@ -59,44 +62,75 @@ def ids_of(path: str) -> Ids:
     return Ids(path)
 
 
+class Corpus:
+    """Inverse document frequencies by term, whether others have the term, and the mean length."""
+
+    def __init__(self, held: np.ndarray, docs: int, tokens: int):
+        self.idf = np.log(1 + (docs - held + 0.5) / (held + 0.5))
+        self.shared = held > 1
+        self.mean = tokens / max(docs, 1)
+        self.docs, self.tokens = docs, tokens
+
+    def weights(self, terms: np.ndarray, times: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """BM25 weights of terms that occur ``times`` in documents of ``size``."""
+        norm = K1 * (1 - B + B * size / self.mean)
+        return self.idf[terms] * times * (K1 + 1) / (times + norm)
+
+
+def corpus_of(docs: list[np.ndarray]) -> Corpus:
+    """The figures of a list of documents."""
+    held = np.bincount(np.concatenate([np.unique(d) for d in docs]).astype(np.int64))
+    return Corpus(held, len(docs), sum(map(len, docs)))
+
+
 class Index:
     """An inverted index of BM25 weights over the documents of a shard."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], corpus: Corpus):
         n = len(docs)
         sizes = np.array([len(d) for d in docs], dtype=np.float64)
         pairs = [np.unique(d, return_counts=True) for d in docs]
-        terms = np.concatenate([p[0] for p in pairs]).astype(np.int64)
+        counts = [len(p[0]) for p in pairs]
+        terms = np.concatenate([p[0] for p in pairs]).astype(np.int32)
         times = np.concatenate([p[1] for p in pairs]).astype(np.float64)
-        owners = np.repeat(np.arange(n), [len(p[0]) for p in pairs])
-        held = np.bincount(terms)
-        idf = np.log(1 + (n - held + 0.5) / (held + 0.5))
-        norm = K1 * (1 - B + B * sizes / sizes.mean())
-        weights = idf[terms] * times * (K1 + 1) / (times + norm[owners])
-        self.starts = np.concatenate([[0], np.cumsum([len(p[0]) for p in pairs])])
-        self.terms, self.weights = terms, weights
+        owners = np.repeat(np.arange(n, dtype=np.int32), counts)
+        weights = corpus.weights(terms, times, sizes[owners]).astype(np.float32)
+        self.starts, self.terms = np.concatenate([[0], np.cumsum(counts)]), terms
         order = np.argsort(terms, kind="stable")
         self.posted, self.posted_weights = owners[order], weights[order]
+        held = np.bincount(terms)
         self.first = np.concatenate([[0], np.cumsum(held)])
+        # adding a row of all documents is faster than adding at a frequent term's documents
+        often = np.nonzero(held > n / 16)[0]
+        often = often[np.argsort(-held[often], kind="stable")][: CELLS // n]
+        self.row_of = np.full(len(held), -1, dtype=np.int32)
+        self.row_of[often] = np.arange(len(often))
+        self.rows = np.zeros((len(often), n), dtype=np.float32)
+        for row, t in enumerate(often):
+            at = slice(self.first[t], self.first[t + 1])
+            self.rows[row, self.posted[at]] = self.posted_weights[at]
         self.n = n
 
     def ranked(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share a query term with the seed, best first, ties by number."""
-        own = slice(self.starts[seed], self.starts[seed + 1])
-        terms, weights = self.terms[own], self.weights[own]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(-weights, QUERY_TERMS)[:QUERY_TERMS]]
-        scores = np.zeros(self.n)
-        for t in terms:
+        """Unused documents that share a term with the seed, best first, ties by number."""
+        terms = self.terms[self.starts[seed] : self.starts[seed + 1]]
+        rows = self.row_of[terms]
+        scores = np.zeros(self.n, dtype=np.float32)
+        for row in rows[rows >= 0]:
+            scores += self.rows[row]
+        for t in terms[rows < 0]:
             at = slice(self.first[t], self.first[t + 1])
             scores[self.posted[at]] += self.posted_weights[at]  # a term has a document once
         found = np.nonzero((scores > 0) & unused)[0]
         return found[np.lexsort((found, -scores[found]))]
 
 
-def pack(docs: list[np.ndarray], window: int) -> list[tuple[int, int, int, int, int]]:
-    """(document, start, length, sequence, offset) of every piece of a shard."""
-    index = Index(docs)
+def pack(docs: list[np.ndarray], window: int, corpus: Corpus | None = None) -> list[tuple[int, int, int, int, int]]:
+    """(document, start, length, sequence, offset) of every piece of a shard.
+
+    Without a corpus the shard is all there is.
+    """
+    index = Index(docs, corpus or corpus_of(docs))
     unused = np.ones(len(docs), dtype=bool)
     pieces: list[tuple[int, int, int, int, int]] = []
     total = sum(map(len, docs))
@@ -140,20 +174,90 @@ PIECES = (
 )
 
 
-def _shards(path: str, window: int, end: int):
+def _encoded(path: str, end: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = ids_of(path)
+        for ids, texts in texts_of(batches):
+            data = [known.of(t, end).tobytes() for t in texts]
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(data, pa.binary())], ["doc_id", "ids"])
+
+    return run
+
+
+def _held(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's documents by term, and as terms -1 and -2 its documents and tokens."""
+    held, docs, tokens = np.zeros(0, dtype=np.int64), 0, 0
+    for batch in batches:
+        parts = [np.unique(np.frombuffer(d.as_buffer(), "<u4")) for d in batch.column("ids")]
+        if not parts:
+            continue
+        more = np.bincount(np.concatenate(parts).astype(np.int64), minlength=len(held))
+        more[: len(held)] += held
+        held, docs = more, docs + len(parts)
+        tokens += sum(d.as_buffer().size // 4 for d in batch.column("ids"))
+    terms = np.nonzero(held)[0]
+    arrays = [np.concatenate([[-1, -2], terms]), np.concatenate([[docs, tokens], held[terms]])]
+    yield pa.record_batch([pa.array(a.astype(np.int64)) for a in arrays], ["term", "held"])
+
+
+def _corpus(encoded: DataFrame) -> Corpus:
+    """The figures of all documents; what reaches the driver is bounded by the vocabulary."""
+    counts = encoded.select("ids").mapInArrow(_held, "term long, held long").groupBy("term").agg(F.sum("held").alias("held"))
+    found = {r["term"]: r["held"] for r in counts.collect()}
+    docs, tokens = found.pop(-1, 0), found.pop(-2, 0)
+    held = np.zeros(max(found, default=-1) + 1, dtype=np.int64)
+    held[list(found)] = list(found.values())
+    return Corpus(held, docs, tokens)
+
+
+def _placed(shared):
+    """Documents with their two heaviest terms among those that other documents have."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        corpus = shared.value
+        for batch in batches:
+            tops = []
+            for d in batch.column("ids"):
+                ids = np.frombuffer(d.as_buffer(), "<u4")
+                terms, times = np.unique(ids, return_counts=True)
+                some = corpus.shared[terms]
+                terms, times = terms[some], times[some]
+                order = np.argsort(-corpus.weights(terms, times, len(ids)), kind="stable")[:2]
+                tops.append([*terms[order].tolist(), -1, -1][:2])
+            columns = zip(*tops, strict=True) if tops else [[], []]
+            yield pa.record_batch(
+                [batch.column("doc_id"), batch.column("ids"), *(pa.array(c, pa.int64()) for c in columns)],
+                ["doc_id", "ids", "top", "second"],
+            )
+
+    return run
+
+
+def _shards(window: int, shared, most: int):
     names = [f.split()[0] for f in PIECES.split(", ")]
 
+    def groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
+        ids, docs, size = [], [], 0
+        for batch in batches:
+            for i, d in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
+                ids.append(i)
+                docs.append(np.frombuffer(d.as_py(), "<u4"))
+                size += len(docs[-1])
+                if size >= most:
+                    yield ids, docs
+                    ids, docs, size = [], [], 0
+        if ids:
+            yield ids, docs
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ids_of(path)
         sequences = TaskContext.get().partitionId() << 36
-        for ids, texts in texts_of(batches, SHARD):
-            docs = [known.of(t, end) for t in texts]
+        for ids, docs in groups(batches):
             rows = [
                 (
                     ids[d], start, length, zlib.crc32(docs[d][start : start + length]), len(docs[d]),
                     sequences + sequence, offset,
                 )
-                for d, start, length, sequence, offset in pack(docs, window)
+                for d, start, length, sequence, offset in pack(docs, window, shared.value)
             ]
             sequences = rows[-1][5] + 1
             columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
@@ -162,14 +266,21 @@ def _shards(path: str, window: int, end: int):
     return run
 
 
-def packed(docs: DataFrame, path: str, window: int = 4096, end: int = 2) -> DataFrame:
+def packed(docs: DataFrame, path: str, window: int = 4096, end: int = 2, shard: int = SHARD) -> DataFrame:
     """Pieces of all documents, packed into sequences of at most ``window`` ids.
 
     Every id of a document, with ``end`` after its last, lies in exactly one piece. A null text
     is empty, so it is the one id ``end``. Repeated rows are packed each; a null doc_id stays
-    null. Numbers of sequences are unique over all splits of the input.
+    null. Numbers of sequences are unique over all shards, of about ``shard`` ids each.
     """
-    return picked(docs, doc_id="long", text="string").mapInArrow(_shards(path, window, end), PIECES)
+    texts = picked(docs, doc_id="long", text="string")
+    encoded = stored(texts.mapInArrow(_encoded(path, end), "doc_id long, ids binary"), "ids")
+    corpus = _corpus(encoded)
+    shared = docs.sparkSession.sparkContext.broadcast(corpus)
+    placed = encoded.mapInArrow(_placed(shared), "doc_id long, ids binary, top long, second long")
+    order = ("top", "second", F.xxhash64("ids"), "doc_id")
+    dealt = placed.repartitionByRange(-(-corpus.tokens // shard) or 1, *order).sortWithinPartitions(*order)
+    return dealt.select("doc_id", "ids").mapInArrow(_shards(window, shared, shard * 3 // 2), PIECES)
 
 
 @query()

@@ -135,6 +135,31 @@ def test_packing_takes_neighbours():
     assert order == [0, 2, 4]
 
 
+def test_packing_scores_all_terms():
+    """A seed of many heavy terms of its own still meets the document that shares a light one."""
+    docs = [np.array([*range(10, 60), 5, 2]), np.array([70, 71, 2]), np.array([72, 5, 2]), np.array([73, 5, 2])]
+    docs = [d.astype("<u4") for d in docs]
+    index = packing.Index(docs, packing.corpus_of(docs))
+    unused = np.array([False, True, True, True])
+    assert index.ranked(0, unused).tolist() == [2, 3, 1]
+    held = np.ones(100, dtype=np.int64)
+    held[5], held[2] = 900, 4  # what is rare here is frequent in the corpus
+    assert packing.Index(docs, packing.Corpus(held, 1000, 20_000)).ranked(0, unused)[-1] == 1
+
+
+def test_packing_meets_related_documents_of_other_splits(spark):
+    """Shards of two documents each: the topics lie in different splits, and meet nevertheless."""
+    topics = [" ".join(w for _ in range(20)) for w in ("harbour", "violin", "glacier", "pepper", "copper", "window")]
+    rows = [(100 * split + t, f"{topic} number") for split in range(4) for t, topic in enumerate(topics)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(4, "doc_id")
+    assert docs.rdd.getNumPartitions() == 4
+    with_sequence = collections.defaultdict(set)
+    for r in packing.packed(docs, WORD, 64, shard=100).collect():
+        with_sequence[r.sequence_id].add(r.doc_id)
+    together = [{i % 100 for i in ids} for ids in with_sequence.values() if len(ids) > 1]
+    assert sum(len(t) == 1 for t in together) >= len(together) / 2 > 2
+
+
 def passages(texts, window=200):
     counts = collections.Counter(t[p : p + window] for t in texts for p in range(len(t) - window + 1))
     for t in texts:
