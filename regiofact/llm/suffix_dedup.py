@@ -112,8 +112,9 @@ def phrases(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarr
     return doc, rolled[at], context, at, first, last
 
 
-def _stretches(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _stretches(texts: list[bytes], stretch: int | None = None) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(data, starts, ends, documents, offsets): buffers of whole documents or of parts of long ones."""
+    stretch = stretch or STRETCH
     data, starts, docs, offsets, size = [], [], [], [], 0
 
     def out():
@@ -122,9 +123,9 @@ def _stretches(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarr
         return b"".join(data), begin, begin + sizes, np.array(docs), np.array(offsets, dtype=np.int64)
 
     for number, text in enumerate(texts):
-        for offset in range(0, max(1, len(text) - WINDOW + 1), STRETCH):
-            part = text[offset : offset + STRETCH + WINDOW - 1]
-            if size and size + len(part) > STRETCH + WINDOW:
+        for offset in range(0, max(1, len(text) - WINDOW + 1), stretch):
+            part = text[offset : offset + stretch + WINDOW - 1]
+            if size and size + len(part) > stretch + WINDOW:
                 yield out()
                 data, starts, docs, offsets, size = [], [], [], [], 0
             starts.append(size)
@@ -139,34 +140,42 @@ def _stretches(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarr
 RUNS = "inner long, outer long, k1 long, k2 int, at int, near int, far int"
 
 
-def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per phrase; its windows start ``near`` to ``far`` bytes before the trigger ``at``."""
-    for batch in batches:
-        k1, k2 = batch.column("k1").to_numpy(), batch.column("k2").to_numpy()
-        texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column("data")]
-        for data, starts, ends, docs, offsets in _stretches(texts):
-            doc, inner, outer, at, first, last = phrases(data, starts, ends)
-            moved = offsets[doc] - starts[doc]
-            yield pa.record_batch(
-                [
-                    pa.array(inner.view(np.int64)), pa.array(outer.view(np.int64)),
-                    pa.array(k1[docs[doc]]), pa.array(k2[docs[doc]]),
-                    pa.array((at + moved).astype(np.int32)),
-                    pa.array((at - last).astype(np.int32)), pa.array((at - first).astype(np.int32)),
-                ],
-                [f.split()[0] for f in RUNS.split(", ")],
-            )
-
-
-def _settled(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _runs(stretch: int):
+    """A row per phrase; its windows start ``near`` to ``far`` bytes before the trigger ``at``.
+
+    The phrase at the end of a stretch and the one at the start of the next can have one trigger;
+    only ``near`` and ``far`` tell them apart.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k1, k2 = batch.column("k1").to_numpy(), batch.column("k2").to_numpy()
+            texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column("data")]
+            for data, starts, ends, docs, offsets in _stretches(texts, stretch):
+                doc, inner, outer, at, first, last = phrases(data, starts, ends)
+                moved = offsets[doc] - starts[doc]
+                yield pa.record_batch(
+                    [
+                        pa.array(inner.view(np.int64)), pa.array(outer.view(np.int64)),
+                        pa.array(k1[docs[doc]]), pa.array(k2[docs[doc]]),
+                        pa.array((at + moved).astype(np.int32)),
+                        pa.array((at - last).astype(np.int32)), pa.array((at - first).astype(np.int32)),
+                    ],
+                    [f.split()[0] for f in RUNS.split(", ")],
+                )
+
+    return run
+
+
+def _settled(rows: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
     """(contexts that occur again, contexts to look into) of rows with inner, outer, n and mine.
 
     Rows with equal (inner, outer) have equal windows; rows with different inner have none in
     common. ``n`` is how often a row's context occurs, ``mine`` whether the answer is wanted for
     it. To look into are single contexts that share their inner with others, and one of each
-    of these others.
+    of these others. ``more`` are further columns of the rows to look into.
     """
-    row = F.min(F.struct("k1", "k2", "at", "near", "far")).alias("row")
+    row = F.min(F.struct("k1", "k2", "at", "near", "far", *more)).alias("row")
     contexts = rows.groupBy("inner", "outer").agg(F.sum("n").alias("n"), F.max("mine").alias("mine"), row)
     contexts = stored(contexts, "contexts")
     classes = contexts.groupBy("inner").agg(
@@ -188,7 +197,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 CUTS = (
-    "inner long, k1 long, k2 int, at int, near int, far int, n long, mine boolean, reach int, data binary"
+    "inner long, k1 long, k2 int, at int, near int, far int, n long, mine boolean, from int, to int, data binary"
 )
 
 
@@ -205,19 +214,24 @@ def _contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part = text[at - r["far"] : at - r["near"] + WINDOW].to_pybytes()
                 rows.append((
                     r["inner"], k1.as_py(), k2.as_py(), at, r["near"], r["far"], r["n"], r["mine"],
-                    r["far"], part,
+                    r["near"], r["far"], part,
                 ))
         small, large = pa.int32(), pa.int64()
-        kinds = [large, large, small, small, small, small, large, pa.bool_(), small, pa.binary()]
+        kinds = [large, large, small, small, small, small, large, pa.bool_(), small, small, pa.binary()]
         columns = zip(*rows, strict=True) if rows else [[]] * len(names)
         yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
 
-PIECES = "inner long, outer long, k1 long, k2 int, at int, near int, far int, n long, mine boolean"
+PIECES = (
+    "inner long, outer long, k1 long, k2 int, at int, near int, far int, n long, mine boolean, from int, to int"
+)
 
 
 def _pieces(size: int):
-    """Cut contexts into pieces of ``size`` windows at fixed distances from the trigger."""
+    """Cut contexts into pieces of ``size`` windows at fixed distances from the trigger.
+
+    ``from`` and ``to`` are the phrase's own ``near`` and ``far``, so a piece knows its context.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -231,7 +245,7 @@ def _pieces(size: int):
                 owner = np.repeat(np.arange(len(parts)), high - low + 1)
                 step = np.arange(len(owner)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1)
                 j = (low[owner] + step) * size
-                reach = batch.column("reach").to_numpy().astype(np.int64)
+                reach = batch.column("to").to_numpy().astype(np.int64)
                 at = begin[owner] + reach[owner]  # the trigger's place in the buffer
                 # what all windows of the piece hold, and what they hold together here
                 inner = hashed.of(at - j, at - j - size + 1 + WINDOW)
@@ -244,18 +258,18 @@ def _pieces(size: int):
                     pa.array(_mixed(inner ^ trigger).view(np.int64)), pa.array(outer.view(np.int64)),
                     *(batch.column(n).take(pa.array(owner)) for n in ("k1", "k2", "at")),
                     pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)),
-                    *(batch.column(n).take(pa.array(owner)) for n in ("n", "mine")),
+                    *(batch.column(n).take(pa.array(owner)) for n in ("n", "mine", "from", "to")),
                 ]
                 yield pa.record_batch(arrays, [f.split()[0] for f in PIECES.split(", ")])
 
     return run
 
 
-def repeats(docs: DataFrame) -> DataFrame:
+def repeats(docs: DataFrame, stretch: int | None = None) -> DataFrame:
     """k1, k2 (a document's key) and lo, hi: first and last starts of runs of repeated windows."""
     data = F.col("text").cast("binary").alias("data")
     texts = _keyed(docs).select("k1", "k2", data)
-    runs = stored(texts.mapInArrow(_runs, RUNS), "phrases")
+    runs = stored(texts.mapInArrow(_runs(stretch or STRETCH), RUNS), "phrases")
     # phrases under a trigger that occurs once are most of the input: they go first
     common = runs.groupBy("inner").count().filter("count > 1").select("inner")
     runs = stored(runs.join(common, "inner"), "phrases")
@@ -270,12 +284,11 @@ def repeats(docs: DataFrame) -> DataFrame:
     cuts = texts.join(asked.hint("shuffle_hash"), ["k1", "k2"]).mapInArrow(_contexts, CUTS)
     cuts = stored(cuts, "contexts")
     pieces = stored(cuts.mapInArrow(_pieces(PIECE), PIECES), "pieces")
-    again, into = _settled(pieces)
+    again, into = _settled(pieces, "from", "to")
     parts = pieces.filter("mine").join(again, ["inner", "outer"]).select(*place)
 
-    narrow = cuts.select("inner", "k1", "k2", "at", "reach", "data").join(
-        into.select("k1", "k2", "at", "near", "far", "n", "mine"), ["k1", "k2", "at"]
-    )
+    context = ["k1", "k2", "at", "from", "to"]
+    narrow = cuts.select("inner", *context, "data").join(into.select(*context, "near", "far", "n", "mine"), context)
     windows = stored(narrow.mapInArrow(_pieces(1), PIECES), "windows")
     again = windows.groupBy("inner", "outer").agg(F.sum("n").alias("n"), F.max("mine").alias("mine"))
     again = again.filter("n > 1 and mine").select("inner", "outer")
@@ -300,9 +313,9 @@ def _cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
 
 
-def _ranges(docs: DataFrame) -> DataFrame:
+def _ranges(docs: DataFrame, stretch: int | None = None) -> DataFrame:
     """k1, k2 and ranges: the runs of repeated windows of each document that has any."""
-    return repeats(docs).groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+    return repeats(docs, stretch).groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
 
 
 KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<bigint>, kept binary"
@@ -322,15 +335,16 @@ def _kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, stretch: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, spans (starts and ends in turn) and kept bytes.
 
     Every byte covered by a string of 200 bytes that also starts elsewhere, in any document, is
     removed. A null text is empty, and nothing of it is removed. Repeated rows are documents of
     their own, so both lose all such bytes. A null doc_id stays null; other columns are not
-    carried. Kept bytes may end inside a character.
+    carried. Kept bytes may end inside a character. ``stretch`` is the number of bytes that are
+    hashed at a time, STRETCH if not given; the result does not depend on it.
     """
-    ranges = stored(_ranges(docs), "ranges")
+    ranges = stored(_ranges(docs, stretch), "ranges")
     data = F.col("text").cast("binary").alias("data")
     joined = _keyed(docs).select("k1", "k2", "doc_id", data).join(
         ranges.hint("shuffle_hash"), ["k1", "k2"], "left"

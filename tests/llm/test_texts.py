@@ -193,6 +193,20 @@ def test_passages_in_stretches(monkeypatch):
     assert found == set(range(len(text) - 199))
 
 
+def test_passages_of_long_texts(spark):
+    """Texts of many stretches: phrases that a stretch border parts share a trigger, and are cut apart."""
+    rng = random.Random(3)
+    letters = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = [letters(n) for n in (260, 205, 700)]
+    texts = [letters(rng.randint(50, 900)).join(rng.sample(shared, 3)) + letters(1500) for _ in range(8)]
+    texts += [texts[0][300:1900] + letters(400), letters(3000), "ab" * 700]
+    expected = [(i, *p) for i, p in enumerate(passages([t.encode() for t in texts]))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    for stretch in (150, 256, 1000):
+        same(suffix_dedup.without_repeats(docs, stretch).select(*columns), expected)
+
+
 def test_shortened(docs):
     rows = {r.doc_id: r for r in suffix_dedup.shortened(docs.filter("doc_id in (1, 5, 6, 7, 16)")).collect()}
     assert rows[6].text is None and rows[7].text == "" and rows[16].text == "One two three four"
