@@ -29,11 +29,17 @@ HEX = re.compile(r"[0-9a-f]+")
 KINDS = ("assign", "access", "hex")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
-#: What introduces a credential, beyond the words of the first pattern.
+#: What introduces a credential, beyond the words of the first pattern; a border of camel case
+#: starts a word too. A quoted value ends at its own closing quote on the same line, any other at a
+#: blank, a separator, a closing bracket or a quote.
 CONTEXT = re.compile(
-    r"""(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code)?|passwort|pwd|secret|token|bearer|credentials?"""
+    r"""(?:(?<![A-Za-z0-9])|(?-i:(?<=[a-z0-9])(?=[A-Z])))"""
+    r"""(?:pass(?:word|wd|phrase|code)?|passwort|pwd|secret|token|bearer|credentials?"""
     r"""|auth(?:orization|[_-]?token)?|(?:api|access|private|secret|client|signing|encryption)"""
-    r"""[_-]?(?:key|secret|token))["']?\s{0,3}(?:=>|:=|[:=])\s{0,3}(?:bearer\s|basic\s)?["']?([!-~]{6,})""",
+    r"""[_-]?(?:key|secret|token))(?:\\?["'`])?\s*(?:=>|:=|={1,3}|:)\s*(?:(?:bearer|basic)\s+)?"""
+    r"""(?:(?P<quote>\\?["'`])(?:(?:bearer|basic)\s+)?"""
+    r"""(?P<quoted>(?:(?!(?P=quote))(?:\\[^\r\n]|[^\\\r\n])){6,4096})(?P=quote)(?![A-Za-z0-9])"""
+    r"""|(?:\\?["'`])?(?:(?:bearer|basic)\s+)?(?P<bare>[!#-%(*+\--:<-_a-|~]{6,}))""",
     re.ASCII | re.IGNORECASE,
 )
 HINTS = ("pass", "pwd", "secret", "token", "bearer", "credential", "auth", "key")
@@ -139,14 +145,18 @@ def guessed_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int
     low = text.lower()
     if not any(w in low for w in HINTS):
         return []
-    out = []
-    for m in CONTEXT.finditer(text):
-        value = m[1].rstrip(""".,;:!?)]}>"'""")
-        start, end = m.start(1), m.start(1) + len(value)
+    out, at = [], 0
+    while m := CONTEXT.search(text, at):
+        start = at = m.start(m.lastgroup)
+        value = m[m.lastgroup]
+        if m.lastgroup == "bare":
+            value = value.rstrip(""".,;:!?)]}>"'""")
+        end = start + len(value)
         if len(value) < 6 or "://" in value or any(s <= start and end <= e for s, e, _ in base):
-            continue
+            continue  # what is no secret as a whole may hold credentials of its own
         if guess_cost(value) >= HARD:
             out.append((start, end, "guess"))
+            at = end
     return out
 
 

@@ -350,6 +350,35 @@ def test_secrets(spark):
     assert kept[16].text == "[SECRET]" and kept[11].n_chars == len(kept[11].text)
 
 
+HARD_VALUES = ("Xk9#mQ2$vL8p", "v8R$kw2Zq!Lt")
+RUNS = [
+    ('{"password":"letmein1","title":"Xclean","n":12345678,"x":"aB3$xY7#"}', []),
+    ('{"pwd":"%s","home":"https://example.org/a","token":"%s"}', [0, 1]),
+    ("user=a;pwd=%s;title=clean;Token=%s;n=12345678", [0, 1]),
+    ("?pwd=%s&next=https://example.org/&auth_token=%s&page=2", [0, 1]),
+    ("f(passcode='%s', clean='Zq8$kW3!pL'), credential := `%s`", [0, 1]),
+    ("pwd:      %s and userPwd\t=\t%s", [0, 1]),
+    ('{\\"pwd\\":\\"%s\\",\\"clean\\":\\"a\\"} accessToken == "%s"', [0, 1]),
+    ('"Authorization":"Bearer %s","clean":"%s"', [0]),
+    ('"passphrase": "%s and; %s", "clean": 1', [0, 1]),
+    ('secret: "https://example.org/?pwd=%s&n=1" bypwd=%s', [0]),
+]
+
+
+def test_credentials_in_one_run():
+    """Each value ends by itself; what follows it in the run is neither priced nor replaced with it."""
+    for pattern, places in RUNS:
+        text = pattern % HARD_VALUES[: pattern.count("%s")]
+        values = [HARD_VALUES[i] for i in places]
+        found = [text[s:e] for s, e, kind in secrets.spans_of(text)[1] if kind == "guess"]
+        if "passphrase" in pattern:
+            values = [" and; ".join(values)]
+        assert found == values, text
+    text = RUNS[1][0] % HARD_VALUES
+    assert secrets.redact(text) == RUNS[1][0] % ("[SECRET]", "[SECRET]")
+    assert secrets.redact(RUNS[0][0]) == '{"[SECRET]","title":"Xclean","n":12345678,"x":"aB3$xY7#"}'
+
+
 def test_guess_costs():
     cost = secrets.guess_cost
     assert cost("passwordpassword") < cost("hunter2") < 6 < 10 < cost("Xk9#mQ2$vL8p")
