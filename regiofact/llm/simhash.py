@@ -258,12 +258,14 @@ def similar(docs: DataFrame, size: int = 5, share: float = 0.8) -> DataFrame:
 def representatives(docs: DataFrame, size: int = 5, share: float = 0.8) -> DataFrame:
     """The document of the smallest doc_id of each component of similar texts, with the columns of documents.
 
-    Documents without doc_id have no smallest and are all kept. Of rows that repeat a kept
-    doc_id one stays.
+    Documents without doc_id have no smallest and are all kept. Of rows of one component that
+    repeat its doc_id one stays; different texts of one doc_id are in components of their own.
     """
-    stay = similar(docs, size, share).filter("doc_id = component_id").select("doc_id").distinct()
+    stay = similar(docs, size, share).filter("doc_id = component_id")
+    stay = stay.groupBy("doc_id", "c").agg(F.min("k").alias("k")).select("doc_id", "k")
     kept = picked(docs, doc_id="long", text="string", lang="string", source="string", n_chars="long")
-    return kept.join(stay, "doc_id").dropDuplicates(["doc_id"]).unionAll(kept.filter("doc_id is null"))
+    keyed = kept.select("*", _row_key()).join(stay, ["doc_id", "k"]).dropDuplicates(["doc_id", "k"])
+    return keyed.select(*kept.columns).unionAll(kept.filter("doc_id is null"))
 
 
 @query()

@@ -265,6 +265,16 @@ def test_representatives(docs):
     assert 16 in kept and 17 not in kept and None in kept and len(set(kept)) == len(kept)
 
 
+def test_representatives_of_repeated_ids(spark):
+    """Of two texts with one doc_id, a copy of another document goes and the other one stays."""
+    texts = ["a b c d e f", "a b c d e f", "g h i j k l", "m n o p q r", "m n o p q r"]
+    rows = list(zip([1, 2, 2, 2, 3], texts, strict=True))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = docs.withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(11)})
+    kept = simhash.representatives(docs)
+    same(kept.select("doc_id", "text"), [(1, texts[0]), (2, texts[2]), (2, texts[3])])
+
+
 def edited_copies():
     """(doc_id, text): texts with copies of which 0 to 6 % of the words are replaced, and a large group."""
     rng = random.Random(11)
