@@ -4,7 +4,10 @@ from importlib import import_module
 
 from regiofact.llm.base import ORACLES, QUERIES
 
-MODULES = ("token_counts", "urls", "secrets", "language", "simhash", "embedding_dedup", "bpe", "packing", "suffix_dedup", "neighbours")
+MODULES = (
+    "token_counts", "urls", "secrets", "language", "simhash", "embedding_dedup", "bpe", "packing", "suffix_dedup",
+    "neighbours", "periodic_runs",
+)
 
 for _name in MODULES:
     import_module(f"regiofact.llm.{_name}")
