@@ -200,7 +200,7 @@ def runs_of(
     return start[order], end[order], period[order]
 
 
-def _grouped(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def by_size(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about GROUP bytes of text."""
     done = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)) // GROUP
     cuts = [0, *(np.flatnonzero(np.diff(done)) + 1).tolist(), batch.num_rows]
@@ -221,7 +221,7 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 def _found(least: int, exponent: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in _grouped(whole):
+            for batch in by_size(whole):
                 words, offsets = words_of(batch.column("text"))
                 coded = words.dictionary_encode()
                 codes = coded.indices.to_numpy().astype(np.int64)

@@ -6,7 +6,7 @@ from regiofact.llm.base import ORACLES, QUERIES
 
 MODULES = (
     "token_counts", "urls", "secrets", "language", "simhash", "embedding_dedup", "bpe", "packing", "suffix_dedup",
-    "neighbours", "periodic_runs", "alignment",
+    "neighbours", "periodic_runs", "alignment", "quality_votes",
 )
 
 for _name in MODULES:
