@@ -9,10 +9,6 @@ Fingerprints that agree on a mask are candidates. Inside such a bucket no pairs
 each fingerprint states itself and its neighbours at one flipped bit outside of the mask, and
 fingerprints that state a common value differ in at most two bits. A value is stated by at most
 one more than the free bits, whatever the bucket's size, so buckets need no cap.
-
-Two bits are far less than 0.8 of the shingles in common (about seven bits of 64), and masks for
-so wide a radius hold too few bits to tell documents apart. ``similar`` therefore finds its
-candidates by bands of set minima, and counts the common shingles of each exactly.
 """
 
 from __future__ import annotations
@@ -26,15 +22,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiofact.llm.base import picked, query, stored, table, texts_of
+from regiofact.llm.base import picked, query, stored, table
 from regiofact.llm.components import components
 
-BITS, RADIUS = 64, 2
-#: Minima of a band, and bands: 1e-5 of the pairs of 0.8 in common agree on none, (1 - 0.8^6)^38.
-ROWS, BANDS = 6, 38
-#: Sets that agree on a band and are listed pair by pair.
-BUCKET = 32
-_ORDERS = np.random.default_rng(8).integers(1 << 62, 1 << 63, ROWS * BANDS, dtype=np.uint64) | np.uint64(1)
+#: Bits of a fingerprint, bits in which linked ones may differ, words of a shingle.
+BITS, RADIUS, SIZE = 64, 2, 3
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 UPPER = bytes(range(65, 91))
 LOWERED = bytes.maketrans(UPPER, UPPER.lower())
@@ -49,7 +41,7 @@ def masks(bits: int = BITS, radius: int = RADIUS) -> list[int]:
     ]
 
 
-def shingle_hashes(text: str, size: int = 3) -> np.ndarray:
+def shingle_hashes(text: str, size: int = SIZE) -> np.ndarray:
     """XXH64 (seed 42) of each shingle, repeats included; no words give no hashes."""
     words = WORD.findall(text.encode("utf-8", "replace").translate(LOWERED))
     digest = xxhash.xxh64_intdigest
@@ -59,9 +51,9 @@ def shingle_hashes(text: str, size: int = 3) -> np.ndarray:
     return np.array([digest(b" ".join(r), 42) for r in runs], dtype=np.uint64)
 
 
-def fingerprint(text: str) -> int:
+def fingerprint(text: str, size: int = SIZE) -> int:
     """Bit i is set if it is set in over half of the hashes; 0 without words."""
-    hashes = shingle_hashes(text)
+    hashes = shingle_hashes(text, size)
     if not len(hashes):
         return 0
     total = np.zeros(BITS, dtype=np.int64)
@@ -71,15 +63,21 @@ def fingerprint(text: str) -> int:
     return int(np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and f, the fingerprint as signed long, of whole texts; null is an empty text."""
+def fingerprints(docs: DataFrame, size: int = SIZE) -> DataFrame:
+    """doc_id, k (a key of the row) and f, the fingerprint as signed long, of whole texts; null is empty."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in texts_of(batches):
-            values = np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(values)], ["doc_id", "f"])
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            values = np.array([fingerprint(t or "", size) for t in texts], dtype=np.uint64).view(np.int64)
+            yield pa.record_batch([batch.column("doc_id"), batch.column("k"), pa.array(values)], ["doc_id", "k", "f"])
+
+    keyed = picked(docs, doc_id="long", text="string").select("doc_id", _row_key(), "text")
+    return keyed.mapInArrow(run, "doc_id long, k long, f long")
 
-    return picked(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, f long")
+
+def _row_key() -> Column:
+    return F.xxhash64("doc_id", "text").alias("k")
 
 
 def _signed(value: int) -> int:
@@ -97,7 +95,8 @@ def links(distinct: DataFrame) -> DataFrame:
         for v, m in enumerate(all_masks)
     ]))
     keyed = distinct.select("f", keys.alias("k")).select("f", "k.t", "k.key")
-    shared = keyed.groupBy("t", "key").count().filter("count > 1").select("t", "key")
+    # written first: a join with a table is split where a key is hot, one with an aggregate is not
+    shared = stored(keyed.groupBy("t", "key").count().filter("count > 1").select("t", "key"), "shared")
     members = keyed.join(shared, ["t", "key"])
 
     def stated(mask: int) -> Column:
@@ -114,155 +113,40 @@ def links(distinct: DataFrame) -> DataFrame:
     return pairs.select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def grouped(marked: DataFrame) -> DataFrame:
+    """f, c (the component of the fingerprint) and component_id (its smallest doc_id), written."""
+    classes = stored(marked.groupBy("f").agg(F.min("doc_id").alias("least")), "classes")
+    found = components(links(classes.select("f"))).withColumnRenamed("node", "f")
+    groups = stored(classes.join(found, "f", "left").withColumn("c", F.coalesce("component", "f")), "groups")
+    smallest = stored(groups.groupBy("c").agg(F.min("least").alias("component_id")), "smallest")
+    return stored(groups.join(smallest, "c").select("f", "c", "component_id"), "named")
+
+
+def near_duplicates(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id (smallest doc_id reachable).
 
+    Fingerprints of shingles of ``size`` words are linked at RADIUS or fewer differing bits.
     Texts without words (null and empty ones too) share the fingerprint zero and are linked
     like any other. A row with a null doc_id has a fingerprint and takes part in the links; a
     component of nothing else has a null id. Repeated rows return once each.
     """
-    marked = stored(fingerprints(docs), "fingerprints")
-    classes = marked.groupBy("f").agg(F.min("doc_id").alias("least"))
-    # texts are read once; what follows works on sixteen bytes a document
-    found = components(links(classes.select("f"))).withColumnRenamed("node", "f")
-    groups = classes.join(found, "f", "left").withColumn("c", F.coalesce("component", "f"))
-    smallest = groups.groupBy("c").agg(F.min("least").alias("component_id"))
-    named = groups.join(smallest, "c").select("f", "component_id")
-    return marked.join(named, "f").select(
+    # texts are read once; what follows works on some bytes a document
+    marked = stored(fingerprints(docs, size), "fingerprints")
+    return marked.join(grouped(marked), "f").select(
         "doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def _row_key() -> Column:
-    return F.xxhash64("doc_id", "text").alias("k")
-
-
-def banded(docs: DataFrame, size: int) -> DataFrame:
-    """k (the row's key), doc_id, f (the key of the text's set of shingles), n (its size) and bands.
-
-    A band is a hash of ROWS minima of the set under different orders. Sets whose share of common
-    shingles is s agree on a band with the probability s^ROWS.
-    """
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints, sizes, bands = [], [], []
-            for text in batch.column("text").to_pylist():
-                hashes = np.unique(shingle_hashes(text or "", size))
-                prints.append(xxhash.xxh64_intdigest(hashes.tobytes()) if len(hashes) else 0)
-                sizes.append(len(hashes))
-                bands.append(_bands(hashes))
-            flat = np.concatenate(bands).view(np.int64) if bands else np.zeros(0, np.int64)
-            ends = np.arange(len(bands) + 1, dtype=np.int32) * BANDS
-            yield pa.record_batch(
-                [
-                    batch.column("k"), batch.column("doc_id"),
-                    pa.array(np.array(prints, dtype=np.uint64).view(np.int64)), pa.array(sizes, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                ],
-                ["k", "doc_id", "f", "n", "bands"],
-            )
-
-    kept = picked(docs, doc_id="long", text="string")
-    return kept.select(_row_key(), "doc_id", "text").mapInArrow(
-        run, "k long, doc_id long, f long, n long, bands array<bigint>"
-    )
-
-
-def _bands(hashes: np.ndarray) -> np.ndarray:
-    if not len(hashes):
-        return np.zeros(BANDS, dtype=np.uint64)
-    least = np.full(len(_ORDERS), (1 << 64) - 1, dtype=np.uint64)
-    for start in range(0, len(hashes), 1 << 10):
-        part = hashes[start : start + (1 << 10)]
-        least = np.minimum(least, (_ORDERS[:, None] * part).min(axis=1))
-    rows = least.reshape(BANDS, ROWS)
-    out = np.arange(BANDS, dtype=np.uint64)
-    for r in range(ROWS):
-        out = (out ^ rows[:, r]) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(29)
-    return out
-
-
-def _shingles(size: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(t or "", size)).view(np.int64) for t in batch.column("text").to_pylist()]
-            arrays = [batch.column("f"), pa.array(sets, pa.list_(pa.int64()))]
-            yield pa.record_batch(arrays, ["f", "shingles"])
-
-    return run
-
-
-def similar_links(docs: DataFrame, marked: DataFrame, size: int, share: float) -> DataFrame:
-    """a, b: pairs of different sets f that agree on a band and have ``share`` of shingles in common.
-
-    Up to BUCKET sets with one band are all compared. More of them are compared with the smallest
-    first; then those that this has not connected are compared with each other, so no pair of a
-    large bucket is left out, and a large group of copies is not listed pair by pair.
-    """
-    classes = stored(marked.groupBy("f").agg(F.min("k").alias("k"), F.min("n").alias("n"), F.min("bands").alias("bands")), "sets")
-    keyed = classes.filter("n > 0").select("f", "n", F.posexplode("bands").alias("t", "key"))
-    buckets = stored(
-        keyed.groupBy("t", "key").agg(F.count("*").alias("many"), F.min(F.struct("f", "n")).alias("first")).filter("many > 1"),
-        "buckets",
-    )
-    members = stored(keyed.join(buckets, ["t", "key"]), "members")
-    near = F.least("an", "bn") >= F.lit(share) * F.greatest("an", "bn") - 1e-6  # no other sizes can reach the share
-    small = members.filter(F.col("many") <= BUCKET).groupBy("t", "key").agg(F.collect_set(F.struct("f", "n")).alias("fs"))
-    small = small.select(F.explode("fs").alias("x"), "fs").select("x", F.explode("fs").alias("y")).filter("x.f < y.f")
-    small = small.select("x.f", "y.f", "x.n", "y.n").toDF("a", "b", "an", "bn")
-    large = members.filter(F.col("many") > BUCKET)
-    star = large.filter("f <> first.f").select("first.f", "f", "first.n", "n").toDF("a", "b", "an", "bn")
-    pairs = stored(small.unionAll(star).filter(near).select("a", "b").distinct(), "pairs")
-
-    def checked(pairs: DataFrame) -> DataFrame:
-        asked = pairs.select(F.col("a").alias("f")).unionAll(pairs.select("b")).distinct()
-        rows = classes.join(asked, "f", "left_semi").select("f", "k")
-        texts = picked(docs, doc_id="long", text="string").select(_row_key(), "text")
-        texts = texts.join(rows, "k").dropDuplicates(["k", "f"]).select("f", "text")
-        sets = stored(texts.mapInArrow(_shingles(size), "f long, shingles array<bigint>"), "shingles")
-        both = pairs.join(sets.toDF("a", "as"), "a").join(sets.toDF("b", "bs"), "b")
-        common = F.size(F.array_intersect("as", "bs"))
-        counted = both.select("a", "b", common.alias("i"), (F.size("as") + F.size("bs") - common).alias("u"))
-        return stored(counted.filter(F.col("i") >= F.lit(share) * F.col("u") - 1e-6).select("a", "b"), "links")
-
-    found = checked(pairs)
-    if large.isEmpty():
-        return found
-    group = components(found).toDF("f", "c")
-    rest = large.join(group, "f", "left").select("t", "key", "f", "n", F.coalesce("c", "f").alias("c"))
-    split = rest.groupBy("t", "key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
-    rest = stored(rest.join(split.select("t", "key"), ["t", "key"]), "rest")
-    other = rest.toDF("t", "key", "b", "bn", "bc")
-    crossed = rest.toDF("t", "key", "a", "an", "ac").join(other, ["t", "key"]).filter("ac <> bc and a < b")
-    return found.unionAll(checked(stored(crossed.filter(near).select("a", "b").distinct(), "pairs")))
-
-
-def similar(docs: DataFrame, size: int = 5, share: float = 0.8) -> DataFrame:
-    """k, doc_id, c (the component) and component_id (its smallest doc_id) of all rows.
-
-    Linked are texts whose sets of shingles of ``size`` words have ``share`` or more of all their
-    shingles in common, counted exactly. Texts of fewer words are one shingle; texts without words
-    are copies of each other.
-    """
-    marked = stored(banded(docs, size), "bands")
-    found = components(similar_links(docs, marked, size, share)).toDF("f", "c")
-    prints = marked.groupBy("f").agg(F.min("doc_id").alias("least"))
-    groups = prints.join(found, "f", "left").withColumn("c", F.coalesce("c", "f"))
-    smallest = groups.groupBy("c").agg(F.min("least").alias("component_id"))
-    named = groups.join(smallest, "c").select("f", "c", "component_id")
-    return marked.select("k", "doc_id", "f").join(named, "f").select("k", "doc_id", "c", "component_id")
-
-
-def representatives(docs: DataFrame, size: int = 5, share: float = 0.8) -> DataFrame:
-    """The document of the smallest doc_id of each component of similar texts, with the columns of documents.
+def representatives(docs: DataFrame, size: int = SIZE) -> DataFrame:
+    """The document of the smallest doc_id of each component, with the columns of documents.
 
     Documents without doc_id have no smallest and are all kept. Of rows of one component that
-    repeat its doc_id one stays; different texts of one doc_id are in components of their own.
+    repeat its doc_id one stays; different texts of one doc_id that are not linked all stay, where
+    it is the smallest of their components.
     """
-    stay = similar(docs, size, share).filter("doc_id = component_id")
-    stay = stay.groupBy("doc_id", "c").agg(F.min("k").alias("k")).select("doc_id", "k")
+    marked = stored(fingerprints(docs, size), "fingerprints")
+    stay = marked.join(grouped(marked), "f").filter("doc_id = component_id")
+    stay = stored(stay.groupBy("doc_id", "c").agg(F.min("k").alias("k")).select("doc_id", "k").distinct(), "stay")
     kept = picked(docs, doc_id="long", text="string", lang="string", source="string", n_chars="long")
     keyed = kept.select("*", _row_key()).join(stay, ["doc_id", "k"]).dropDuplicates(["doc_id", "k"])
     return keyed.select(*kept.columns).unionAll(kept.filter("doc_id is null"))

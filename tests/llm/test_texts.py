@@ -290,35 +290,27 @@ def edited_copies():
     return [(i, " ".join(t)) for i, t in enumerate(texts)] + [(900, None), (901, "  "), (902, "One two")]
 
 
-def runs_of_five(text):
-    words = (text or "").lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def test_similar_texts_against_brute_force(spark, monkeypatch):
-    """Pairs of 0.8 or more in common, which differ in far more than two bits, are linked; no others are."""
+def test_representatives_of_edited_copies(spark):
+    """One text of each component of fingerprints at two bits stays, for copies edited more or less."""
     rows = edited_copies()
-    sets = {i: runs_of_five(t) for i, t in rows}
-    least = {i: i for i in sets}
-    for _ in sets:
+    prints = {i: plain_fingerprint(t) for i, t in rows}
+    least = {i: i for i in prints}
+    for _ in prints:
         before = dict(least)
-        for a in sets:
-            for b in sets:
-                both = len(sets[a] & sets[b])
-                if sets[a] == sets[b] or both >= 0.8 * len(sets[a] | sets[b]) > 0:
+        for a in prints:
+            for b in prints:
+                if (prints[a] ^ prints[b]).bit_count() <= 2:
                     least[a] = least[b] = min(least[a], least[b])
         if before == least:
             break
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
-        {"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(1), "f": F.lit(2), "k": F.lit(3)}
+        {"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(1), "f": F.lit(2), "k": F.lit(3), "c": F.lit(4)}
     )
-    for bucket in (32, 3):
-        monkeypatch.setattr(simhash, "BUCKET", bucket)
-        assert {r.doc_id: r.component_id for r in simhash.similar(docs).collect()} == least
-    kept = {r.doc_id for r in simhash.representatives(docs).collect()}
-    assert kept == set(least.values())
-    far = sum((plain_fingerprint(t) ^ plain_fingerprint(dict(rows)[least[i]])).bit_count() > 2 for i, t in rows)
-    assert far > 20
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert found == least and len(set(least.values())) < len(least) - 10
+    assert {r.doc_id for r in simhash.representatives(docs).collect()} == set(least.values())
+    by_word = {r.doc_id: r.fingerprint for r in simhash.near_duplicates(docs, size=1).collect()}
+    assert by_word[902] != f"{prints[902]:016x}" and by_word[900] == "0" * 16
 
 
 def test_components(spark):
