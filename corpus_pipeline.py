@@ -21,12 +21,12 @@ def recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share 0.8 of their runs of five words, the one of the smallest doc_id.
+    """Of documents linked by fingerprints of three words at two bits, the one of the smallest doc_id.
 
     Documents without doc_id are all kept. Of rows of one group that repeat its doc_id
     one stays.
     """
-    return simhash.representatives(docs, size=5, share=0.8)
+    return simhash.representatives(docs, size=3)
 
 
 def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
