@@ -32,9 +32,9 @@ BORDER = re.compile(r"(?<=[\w!-~])(?=\n| [\s\S])")
 #: Texts without it have borders at every space and line end.
 UNEVEN = re.compile(r"[^\w!-~][ \n]|\A[ \n]| \Z")
 #: Stretches a worker remembers before it starts anew, and the longest of them.
-MEMORY, LONGEST = 400_000, 200
-#: Characters of texts that are aligned together.
-GROUP = 4 << 20
+MEMORY, LONGEST = 250_000, 200
+#: Characters of texts that are aligned together, and new stretches that are encoded together.
+GROUP, ENCODED = 2 << 20, 8192
 
 
 class Vocabularies:
@@ -150,9 +150,10 @@ class Aligner:
             self.known.clear()
         cut = [self.stretches(t) for t in texts]
         new = list(set().union(*cut).difference(self.known))
-        found = self.both.align([s if s[0] in " \n" else " " + s for s in new])
-        fresh = {s: (f[0], f[1], f[2].tobytes(), f[3]) if f else None for s, f in zip(new, found, strict=True)}
-        self.known.update(fresh)
+        for k in range(0, len(new), ENCODED):
+            some = new[k : k + ENCODED]
+            found = self.both.align([s if s[0] in " \n" else " " + s for s in some])
+            self.known.update((s, (f[0], f[1], f[2].tobytes(), f[3]) if f else None) for s, f in zip(some, found, strict=True))
         out = []
         for text, parts in zip(texts, cut, strict=True):
             rows = list(map(self.known.__getitem__, parts))
@@ -162,7 +163,7 @@ class Aligner:
             else:
                 a, b, linked, groups = zip(*rows, strict=True)
                 out.append((sum(a), sum(b), b"".join(linked), ";".join(groups)))
-        for s in fresh:
+        for s in new:
             if len(s) > LONGEST:
                 del self.known[s]
         return out
