@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,31 @@ def picked(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`").cast(kind).alias(n) for n, kind in columns.items()])
 
 
+#: Lists that the paths of written steps are added to.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Add to ``paths`` what is written inside."""
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(paths)
+
+
+def released(paths: list[str], reader: DataFrame) -> list[str]:
+    """Delete written steps that ``reader`` does not read; those that it reads are returned."""
+    files = reader.inputFiles()
+    kept = [p for p in paths if any(p.rsplit("/", 1)[1] in f for f in files)]
+    spark = reader.sparkSession
+    for path in set(paths).difference(kept):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return kept
+
+
 #: Lets Spark delete a query's shuffle files when the query has ended.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -57,6 +83,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     The shuffle files of the written query are not needed again and go at once.
     """
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    for scope in _SCOPES:
+        scope.append(path)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:

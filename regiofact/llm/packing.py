@@ -33,12 +33,18 @@ K1, B = 1.2, 0.75
 CELLS = 16 << 20
 
 
+def width(path: str, end: int) -> str:
+    """Two bytes for each id where the vocabulary has no more, else four."""
+    return "<u2" if max(len(word_pieces(path).pieces) - 1, end) < 1 << 16 else "<u4"
+
+
 class Ids:
     """Ids of texts, with a worker's memory of tokens."""
 
     def __init__(self, path: str):
         self.pieces = word_pieces(path)
         self.known: dict[str, bytes] = {}
+        self.kind = width(path, 0)
 
     def of(self, text: str, end: int) -> np.ndarray:
         """The ids of a text and the id that ends every document."""
@@ -47,13 +53,14 @@ class Ids:
         tokens = self.pieces.tokens(text)
         new = list(set(tokens).difference(self.known))
         ids, sizes = self.pieces.encode_tokens(new)
-        data, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+        kind = np.dtype(self.kind)
+        data, ends = ids.astype(kind).tobytes(), (kind.itemsize * np.cumsum(sizes)).tolist()
         start = 0
         for token, stop in zip(new, ends, strict=True):
             self.known[token] = data[start:stop]
             start = stop
         joined = b"".join(map(self.known.__getitem__, tokens))
-        return np.frombuffer(joined + end.to_bytes(4, "little"), dtype="<u4")
+        return np.append(np.frombuffer(joined, dtype=kind), end)
 
 
 @lru_cache(maxsize=1)
@@ -174,35 +181,38 @@ PIECES = (
 )
 
 
-def _encoded(path: str, end: int):
+def _encoded(path: str, end: int, kind: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = ids_of(path)
         for ids, texts in texts_of(batches):
-            data = [known.of(t, end).tobytes() for t in texts]
+            data = [known.of(t, end).astype(kind).tobytes() for t in texts]
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(data, pa.binary())], ["doc_id", "ids"])
 
     return run
 
 
-def _held(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _held(kind: str):
     """A task's documents by term, and as terms -1 and -2 its documents and tokens."""
-    held, docs, tokens = np.zeros(0, dtype=np.int64), 0, 0
-    for batch in batches:
-        parts = [np.unique(np.frombuffer(d.as_buffer(), "<u4")) for d in batch.column("ids")]
-        if not parts:
-            continue
-        more = np.bincount(np.concatenate(parts).astype(np.int64), minlength=len(held))
-        more[: len(held)] += held
-        held, docs = more, docs + len(parts)
-        tokens += sum(d.as_buffer().size // 4 for d in batch.column("ids"))
-    terms = np.nonzero(held)[0]
-    arrays = [np.concatenate([[-1, -2], terms]), np.concatenate([[docs, tokens], held[terms]])]
-    yield pa.record_batch([pa.array(a.astype(np.int64)) for a in arrays], ["term", "held"])
-
-
-def _corpus(encoded: DataFrame) -> Corpus:
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, docs, tokens = np.zeros(0, dtype=np.int64), 0, 0
+        for batch in batches:
+            rows = [np.frombuffer(d.as_buffer(), kind) for d in batch.column("ids")]
+            if not rows:
+                continue
+            more = np.bincount(np.concatenate([np.unique(r) for r in rows]).astype(np.int64), minlength=len(held))
+            more[: len(held)] += held
+            held, docs, tokens = more, docs + len(rows), tokens + sum(map(len, rows))
+        terms = np.nonzero(held)[0]
+        arrays = [np.concatenate([[-1, -2], terms]), np.concatenate([[docs, tokens], held[terms]])]
+        yield pa.record_batch([pa.array(a.astype(np.int64)) for a in arrays], ["term", "held"])
+
+    return run
+
+
+def _corpus(encoded: DataFrame, kind: str) -> Corpus:
     """The figures of all documents; what reaches the driver is bounded by the vocabulary."""
-    counts = encoded.select("ids").mapInArrow(_held, "term long, held long").groupBy("term").agg(F.sum("held").alias("held"))
+    counts = encoded.select("ids").mapInArrow(_held(kind), "term long, held long").groupBy("term").agg(F.sum("held").alias("held"))
     found = {r["term"]: r["held"] for r in counts.collect()}
     docs, tokens = found.pop(-1, 0), found.pop(-2, 0)
     held = np.zeros(max(found, default=-1) + 1, dtype=np.int64)
@@ -210,7 +220,7 @@ def _corpus(encoded: DataFrame) -> Corpus:
     return Corpus(held, docs, tokens)
 
 
-def _placed(shared):
+def _placed(shared, kind: str):
     """Documents with their two heaviest terms among those that other documents have."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +228,7 @@ def _placed(shared):
         for batch in batches:
             tops = []
             for d in batch.column("ids"):
-                ids = np.frombuffer(d.as_buffer(), "<u4")
+                ids = np.frombuffer(d.as_buffer(), kind)
                 terms, times = np.unique(ids, return_counts=True)
                 some = corpus.shared[terms]
                 terms, times = terms[some], times[some]
@@ -233,7 +243,7 @@ def _placed(shared):
     return run
 
 
-def _shards(window: int, shared, most: int):
+def _shards(window: int, shared, most: int, kind: str):
     names = [f.split()[0] for f in PIECES.split(", ")]
 
     def groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
@@ -241,7 +251,7 @@ def _shards(window: int, shared, most: int):
         for batch in batches:
             for i, d in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
                 ids.append(i)
-                docs.append(np.frombuffer(d.as_py(), "<u4"))
+                docs.append(np.frombuffer(d.as_py(), kind))
                 size += len(docs[-1])
                 if size >= most:
                     yield ids, docs
@@ -254,7 +264,7 @@ def _shards(window: int, shared, most: int):
         for ids, docs in groups(batches):
             rows = [
                 (
-                    ids[d], start, length, zlib.crc32(docs[d][start : start + length]), len(docs[d]),
+                    ids[d], start, length, zlib.crc32(docs[d][start : start + length].astype("<u4")), len(docs[d]),
                     sequences + sequence, offset,
                 )
                 for d, start, length, sequence, offset in pack(docs, window, shared.value)
@@ -273,14 +283,16 @@ def packed(docs: DataFrame, path: str, window: int = 4096, end: int = 2, shard:
     is empty, so it is the one id ``end``. Repeated rows are packed each; a null doc_id stays
     null. Numbers of sequences are unique over all shards, of about ``shard`` ids each.
     """
+    kind = width(path, end)
     texts = picked(docs, doc_id="long", text="string")
-    encoded = stored(texts.mapInArrow(_encoded(path, end), "doc_id long, ids binary"), "ids")
-    corpus = _corpus(encoded)
+    encoded = stored(texts.mapInArrow(_encoded(path, end, kind), "doc_id long, ids binary"), "ids")
+    corpus = _corpus(encoded, kind)
     shared = docs.sparkSession.sparkContext.broadcast(corpus)
-    placed = encoded.mapInArrow(_placed(shared), "doc_id long, ids binary, top long, second long")
+    terms = encoded.mapInArrow(_placed(shared, kind), "doc_id long, ids binary, top long, second long")
+    terms = stored(terms, "placed")  # the bounds of ranges are sampled from them before they are dealt
     order = ("top", "second", F.xxhash64("ids"), "doc_id")
-    dealt = placed.repartitionByRange(-(-corpus.tokens // shard) or 1, *order).sortWithinPartitions(*order)
-    return dealt.select("doc_id", "ids").mapInArrow(_shards(window, shared, shard * 3 // 2), PIECES)
+    dealt = terms.repartitionByRange(-(-corpus.tokens // shard) or 1, *order).sortWithinPartitions(*order)
+    return dealt.select("doc_id", "ids").mapInArrow(_shards(window, shared, shard * 3 // 2, kind), PIECES)
 
 
 @query()
