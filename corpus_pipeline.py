@@ -7,19 +7,45 @@ are removed, secrets are replaced by a mark, and what is left is packed into seq
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from regiofact.llm import language, packing, secrets, simhash, suffix_dedup
-from regiofact.llm.base import picked, query, stored, table, tokenizer
+from regiofact.llm.base import picked, query, recorded, released, stored, table, tokenizer
 
 COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: What the stages of the latest run wrote on their way.
+_WRITTEN: list[str] = []
+
+
+def stage(function: Stage) -> Stage:
+    """A stage that first deletes what earlier stages of its run wrote and its documents don't read.
+
+    So the folder of written steps holds the last complete stage, from which a run can go on, and
+    the steps of the present one.
+    """
+
+    @wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        first = function.__name__ == STAGES[0][1].__name__  # another run's steps are its own
+        _WRITTEN[:] = [] if first else released(_WRITTEN, docs)
+        with recorded(_WRITTEN):
+            return function(spark, docs, sf_dir)
+
+    return run
+
 
+@stage
 def recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; the model learns from four fifths of them."""
     return language.accepted(docs, language.fit(docs))
 
 
+@stage
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by fingerprints of three words at two bits, the one of the smallest doc_id.
 
@@ -29,16 +55,19 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return simhash.representatives(docs, size=3)
 
 
+@stage
 def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that repeat; emptied documents stay, as empty texts."""
     return suffix_dedup.shortened(docs)
 
 
+@stage
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their secrets replaced by a mark."""
     return secrets.redacted(docs)
 
 
+@stage
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, packed into sequences of at most 4096 tokens."""
     return packing.packed(docs, tokenizer("word_bpe_49k.json"))
@@ -59,8 +88,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = picked(table(spark, sf_dir, "documents"), **COLUMNS)
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    for name, step in STAGES:
+        lazy = step(spark, docs, sf_dir)
+        with recorded(_WRITTEN):
+            docs = stored(lazy, name)
     return docs
 
 
