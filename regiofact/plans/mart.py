@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,15 @@ def extend_dictionaries(known: Dictionaries, facts: DataFrame) -> Dictionaries:
     )
 
 
+def new_texts(known: Dictionaries, facts: DataFrame) -> DataFrame:
+    """(kind, text) of the facts that no dictionary has yet; kinds are named like the dictionaries."""
+    texts = [
+        getattr(known, f.name).select(F.lit(f.name).alias("kind"), F.col(getattr(known, f.name).columns[1]).alias("text"))
+        for f in fields(known)
+    ]
+    return collect_texts(facts).join(reduce(DataFrame.unionAll, texts), ["kind", "text"], "left_anti")
+
+
 def encode(facts: DataFrame, dims: Dictionaries) -> DataFrame:
     """Add the ids of source, group names and group values; unknown texts give NULL."""
     out = lookup_column(facts, dims.source, "source", "source", {"id": "source_id"})

@@ -7,8 +7,10 @@ from dataclasses import fields
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from regiofact.config import AtlasIndicator, CubeFamily, MeasureSpec
+from regiofact.operators.dictionaries import extend_dictionary
 from regiofact.operators.measures import expand_measures
 from regiofact.plans.indicators import build_atlas_indicators, build_cube_indicators
 from regiofact.plans.mart import (
@@ -16,12 +18,21 @@ from regiofact.plans.mart import (
     build_mart,
     extend_dictionaries,
     new_dictionaries,
+    new_texts,
 )
 from regiofact.plans.staging import typecast
 from regiofact.schemas import INTM, INTM_MEASURED, MART
 from regiofact.session import materialize
-from regiofact.sources.files import clear_indicators, write_mart
-from regiofact.sources.versions import read_version, write_version
+from regiofact.sources.files import clear_indicators, mart_writer, write_mart
+from regiofact.sources.releases import (
+    Release,
+    Save,
+    read_release,
+    released_mart,
+    released_table,
+    save_parquet,
+    write_release,
+)
 
 
 def measured(
@@ -80,16 +91,10 @@ def publish(
     return dims
 
 
-def save_dictionaries(dims: Dictionaries, path: str) -> None:
-    """Write the dictionaries as new versions; readers see the newest."""
-    for field in fields(dims):
-        write_version(getattr(dims, field.name), f"{path}/{field.name}")
-
-
-def saved_dictionaries(spark: SparkSession, path: str) -> Dictionaries:
-    """The newest written dictionaries, or those of an empty warehouse."""
-    found = {f.name: read_version(spark, f"{path}/{f.name}") for f in fields(Dictionaries)}
+def released_dictionaries(spark: SparkSession, root: str, release: Release) -> Dictionaries:
+    """The dictionaries of a release, or those of an empty warehouse."""
     new = new_dictionaries(spark)
+    found = {f.name: released_table(spark, root, release, f"dictionaries/{f.name}") for f in fields(Dictionaries)}
     return Dictionaries(**{n: getattr(new, n) if df is None else df for n, df in found.items()})
 
 
@@ -99,8 +104,43 @@ def publish_to(
     root: str,
     contract: Mapping[str, str] = MART,
     indicators: Iterable[int] | None = None,
-) -> Dictionaries:
-    """Publish into a stored warehouse: ids once given are kept over all publications."""
-    dims = publish(parts, saved_dictionaries(spark, f"{root}/dictionaries"), f"{root}/mart", contract, indicators)
-    save_dictionaries(dims, f"{root}/dictionaries")
-    return dims
+    save: Save = save_parquet,
+) -> Release:
+    """Publish into a stored warehouse as one release; ids once given are kept over all of them.
+
+    Dictionaries that have new texts, then the facts, are written as new versions, and the record
+    that makes them the ones to read is written last. Indicators of other loads stay where
+    they are. With ``indicators``, those of the load's configuration, an indicator that has no
+    rows any more is in the release no longer. One writer at a time.
+    """
+    last = read_release(spark, root)
+    known = released_dictionaries(spark, root, last)
+    facts = materialize(reduce(DataFrame.unionByName, parts))
+    fresh = materialize(new_texts(known, facts))
+    # three kinds, and as many indicators as are configured
+    changed = {r[0] for r in fresh.select("kind").distinct().collect()}
+    held = {r[0] for r in facts.select("indicator_id").distinct().collect()}
+    tables = dict(last.tables)
+    for f in fields(known):
+        name = f"dictionaries/{f.name}"
+        if f.name in changed or name not in tables:
+            dictionary = getattr(known, f.name)
+            texts = fresh.filter(F.col("kind") == f.name).select(F.col("text").alias(dictionary.columns[1]))
+            save(extend_dictionary(dictionary, texts).write, f"{root}/{name}/version={last.next}")
+            tables[name] = last.next
+    bound = Release(last.next, tables)
+    rows = build_mart(facts, released_dictionaries(spark, root, bound), contract)
+    if held:
+        save(mart_writer(rows), f"{root}/mart/version={last.next}")
+    kept = {i: v for i, v in last.indicators.items() if i not in set(indicators or ())}
+    release = Release(last.next, tables, kept | dict.fromkeys(held, last.next))
+    write_release(spark, root, release, save)
+    return release
+
+
+def released_warehouse(
+    spark: SparkSession, root: str, contract: Mapping[str, str] = MART, number: int | None = None
+) -> tuple[DataFrame, Dictionaries]:
+    """Facts and dictionaries that belong together, of the newest release or an older one."""
+    release = read_release(spark, root, number)
+    return released_mart(spark, root, release, contract), released_dictionaries(spark, root, release)

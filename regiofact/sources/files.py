@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from regiofact.functions.geometry import GEOMETRY_TYPE, to_geojson, to_wkb, to_wkt
@@ -94,21 +94,20 @@ def write_snapshot_year(df: DataFrame, path: str, year: int | None = None) -> No
     )
 
 
-def write_mart(df: DataFrame, path: str) -> None:
-    """Write fact rows as one partition per indicator.
+def mart_writer(df: DataFrame) -> DataFrameWriter:
+    """A writer of fact rows as one partition per indicator.
 
     Rows are gathered by indicator; the rebalance hint lets adaptive execution split a
     large indicator over many tasks and files and merge small ones. Files are sorted by
-    area for min/max skipping. Only the partitions in ``df`` are replaced.
+    area for min/max skipping.
     """
-    (
-        df.hint("rebalance", "indicator_id")
-        .sortWithinPartitions("indicator_id", "geo_code", "geo_value")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("indicator_id")
-        .parquet(path)
-    )
+    rows = df.hint("rebalance", "indicator_id").sortWithinPartitions("indicator_id", "geo_code", "geo_value")
+    return rows.write.partitionBy("indicator_id")
+
+
+def write_mart(df: DataFrame, path: str) -> None:
+    """Write fact rows by indicator. Only the partitions in ``df`` are replaced."""
+    mart_writer(df).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def clear_indicators(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,16 +16,3 @@ def latest_version(spark: SparkSession, path: str) -> int | None:
             return None
         raise
     return versions.agg(F.max("version")).first()[0]
-
-
-def write_version(df: DataFrame, path: str) -> int:
-    """Write the next version and return its number. One writer at a time."""
-    number = (latest_version(df.sparkSession, path) or 0) + 1
-    df.write.parquet(f"{path}/version={number}")
-    return number
-
-
-def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
-    """One version of a table, the newest by default; None before the first."""
-    last = latest_version(spark, path) if version is None else version
-    return None if last is None else spark.read.parquet(f"{path}/version={last}")

@@ -30,10 +30,11 @@ from regiofact.plans.queries import (
     topic_edges,
 )
 from regiofact.plans.staging import typecast
-from regiofact.plans.warehouse import measured, publish, publish_to, saved_dictionaries
+from regiofact.plans.warehouse import measured, publish, publish_to, released_warehouse
 from regiofact.schemas import INTM_MEASURED, MART, widened
 from regiofact.session import materialize, new_path
 from regiofact.sources.files import read_mart
+from regiofact.sources.releases import save_parquet
 from workloads.base import (
     PEOPLE,
     SALES,
@@ -429,9 +430,12 @@ def decoded_with_hierarchy(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------------------
 # A warehouse that is published twice from storage.
+def _facts(spark: SparkSession, d: str) -> DataFrame:
+    return materialize(measured(sales(spark, d), people(spark, d), None, WIDE_FACT))
+
+
 def _twice(spark: SparkSession, d: str, first: str, second: str, indicators=None) -> str:
-    root = new_path(spark, "warehouse")
-    facts = measured(sales(spark, d), people(spark, d), None, WIDE_FACT)
+    root, facts = new_path(spark, "warehouse"), _facts(spark, d)
     publish_to(spark, [facts.filter(first)], root, WIDE_MART)
     publish_to(spark, [facts.filter(second)], root, WIDE_MART, indicators)
     return root
@@ -445,7 +449,7 @@ def _twice(spark: SparkSession, d: str, first: str, second: str, indicators=None
 def dictionary_published_twice(spark: SparkSession, d: str) -> DataFrame:
     """Sources keep their ids when a second publication brings earlier ones in the alphabet."""
     root = _twice(spark, d, "indicator_id >= 103", "true")
-    return saved_dictionaries(spark, f"{root}/dictionaries").source
+    return released_warehouse(spark, root, WIDE_MART)[1].source
 
 
 @entry(
@@ -455,5 +459,51 @@ def dictionary_published_twice(spark: SparkSession, d: str) -> DataFrame:
 def emptied_indicator(spark: SparkSession, d: str) -> DataFrame:
     """An indicator without rows in the second publication has none in the mart."""
     root = _twice(spark, d, "true", "indicator_id <> 103", range(101, 106))
-    mart = read_mart(spark, f"{root}/mart", WIDE_MART)
+    mart, _ = released_warehouse(spark, root, WIDE_MART)
     return mart.groupBy("indicator_id").agg(F.count("*").alias("n"))
+
+
+class Interrupted(Exception):
+    """Ends a publication where a driver would have died."""
+
+
+def _ends_after(writes: int):
+    """A way of writing that does ``writes`` tables, then part of the next one, and ends."""
+    left = [writes]
+
+    def save(writer, path):
+        left[0] -= 1
+        if left[0] < 0:
+            raise Interrupted(path)
+        save_parquet(writer, path)
+
+    return save
+
+
+@entry(
+    f"""WITH {SALES}, seen AS (
+        SELECT * FROM (VALUES (0), (1), (2), (3)) w(after_writes)
+    ) SELECT CAST(after_writes AS BIGINT) AS after_writes, CAST(indicator_id AS BIGINT) AS indicator_id, source, count(*) AS n,
+             round(sum(CAST(v AS DOUBLE)), 2) AS total
+      FROM sales, seen WHERE CASE WHEN after_writes < 3 THEN indicator_id >= 103 ELSE indicator_id <> 104 END GROUP BY 1, 2, 3"""
+)
+def publication_interrupted(spark: SparkSession, d: str) -> DataFrame:
+    """What readers see while a second publication ends after each of its writes, and when it succeeds.
+
+    The second load has other sources, which come first in the alphabet, and none of one indicator.
+    Its writes are the dictionary of sources, the facts, and the record of the release.
+    """
+    root, facts = new_path(spark, "warehouse"), _facts(spark, d)
+    publish_to(spark, [facts.filter("indicator_id >= 103")], root, WIDE_MART)
+    states = []
+    for writes in range(4):
+        try:
+            publish_to(spark, [facts.filter("indicator_id <> 104")], root, WIDE_MART, range(101, 106), _ends_after(writes))
+        except Interrupted:
+            pass
+        mart, dictionaries = released_warehouse(spark, root, WIDE_MART)
+        rows = decode(mart, dictionaries).groupBy("indicator_id", "source")
+        states.append(rows.agg(F.count("*").alias("n"), F.sum("indicator_value_numeric").alias("total")).select(
+            F.lit(writes).alias("after_writes"), "indicator_id", "source", "n", F.round("total", 2).alias("total")
+        ))
+    return reduce(DataFrame.unionAll, states)
