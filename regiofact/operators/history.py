@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -9,6 +10,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regiofact.sources.versions import latest_version
 
@@ -107,12 +109,29 @@ def scd2_apply(
     return closed.unionByName(changes, allowMissingColumns=True)
 
 
+#: Parts of a written version: rows it opens, marks that close earlier ones, rows folded when closed.
+OPENED, MARKS, DONE = "opened", "marks", "done"
+
+
 @dataclass(frozen=True)
-class HistoryTable:
-    """A written history: a load reads the open rows only, and closed rows are never rewritten.
+class HistoryState:
+    """The newest load of a written history, the version its files start from, and its columns."""
+
+    number: int = 0
+    base: int = 1
+    columns: T.StructType | None = None
+
 
-    Every load writes one version, split into the rows it left open and those it closed. The
-    history is the open rows of the newest version and the closed rows of all of them.
+@dataclass(frozen=True)
+class HistoryTable:
+    """A written history whose loads write what they change only.
+
+    A load is one version: the rows it opens, and for each row it closes a mark of its key, the
+    version it was opened in, and the time. It reads the key and the compared columns of the
+    open rows. Reading joins the marks to the rows. A record written last names the newest version,
+    the one to start from, and the columns, so no file footer is read for its schema, and a load
+    that ends early leaves the state before it. ``fold`` writes the history as one version.
+    One writer at a time.
     """
 
     spark: SparkSession
@@ -121,28 +140,106 @@ class HistoryTable:
     check_cols: tuple[str, ...]
 
     def load(self, incoming: DataFrame, now: str, hard_deletes: bool = True) -> None:
-        """Apply one load as a new version. One writer at a time."""
-        last = latest_version(self.spark, self.path)
-        if last is None:
-            rows = open_history(incoming, now)
+        """Apply one load as a new version."""
+        last = self.state()
+        if last.columns is None:
+            rows, columns = incoming.withColumn("_closes", F.lit(None).cast("int")), incoming.schema
         else:
-            open_rows = self._versions().filter((F.col("version") == last) & (F.col("is_open") == 1))
-            rows = scd2_changes(
-                open_rows.drop("version", "is_open"), incoming, self.key, self.check_cols, now, hard_deletes
-            )
-        split = rows.withColumn("is_open", F.col(VALID_TO).isNull().cast("int"))
-        split.write.partitionBy("is_open").parquet(f"{self.path}/version={(last or 0) + 1}")
+            known = set(last.columns.names)
+            columns = T.StructType([*last.columns, *(f for f in incoming.schema if f.name not in known)])
+            rows = self._changes(last, incoming, columns, hard_deletes)
+        moment, never = _timestamp(now), F.lit(None).cast("timestamp_ntz")
+        opens = F.col("_closes").isNull()
+        stamped = rows.select(
+            *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in columns],
+            F.when(opens, moment).alias(VALID_FROM), F.when(opens, never).otherwise(moment).alias(VALID_TO),
+            "_closes", F.when(opens, OPENED).otherwise(MARKS).alias("_part"),
+        )
+        self._write(stamped, HistoryState(last.number + 1, last.base, columns))
 
     def read(self, version: int | None = None) -> DataFrame:
         """The history as of a version, the newest by default."""
-        last = latest_version(self.spark, self.path) if version is None else version
-        kept = ((F.col("version") == last) & (F.col("is_open") == 1)) | (
-            (F.col("version") <= last) & (F.col("is_open") == 0)
+        state = self.state(version)
+        rows = self._files(state)
+        names = [*state.columns.names, VALID_FROM, VALID_TO]
+        opened = rows.filter(F.col("_part") == OPENED).join(self._marks(rows), self._same(), "left")
+        until = F.coalesce("_until", VALID_TO).alias(VALID_TO)
+        done = rows.filter(F.col("_part") == DONE)
+        return opened.select(*names[:-1], until).unionAll(done.select(*names))
+
+    def current(self, version: int | None = None) -> DataFrame:
+        """The rows still open, without reading those that have been closed and folded."""
+        state = self.state(version)
+        return self._open(state).select(*state.columns.names, VALID_FROM, VALID_TO)
+
+    def fold(self) -> None:
+        """Write the history as one version, from which reading starts. Nothing is removed."""
+        last = self.state()
+        part = F.when(F.col(VALID_TO).isNull(), OPENED).otherwise(DONE)
+        rows = self.read().withColumns({"_closes": F.lit(None).cast("int"), "_part": part})
+        self._write(rows, HistoryState(last.number + 1, last.number + 1, last.columns))
+
+    def state(self, version: int | None = None) -> HistoryState:
+        """What the record of a version says, the newest by default."""
+        last = latest_version(self.spark, f"{self.path}/loads") if version is None else version
+        if not last:
+            return HistoryState()
+        row = self.spark.read.parquet(f"{self.path}/loads/version={last}").first()
+        return HistoryState(last, row.base, T.StructType.fromJson(json.loads(row.columns)))
+
+    def written(self) -> DataFrame:
+        """How many rows and marks every version has written: version, part, n."""
+        counted = self._files(self.state(), 1).groupBy(F.col("_version").alias("version"), F.col("_part").alias("part"))
+        return counted.agg(F.count(F.lit(1)).alias("n"))
+
+    def _changes(self, last: HistoryState, incoming: DataFrame, columns: T.StructType, hard_deletes: bool) -> DataFrame:
+        """The load's columns and _closes: rows to open have none, marks the version they close."""
+        compared = [c for c in self.check_cols if c in incoming.columns and c in last.columns.names]
+        added = [c for c in self.check_cols if c in incoming.columns and c not in last.columns.names]
+        before = self._open(last).select(
+            F.col(self.key).alias("_key"), F.struct(F.col("_version"), *compared).alias("_old")
         )
-        return self._versions().filter(kept).drop("version", "is_open")
-
-    def _versions(self) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path)
+        kinds = {f.name: f.dataType for f in columns}
+        sides = [(F.col(f"`{n}`") if n in incoming.columns else F.lit(None)).cast(k).alias(n) for n, k in kinds.items()]
+        after = incoming.select(F.col(self.key).cast(kinds[self.key]).alias("_key"), F.struct(*sides).alias("_new"))
+        both = before.join(after, "_key", "full_outer")
+        has_old, has_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+        differs = [~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in compared]
+        differs += [F.col(f"_new.{c}").isNotNull() for c in added]
+        changed = has_old & has_new & reduce(or_, differs, F.lit(False))
+        gone = (has_old & ~has_new) if hard_deletes else F.lit(False)
+        only_key = [(F.col("_key") if n == self.key else F.lit(None)).cast(k).alias(n) for n, k in kinds.items()]
+        opened = F.struct(*[F.col(f"_new.`{n}`").alias(n) for n in kinds], F.lit(None).cast("int").alias("_closes"))
+        closed = F.struct(*only_key, F.col("_old._version").alias("_closes"))
+        rows = F.array(F.when(changed | gone, closed), F.when(has_new & (~has_old | changed), opened))
+        return both.select(F.explode(rows).alias("r")).filter("r is not null").select("r.*")
+
+    def _files(self, state: HistoryState, base: int | None = None) -> DataFrame:
+        kinds = [*state.columns, *self._stamps()]
+        folders = [f"{self.path}/rows/_version={v}" for v in range(base or state.base, state.number + 1)]
+        reader = self.spark.read.schema(T.StructType(kinds).add("_version", T.IntegerType()).add("_part", T.StringType()))
+        return reader.option("basePath", f"{self.path}/rows").parquet(*folders)
+
+    @staticmethod
+    def _stamps() -> T.StructType:
+        return T.StructType().add(VALID_FROM, T.TimestampNTZType()).add(VALID_TO, T.TimestampNTZType()).add("_closes", T.IntegerType())
+
+    def _marks(self, rows: DataFrame) -> DataFrame:
+        marks = rows.filter(F.col("_part") == MARKS)
+        return marks.select(F.col(self.key).alias("_marked"), F.col("_closes").alias("_of"), F.col(VALID_TO).alias("_until"))
+
+    def _same(self) -> Column:
+        return F.col(self.key).eqNullSafe(F.col("_marked")) & (F.col("_version") == F.col("_of"))
+
+    def _open(self, state: HistoryState) -> DataFrame:
+        rows = self._files(state)
+        return rows.filter(F.col("_part") == OPENED).join(self._marks(rows), self._same(), "left_anti")
+
+    def _write(self, rows: DataFrame, state: HistoryState) -> None:
+        rows.write.mode("overwrite").partitionBy("_part").parquet(f"{self.path}/rows/_version={state.number}")
+        record = [(state.base, json.dumps(state.columns.jsonValue()))]
+        record = self.spark.createDataFrame(record, "base int, columns string").coalesce(1)
+        record.write.mode("overwrite").parquet(f"{self.path}/loads/version={state.number}")
 
 
 def current_rows(history: DataFrame) -> DataFrame:

@@ -501,6 +501,45 @@ def history_five_loads(spark: SparkSession, d: str) -> DataFrame:
     return history.read()
 
 
+_FIVE = f"WITH {LINES}, {', '.join(_book_sql(n) for n in range(5))}, {_FIRST}, " + ", ".join(
+    _next_sql(f"h{n - 1}", f"b{n}", DAYS[n], f"h{n}") for n in range(1, 5)
+)
+
+
+def _written(spark: SparkSession, d: str, folds: tuple[int, ...] = ()) -> HistoryTable:
+    history = HistoryTable(spark, new_path(spark, "history"), "k", ("shipped", "amount"))
+    for n, day in enumerate(DAYS):
+        history.load(_book(spark, d, n), day)
+        if n in folds:
+            history.fold()
+    return history
+
+
+@entry(f"{_FIVE} {_shown('h4')}")
+def history_folded(spark: SparkSession, d: str) -> DataFrame:
+    """The order book over five loads, folded into one version after the third and the last."""
+    return _written(spark, d, (2, 4)).read()
+
+
+@entry(f"{_FIVE} {_shown('h4', 'valid_to IS NULL')}")
+def history_open_after_fold(spark: SparkSession, d: str) -> DataFrame:
+    """The rows still open after five loads, with a fold in between."""
+    return _written(spark, d, (2,)).current()
+
+
+@entry(
+    f"""{_FIVE} SELECT CAST(version AS BIGINT) AS version, part, count(*) AS n FROM (
+        SELECT v.version, 'opened' AS part FROM h4 JOIN days v ON h4.valid_from = v.day
+        UNION ALL SELECT v.version, 'marks' FROM h4 JOIN days v ON h4.valid_to = v.day
+    ) GROUP BY ALL""".replace(
+        "WITH ", "WITH days AS (SELECT * FROM (VALUES " + ", ".join(f"({n}, TIMESTAMP '{day}')" for n, day in enumerate(DAYS, 1)) + ") t(version, day)), ", 1
+    )
+)
+def history_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that each of five loads has written: those it opened, and marks of those it closed."""
+    return _written(spark, d).written()
+
+
 @entry(
     f"WITH {LINES}, {_book_sql(0)}, {_book_sql(1)}, {_FIRST}, {_next_sql('h0', 'b1', DAYS[1], 'h1', False)} {_shown('h1')}"
 )
