@@ -12,7 +12,7 @@ from regiofact.config import GroupSpec
 from regiofact.schemas import GROUP_TOTAL, GROUPS
 
 
-def map_total(c: Column, total_value: str) -> Column:
+def map_total(c: Column, total_value: str | Column) -> Column:
     """The source's own total label becomes the reserved one."""
     return F.when(c == total_value, GROUP_TOTAL).otherwise(c.cast("string"))
 

@@ -18,10 +18,11 @@ from regiofact.config import (
     WideIndicators,
 )
 from regiofact.functions.dates import period_bounds, year_end
-from regiofact.operators.filters import any_pattern, known_level, publishable, rules_hold
+from regiofact.operators.filters import known_level, publishable
 from regiofact.operators.history import VALID_FROM, VALID_TO, backfill_window, current_rows
 from regiofact.operators.joins import map_code
-from regiofact.operators.reshape import distinct_on, fan_out, melt
+from regiofact.operators.reshape import distinct_on, melt
+from regiofact.operators.rules import TESTS, Options, any_of, apply_rules, rule_table, tests_hold, tests_of
 from regiofact.operators.totals import build_totals, group_columns, map_total
 from regiofact.plans.staging import typecast
 from regiofact.schemas import GROUPS, INTM, KEY_NOGROUPS, VALUE_TYPE
@@ -43,19 +44,11 @@ def route_value(c: Column, is_numeric: bool) -> dict[str, Column]:
     }
 
 
-def _cube_columns(cfg: CubeIndicator) -> dict[str, Column]:
+def routed_value(c: Column, is_numeric: Column) -> dict[str, Column]:
+    """The same where a rule's data says which; only values that go to the number are cast."""
     return {
-        "indicator_id": F.lit(cfg.indicator_id),
-        "geo_code": F.col("geo_code"),
-        "geo_value": F.col("geo_value"),
-        "knowledge_date_from": F.col(VALID_FROM),
-        "knowledge_date_to": F.col(VALID_TO),
-        "period_type": F.lit(cfg.period_type),
-        "period_code": F.lit(cfg.period_code),
-        **period_bounds(F.col("year_from"), F.col("year_to"), cfg.period_type),
-        **group_columns(cfg.grouping, cfg.build_total_value),
-        **route_value(F.col("indicator_value"), cfg.is_numeric),
-        "source": F.col("source"),
+        "indicator_value_numeric": F.when(is_numeric, c.cast(VALUE_TYPE)),
+        "indicator_value_text": F.when(~is_numeric, c.cast("string")),
     }
 
 
@@ -64,7 +57,8 @@ def build_cube_indicators(
 ) -> DataFrame:
     """Indicators of a cube history, with the configured group totals.
 
-    Indicators that need the same kind of total, or none, share one pass.
+    Indicators that need the same kind of total, or none, share one pass. Their filters are
+    resolved on the distinct values of the columns they look at.
     """
     families: dict[tuple[int, str] | None, list[CubeIndicator]] = {}
     for cfg in indicators:
@@ -73,65 +67,110 @@ def build_cube_indicators(
 
     parts = []
     for kind, members in families.items():
-        rows = fan_out(history, [(rules_hold(m.filter_and), _cube_columns(m)) for m in members])
+        rows = _cube_rows(history, members)
         parts.append(build_totals(rows, *kind) if kind else rows)
     out = reduce(DataFrame.unionByName, parts).filter(publishable())
     return typecast(out.withColumn("_etl_version", F.lit(1)), contract)
 
 
-def _expression(text: str | None, default: Column) -> Column:
-    return (F.expr(text) if text else default).cast("date")
+def _cube_rows(history: DataFrame, cfgs: Sequence[CubeIndicator]) -> DataFrame:
+    shapes = Options()
+    rules = rule_table(
+        history.sparkSession,
+        [
+            (
+                c.indicator_id, c.period_type, c.period_code, c.is_numeric,
+                shapes.number((tuple(c.grouping), c.build_total_value)), tests_of(c.filter_and),
+            )
+            for c in cfgs
+        ],
+        f"indicator_id int, period_type string, period_code string, is_numeric boolean, shape int, {TESTS}",
+    )
+    names = sorted({f.column for c in cfgs for f in c.filter_and})
+    rows = apply_rules(history, names, rules, lambda r: tests_hold(r["tests"], names))
+    rule = F.col("_rule")
+    groups = {name: shapes.choose(rule["shape"], lambda s, name=name: group_columns(*s)[name]) for name in _no_groups()}
+    period = rule["period_type"]
+    bounds = {kind: period_bounds(F.col("year_from"), F.col("year_to"), kind) for kind in sorted({c.period_type for c in cfgs})}
+    dates = {
+        name: reduce(lambda c, k, name=name: F.when(period == k, bounds[k][name]).otherwise(c), bounds, F.lit(None).cast("date"))
+        for name in ("period_ref_from", "period_ref")
+    }
+    numeric = rule["is_numeric"]
+    return rows.select(
+        rule["indicator_id"].alias("indicator_id"), "geo_code", "geo_value",
+        F.col(VALID_FROM).alias("knowledge_date_from"), F.col(VALID_TO).alias("knowledge_date_to"),
+        rule["period_type"].alias("period_type"), rule["period_code"].alias("period_code"),
+        *[c.alias(n) for n, c in {**dates, **groups, **routed_value(F.col("indicator_value"), numeric)}.items()],
+        "source",
+    )
 
 
-def _atlas_columns(cfg: AtlasIndicator, **own: Column) -> dict[str, Column]:
-    groups = _no_groups()
-    return {
-        "indicator_id": F.lit(cfg.indicator_id),
+def _dates(options: Options, index: Column, default: Column) -> Column:
+    """The date that the expression of a rule makes, or the default where it has none."""
+    return options.choose(index, lambda text: (F.expr(text) if text else default).cast("date"))
+
+
+def _atlas_rows(rows: DataFrame, version: int, **own: Column) -> DataFrame:
+    rule = F.col("_rule")
+    columns = {
+        "indicator_id": rule["indicator_id"],
         "geo_code": own["geo_code"],
         "geo_value": own["geo_value"].cast("int"),
         "knowledge_date_from": F.col(VALID_FROM),
         "knowledge_date_to": own.get("until", F.col(VALID_TO)),
-        "period_type": F.lit(cfg.period_type).cast("string"),
-        "period_code": F.lit(cfg.period_code).cast("string"),
+        "period_type": rule["period_type"],
+        "period_code": rule["period_code"],
         "period_ref_from": own["period_ref_from"],
         "period_ref": own["period_ref"],
-        **{name: own.get(name, c) for name, c in groups.items()},
-        "indicator_value_numeric": own["number"],
-        "indicator_value_text": own["text"],
+        **{name: own.get(name, c) for name, c in _no_groups().items()},
+        "indicator_value_numeric": own["indicator_value_numeric"],
+        "indicator_value_text": own["indicator_value_text"],
         "source": F.col("source"),
+        "_etl_version": F.lit(version),
     }
+    return rows.select(*[c.alias(name) for name, c in columns.items()])
+
+
+_PERIODS = "indicator_id int, period_type string, period_code string, since int, until int"
 
 
 def _atlas_v1(v1: DataFrame, v2: DataFrame | None, cfgs: Sequence[AtlasIndicator]) -> DataFrame:
-    end = F.col(VALID_TO)
+    end, spark = F.col(VALID_TO), v1.sparkSession
     rows = v1.filter(known_level(F.col("geom_code")))
     if v2 is not None:
         begin = v2.agg(F.min(VALID_FROM).alias("begin")).scalar()
         rows = rows.withColumn("_until", F.coalesce(end, begin))
     else:
         rows = rows.withColumn("_until", end)
-
-    def rule(cfg: AtlasIndicator) -> tuple[Column, dict[str, Column]]:
-        spec = cfg.v1
-        value = route_value(F.col(spec.value_col), not spec.value_is_text)
-        condition = F.col("variable").rlike(spec.indicator_regex) & any_pattern(
-            F.col("mother_path"), spec.path_regex
-        )
-        columns = _atlas_columns(
-            cfg,
-            geo_code=F.col("geom_code"),
-            geo_value=F.col("geo_id"),
-            # only indicators that go on in the second generation end with the first
-            until=F.col("_until") if cfg.v2 is not None else end,
-            period_ref_from=_expression(spec.period_ref_from, F.lit(None)),
-            period_ref=_expression(spec.period_ref, F.col("period_ref")),
-            number=value["indicator_value_numeric"],
-            text=value["indicator_value_text"],
-        )
-        return condition, columns
-
+    since, until, values = Options(), Options(), Options()
+    rules = rule_table(
+        spark,
+        [
+            (
+                c.indicator_id, c.period_type, c.period_code, since.number(c.v1.period_ref_from), until.number(c.v1.period_ref),
+                c.v1.indicator_regex, list(c.v1.path_regex), values.number(c.v1.value_col), not c.v1.value_is_text, c.v2 is not None,
+            )
+            for c in cfgs
+        ],
+        f"{_PERIODS}, regex string, paths array<string>, value int, is_numeric boolean, goes_on boolean",
+    )
+    taken = apply_rules(
+        rows, ["variable", "mother_path"], rules,
+        lambda r: F.rlike(F.col("variable"), r["regex"]) & any_of(F.col("mother_path"), r["paths"]),
+    )
+    rule = F.col("_rule")
     # exact duplicates need no extra pass: the final choice per key drops them
-    return fan_out(rows, [rule(c) for c in cfgs]).withColumn("_etl_version", F.lit(1))
+    return _atlas_rows(
+        taken, 1,
+        geo_code=F.col("geom_code"),
+        geo_value=F.col("geo_id"),
+        # only indicators that go on in the second generation end with the first
+        until=F.when(rule["goes_on"], F.col("_until")).otherwise(end),
+        period_ref_from=_dates(since, rule["since"], F.lit(None)),
+        period_ref=_dates(until, rule["until"], F.col("period_ref")),
+        **routed_value(values.choose(rule["value"], lambda name: F.col(name).cast("string")), rule["is_numeric"]),
+    )
 
 
 def _atlas_v2(v2: DataFrame, cfgs: Sequence[AtlasIndicator]) -> DataFrame:
@@ -148,30 +187,33 @@ def _atlas_v2(v2: DataFrame, cfgs: Sequence[AtlasIndicator]) -> DataFrame:
             F.col("indicator_value").desc_nulls_last(),
         ],
     )
-
-    def rule(cfg: AtlasIndicator) -> tuple[Column, dict[str, Column]]:
-        spec = cfg.v2
-        groups = {}
-        if spec.grouping is not None:
-            total = spec.grouping.total_value or "totvars"
-            groups = {
-                "group_1_name": F.lit(spec.grouping.name),
-                "group_1_value": map_total(F.col("group_name"), total),
-            }
-        value = route_value(F.col("indicator_value"), True)
-        columns = _atlas_columns(
-            cfg,
-            geo_code=F.left(F.col("bfs_nivgeo"), F.lit(4)),
-            geo_value=F.col("geo_value"),
-            period_ref_from=_expression(spec.period_ref_from, F.lit(None)),
-            period_ref=_expression(spec.period_ref, F.col("period_ref")),
-            number=value["indicator_value_numeric"],
-            text=value["indicator_value_text"],
-            **groups,
-        )
-        return F.col("bfs_indicateur_id") == spec.indicateur_id, columns
-
-    return fan_out(one, [rule(c) for c in cfgs]).withColumn("_etl_version", F.lit(2))
+    since, until = Options(), Options()
+    rules = rule_table(
+        v2.sparkSession,
+        [
+            (
+                c.indicator_id, c.period_type, c.period_code, since.number(c.v2.period_ref_from), until.number(c.v2.period_ref),
+                c.v2.indicateur_id, c.v2.grouping.name if c.v2.grouping else None,
+                (c.v2.grouping.total_value or "totvars") if c.v2.grouping else None,
+            )
+            for c in cfgs
+        ],
+        f"{_PERIODS}, id string, group_name string, total string",
+    )
+    # a source's id is all that a rule looks at
+    named = rules.select(F.struct(*rules.columns).alias("_rule"))
+    taken = one.join(named, F.col("bfs_indicateur_id") == F.col("_rule.id"))
+    rule = F.col("_rule")
+    return _atlas_rows(
+        taken, 2,
+        geo_code=F.left(F.col("bfs_nivgeo"), F.lit(4)),
+        geo_value=F.col("geo_value"),
+        period_ref_from=_dates(since, rule["since"], F.lit(None)),
+        period_ref=_dates(until, rule["until"], F.col("period_ref")),
+        group_1_name=rule["group_name"],
+        group_1_value=F.when(rule["total"].isNotNull(), map_total(F.col("group_name"), rule["total"])),
+        **route_value(F.col("indicator_value"), True),
+    )
 
 
 def build_atlas_indicators(
@@ -215,25 +257,26 @@ def build_portrait_indicators(
 ) -> DataFrame:
     """Portrait indicators from the open rows: source indicator number -> indicator."""
 
-    def rule(number: int, cfg: PortraitIndicator) -> tuple[Column, dict[str, Column]]:
-        return F.col("indikator_id") == number, {
-            "indicator_id": F.lit(cfg.indicator_id),
-            "geo_code": F.lit("polg"),
-            "geo_value": F.col("bfs_nr"),
-            "knowledge_date_from": F.col(VALID_FROM),
-            "knowledge_date_to": F.col(VALID_TO),
-            "period_type": F.lit(cfg.period_type),
-            "period_code": F.lit(cfg.period_code),
-            "period_ref_from": F.lit(None).cast("date"),
-            "period_ref": year_end(F.col("indikator_jahr")),
-            **_no_groups(),
-            **route_value(F.col("indikator_value"), True),
-            "source": F.lit(source),
-            "_etl_version": F.lit(1),
-        }
-
-    rows = fan_out(current_rows(history), [rule(n, c) for n, c in indicators.items()])
-    return typecast(rows, contract)
+    rules = rule_table(
+        history.sparkSession,
+        [(n, c.indicator_id, c.period_type, c.period_code) for n, c in indicators.items()],
+        "_number int, indicator_id int, period_type string, period_code string",
+    )
+    rows = current_rows(history).join(rules, F.col("indikator_id") == F.col("_number"))
+    columns = {
+        "geo_code": F.lit("polg"),
+        "geo_value": F.col("bfs_nr"),
+        "knowledge_date_from": F.col(VALID_FROM),
+        "knowledge_date_to": F.col(VALID_TO),
+        "period_ref_from": F.lit(None).cast("date"),
+        "period_ref": year_end(F.col("indikator_jahr")),
+        **_no_groups(),
+        **route_value(F.col("indikator_value"), True),
+        "source": F.lit(source),
+        "_etl_version": F.lit(1),
+    }
+    kept = ["indicator_id", "period_type", "period_code"]
+    return typecast(rows.select(*kept, *[c.alias(n) for n, c in columns.items()]), contract)
 
 
 def build_wide_indicators(

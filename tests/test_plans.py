@@ -4,7 +4,16 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from regiofact.config import AtlasIndicator, AtlasV2, CubeFamily, CubeIndicator, GroupSpec, MeasureSpec
+from regiofact.config import (
+    AtlasIndicator,
+    AtlasV1,
+    AtlasV2,
+    CubeFamily,
+    CubeIndicator,
+    FilterRule,
+    GroupSpec,
+    MeasureSpec,
+)
 from regiofact.functions.geometry import GEOMETRY_TYPE
 from regiofact.operators.history import VALID_FROM, VALID_TO
 from regiofact.operators.quality import check_columns, check_unique
@@ -111,6 +120,27 @@ def test_atlas_groups_collapse_unless_keyed(spark):
     assert build_atlas_indicators(None, v2, [cfg], keys=KEY_GROUPS).count() == 3
 
 
+def test_plans_do_not_grow_with_the_rules(spark, cube):
+    v1 = spark.createDataFrame(
+        [(f"Orders {i}", p, "polg", "7", "2020-12-31", str(i), "s") for i in range(6) for p in ("_1_", None)],
+        "variable string, mother_path string, geom_code string, geo_id string, period_ref string, value string, source string",
+    ).select("*", F.lit("2021-01-01").cast("timestamp_ntz").alias(VALID_FROM), F.lit(None).cast("timestamp_ntz").alias(VALID_TO))
+    size = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("\n")
+    atlas = lambda n: build_atlas_indicators(
+        v1, None, [AtlasIndicator(i, "duedate", "year", AtlasV1(f"^Orders {i}$", ["_1_", "_2_"] if i % 2 else [])) for i in range(n)]
+    )
+    assert size(atlas(2)) == size(atlas(300))
+    got = {r.indicator_id: int(r.indicator_value_numeric) for r in atlas(300).collect()}
+    assert got == {i: i for i in range(6)}
+    cubes = lambda n: build_cube_indicators(cube, [
+        CubeIndicator(i, True, filter_and=(FilterRule("sex", regex=f"^[mw]{{{i}}}$"), FilterRule("geo_code", exact_match="polg"))) for i in range(1, n)
+    ])
+    assert size(cubes(3)) == size(cubes(200))
+    assert {r.indicator_id for r in cubes(200).collect()} == {1}
+    both = build_atlas_indicators(v1, None, [AtlasIndicator(1, v1=AtlasV1("Orders 3")), AtlasIndicator(2, v1=AtlasV1("Orders", ["_1_"]))])
+    assert sorted((r.indicator_id, r.period_ref.year) for r in both.collect()) == [(1, 2020), (2, 2020)]
+
+
 def test_atlas_family_has_own_measures(spark):
     from regiofact.plans.warehouse import atlas_family
 

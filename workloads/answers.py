@@ -13,10 +13,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiofact.config import MeasureSpec
+from regiofact.config import CubeFamily, MeasureSpec, atlas_indicator
 from regiofact.functions.geometry import LV95, WGS84, centroid, reproject, reproject_point
 from regiofact.operators.coverage import coverage_simplify
 from regiofact.operators.filters import known_at
+from regiofact.operators.history import VALID_FROM
 from regiofact.operators.measures import expand_measures
 from regiofact.operators.totals import build_totals
 from regiofact.plans.geo_dims import TOLERANCES, join_geo
@@ -30,12 +31,21 @@ from regiofact.plans.queries import (
     topic_edges,
 )
 from regiofact.plans.staging import typecast
-from regiofact.plans.warehouse import measured, publish, publish_to, released_warehouse
+from regiofact.plans.warehouse import (
+    atlas_family,
+    cube_family,
+    measured,
+    publish,
+    publish_to,
+    released_warehouse,
+)
 from regiofact.schemas import INTM_MEASURED, MART, widened
 from regiofact.session import materialize, new_path
 from regiofact.sources.files import read_mart
 from regiofact.sources.releases import save_parquet
 from workloads.base import (
+    LINES,
+    ORACLES,
     PEOPLE,
     SALES,
     TOTALS,
@@ -48,6 +58,7 @@ from workloads.base import (
     table,
     to_wgs84_sql,
 )
+from workloads.facts import CUBE_INDICATORS, WIDE, atlas_v1, atlas_v2, cube_history
 from workloads.geography import _MOMENTS
 
 WIDE_FACT = widened(INTM_MEASURED, geo_value="bigint")
@@ -507,3 +518,71 @@ def publication_interrupted(spark: SparkSession, d: str) -> DataFrame:
             F.lit(writes).alias("after_writes"), "indicator_id", "source", "n", F.round("total", 2).alias("total")
         ))
     return reduce(DataFrame.unionAll, states)
+
+
+# ---------------------------------------------------------------------------
+# A configuration of 93 atlas indicators, from settings to the published mart and back.
+def _settings() -> list[dict]:
+    """1 to 60 by priority and month in the first generation, 28 to 93 by lot in the second."""
+    last = r"regexp_extract(period_ref, '[0-9]{4}-[0-9]{2}-[0-9]{2}$', 0)::date"
+    end = "make_date(period_ref::int, 12, 31)"
+    out = []
+    for i in range(1, 94):
+        priority, month = divmod(i - 1, 12)
+        raw: dict = {"indicator_id": i, "period_type": "duedate", "period_code": "year"}
+        if i <= 60:
+            raw["v1"] = {
+                "indicator_regex": f"^Orders of {month + 1:02d}$", "path_regex": [f"^_?{priority + 1}_72_70$", "^never$"], "period_ref": last,
+            }
+        if i >= 28:
+            raw["v2"] = {"indicateur_id": f"lot{i}", "period_ref": end}
+        if i % 2:
+            raw["measure"] = {"base": "zahl"}
+        out.append(raw)
+    return out
+
+
+@entry(
+    f"""WITH {LINES}, m AS (SELECT min(od) AS begin FROM lines), d2 AS (
+        SELECT 28 + l_suppkey % 66 AS i, o_custkey AS geo_value, y, od AS kfrom, v, CASE l_linestatus WHEN 'O' THEN 'polg' ELSE 'bezk' END || y AS niv
+        FROM lines QUALIFY row_number() OVER (PARTITION BY i, o_custkey, l_returnflag, y, od ORDER BY niv DESC, 'map' || l_linenumber DESC, v DESC) = 1
+    ), u AS (
+        SELECT 12 * (ascii(substr(o_orderpriority, 1, 1)) - 49) + month(o_orderdate) AS i, CASE o_orderstatus WHEN 'F' THEN 'polg' ELSE 'bezk' END AS geo_code,
+               o_custkey AS geo_value, CAST(o_orderdate AS DATE) AS kfrom, year(o_orderdate) AS y, CAST(o_totalprice AS DECIMAL(18,2)) AS v, 'v1' AS source, 1 AS e
+        FROM orders WHERE o_orderstatus IN ('F', 'O')
+        UNION ALL SELECT i, left(niv, 4), geo_value, kfrom, y, v, 'v2', 2 FROM d2
+    ), one AS (
+        SELECT *, CASE WHEN e = 1 AND i >= 28 THEN (SELECT begin FROM m) END AS kto FROM u
+        QUALIFY row_number() OVER (PARTITION BY i, geo_code, geo_value, y, kfrom ORDER BY e DESC, v DESC) = 1
+    )
+    SELECT CAST(i AS BIGINT) AS indicator_id, geo_code, CAST(geo_value AS BIGINT) AS geo_value, strftime(kfrom, '%Y-%m-%d') AS kfrom, strftime(kto, '%Y-%m-%d') AS kto,
+           y || '-12-31' AS period_ref, CASE WHEN i % 2 = 1 THEN 'zahl' END AS measure_code, CAST(v AS DOUBLE) AS indicator_value_numeric, source FROM one"""
+)
+def configured_atlas(spark: SparkSession, d: str) -> DataFrame:
+    """93 indicators configured by patterns and source ids, published as a release and read back."""
+    v1 = atlas_v1(spark, d).withColumn("variable", F.concat(F.lit("Orders of "), F.date_format(VALID_FROM, "MM")))
+    v2 = atlas_v2(spark, d, F.concat(F.lit("lot"), (28 + F.col("l_suppkey") % 66).cast("string")))
+    indicators = [atlas_indicator(raw) for raw in _settings()]
+    facts = atlas_family(v1, v2, indicators, people(spark, d), WIDE)
+    root = new_path(spark, "warehouse")
+    publish_to(spark, [facts], root, WIDE_MART, [c.indicator_id for c in indicators])
+    rows = decode(*released_warehouse(spark, root, WIDE_MART))
+    return rows.select(
+        "indicator_id", "geo_code", "geo_value", F.col("knowledge_date_from").cast("date").alias("kfrom"),
+        F.col("knowledge_date_to").cast("date").alias("kto"), "period_ref", "measure_code", "indicator_value_numeric", "source",
+    )
+
+
+@entry(ORACLES["cube_indicators"])
+def published_cubes(spark: SparkSession, d: str) -> DataFrame:
+    """The indicators of a cube family, published as a release and read back with their texts."""
+    family = CubeFamily(CUBE_INDICATORS)
+    facts = cube_family(cube_history(spark, d), family, people(spark, d), WIDE)
+    root = new_path(spark, "warehouse")
+    publish_to(spark, [facts], root, WIDE_MART, [c.indicator_id for c in family.indicators])
+    rows = decode(*released_warehouse(spark, root, WIDE_MART))
+    return rows.select(
+        "indicator_id", "geo_value", F.col("knowledge_date_from").cast("date").alias("kfrom"),
+        F.col("knowledge_date_to").cast("date").alias("kto"), "period_ref_from", "period_ref", "group_1_name", "group_1_value",
+        "group_2_name", "group_2_value", "indicator_value_numeric", "indicator_value_text",
+    )

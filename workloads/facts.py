@@ -182,7 +182,7 @@ def per_capita_label(spark: SparkSession, d: str) -> DataFrame:
 # Builders
 
 
-def _cube_history(spark: SparkSession, d: str) -> DataFrame:
+def cube_history(spark: SparkSession, d: str) -> DataFrame:
     li = lines(spark, d)
     return li.select(
         F.when(F.col("o_orderpriority") == "5-LOW", "bezk").otherwise("polg").alias("geo_code"),
@@ -197,6 +197,17 @@ def _cube_history(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+_FLAG, _STATUS = GroupSpec("l_returnflag", "Flag"), GroupSpec("l_linestatus", "Status")
+CUBE_INDICATORS = [
+    CubeIndicator(142, True, build_total_value="sum(indicator_value_numeric)", grouping=(_FLAG, _STATUS)),
+    CubeIndicator(
+        143, True, grouping=(GroupSpec("l_returnflag", "Flag", "N"), _STATUS),
+        filter_and=(FilterRule("o_orderstatus", regex="F|O"), FilterRule("l_linestatus", exact_match="F")),
+    ),
+    CubeIndicator(144, False, period_type="period", filter_and=(FilterRule("o_orderstatus", exact_match="P"),)),
+]
+
+
 @entry(
     f"""WITH {LINES}, h AS (
         SELECT CASE o_orderpriority WHEN '5-LOW' THEN 'bezk' ELSE 'polg' END AS geo_code,
@@ -226,16 +237,7 @@ def _cube_history(spark: SparkSession, d: str) -> DataFrame:
 )
 def cube_indicators(spark: SparkSession, d: str) -> DataFrame:
     """Three cube indicators: built totals, source totals with filters, and texts."""
-    flag, status = GroupSpec("l_returnflag", "Flag"), GroupSpec("l_linestatus", "Status")
-    cfg = [
-        CubeIndicator(142, True, build_total_value="sum(indicator_value_numeric)", grouping=(flag, status)),
-        CubeIndicator(
-            143, True, grouping=(GroupSpec("l_returnflag", "Flag", "N"), status),
-            filter_and=(FilterRule("o_orderstatus", regex="F|O"), FilterRule("l_linestatus", exact_match="F")),
-        ),
-        CubeIndicator(144, False, period_type="period", filter_and=(FilterRule("o_orderstatus", exact_match="P"),)),
-    ]
-    out = build_cube_indicators(_cube_history(spark, d), cfg, WIDE)
+    out = build_cube_indicators(cube_history(spark, d), CUBE_INDICATORS, WIDE)
     return out.select(
         "indicator_id", "geo_value",
         F.col("knowledge_date_from").cast("date").alias("kfrom"), F.col("knowledge_date_to").cast("date").alias("kto"),
@@ -244,7 +246,7 @@ def cube_indicators(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _atlas_v1(spark: SparkSession, d: str) -> DataFrame:
+def atlas_v1(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     year = F.year("o_orderdate")
     level = F.when(F.col("o_orderstatus") == "F", "polg").when(F.col("o_orderstatus") == "O", "bezk").otherwise("lreg")
@@ -261,11 +263,12 @@ def _atlas_v1(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _atlas_v2(spark: SparkSession, d: str) -> DataFrame:
+def atlas_v2(spark: SparkSession, d: str, ids: Column | None = None) -> DataFrame:
     li = lines(spark, d)
+    by_priority = F.concat(F.lit("prio"), F.substring("o_orderpriority", 1, 1))
     level = F.when(F.col("l_linestatus") == "O", "polg").otherwise("bezk")
     return li.select(
-        F.concat(F.lit("prio"), F.substring("o_orderpriority", 1, 1)).alias("bfs_indicateur_id"),
+        (by_priority if ids is None else ids).alias("bfs_indicateur_id"),
         F.concat(level, F.col("y").cast("string")).alias("bfs_nivgeo"),
         F.col("o_custkey").alias("geo_value"),
         F.col("l_returnflag").alias("group_name"),
@@ -319,7 +322,7 @@ def atlas_indicators(spark: SparkSession, d: str) -> DataFrame:
         ),
         AtlasIndicator(7, "duedate", "year", v2=AtlasV2("prio3", period_ref=end, grouping=GroupSpec("group_name", "Flag", "N"))),
     ]
-    out = build_atlas_indicators(_atlas_v1(spark, d), _atlas_v2(spark, d), cfg, contract=WIDE)
+    out = build_atlas_indicators(atlas_v1(spark, d), atlas_v2(spark, d), cfg, contract=WIDE)
     return out.select(
         "indicator_id", "geo_code", "geo_value",
         F.col("knowledge_date_from").cast("date").alias("kfrom"), F.col("knowledge_date_to").cast("date").alias("kto"),
