@@ -1,10 +1,11 @@
-"""Simplification of a polygon coverage that keeps shared borders shared.
-
-The coverage is cut into arcs at its nodes, the vertices where other than two
-border pieces meet. Every polygon simplifies its own arcs, but an arc is always
-walked in one canonical direction and the result depends on the arc alone, so both
-neighbours of a border arrive at the same line without exchanging it. Only the
-node search compares polygons, by one shuffle on the vertices.
+"""Simplification of a polygon coverage that stays a coverage.
+
+The coverage is cut into arcs at its nodes, the vertices where other than two border pieces
+meet. An arc is one row of a global table, in one canonical direction, whichever polygons of
+whichever snapshots use it, and is simplified once for each tolerance. The lines are then compared
+through a grid of cells: where two of them meet other than in a common end, or one has moved
+over another, they are simplified again with half the tolerance, until no two are left. At
+worst an arc keeps all its vertices, so the result is valid wherever the input is.
 """
 
 from __future__ import annotations
@@ -17,11 +18,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from regiofact.functions.geometry import bound
 from regiofact.operators.joins import lookup_join
 from regiofact.session import materialize
 
-_COORDINATES = "array<array<array<double>>>"
 Point = tuple[float, float]
 
 
@@ -66,11 +68,17 @@ class _Vertices:
 
 
 def simplify_arc(arc: Sequence[Point], tolerance: float) -> list[Point]:
-    """Visvalingam simplification with fixed ends, area limit ``tolerance ** 2``."""
+    """The arc with the vertices that ``kept_places`` keeps, the same from both ends."""
     closed = arc[0] == arc[-1]
     backwards = (arc[1] > arc[-2]) if closed else (arc[0] > arc[-1])
     points = list(reversed(arc)) if backwards else list(arc)
-    n = len(points)
+    kept = [points[i] for i in kept_places(points, tolerance)]
+    return kept[::-1] if backwards else kept
+
+
+def kept_places(points: Sequence[Point], tolerance: float) -> list[int]:
+    """Visvalingam simplification with fixed ends, area limit ``tolerance ** 2``."""
+    n, closed = len(points), points[0] == points[-1]
     before, after = list(range(-1, n - 1)), list(range(1, n + 1))
     alive = [True] * n
     version = [0] * n
@@ -81,7 +89,7 @@ def simplify_arc(arc: Sequence[Point], tolerance: float) -> list[Point]:
 
     heap = [(abs(_area2(*corner(i))) / 2.0, i, 0) for i in range(1, n - 1)]
     if not heap or min(heap)[0] >= limit:
-        return list(arc)
+        return list(range(n))
     heapq.heapify(heap)
     vertices = _Vertices(points)
     left, fewest = n, 4 if closed else 2
@@ -102,70 +110,17 @@ def simplify_arc(arc: Sequence[Point], tolerance: float) -> list[Point]:
             if 0 < j < n - 1:
                 version[j] += 1
                 heapq.heappush(heap, (abs(_area2(*corner(j))) / 2.0, j, version[j]))
-    kept = [p for p, keep in zip(points, alive) if keep]
-    return kept[::-1] if backwards else kept
-
-
-def _simplify_ring(ring: list[Point], nodes: list[int], tolerance: float) -> list[Point]:
-    body = ring[:-1]
-    if len(body) < 3:
-        return ring
-    cuts = sorted(nodes) or [min(range(len(body)), key=lambda i: body[i])]
-    out: list[Point] = []
-    for k, start in enumerate(cuts):
-        stop = cuts[k + 1] if k + 1 < len(cuts) else cuts[0] + len(body)
-        arc = [body[i % len(body)] for i in range(start, stop + 1)]
-        out.extend(simplify_arc(arc, tolerance)[:-1] if len(arc) > 2 else arc[:-1])
-    return out + [out[0]]
-
-
-def _simplify_shapes(tolerances: Sequence[float]):
-    names = [f"t{i}" for i in range(len(tolerances))]
-
-    def simplify(shapes: pd.Series, ring_no: pd.Series, place: pd.Series) -> pd.DataFrame:
-        columns: dict[str, list] = {n: [] for n in names}
-        for shape, numbers, places in zip(shapes, ring_no, place):
-            nodes: dict[int, list[int]] = {}
-            if numbers is not None:
-                for r, p in zip(numbers, places):
-                    nodes.setdefault(int(r), []).append(int(p))
-            for name, tolerance in zip(names, tolerances):
-                number, polygons = 0, []
-                for polygon in shape if shape is not None else ():
-                    rings = []
-                    for flat in polygon:
-                        ring = list(map(tuple, np.asarray(flat).reshape(-1, 2).tolist()))
-                        thin = _simplify_ring(ring, nodes.get(number, []), tolerance)
-                        rings.append([value for p in thin for value in p])
-                        number += 1
-                    polygons.append(rings)
-                columns[name].append(polygons if shape is not None else None)
-        return pd.DataFrame(columns)
-
-    kind = ", ".join(f"{n} {_COORDINATES}" for n in names)
-    return F.pandas_udf(simplify, kind)
-
-
-def _as_coordinates(geom: Column) -> Column:
-    return F.transform(
-        geom,
-        lambda polygon: F.transform(
-            polygon,
-            lambda ring: F.flatten(F.transform(ring, lambda v: F.array(v["x"], v["y"]))),
-        ),
-    )
+    return [i for i, keep in enumerate(alive) if keep]
 
 
-def _as_geometry(coordinates: Column) -> Column:
-    def vertices(flat: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.size(flat) - 2, F.lit(2)),
-            lambda i: F.struct(
-                F.get(flat, i).alias("x"), F.get(flat, i + 1).alias("y")
-            ),
-        )
-
-    return F.transform(coordinates, lambda polygon: F.transform(polygon, vertices))
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _kept(coordinates: pd.Series, tolerance: pd.Series) -> pd.Series:
+    """Places of the vertices that stay; coordinates are x and y of all vertices in turn."""
+    out = []
+    for flat, limit in zip(coordinates, tolerance):
+        points = list(map(tuple, np.asarray(flat).reshape(-1, 2).tolist()))
+        out.append(kept_places(points, limit) if limit > 0 else list(range(len(points))))
+    return pd.Series(out)
 
 
 def _corners(ring: Column) -> Column:
@@ -183,6 +138,10 @@ def _corners(ring: Column) -> Column:
     )
 
 
+#: A line that meets others is simplified again with half the tolerance so many times, then not at all.
+HALVINGS = 6
+
+
 def coverage_simplify(
     df: DataFrame,
     keys: Sequence[str],
@@ -192,14 +151,37 @@ def coverage_simplify(
 ) -> DataFrame:
     """Add one simplified geometry per (new column -> tolerance).
 
-    ``keys`` identify a polygon inside its ``part`` (one coverage per part). Lines
-    are checked against folding over inside one arc, not against other arcs.
+    ``keys`` identify a polygon inside its ``part`` (one coverage per part). Of a valid coverage
+    the results are valid: borders stay shared, no lines cross or touch but at nodes, and nothing
+    changes sides. A missing or empty geometry stays as it is.
     """
     ident = [part, *keys]
-    rings = df.select(*ident, F.posexplode(F.flatten(geom)).alias("ring_no", "ring"))
+    rings = df.select(*ident, F.posexplode(F.flatten(geom)).alias("ring_no", "ring")).filter(F.size("ring") > 1)
+    uses = materialize(_arc_uses(rings, _cuts(rings, ident, part), ident))
+    # equal arcs of neighbours and of other parts are one row; the work on them is spread
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    arcs = materialize(uses.groupBy("arc").agg(F.first("points").alias("points")).repartition(tasks, "arc"))
+    used = materialize(uses.select(F.col(part).alias("part"), "arc").distinct())
+    levels = F.array(*[F.struct(F.lit(i).alias("level"), F.lit(float(t)).alias("tolerance")) for i, t in enumerate(tolerances.values())])
+    lines = materialize(_simplified(arcs.select("arc", "points", F.inline(levels))))
+    changed, halvings = lines.select("arc", "level"), 0
+    while True:
+        meeting = materialize(_meeting(arcs, lines, used, changed))
+        redo = materialize(lines.join(meeting, ["arc", "level"]).filter("tolerance > 0"))
+        if redo.isEmpty():
+            break
+        halvings += 1
+        less = F.col("tolerance") / 2 if halvings <= HALVINGS else F.lit(0.0)
+        again = _simplified(redo.join(arcs, "arc").select("arc", "points", "level", less.alias("tolerance")))
+        lines = materialize(lines.join(redo, ["arc", "level"], "left_anti").unionByName(again))
+        changed = redo.select("arc", "level")
+    return _assembled(df, rings, uses, arcs, lines, ident, geom, list(tolerances))
+
+
+def _cuts(rings: DataFrame, ident: Sequence[str], part: str) -> DataFrame:
+    """(ident, ring_no, cut): the sorted places of a ring's nodes."""
     corners = rings.select(*ident, "ring_no", F.explode(_corners(F.col("ring"))).alias("c"))
     corners = corners.select(*ident, "ring_no", "c.*")
-
     met = F.array_union(F.collect_set("before"), F.collect_set("after"))
     nodes = materialize(
         corners.groupBy(part, "x", "y")
@@ -240,20 +222,159 @@ def coverage_simplify(
         .select(part, "far.x", "far.y")
         .distinct()
     )
-    cuts = (
-        at_nodes.unionByName(places(pinned))
-        .distinct()
-        .groupBy(*ident)
-        .agg(F.collect_list(F.struct("ring_no", "place")).alias("_cuts"))
+    found = at_nodes.unionByName(places(pinned)).distinct().groupBy(*ident, "ring_no")
+    return found.agg(F.sort_array(F.collect_list("place")).alias("cut"))
+
+
+def _arc_uses(rings: DataFrame, cuts: DataFrame, ident: Sequence[str]) -> DataFrame:
+    """(ident, ring_no, k, arc, backwards, points): the arcs of each ring in turn.
+
+    A ring without nodes is one arc that starts at its smallest vertex. ``arc`` is a digest of
+    the points, which are in the arc's own direction; ``backwards`` if the ring runs against it.
+    """
+    body = F.slice("ring", 1, F.size("ring") - 1)
+    cut = rings.join(cuts, [*ident, "ring_no"], "left").withColumn("body", body).withColumn("n", F.size("body"))
+    smallest = F.array((F.array_position("body", F.array_min("body")) - 1).cast("int"))
+    cut = cut.withColumn("cut", F.coalesce("cut", smallest))
+    cut = cut.select(*ident, "ring_no", "n", "cut", F.concat("body", "body", F.slice("body", 1, 1)).alias("twice"), F.posexplode("cut").alias("k", "start"))
+    stop = F.coalesce(F.get("cut", F.col("k") + 1), F.get("cut", F.lit(0)) + F.col("n"))
+    cut = cut.select(*ident, "ring_no", "k", F.slice("twice", F.col("start") + 1, stop - F.col("start") + 1).alias("points"))
+    first, last = F.get("points", F.lit(0)), F.get("points", F.size("points") - 1)
+    second, before = F.get("points", F.lit(1)), F.get("points", F.size("points") - 2)
+    cut = cut.withColumn("backwards", F.when(first == last, second > before).otherwise(first > last))
+    points = F.when(F.col("backwards"), F.reverse("points")).otherwise(F.col("points"))
+    cut = cut.select(*ident, "ring_no", "k", "backwards", points.alias("points"))
+    return cut.withColumn("arc", F.md5(F.to_json("points").cast("binary")))
+
+
+def _simplified(asked: DataFrame) -> DataFrame:
+    """arc, level, tolerance and kept (places that stay) of arcs with points and tolerances."""
+    flat = F.flatten(F.transform("points", lambda v: F.array(v["x"], v["y"])))
+    return asked.select("arc", "level", "tolerance", _kept(flat, F.col("tolerance")).alias("kept"))
+
+
+def _turn(p: tuple[Column, Column], q: tuple[Column, Column], r: tuple[Column, Column]) -> Column:
+    return (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+
+
+def _same(p: tuple[Column, Column], q: tuple[Column, Column]) -> Column:
+    return (p[0] == q[0]) & (p[1] == q[1])
+
+
+def segments_meet(a: Column, b: Column, c: Column, d: Column) -> Column:
+    """Whether the segments ab and cd have a point in common other than one common end."""
+    a, b, c, d = ((v["x"], v["y"]) for v in (a, b, c, d))
+
+    def inside(p, s, e) -> Column:
+        within = (p[0] >= F.least(s[0], e[0])) & (p[0] <= F.greatest(s[0], e[0]))
+        within &= (p[1] >= F.least(s[1], e[1])) & (p[1] <= F.greatest(s[1], e[1]))
+        return within & (_turn(s, e, p) == 0) & ~_same(p, s) & ~_same(p, e)
+
+    across = (F.signum(_turn(a, b, c)) * F.signum(_turn(a, b, d)) < 0) & (F.signum(_turn(c, d, a)) * F.signum(_turn(c, d, b)) < 0)
+    equal = (_same(a, c) & _same(b, d)) | (_same(a, d) & _same(b, c))
+    return across | equal | inside(c, a, b) | inside(d, a, b) | inside(a, c, d) | inside(b, c, d)
+
+
+def _inside_loop(p: Column, loop: Column) -> Column:
+    """Whether a point lies in the loop that an array of vertices closes, by crossings of a ray."""
+    n = F.size(loop)
+    return F.aggregate(
+        F.sequence(F.lit(0), n - 1),
+        F.lit(False),
+        lambda odd, i: odd != _ray(p, F.get(loop, i), F.get(loop, (i + 1) % n)),
     )
-    thin = _simplify_shapes(list(tolerances.values()))
-    # The join needs this partitioning anyway; asking for it by number keeps small but
-    # costly tables from being merged into few tasks.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = df.repartition(tasks, *ident).join(cuts, ident, "left").withColumn(
-        "_thin", thin(_as_coordinates(F.col(geom)), F.col("_cuts.ring_no"), F.col("_cuts.place"))
+
+
+def _ray(p: Column, s: Column, e: Column) -> Column:
+    spans = (s["y"] > p["y"]) != (e["y"] > p["y"])
+    return spans & (p["x"] < (e["x"] - s["x"]) * (p["y"] - s["y"]) / (e["y"] - s["y"]) + s["x"])
+
+
+def _cells(low: Column, high: Column, step: Column) -> Column:
+    return F.sequence(F.floor(low / step), F.floor(high / step))
+
+
+def _meeting(arcs: DataFrame, lines: DataFrame, used: DataFrame, changed: DataFrame) -> DataFrame:
+    """arc and level of lines that meet others of their part, where one of the two has changed.
+
+    Segments are dealt to the cells of a grid twice as wide as they are long on average; longer
+    ones are cut for that, so no more cells are named than they pass.
+    """
+    pieces = lines.join(arcs, "arc").select(
+        "arc", "level", "points", F.explode(F.arrays_zip(
+            F.slice("kept", 1, F.size("kept") - 1).alias("i"), F.slice("kept", 2, F.size("kept") - 1).alias("j")
+        )).alias("s"),
+    )
+    at = lambda i: F.get("points", F.col(i))
+    segments = materialize(pieces.select(
+        "arc", "level", at("s.i").alias("p"), at("s.j").alias("q"),
+        F.when(F.col("s.j") > F.col("s.i") + 1, F.slice("points", F.col("s.i") + 1, F.col("s.j") - F.col("s.i") + 1)).alias("chain"),
+    ))
+    long = F.hypot(F.col("q.x") - F.col("p.x"), F.col("q.y") - F.col("p.y"))
+    steps = segments.groupBy("level").agg((2 * F.avg(long) + F.lit(1e-9)).alias("step"))
+    # one row a tolerance
+    sized = segments.join(F.broadcast(steps), "level")
+    parts = F.ceil(long / F.col("step")).cast("int")
+    along = sized.select("*", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)).alias("k"), F.greatest(parts, F.lit(1)).alias("n"))
+    place = lambda c, k: F.col(f"p.{c}") + (F.col(f"q.{c}") - F.col(f"p.{c}")) * k / F.col("n")
+    ends = {c: (place(c, F.col("k")), place(c, F.col("k") + 1)) for c in ("x", "y")}
+    over = {c: _cells(F.least(*e), F.greatest(*e), F.col("step")) for c, e in ends.items()}
+    celled = along.select("arc", "level", "p", "q", over["x"].alias("cx"), over["y"].alias("cy"))
+    celled = celled.select("arc", "level", "p", "q", F.explode("cx").alias("cx"), "cy").withColumn("cy", F.explode("cy"))
+    celled = materialize(celled.distinct().join(used, "arc"))
+    one = celled.join(changed, ["arc", "level"], "left_semi").toDF(*[f"_{c}" if c in ("arc", "p", "q") else c for c in celled.columns])
+    both = one.join(celled, ["part", "level", "cx", "cy"]).filter(F.col("_arc") != F.col("arc"))
+    crossed = both.filter(segments_meet(F.col("_p"), F.col("_q"), F.col("p"), F.col("q")))
+    crossed = crossed.select("level", F.explode(F.array("_arc", "arc")).alias("arc"))
+    # a line has moved over another arc if that arc starts between it and what it was
+    axis = lambda c: F.transform("chain", lambda v: v[c])
+    moved = sized.filter("chain is not null").join(changed, ["arc", "level"], "left_semi").select(
+        "arc", "level", "chain", *[_cells(F.array_min(axis(c)), F.array_max(axis(c)), F.col("step")).alias(f"c{c}") for c in ("x", "y")]
+    )
+    moved = moved.select("arc", "level", "chain", F.explode("cx").alias("cx"), "cy").withColumn("cy", F.explode("cy")).join(used, "arc")
+    starts = arcs.select(F.col("arc").alias("_arc"), F.get("points", F.lit(0)).alias("v"))
+    starts = starts.crossJoin(F.broadcast(steps)).join(used.withColumnRenamed("arc", "_arc"), "_arc").select(
+        "part", "level", "_arc", "v", F.floor(F.col("v.x") / F.col("step")).alias("cx"), F.floor(F.col("v.y") / F.col("step")).alias("cy")
     )
-    return out.select(
-        *df.columns,
-        *[_as_geometry(F.col(f"_thin.t{i}")).alias(name) for i, name in enumerate(tolerances)],
+    over_it = moved.join(starts, ["part", "level", "cx", "cy"]).filter(
+        (F.col("_arc") != F.col("arc")) & (F.col("v") != F.get("chain", F.lit(0))) & (F.col("v") != F.element_at("chain", -1))
+        & _inside_loop(F.col("v"), F.col("chain"))
+    )
+    return crossed.unionByName(over_it.select("level", "arc")).distinct()
+
+
+def _assembled(
+    df: DataFrame, rings: DataFrame, uses: DataFrame, arcs: DataFrame, lines: DataFrame, ident: Sequence[str], geom: str, names: Sequence[str]
+) -> DataFrame:
+    """The polygons with their rings put together from lines."""
+    found = lines.groupBy("arc").agg(*[F.max(F.when(F.col("level") == i, F.col("kept"))).alias(f"k{i}") for i in range(len(names))])
+    wide = arcs.join(found, "arc").select(
+        "arc", *[F.transform(f"k{i}", lambda k: F.get("points", k)).alias(f"l{i}") for i in range(len(names))]
     )
+
+    def piece(i: int) -> Column:
+        line = F.when(F.col("backwards"), F.reverse(f"l{i}")).otherwise(F.col(f"l{i}"))
+        return F.slice(line, 1, F.size(f"l{i}") - 1).alias(f"l{i}")
+
+    ordered = uses.drop("points").join(wide, "arc").select(*ident, "ring_no", F.struct("k", *map(piece, range(len(names)))).alias("s"))
+    by_ring = ordered.groupBy(*ident, "ring_no").agg(F.sort_array(F.collect_list("s")).alias("s"))
+
+    def ring(i: int) -> Column:
+        body = F.flatten(F.transform("s", lambda a: a[f"l{i}"]))
+        return bound(body, lambda b: F.concat(b, F.slice(b, 1, 1))).alias(f"r{i}")
+
+    closed = by_ring.select(*ident, F.struct("ring_no", *map(ring, range(len(names)))).alias("r"))
+    by_shape = closed.groupBy(*ident).agg(F.sort_array(F.collect_list("r")).alias("_rings"))
+    out = df.join(by_shape, ident, "left")
+
+    def shape(i: int) -> Column:
+        def polygon(rings: Column, p: Column) -> Column:
+            before = F.aggregate(F.slice(geom, F.lit(1), p), F.lit(0), lambda n, other: n + F.size(other))
+            own = F.transform(rings, lambda r, k: F.struct((before + k).alias("no"), r.alias("r")))
+            return F.transform(own, lambda o: bound(
+                F.filter("_rings", lambda x: x["ring_no"] == o["no"]), lambda hit: F.coalesce(F.get(hit, F.lit(0))[f"r{i}"], o["r"])
+            ))
+
+        return F.when(F.col("_rings").isNull(), F.col(geom)).otherwise(F.transform(geom, polygon))
+
+    return out.select(*df.columns, *[shape(i).alias(name) for i, name in enumerate(names)])
