@@ -275,7 +275,7 @@ def segments_meet(a: Column, b: Column, c: Column, d: Column) -> Column:
     return across | equal | inside(c, a, b) | inside(d, a, b) | inside(a, c, d) | inside(b, c, d)
 
 
-def _inside_loop(p: Column, loop: Column) -> Column:
+def inside_loop(p: Column, loop: Column) -> Column:
     """Whether a point lies in the loop that an array of vertices closes, by crossings of a ray."""
     n = F.size(loop)
     return F.aggregate(
@@ -338,7 +338,7 @@ def _meeting(arcs: DataFrame, lines: DataFrame, used: DataFrame, changed: DataFr
     )
     over_it = moved.join(starts, ["part", "level", "cx", "cy"]).filter(
         (F.col("_arc") != F.col("arc")) & (F.col("v") != F.get("chain", F.lit(0))) & (F.col("v") != F.element_at("chain", -1))
-        & _inside_loop(F.col("v"), F.col("chain"))
+        & inside_loop(F.col("v"), F.col("chain"))
     )
     return crossed.unionByName(over_it.select("level", "arc")).distinct()
 

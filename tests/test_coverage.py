@@ -1,10 +1,11 @@
 import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from regiofact.functions.geometry import GEOMETRY_TYPE
-from regiofact.operators.coverage import coverage_simplify, simplify_arc
+from regiofact.operators.coverage import coverage_simplify, segments_meet, simplify_arc
 
 
 def noisy_line(seed, n=60):
@@ -169,3 +170,64 @@ def test_missing_geometry_passes(spark):
     df = spark.createDataFrame([("a", 1, None)], f"part string, id int, geometry {GEOMETRY_TYPE}")
     out = coverage_simplify(df.withColumn("x", F.lit(1)), ["id"], "part", "geometry", {"t": 1.0})
     assert out.first().t is None
+
+
+def exact_meeting(a, b, c, d):
+    """Whether two segments have more in common than one common end, in fractions."""
+    a, b, c, d = (tuple(map(Fraction, p)) for p in (a, b, c, d))
+    turn = lambda p, q, r: (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+    sign = lambda v: (v > 0) - (v < 0)
+
+    def on(p, s, e):
+        return turn(s, e, p) == 0 and all(min(s[k], e[k]) <= p[k] <= max(s[k], e[k]) for k in (0, 1))
+
+    if {a, b} == {c, d}:
+        return True
+    shared = {a, b} & {c, d}
+    touches = {p for p, s in ((a, (c, d)), (b, (c, d)), (c, (a, b)), (d, (a, b))) if on(p, *s)}
+    if touches - shared:
+        return True
+    return sign(turn(a, b, c)) * sign(turn(a, b, d)) < 0 and sign(turn(c, d, a)) * sign(turn(c, d, b)) < 0
+
+
+def test_segments_meet(spark):
+    rnd = random.Random(3)
+    data = [tuple((float(rnd.randint(0, 4)), float(rnd.randint(0, 4))) for _ in range(4)) for _ in range(400)]
+    data = [q for q in data if q[0] != q[1] and q[2] != q[3]]
+    point = "struct<x:double,y:double>"
+    df = spark.createDataFrame([(i, *q) for i, q in enumerate(data)], f"i int, a {point}, b {point}, c {point}, d {point}")
+    got = {r.i: r.m for r in df.select("i", segments_meet(*map(F.col, "abcd")).alias("m")).collect()}
+    assert got == {i: exact_meeting(*q) for i, q in enumerate(data)}
+    assert 50 < sum(got.values()) < len(data) - 50
+
+
+def spiked(shift):
+    """Two areas whose border runs around an enclave of the left one, and has a spike beside a second border."""
+    border = [(100.0, 0.0), (101.0, 40.0), (130.0, 50.0), (101.0, 60.0), (100.0, 100.0)]
+    enclave = [(112.0, 48.0), (118.0, 48.0), (118.0, 52.0), (112.0, 52.0), (112.0, 48.0)]
+    left = [*border, (0.0, 100.0), (0.0, 0.0), border[0]]
+    # the far border of the right area comes near, and has a notch that the spike stands in
+    far = [(140.0 + shift, 100.0), (139.0 + shift, 70.0), (104.0 + shift, 66.0), (139.0 + shift, 62.0), (139.0 + shift, 30.0), (140.0 + shift, 0.0)]
+    right = [(100.0, 0.0), *border[1:-1], (100.0, 100.0), *far, (100.0, 0.0)]
+    return {1: [[left, enclave[::-1]]], 2: [[right]], 3: [[enclave]]}
+
+
+@pytest.mark.parametrize("tolerance", [5.0, 25.0, 40.0, 200.0])
+def test_lines_neither_meet_nor_change_sides(spark, tolerance):
+    got = simplified(spark, {"a": spiked(0.0), "b": spiked(30.0)}, {"t": tolerance})
+    for part in "ab":
+        shapes = {k: got[part, k]["t"] for k in (1, 2, 3)}
+        used = [e for s in shapes.values() for e in edges(s)]
+        assert max(used.count(e) for e in used) == 2
+        assert all(used.count(e) == 2 for e in edges(shapes[3]))
+        for e in set(used):
+            for f in set(used):
+                assert e == f or not exact_meeting(*e, *f)
+        (shell, *_), (x, y) = shapes[1][0], shapes[3][0][0][0]
+        crossings = sum(
+            (p[1] > y) != (q[1] > y) and x < (q[0] - p[0]) * (y - p[1]) / (q[1] - p[1]) + p[0]
+            for p, q in zip(shell, shell[1:])
+        )
+        assert crossings % 2 == 1  # the enclave stays inside of its host
+        old = {v for k in (1, 2, 3) for ring in got[part, k]["geometry"][0] for v in ring}
+        assert {v for s in shapes.values() for ring in s[0] for v in ring} <= old

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from regiofact.functions.geometry import (
     force_2d,
     from_wkb,
     map_vertices,
+    point,
     point_to_geojson,
     point_to_wkt,
     reproject,
@@ -20,14 +23,14 @@ from regiofact.functions.geometry import (
     to_wkb,
     to_wkt,
 )
-from regiofact.operators.coverage import coverage_simplify
+from regiofact.operators.coverage import coverage_simplify, inside_loop, segments_meet
 from regiofact.plans.geo_dims import (
     add_latest,
     boundary_snapshots,
     build_geo_dim,
     list_geo,
 )
-from regiofact.session import new_path
+from regiofact.session import materialize, new_path
 from regiofact.sources.files import export
 from workloads.base import cell, cell_sql, entry, table, to_wgs84_sql
 
@@ -156,6 +159,72 @@ def simplified_coverage(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _with_enclaves(spark: SparkSession, d: str) -> DataFrame:
+    """Every seventh area has an enclave right behind the middle of its eastern border, an area of its own.
+
+    Cutting off that border's middle would leave the enclave on the other side of it.
+    """
+    a = _areas(spark, d)
+    middle = F.get(F.get(F.get("geometry", F.lit(0)), F.lit(0)), F.lit(6))
+    corners = ((-12, -4), (-4, -4), (-4, 4), (-12, 4), (-12, -4))
+    ring = F.array(*[point(middle["x"] + dx, middle["y"] + dy) for dx, dy in corners])
+    has = F.col("id") % 7 == 0
+    hosts = a.withColumn("geometry", F.when(has, F.array(F.concat(F.get("geometry", F.lit(0)), F.array(F.reverse(ring))))).otherwise(F.col("geometry")))
+    return hosts.unionByName(a.filter(has).select((-1 - F.col("id")).alias("id"), F.array(F.array(ring)).alias("geometry")))
+
+
+_FAULTS = ("open_rings", "foreign_vertices", "crossings", "edges_used_too_often", "half_edges", "enclaves_outside", "areas_off")
+
+
+@entry(
+    f"""SELECT CAST(t.tolerance AS BIGINT) AS tolerance, count(*) + count(*) FILTER (WHERE c_custkey % 7 = 0) AS shapes,
+               {", ".join(f"CAST(0 AS BIGINT) AS {name}" for name in _FAULTS)}
+        FROM customer, (VALUES (50), (100), (500)) t(tolerance) GROUP BY t.tolerance"""
+)
+def valid_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """What is wrong with a coverage with enclaves after simplification at 50, 100 and 500 m: nothing.
+
+    Counted are rings that do not close, vertices that were none, different edges that meet other
+    than at a common end, edges of more than two rings, edges of enclaves that their host does not
+    have, enclaves outside of their host, and areas that changed by more than the tolerance along
+    their border.
+    """
+    levels = {"s50": 50.0, "s100": 100.0, "s500": 500.0}
+    a = _with_enclaves(spark, d).withColumn("snapshot_code", F.lit("latest"))
+    out = materialize(coverage_simplify(a, ["id"], "snapshot_code", "geometry", levels))
+    shapes = out.select("id", F.col("geometry").alias("was"), F.inline(F.array(*[
+        F.struct(F.lit(t).alias("tolerance"), F.col(n).alias("now")) for n, t in levels.items()
+    ])))
+    rings = shapes.select("tolerance", "id", F.explode(F.flatten("now")).alias("ring"))
+    one = lambda df, name: df.groupBy("tolerance").agg(F.count(F.lit(1)).alias("n")).select("tolerance", F.lit(name).alias("fault"), "n")
+    opened = rings.filter((F.get("ring", F.lit(0)) != F.element_at("ring", -1)) | (F.size("ring") < 4))
+    foreign = shapes.filter(F.size(F.array_except(F.flatten(F.flatten("now")), F.flatten(F.flatten("was")))) > 0)
+    pairs = F.arrays_zip(F.slice("ring", 1, F.size("ring") - 1).alias("p"), F.slice("ring", 2, F.size("ring") - 1).alias("q"))
+    edges = rings.select("tolerance", "id", F.explode(pairs).alias("e")).select(
+        "tolerance", "id", F.least("e.p", "e.q").alias("p"), F.greatest("e.p", "e.q").alias("q")
+    )
+    distinct = materialize(edges.groupBy("tolerance", "p", "q").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")))
+    cells = lambda c: F.sequence(F.floor(F.least(f"p.{c}", f"q.{c}") / 500), F.floor(F.greatest(f"p.{c}", f"q.{c}") / 500))
+    dealt = distinct.select("tolerance", "p", "q", F.explode(cells("x")).alias("cx"), cells("y").alias("cy")).withColumn("cy", F.explode("cy"))
+    met = dealt.toDF("tolerance", "r", "s", "cx", "cy").join(dealt, ["tolerance", "cx", "cy"])
+    met = met.filter(F.struct("p", "q") < F.struct("r", "s")).filter(segments_meet(F.col("p"), F.col("q"), F.col("r"), F.col("s")))
+    enclave = shapes.filter("id < 0").select("tolerance", (-1 - F.col("id")).alias("id"), F.get(F.get(F.get("now", F.lit(0)), F.lit(0)), F.lit(0)).alias("v"))
+    host = shapes.select("tolerance", "id", F.get(F.get("now", F.lit(0)), F.lit(0)).alias("shell"))
+    outside = enclave.join(host, ["tolerance", "id"]).filter(~inside_loop(F.col("v"), F.col("shell")))
+    border = F.aggregate(F.flatten("was"), F.lit(0.0), lambda n, r: n + F.aggregate(
+        F.arrays_zip(F.slice(r, 1, F.size(r) - 1).alias("p"), F.slice(r, 2, F.size(r) - 1).alias("q")), F.lit(0.0),
+        lambda m, e: m + F.hypot(e["p"]["x"] - e["q"]["x"], e["p"]["y"] - e["q"]["y"]),
+    ))
+    off = shapes.filter(F.abs(F.abs(area(F.col("now"))) - F.abs(area(F.col("was")))) > F.col("tolerance") * border)
+    faults = reduce(DataFrame.unionAll, [
+        one(opened, "open_rings"), one(foreign, "foreign_vertices"), one(met.select("tolerance", "p", "q", "r", "s").distinct(), "crossings"),
+        one(distinct.filter("n > 2"), "edges_used_too_often"), one(distinct.filter("least < 0 and n <> 2"), "half_edges"),
+        one(outside, "enclaves_outside"), one(off, "areas_off"),
+    ])
+    counted = one(shapes, "shapes").unionAll(faults).groupBy("tolerance").pivot("fault", ["shapes", *_FAULTS]).agg(F.sum("n"))
+    return counted.fillna(0).withColumn("tolerance", F.col("tolerance").cast("bigint"))
+
+
 # ---------------------------------------------------------------------------
 # Yearly dimensions. The past source holds each customer from the first order to the
 # last one before 2000, the present source the customers with orders in a later year.
