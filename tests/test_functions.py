@@ -1,3 +1,4 @@
+import math
 import datetime as dt
 import struct
 
@@ -165,7 +166,7 @@ def test_centroid_of_nothing(spark):
 
 
 def test_known_point_reprojects(spark):
-    # The projection centre in Bern, and the worked example of the published formulas.
+    # the worked example of the published approximation, which is good to a metre
     p = F.struct(F.lit(8.730497222).alias("x"), F.lit(46.044130556).alias("y"))
     r = evaluate(spark, g.reproject_point(p, g.WGS84, g.LV95))
     assert abs(r.x - 2700000) < 1.5 and abs(r.y - 1100000) < 1.5
@@ -176,6 +177,50 @@ def test_known_point_reprojects(spark):
         g.reproject(F.col("geom"), 1, 2)
 
 
+def rigorous_lv95(lat, lon):
+    """East and north of a place on the Bessel ellipsoid, by the published formulas as they are printed."""
+    e2, lat0, lon0 = 0.006674372230614, math.radians(46 + 57 / 60 + 8.66 / 3600), math.radians(7 + 26 / 60 + 22.5 / 3600)
+    e, r, alpha, k = math.sqrt(e2), 6378815.90365, 1.00072913843038, 0.0030667323772751
+    b0 = math.radians(46 + 54 / 60 + 27.83324844 / 3600)
+    s = alpha * math.log(math.tan(math.pi / 4 + lat / 2)) - alpha * e / 2 * math.log((1 + e * math.sin(lat)) / (1 - e * math.sin(lat))) + k
+    b, i = 2 * (math.atan(math.exp(s)) - math.pi / 4), alpha * (lon - lon0)
+    i_bar = math.atan(math.sin(i) / (math.sin(b0) * math.tan(b) + math.cos(b0) * math.cos(i)))
+    b_bar = math.asin(math.cos(b0) * math.sin(b) - math.sin(b0) * math.cos(b) * math.cos(i))
+    return 2600000 + r * i_bar, 1200000 + r / 2 * math.log((1 + math.sin(b_bar)) / (1 - math.sin(b_bar)))
+
+
+def geocentric(lat, lon, axis, e2):
+    n = axis / math.sqrt(1 - e2 * math.sin(lat) ** 2)
+    return n * math.cos(lat) * math.cos(lon), n * math.cos(lat) * math.sin(lon), n * (1 - e2) * math.sin(lat)
+
+
+def test_published_projection_example():
+    # fixed values: the published example of the projection
+    lat, lon = math.radians(47 + 3 / 60 + 28.95659233 / 3600), math.radians(8 + 29 / 60 + 11.11127154 / 3600)
+    east, north = rigorous_lv95(lat, lon)
+    assert abs(east - 2679520.05) < 1e-3 and abs(north - 1212273.44) < 1e-3
+
+
+def test_reprojection_follows_the_definition(spark):
+    """Places given on the national ellipsoid: their metres, and their degrees after the shift."""
+    w2 = (2 - 1 / 298.257223563) / 298.257223563
+    places, expected = [], []
+    for k in range(40):
+        lat, lon = math.radians(45.82 + 0.05 * k), math.radians(6.0 + 0.113 * ((k * 17) % 40))
+        x, y, z = (c + d for c, d in zip(geocentric(lat, lon, 6377397.155, 0.006674372230614), (674.374, 15.056, 405.346)))
+        p, up = math.hypot(x, y), math.atan2(z, math.hypot(x, y) * (1 - w2))
+        for _ in range(12):
+            up = math.atan2(z + w2 * 6378137.0 / math.sqrt(1 - w2 * math.sin(up) ** 2) * math.sin(up), p)
+        places.append(rigorous_lv95(lat, lon))
+        expected.append((math.degrees(math.atan2(y, x)), math.degrees(up)))
+    df = spark.createDataFrame([(i, *p, *w) for i, (p, w) in enumerate(zip(places, expected))], "i int, e double, n double, lon double, lat double")
+    there = g.reproject_point(F.struct(F.col("e").alias("x"), F.col("n").alias("y")), g.LV95, g.WGS84)
+    back = g.reproject_point(F.struct(F.col("lon").alias("x"), F.col("lat").alias("y")), g.WGS84, g.LV95)
+    for r in df.select("*", there.alias("w"), back.alias("p")).collect():
+        assert abs(r.w.x - r.lon) < 1e-9 and abs(r.w.y - r.lat) < 1e-9  # a tenth of a millimetre
+        assert abs(r.p.x - r.e) < 2e-3 and abs(r.p.y - r.n) < 2e-3  # the height is left out twice
+
+
 def test_serialisation(spark):
     r = shape(spark, HOLED).select(
         g.to_wkt(F.col("geom"), 2).alias("wkt"), g.to_geojson(F.col("geom")).alias("json"), g.to_wkb(F.col("geom")).alias("wkb")

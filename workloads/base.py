@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -227,14 +228,39 @@ def cell_sql(n: str, size: int = 1000) -> str:
 
 
 def to_wgs84_sql(x: str, y: str) -> tuple[str, str]:
-    """(longitude, latitude) expressions for LV95 coordinates."""
-    u, w = f"(({x} - 2600000.0) / 1000000.0)", f"(({y} - 1200000.0) / 1000000.0)"
-    lon = (
-        f"(2.6779094 + 4.728982 * {u} + 0.791484 * {u} * {w} + 0.1306 * {u} * {w} * {w}"
-        f" - 0.0436 * {u} * {u} * {u}) * 100.0 / 36.0"
+    """(longitude, latitude) expressions for LV95 coordinates, by the published definition."""
+    e2, axis = 0.006674372230614, 6377397.155
+    lat0, lon0 = math.radians(46 + 57 / 60 + 8.66 / 3600), math.radians(7 + 26 / 60 + 22.50 / 3600)
+    e, alpha = math.sqrt(e2), math.sqrt(1 + e2 / (1 - e2) * math.cos(lat0) ** 4)
+    radius, b0 = axis * math.sqrt(1 - e2) / (1 - e2 * math.sin(lat0) ** 2), math.asin(math.sin(lat0) / alpha)
+    k = math.log(math.tan(math.pi / 4 + b0 / 2)) - alpha * math.log(math.tan(math.pi / 4 + lat0 / 2))
+    k += alpha * e / 2 * math.log((1 + e * math.sin(lat0)) / (1 - e * math.sin(lat0)))
+    # sphere: b and l; ellipsoid: phi by rounds; then geocentric, shifted, and down to the other ellipsoid
+    bar = f"{{'i': ({x} - 2600000.0) / {radius!r}, 'b': 2 * (atan(exp(({y} - 1200000.0) / {radius!r})) - pi() / 4)}}"
+    sphere = (
+        f"{{'b': asin({math.cos(b0)!r} * sin(geo_.b) + {math.sin(b0)!r} * cos(geo_.b) * cos(geo_.i)),"
+        f" 'l': atan2(sin(geo_.i), {math.cos(b0)!r} * cos(geo_.i) - {math.sin(b0)!r} * tan(geo_.b))}}"
     )
-    lat = (
-        f"(16.9023892 + 3.238272 * {w} - 0.270978 * {u} * {u} - 0.002528 * {w} * {w}"
-        f" - 0.0447 * {u} * {u} * {w} - 0.0140 * {w} * {w} * {w}) * 100.0 / 36.0"
+    phi = "geo_.b"
+    for _ in range(8):
+        phi = f"(2 * atan(exp((ln(tan(pi() / 4 + geo_.b / 2)) - {k!r}) / {alpha!r} + {e!r} * ln(tan(pi() / 4 + asin({e!r} * sin({phi})) / 2)))) - pi() / 2)"
+    ellipsoid = f"{{'phi': {phi}, 'l': {lon0!r} + geo_.l / {alpha!r}}}"
+    normal = f"({axis!r} / sqrt(1 - {e2!r} * sin(geo_.phi) * sin(geo_.phi)))"
+    centred = (
+        f"{{'x': {normal} * cos(geo_.phi) * cos(geo_.l) + 674.374, 'y': {normal} * cos(geo_.phi) * sin(geo_.l) + 15.056,"
+        f" 'z': {normal} * {1 - e2!r} * sin(geo_.phi) + 405.346}}"
     )
-    return lon, lat
+    f = 1 / 298.257223563
+    w2, big = f * (2 - f), 6378137.0
+    # the latitude under a point, by rounds from its direction
+    lat = f"atan2(geo_.z, sqrt(geo_.x * geo_.x + geo_.y * geo_.y) * {1 - w2!r})"
+    for _ in range(4):
+        lat = f"list_transform([{lat}], lambda p: atan2(geo_.z + {w2 * big!r} / sqrt(1 - {w2!r} * sin(p) * sin(p)) * sin(p), sqrt(geo_.x * geo_.x + geo_.y * geo_.y)))[1]"
+
+    def chain(last: str) -> str:
+        value = bar
+        for step in (sphere, ellipsoid, centred, last):
+            value = f"list_transform([{value}], lambda geo_: {step})[1]"
+        return value
+
+    return chain("degrees(atan2(geo_.y, geo_.x))"), chain(f"degrees({lat})")
