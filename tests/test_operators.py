@@ -1,6 +1,7 @@
 import datetime as dt
 import glob
 import os
+import random
 from decimal import Decimal
 
 import pytest
@@ -16,7 +17,7 @@ from regiofact.operators.filters import known_at, where_set
 from regiofact.operators.history import HistoryTable, open_history, scd2_apply
 from regiofact.operators.joins import expand_ancestors, lookup_join, resolve_by_name
 from regiofact.operators.measures import expand_measures
-from regiofact.operators.numbering import number_rows, page
+from regiofact.operators.numbering import Place, SortKey, number_rows, page, page_after, place_of
 from regiofact.operators.quality import (
     check_between,
     check_columns,
@@ -394,6 +395,31 @@ def test_texts_in_one_pass(spark, rows):
     assert rows(collect_texts(df)) == [("group", "g"), ("group_value", "v"), ("group_value", "w"), ("source", "s")]
 
 
+def test_pages_by_place_are_the_pages_by_skip(spark):
+    rnd = random.Random(5)
+    data = [(rnd.choice([None, 1, 2, 3]), rnd.choice([None, "x", "y"]), rnd.choice([0.5, None])) for _ in range(90)] + [(2, "x", 0.5)] * 40
+    df = spark.createDataFrame(data, "a int, b string, c double").repartition(5)
+    order = [SortKey("a"), SortKey("b", ascending=False)]
+    whole = [tuple(r) for r in page(df, [k.column for k in order], 0, 200).collect()]
+    got, after = [], None
+    while True:
+        rows = page_after(df.repartition(3), order, 17, after)
+        found = [tuple(r) for r in rows.collect()]
+        if not found:
+            break
+        got += found
+        after = place_of(rows, order, after)
+    assert got == whole and sorted(map(str, got)) == sorted(map(str, data))
+    assert place_of(df.filter("a > 5"), order) is None
+
+
+def test_a_page_by_place_reads_behind_it(spark, tmp_path):
+    spark.range(10_000).select("id", (F.col("id") % 7).alias("v")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = page_after(df, [SortKey("id")], 10, Place((9_000,), 0, 0))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,9000)" in plan.split("PushedFilters: ")[1].split("ReadSchema")[0]
+
+
 def test_row_numbers_with_many_copies(spark):
     data = [(1,)] * 500 + [(i,) for i in range(2, 200)] + [(300,)] * 300
     df = spark.createDataFrame(data, "v int").repartition(7)

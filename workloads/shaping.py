@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regiofact.config import FilterRule
 from regiofact.functions.dates import period_bounds
 from regiofact.operators.filters import any_pattern, known_level, publishable, rules_hold
 from regiofact.operators.joins import expand_ancestors, map_code, resolve_by_name
-from regiofact.operators.numbering import page
+from regiofact.operators.numbering import SortKey, page, page_after, place_of
 from regiofact.operators.quality import qa_counts
 from regiofact.operators.reshape import (
     distinct_on,
@@ -24,6 +26,7 @@ from regiofact.operators.reshape import (
     unpivot_text,
 )
 from regiofact.plans.indicators import route_value
+from regiofact.session import materialize
 from workloads.base import LINES, entry, lines, money, table
 
 
@@ -338,3 +341,22 @@ def page_to_end(spark: SparkSession, d: str) -> DataFrame:
     """Everything after the first rows, numbered without one sorting task."""
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     return page(o, [F.col("o_custkey"), F.col("o_orderkey")], 1200)
+
+
+@entry(
+    """SELECT CAST(row_number() OVER w AS BIGINT) AS place, CAST((row_number() OVER w - 1) // 400 AS BIGINT) AS page, o_orderkey, priority FROM (
+        SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS priority FROM orders
+    ) WINDOW w AS (ORDER BY priority DESC NULLS LAST, o_orderkey) QUALIFY place <= 2000"""
+)
+def pages_by_place(spark: SparkSession, d: str) -> DataFrame:
+    """The first five pages of 400 rows, each from the place where the one before ended."""
+    o = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority"))
+    order, after, pages = [SortKey("priority", ascending=False), SortKey("o_orderkey")], None, []
+    for n in range(5):
+        rows = materialize(page_after(o, order, 400, after))
+        pages.append(rows.withColumn("page", F.lit(n)))
+        after = place_of(rows, order, after)
+    given = reduce(DataFrame.unionAll, pages)
+    # 2000 rows at most
+    within = Window.orderBy("page", F.col("priority").desc_nulls_last(), "o_orderkey")
+    return given.select(F.row_number().over(within).alias("place"), "page", "o_orderkey", "priority")
