@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regiofact.functions.dates import compact_date, snapshot_code, year_start
@@ -13,6 +13,8 @@ from regiofact.functions.geometry import (
     WGS84,
     centroid,
     force_2d,
+    map_vertices,
+    point,
     reproject,
     reproject_point,
 )
@@ -99,6 +101,10 @@ LEVELS = {
 }
 
 
+def _to_centimetre(v: Column) -> Column:
+    return point(F.round(v["x"], 2), F.round(v["y"], 2))
+
+
 def boundary_snapshots(past: DataFrame, present: DataFrame, level: str, now: str) -> DataFrame:
     """One row per area and yearly snapshot, in LV95.
 
@@ -114,7 +120,8 @@ def boundary_snapshots(past: DataFrame, present: DataFrame, level: str, now: str
     old = gridded.select(
         "snapshot_date",
         *[F.col(src).alias(c) for c, src in spec.past.items()],
-        reproject(F.col("geometry"), WGS84, LV95).alias("geometry"),
+        # to the centimetre, so that both sources draw a border that they share as one line
+        map_vertices(reproject(F.col("geometry"), WGS84, LV95), _to_centimetre).alias("geometry"),
     )
     new = present.select(
         year_start(F.col("_snapshot_year")).alias("snapshot_date"),
@@ -144,24 +151,64 @@ def add_latest(snapshots: DataFrame, key: str) -> DataFrame:
     )
 
 
+def equal_snapshots(coded: DataFrame, key: str) -> DataFrame:
+    """snapshot_code and shape_code, the first of the snapshots with the same areas and borders."""
+    row = F.xxhash64(key, "geometry")
+    content = coded.groupBy("snapshot_code").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(row).alias("h"), F.sum(row.bitwiseAND(F.lit((1 << 40) - 1))).alias("s")
+    )
+    # one row a snapshot
+    alike = Window.partitionBy("n", "h", "s")
+    return content.select("snapshot_code", F.min("snapshot_code").over(alike).alias("shape_code"))
+
+
 def build_geo_dim(past: DataFrame, present: DataFrame, level: str, now: str) -> DataFrame:
-    """The dimension of one level with borders, simplified borders and centres in WGS84."""
+    """The dimension of one level with borders, simplified borders and centres in WGS84.
+
+    Shapes are made once for all snapshots that have the same areas and borders.
+    """
     spec = LEVELS[level]
     snapshots = materialize(boundary_snapshots(past, present, level, now))
     coded = materialize(add_latest(snapshots, spec.key))
-    simple = coverage_simplify(coded, [spec.key], "snapshot_code", "geometry", TOLERANCES)
-    return simple.select(
+    alike = materialize(equal_snapshots(coded, spec.key))
+    first = alike.filter("snapshot_code = shape_code").select("shape_code")
+    once = coded.select(F.col("snapshot_code").alias("shape_code"), spec.key, "geometry").join(first, "shape_code")
+    simple = coverage_simplify(once, [spec.key], "shape_code", "geometry", TOLERANCES)
+    shapes = materialize(simple.select(
+        "shape_code",
+        spec.key,
+        reproject(F.col("geometry"), LV95, WGS84).alias("geom_border"),
+        *[reproject(F.col(c), LV95, WGS84).alias(c) for c in TOLERANCES],
+        reproject_point(centroid(F.col("geometry")), LV95, WGS84).alias("geom_center"),
+    ))
+    return coded.join(alike, "snapshot_code").join(shapes, ["shape_code", spec.key]).select(
         "snapshot_code",
         "snapshot_date",
         *spec.columns,
         "geometry",
         F.year("snapshot_date").alias("snapshot_year"),
-        reproject(F.col("geometry"), LV95, WGS84).alias("geom_border"),
-        *[reproject(F.col(c), LV95, WGS84).alias(c) for c in TOLERANCES],
-        reproject_point(centroid(F.col("geometry")), LV95, WGS84).alias("geom_center"),
+        "geom_border",
+        *TOLERANCES,
+        "geom_center",
     )
 
 
+def write_geo_dim(dim: DataFrame, level: str, path: str) -> None:
+    """Write a level's dimension by snapshot year; only the years it holds are replaced."""
+    rows = dim.withColumn("level", F.lit(level)).hint("rebalance", "snapshot_year")
+    writer = rows.sortWithinPartitions("snapshot_year", LEVELS[level].key).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("level", "snapshot_year").parquet(path)
+
+
+def read_geo_dim(spark: SparkSession, level: str, path: str, year: int | None = None) -> DataFrame:
+    """A written dimension, or one snapshot year of it, which reads that year's files only."""
+    spec = LEVELS[level]
+    rows = spark.read.parquet(f"{path}/level={level}")  # levels have columns of their own
+    rows = rows if year is None else rows.filter(F.col("snapshot_year") == year)
+    shapes = ["geometry", "snapshot_year", "geom_border", *TOLERANCES, "geom_center"]
+    return rows.select("snapshot_code", "snapshot_date", *spec.columns, *shapes)
+
+
 def latest_only(dim: DataFrame) -> DataFrame:
     return dim.filter(F.col("snapshot_code") == LATEST)
 

@@ -29,6 +29,8 @@ from regiofact.plans.geo_dims import (
     boundary_snapshots,
     build_geo_dim,
     list_geo,
+    read_geo_dim,
+    write_geo_dim,
 )
 from regiofact.session import materialize, new_path
 from regiofact.sources.files import export
@@ -299,6 +301,84 @@ def yearly_dimension(spark: SparkSession, d: str) -> DataFrame:
 _CENTRE_LON, _CENTRE_LAT = to_wgs84_sql("(ox + mx / (3 * a))", "(oy + my / (3 * a))")
 
 
+# Districts and cantons: nations and regions from 1995 on, most of them still there in 1999 and 2000.
+def _coarse_sources(spark: SparkSession, d: str, level: str) -> tuple[DataFrame, DataFrame]:
+    district = level == "bezk"
+    t = table(spark, d, "nation" if district else "region")
+    key = F.col("n_nationkey" if district else "r_regionkey").cast("bigint")
+    shape, name = cell(key, 8000 if district else 40000), F.col("n_name" if district else "r_name")
+    past = t.select(
+        key.alias("BEZNR" if district else "KTNR"), name.alias("BEZNAME" if district else "KTKZ"),
+        *([F.col("n_regionkey").alias("KTNR")] if district else [F.lit("CH").alias("CODE_ISO")]),
+        F.lit("19950101").alias("VALID_FROM"), F.lit("19980630").alias("VALID_UNTI"), reproject(shape, LV95, WGS84).alias("geometry"),
+    )
+    later = t.filter(key % 5 != 4).withColumn("_snapshot_year", F.explode(F.array(F.lit(1999), F.lit(2000))))
+    present = later.select(
+        "_snapshot_year", key.alias("bezirksnummer" if district else "kantonsnummer"), name.alias("name"),
+        F.col("n_regionkey").alias("kantonsnummer") if district else F.lit("CH").alias("icc"), shape.alias("geometry"),
+    )
+    return past, present
+
+
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def dimensions(spark: SparkSession, d: str) -> str:
+    """The folder of the dimensions of all levels, written once per session and data folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _WRITTEN:
+        path = new_path(spark, "areas")
+        for level in ("polg", "bezk", "kant"):
+            past, present = boundary_sources(spark, d) if level == "polg" else _coarse_sources(spark, d, level)
+            write_geo_dim(build_geo_dim(past, present, level, NOW), level, path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+_COARSE = """SELECT level, CAST(y AS VARCHAR) || '-01-01' AS snapshot_date, CAST(id AS BIGINT) AS id, name, CAST(kan AS BIGINT) AS kanton_bfs_id{more} FROM (
+        SELECT 'bezk' AS level, n_nationkey AS id, n_name AS name, n_regionkey AS kan FROM nation
+        UNION ALL SELECT 'kant', r_regionkey, r_name, r_regionkey FROM region
+    ) a, (SELECT unnest(range(1995, 2001)) AS y) WHERE y < 1999 OR id % 5 <> 4"""
+
+
+def _listed(spark: SparkSession, d: str, level: str, year: int, mode: str) -> DataFrame:
+    rows = list_geo(read_geo_dim(spark, level, dimensions(spark, d), year), level, year, mode, include_latest=False)
+    key, name = ("bezirk_bfs_id", "bezirk_name") if level == "bezk" else ("kanton_bfs_id", "kanton_name")
+    return rows.select(F.lit(level).alias("level"), "snapshot_date", F.col(key).alias("id"), F.col(name).alias("name"), F.col("kanton_bfs_id").alias("kanton_bfs_id"), "geometry")
+
+
+@entry(_COARSE.format(more=", CAST(17 AS BIGINT) AS n_vertices"))
+def districts_and_cantons(spark: SparkSession, d: str) -> DataFrame:
+    """Districts and cantons of all years with their borders."""
+    parts = [_listed(spark, d, level, year, "border") for level in ("bezk", "kant") for year in range(1995, 2001)]
+    rows = reduce(DataFrame.unionAll, parts)
+    return rows.withColumn("n_vertices", F.size(F.flatten(F.flatten("geometry")))).drop("geometry")
+
+
+_SIMPLE = ("border_simple_50_meter", "border_simple_100_meter", "border_simple_500_meter")
+
+
+@entry(
+    f"""SELECT a.*, m AS mode, CAST(1 AS BIGINT) AS closed, CAST(1 AS BIGINT) AS of_border, CAST(1 AS BIGINT) AS near
+        FROM ({_COARSE.format(more="")}) a, (VALUES {", ".join(f"('{m}')" for m in _SIMPLE)}) t(m) WHERE snapshot_date = '2000-01-01'"""
+)
+def simplified_modes(spark: SparkSession, d: str) -> DataFrame:
+    """The three simplified modes for one year: closed rings of the border's vertices, near its area."""
+    parts = []
+    for level in ("bezk", "kant"):
+        border = _listed(spark, d, level, 2000, "border").select("id", F.col("geometry").alias("border"))
+        parts += [_listed(spark, d, level, 2000, m).withColumn("mode", F.lit(m)).join(border, "id") for m in _SIMPLE]
+    rows = reduce(DataFrame.unionByName, parts)
+    ring, metres = F.get(F.get("geometry", F.lit(0)), F.lit(0)), lambda c: F.abs(area(reproject(F.col(c), WGS84, LV95)))
+    flat = lambda c: F.flatten(F.flatten(c))
+    return rows.select(
+        "level", "snapshot_date", "id", "name", "kanton_bfs_id", "mode",
+        ((F.get(ring, F.lit(0)) == F.element_at(ring, -1)) & (F.size(ring) > 3)).cast("int").alias("closed"),
+        (F.size(F.array_except(flat("geometry"), flat("border"))) == 0).cast("int").alias("of_border"),
+        (F.abs(metres("geometry") - metres("border")) < 0.1 * metres("border")).cast("int").alias("near"),
+    )
+
+
 @entry(
     f"""WITH {_SNAPSHOTS}, {_MOMENTS}
     SELECT CAST(s AS VARCHAR) AS snapshot_date, CAST(dim.id AS BIGINT) AS gemeinde_bfs_id, CAST(hist AS BIGINT) AS gemeinde_hist_bfs_id,
@@ -307,8 +387,6 @@ _CENTRE_LON, _CENTRE_LAT = to_wgs84_sql("(ox + mx / (3 * a))", "(oy + my / (3 *
     FROM dim JOIN m ON m.id = dim.id JOIN customer ON c_custkey = dim.id WHERE year(s) = 2000"""
 )
 def areas_of_year(spark: SparkSession, d: str) -> DataFrame:
-    """The complete dimension, listed for one year with centres."""
-    past, present = boundary_sources(spark, d)
-    dim = build_geo_dim(past, present, "polg", NOW)
-    out = list_geo(dim, "polg", 2000, "point")
+    """The complete dimension as written, listed for one year with centres."""
+    out = list_geo(read_geo_dim(spark, "polg", dimensions(spark, d), 2000), "polg", 2000, "point")
     return out.select("*", F.col("geometry.x").alias("lon"), F.col("geometry.y").alias("lat")).drop("geometry")
