@@ -11,6 +11,5 @@ MODULES = (
 
 for _name in MODULES:
     import_module(f"regiofact.llm.{_name}")
-import_module("corpus_pipeline")
 
 __all__ = ["ORACLES", "QUERIES"]
