@@ -324,6 +324,9 @@ def _meeting(arcs: DataFrame, lines: DataFrame, used: DataFrame, changed: DataFr
     celled = materialize(celled.distinct().join(used, "arc"))
     one = celled.join(changed, ["arc", "level"], "left_semi").toDF(*[f"_{c}" if c in ("arc", "p", "q") else c for c in celled.columns])
     both = one.join(celled, ["part", "level", "cx", "cy"]).filter(F.col("_arc") != F.col("arc"))
+    for c in ("x", "y"):  # most pairs lie apart
+        both = both.filter(F.greatest(f"_p.{c}", f"_q.{c}") >= F.least(f"p.{c}", f"q.{c}"))
+        both = both.filter(F.least(f"_p.{c}", f"_q.{c}") <= F.greatest(f"p.{c}", f"q.{c}"))
     crossed = both.filter(segments_meet(F.col("_p"), F.col("_q"), F.col("p"), F.col("q")))
     crossed = crossed.select("level", F.explode(F.array("_arc", "arc")).alias("arc"))
     # a line has moved over another arc if that arc starts between it and what it was
