@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ from regiofact.operators.quality import (
     check_min_rows,
     check_unique,
 )
+from regiofact.plans.audit import Contract, ContractBroken, both_sides, publish_audited, quarantine, sound_rows
+from regiofact.session import new_path
 from workloads.base import LINES, SALES, entry, lines, sales, table
 
 
@@ -60,3 +63,33 @@ def quality_report(spark: SparkSession, d: str) -> DataFrame:
         check_contract(facts, [], ["geo_value"], {"geo_value": "bigint"}).select("rule", "column", count),
     ]
     return reduce(DataFrame.union, parts)
+
+
+_CONTRACT_SQL = """p AS (SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS priority, o_custkey, CAST(o_orderdate AS DATE) AS day,
+           round(CAST(o_totalprice AS DOUBLE), 2) AS price FROM orders),
+    r AS (SELECT o_custkey, day FROM p GROUP BY ALL HAVING count(*) > 1)
+    SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, concat_ws(';', CASE WHEN priority IS NULL THEN 'not_null priority' END,
+               CASE WHEN price < 1000 OR price > 300000 THEN 'between price' END,
+               CASE WHEN (o_custkey, day) IN (SELECT (o_custkey, day) FROM r) THEN 'unique o_custkey,day' END) AS broken FROM p"""
+
+
+@entry(f"WITH {_CONTRACT_SQL}")
+def audited_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Orders published under a contract: sound rows as published, and the quarantine with its rules.
+
+    A second load, which breaks the contract more often than it allows, is written but not published.
+    """
+    o = table(spark, d, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority"), "o_custkey",
+        F.col("o_orderdate").cast("date").alias("day"), F.round(F.col("o_totalprice").cast("double"), 2).alias("price"),
+    )
+    root = new_path(spark, "audited")
+    contract = Contract(not_null=["priority"], unique=[["o_custkey", "day"]], between={"price": (1000.0, 300000.0)}, allowed=None)
+    first = publish_audited(o, contract, root, "orders")
+    try:
+        publish_audited(o.unionAll(o), replace(contract, allowed=10), root, "orders")
+        raise AssertionError("a table that breaks its contract was published")
+    except ContractBroken:
+        pass
+    rows = both_sides(sound_rows(spark, root, "orders"), quarantine(spark, root, "orders", first.number))
+    return rows.select("o_orderkey", F.array_join("_broken", ";").alias("broken"))
