@@ -146,7 +146,7 @@ NAMES = sorted(n for n in QUERIES if n.startswith("op") or n == "pipeline")
 
 
 def test_registered():
-    assert {n.split("_")[0] for n in NAMES if n != "pipeline"} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in NAMES if n != "pipeline"} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
