@@ -42,15 +42,16 @@ from regiofact.plans.warehouse import (
 from regiofact.schemas import INTM_MEASURED, MART, widened
 from regiofact.session import materialize, new_path
 from regiofact.sources.files import read_mart
-from regiofact.sources.releases import save_parquet
 from workloads.base import (
     LINES,
     ORACLES,
     PEOPLE,
     SALES,
     TOTALS,
+    Interrupted,
     cell,
     cell_sql,
+    ends_after,
     entry,
     money,
     people,
@@ -474,23 +475,6 @@ def emptied_indicator(spark: SparkSession, d: str) -> DataFrame:
     return mart.groupBy("indicator_id").agg(F.count("*").alias("n"))
 
 
-class Interrupted(Exception):
-    """Ends a publication where a driver would have died."""
-
-
-def _ends_after(writes: int):
-    """A way of writing that does ``writes`` tables, then part of the next one, and ends."""
-    left = [writes]
-
-    def save(writer, path):
-        left[0] -= 1
-        if left[0] < 0:
-            raise Interrupted(path)
-        save_parquet(writer, path)
-
-    return save
-
-
 @entry(
     f"""WITH {SALES}, seen AS (
         SELECT * FROM (VALUES (0), (1), (2), (3)) w(after_writes)
@@ -509,7 +493,7 @@ def publication_interrupted(spark: SparkSession, d: str) -> DataFrame:
     states = []
     for writes in range(4):
         try:
-            publish_to(spark, [facts.filter("indicator_id <> 104")], root, WIDE_MART, range(101, 106), _ends_after(writes))
+            publish_to(spark, [facts.filter("indicator_id <> 104")], root, WIDE_MART, range(101, 106), ends_after(writes))
         except Interrupted:
             pass
         mart, dictionaries = released_warehouse(spark, root, WIDE_MART)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regiofact.functions.geometry import bound, point
+from regiofact.sources.releases import save_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,6 +62,23 @@ def money(name: str) -> Column:
     return F.col(name).cast("decimal(18,2)")
 
 
+class Interrupted(Exception):
+    """Ends a publication where a driver would have died."""
+
+
+def ends_after(writes: int):
+    """A way of writing that does ``writes`` tables, then part of the next one, and ends."""
+    left = [writes]
+
+    def save(writer, path):
+        left[0] -= 1
+        if left[0] < 0:
+            raise Interrupted(path)
+        save_parquet(writer, path)
+
+    return save
+
+
 # ---------------------------------------------------------------------------
 # Order lines with their order: the raw material of most indicators.
 LINES = """

@@ -44,7 +44,9 @@ from regiofact.sources.nested import (
 )
 from regiofact.sources.pickup import modified_resources, oldest_unloaded
 from regiofact.streaming.pickup import load_new_files
-from workloads.base import LINES, cell, cell_sql, entry, lines, money, table
+from regiofact.plans.intake import Intake
+from regiofact.sources.releases import save_parquet
+from workloads.base import LINES, Interrupted, cell, cell_sql, ends_after, entry, lines, money, table
 
 
 @entry(
@@ -694,3 +696,30 @@ def text_functions(spark: SparkSession, d: str) -> DataFrame:
         mother_path(mother, F.col("tax")).alias("path"),
         surrogate_key(mother, F.col("o_orderkey")).alias("surrogate"),
     )
+
+
+@entry(
+    """SELECT event_id, strftime(ts, '%Y-%m-%d') AS resource_id, CAST(CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 1 ELSE 2 END AS BIGINT) AS loaded_in,
+              CAST(2 AS BIGINT) AS releases FROM events WHERE ts < TIMESTAMP '2024-01-25'"""
+)
+def restarted_pickup(spark: SparkSession, d: str) -> DataFrame:
+    """Days of events as resources: a load, a second one that ends after each of its writes, its restart, and one without changes.
+
+    The rows are those of one clean load. Days that did not change were loaded once.
+    """
+    events, intake = table(spark, d, "events").select("event_id", "ts"), Intake(spark, new_path(spark, "intake"), "events")
+
+    def load(until: str, save=save_parquet):
+        seen = events.filter(F.col("ts") < F.lit(until).cast("timestamp_ntz")).withColumn("resource_id", F.date_format("ts", "yyyy-MM-dd"))
+        listed = seen.groupBy("resource_id").agg(F.max("ts").alias("last_modified"))
+        return intake.load(listed, lambda days: seen.join(days.select("resource_id"), "resource_id"), until, save)
+
+    load("2024-01-16 12:00:00")
+    for writes in range(3):
+        try:
+            load("2024-01-25 00:00:00", ends_after(writes))
+        except Interrupted:
+            pass
+    load("2024-01-25 00:00:00")
+    last = load("2024-01-25 00:00:00")
+    return intake.rows().select("event_id", "resource_id", "loaded_in", F.lit(last.number).alias("releases"))
