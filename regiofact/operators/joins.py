@@ -70,8 +70,11 @@ def resolve_by_name(
     name: str = "gemeinde_name",
     number: str = "gemeinde_bfs_id",
 ) -> DataFrame:
-    """Fill a missing municipality number by its name; of equal names the highest wins."""
-    by_name = places.groupBy(F.col(name).alias("_name")).agg(F.max(number).alias("_number"))
+    """Fill a missing municipality number by its name; of equal names the highest wins.
+
+    The numbers by name are written first, so that the join is split where a name is hot.
+    """
+    by_name = materialize(places.groupBy(F.col(name).alias("_name")).agg(F.max(number).alias("_number")))
     searched = (F.col("geo_code") == "polg") & F.col("geo_value").isNull()
     keyed = df.withColumn("_name", F.when(searched, F.col("geo_value_name")))
     found = lookup_join(keyed, by_name, ["_name"])

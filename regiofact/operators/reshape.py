@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiofact.operators.joins import lookup_join
+from regiofact.session import materialize
 
 
 def union_tagged(*tables: DataFrame, tag: str = "src_order") -> DataFrame:
@@ -58,9 +59,13 @@ def last_known(df: DataFrame, entity: str, order: str, columns: Sequence[str]) -
 def fill_last_known(
     df: DataFrame, entity: str, order: str, columns: Sequence[str]
 ) -> DataFrame:
-    """Replace NULLs by the newest value known for the entity."""
-    renamed = last_known(df, entity, order, columns).select(
-        entity, *[F.col(c).alias(f"_known_{c}") for c in columns]
+    """Replace NULLs by the newest value known for the entity.
+
+    The known values are written first: a join with a table is split where an entity has very
+    many rows, one with an aggregate is not.
+    """
+    renamed = materialize(
+        last_known(df, entity, order, columns).select(entity, *[F.col(c).alias(f"_known_{c}") for c in columns])
     )
     joined = lookup_join(df, renamed, [entity])
     return joined.select(

@@ -139,7 +139,7 @@ def boundary_snapshots(past: DataFrame, present: DataFrame, level: str, now: str
 
 def add_latest(snapshots: DataFrame, key: str) -> DataFrame:
     """Code every snapshot by its day and repeat the newest of each area as ``latest``."""
-    newest = snapshots.groupBy(key).agg(F.max("snapshot_date").alias("_newest"))
+    newest = materialize(snapshots.groupBy(key).agg(F.max("snapshot_date").alias("_newest")))
     joined = lookup_join(snapshots, newest, [key])
     codes = F.array(
         snapshot_code(F.col("snapshot_date")),

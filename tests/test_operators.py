@@ -29,6 +29,7 @@ from regiofact.operators.quality import (
 from regiofact.operators.reshape import (
     distinct_on,
     fan_out,
+    fill_last_known,
     last_known,
     latest_per_entity,
     melt,
@@ -49,11 +50,9 @@ def test_lookup_join_plans_without_running(spark, rows, how):
     assert rows(joined) == rows(facts.join(lookup, "k", how))
 
 
-def test_skewed_lookup_is_split(spark):
-    """Adaptive execution splits a hot key of the row side; no code of ours does."""
-    facts = spark.range(0, 200_000, numPartitions=4).select(F.lit(1).alias("k"), F.col("id").alias("v"))
-    facts = facts.union(spark.range(5000).select("id", "id"))
-    lookup = spark.range(5000).select(F.col("id").alias("k"), F.lit(2).alias("w"))
+@pytest.fixture
+def skewed(spark):
+    """Settings under which a hot key of a small table counts as skewed."""
     changed = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
@@ -61,16 +60,35 @@ def test_skewed_lookup_is_split(spark):
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
     before = {k: spark.conf.get(k) for k in changed}
-    try:
-        for k, v in changed.items():
-            spark.conf.set(k, v)
-        joined = lookup_join(facts, lookup, ["k"], "inner")
-        assert joined.count() == 205_000
-        joined.collect()
-        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield lambda df: "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_skewed_lookup_is_split(spark, skewed):
+    """Adaptive execution splits a hot key of the row side; no code of ours does."""
+    facts = spark.range(0, 200_000, numPartitions=4).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    facts = facts.union(spark.range(5000).select("id", "id"))
+    lookup = spark.range(5000).select(F.col("id").alias("k"), F.lit(2).alias("w"))
+    joined = lookup_join(facts, lookup, ["k"], "inner")
+    assert joined.count() == 205_000
+    joined.collect()
+    assert skewed(joined)
+
+
+def test_skewed_entities_and_names_are_split(spark, skewed):
+    """The same where the other side is an aggregate, which is written first."""
+    rows = spark.range(0, 200_000, numPartitions=4).select(F.lit(1).alias("k"), F.col("id").alias("o"), F.when(F.col("id") % 3 == 0, F.col("id")).alias("v"))
+    rows = rows.union(spark.range(5000).select("id", "id", F.lit(None).cast("long")))
+    filled = fill_last_known(rows, "k", "o", ["v"])
+    assert len(filled.collect()) == 205_000 and skewed(filled)
+    assert filled.filter("k = 1 and v is null").count() == 0
+    places = spark.range(5000).select(F.concat(F.lit("n"), "id").alias("gemeinde_name"), F.col("id").alias("gemeinde_bfs_id"))
+    named = rows.select(F.lit("polg").alias("geo_code"), F.lit(None).cast("long").alias("geo_value"), F.concat(F.lit("n"), "k").alias("geo_value_name"))
+    found = resolve_by_name(named, places)
+    assert len(found.collect()) == 205_000 and skewed(found)
 
 
 def test_snapshot_grid_includes_both_ends(spark, rows):
