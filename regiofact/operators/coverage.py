@@ -331,16 +331,17 @@ def _meeting(arcs: DataFrame, lines: DataFrame, used: DataFrame, changed: DataFr
     crossed = crossed.select("level", F.explode(F.array("_arc", "arc")).alias("arc"))
     # a line has moved over another arc if that arc starts between it and what it was
     axis = lambda c: F.transform("chain", lambda v: v[c])
-    moved = sized.filter("chain is not null").join(changed, ["arc", "level"], "left_semi").select(
-        "arc", "level", "chain", *[_cells(F.array_min(axis(c)), F.array_max(axis(c)), F.col("step")).alias(f"c{c}") for c in ("x", "y")]
-    )
-    moved = moved.select("arc", "level", "chain", F.explode("cx").alias("cx"), "cy").withColumn("cy", F.explode("cy")).join(used, "arc")
+    box = {f"{kind}{c}": of(axis(c)) for c in ("x", "y") for kind, of in (("low_", F.array_min), ("high_", F.array_max))}
+    moved = sized.filter("chain is not null").join(changed, ["arc", "level"], "left_semi").withColumns(box)
+    moved = moved.withColumns({f"c{c}": _cells(F.col(f"low_{c}"), F.col(f"high_{c}"), F.col("step")) for c in ("x", "y")})
+    moved = moved.select("arc", "level", "chain", *box, F.explode("cx").alias("cx"), "cy").withColumn("cy", F.explode("cy")).join(used, "arc")
     starts = arcs.select(F.col("arc").alias("_arc"), F.get("points", F.lit(0)).alias("v"))
     starts = starts.crossJoin(F.broadcast(steps)).join(used.withColumnRenamed("arc", "_arc"), "_arc").select(
         "part", "level", "_arc", "v", F.floor(F.col("v.x") / F.col("step")).alias("cx"), F.floor(F.col("v.y") / F.col("step")).alias("cy")
     )
     over_it = moved.join(starts, ["part", "level", "cx", "cy"]).filter(
-        (F.col("_arc") != F.col("arc")) & (F.col("v") != F.get("chain", F.lit(0))) & (F.col("v") != F.element_at("chain", -1))
+        (F.col("_arc") != F.col("arc")) & F.col("v.x").between(F.col("low_x"), F.col("high_x"))
+        & F.col("v.y").between(F.col("low_y"), F.col("high_y")) & (F.col("v") != F.get("chain", F.lit(0))) & (F.col("v") != F.element_at("chain", -1))
         & inside_loop(F.col("v"), F.col("chain"))
     )
     return crossed.unionByName(over_it.select("level", "arc")).distinct()
