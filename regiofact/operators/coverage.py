@@ -164,17 +164,24 @@ def coverage_simplify(
     used = materialize(uses.select(F.col(part).alias("part"), "arc").distinct())
     levels = F.array(*[F.struct(F.lit(i).alias("level"), F.lit(float(t)).alias("tolerance")) for i, t in enumerate(tolerances.values())])
     lines = materialize(_simplified(arcs.select("arc", "points", F.inline(levels))))
-    changed, halvings = lines.select("arc", "level"), 0
+    segments = materialize(_segments(arcs, lines))
+    # one row a tolerance; the cells stay the same in all rounds
+    steps = materialize(segments.groupBy("level").agg((2 * F.avg(_long()) + F.lit(1e-9)).alias("step")))
+    cells = materialize(_dealt(segments, steps, used))
+    meeting, halvings = materialize(_meeting(arcs, segments, steps, used, None, cells)), 0
     while True:
-        meeting = materialize(_meeting(arcs, lines, used, changed))
         redo = materialize(lines.join(meeting, ["arc", "level"]).filter("tolerance > 0"))
         if redo.isEmpty():
             break
         halvings += 1
         less = F.col("tolerance") / 2 if halvings <= HALVINGS else F.lit(0.0)
-        again = _simplified(redo.join(arcs, "arc").select("arc", "points", "level", less.alias("tolerance")))
+        again = materialize(_simplified(redo.join(arcs, "arc").select("arc", "points", "level", less.alias("tolerance"))))
         lines = materialize(lines.join(redo, ["arc", "level"], "left_anti").unionByName(again))
-        changed = redo.select("arc", "level")
+        # only what is new is dealt again, and compared with itself and all the rest
+        segments = materialize(_segments(arcs, again))
+        new = materialize(_dealt(segments, steps, used))
+        cells = cells.join(redo, ["arc", "level"], "left_anti").unionByName(new)
+        meeting = materialize(_meeting(arcs, segments, steps, used, new, cells))
     return _assembled(df, rings, uses, arcs, lines, ident, geom, list(tolerances))
 
 
@@ -244,7 +251,7 @@ def _arc_uses(rings: DataFrame, cuts: DataFrame, ident: Sequence[str]) -> DataFr
     cut = cut.withColumn("backwards", F.when(first == last, second > before).otherwise(first > last))
     points = F.when(F.col("backwards"), F.reverse("points")).otherwise(F.col("points"))
     cut = cut.select(*ident, "ring_no", "k", "backwards", points.alias("points"))
-    return cut.withColumn("arc", F.md5(F.to_json("points").cast("binary")))
+    return cut.withColumn("arc", F.unhex(F.md5(F.to_json("points").cast("binary"))))
 
 
 def _simplified(asked: DataFrame) -> DataFrame:
@@ -253,26 +260,38 @@ def _simplified(asked: DataFrame) -> DataFrame:
     return asked.select("arc", "level", "tolerance", _kept(flat, F.col("tolerance")).alias("kept"))
 
 
-def _turn(p: tuple[Column, Column], q: tuple[Column, Column], r: tuple[Column, Column]) -> Column:
+Place = tuple[np.ndarray, np.ndarray]
+
+
+def _turn(p: Place, q: Place, r: Place) -> np.ndarray:
     return (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
 
 
-def _same(p: tuple[Column, Column], q: tuple[Column, Column]) -> Column:
+def _same(p: Place, q: Place) -> np.ndarray:
     return (p[0] == q[0]) & (p[1] == q[1])
 
 
-def segments_meet(a: Column, b: Column, c: Column, d: Column) -> Column:
-    """Whether the segments ab and cd have a point in common other than one common end."""
-    a, b, c, d = ((v["x"], v["y"]) for v in (a, b, c, d))
+@F.pandas_udf(T.BooleanType())
+def _meet(
+    ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series, cx: pd.Series, cy: pd.Series, dx: pd.Series, dy: pd.Series
+) -> pd.Series:
+    flat = [v.to_numpy(dtype=float) for v in (ax, ay, bx, by, cx, cy, dx, dy)]
+    a, b, c, d = zip(flat[::2], flat[1::2])
 
-    def inside(p, s, e) -> Column:
-        within = (p[0] >= F.least(s[0], e[0])) & (p[0] <= F.greatest(s[0], e[0]))
-        within &= (p[1] >= F.least(s[1], e[1])) & (p[1] <= F.greatest(s[1], e[1]))
-        return within & (_turn(s, e, p) == 0) & ~_same(p, s) & ~_same(p, e)
+    def inside(p: Place, s: Place, e: Place, turn: np.ndarray) -> np.ndarray:
+        within = (p[0] >= np.minimum(s[0], e[0])) & (p[0] <= np.maximum(s[0], e[0]))
+        within &= (p[1] >= np.minimum(s[1], e[1])) & (p[1] <= np.maximum(s[1], e[1]))
+        return within & (turn == 0) & ~_same(p, s) & ~_same(p, e)
 
-    across = (F.signum(_turn(a, b, c)) * F.signum(_turn(a, b, d)) < 0) & (F.signum(_turn(c, d, a)) * F.signum(_turn(c, d, b)) < 0)
+    abc, abd, cda, cdb = _turn(a, b, c), _turn(a, b, d), _turn(c, d, a), _turn(c, d, b)
+    across = (np.sign(abc) * np.sign(abd) < 0) & (np.sign(cda) * np.sign(cdb) < 0)
     equal = (_same(a, c) & _same(b, d)) | (_same(a, d) & _same(b, c))
-    return across | equal | inside(c, a, b) | inside(d, a, b) | inside(a, c, d) | inside(b, c, d)
+    return pd.Series(across | equal | inside(c, a, b, abc) | inside(d, a, b, abd) | inside(a, c, d, cda) | inside(b, c, d, cdb))
+
+
+def segments_meet(a: Column, b: Column, c: Column, d: Column) -> Column:
+    """Whether the segments ab and cd have a point in common other than one common end."""
+    return _meet(*[v[axis] for v in (a, b, c, d) for axis in ("x", "y")])
 
 
 def inside_loop(p: Column, loop: Column) -> Column:
@@ -294,36 +313,55 @@ def _cells(low: Column, high: Column, step: Column) -> Column:
     return F.sequence(F.floor(low / step), F.floor(high / step))
 
 
-def _meeting(arcs: DataFrame, lines: DataFrame, used: DataFrame, changed: DataFrame) -> DataFrame:
-    """arc and level of lines that meet others of their part, where one of the two has changed.
+def _long() -> Column:
+    return F.hypot(F.col("q.x") - F.col("p.x"), F.col("q.y") - F.col("p.y"))
 
-    Segments are dealt to the cells of a grid twice as wide as they are long on average; longer
-    ones are cut for that, so no more cells are named than they pass.
-    """
+
+def _segments(arcs: DataFrame, lines: DataFrame) -> DataFrame:
+    """arc, level, p, q and the chain of vertices that a segment stands for, if there are more than two."""
     pieces = lines.join(arcs, "arc").select(
         "arc", "level", "points", F.explode(F.arrays_zip(
             F.slice("kept", 1, F.size("kept") - 1).alias("i"), F.slice("kept", 2, F.size("kept") - 1).alias("j")
         )).alias("s"),
     )
     at = lambda i: F.get("points", F.col(i))
-    segments = materialize(pieces.select(
+    return pieces.select(
         "arc", "level", at("s.i").alias("p"), at("s.j").alias("q"),
         F.when(F.col("s.j") > F.col("s.i") + 1, F.slice("points", F.col("s.i") + 1, F.col("s.j") - F.col("s.i") + 1)).alias("chain"),
-    ))
-    long = F.hypot(F.col("q.x") - F.col("p.x"), F.col("q.y") - F.col("p.y"))
-    steps = segments.groupBy("level").agg((2 * F.avg(long) + F.lit(1e-9)).alias("step"))
-    # one row a tolerance
-    sized = segments.join(F.broadcast(steps), "level")
-    parts = F.ceil(long / F.col("step")).cast("int")
+    )
+
+
+def _dealt(segments: DataFrame, steps: DataFrame, used: DataFrame) -> DataFrame:
+    """The segments by part and cell of a grid twice as wide as they are long on average.
+
+    Longer ones are cut for that, so no more cells are named than they pass.
+    """
+    # by arc, as the parts are, so that cells named twice and parts are found without another shuffle
+    sized = segments.select("arc", "level", "p", "q").join(F.broadcast(steps), "level").repartition("arc")
+    parts = F.ceil(_long() / F.col("step")).cast("int")
     along = sized.select("*", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)).alias("k"), F.greatest(parts, F.lit(1)).alias("n"))
     place = lambda c, k: F.col(f"p.{c}") + (F.col(f"q.{c}") - F.col(f"p.{c}")) * k / F.col("n")
     ends = {c: (place(c, F.col("k")), place(c, F.col("k") + 1)) for c in ("x", "y")}
     over = {c: _cells(F.least(*e), F.greatest(*e), F.col("step")) for c, e in ends.items()}
     celled = along.select("arc", "level", "p", "q", over["x"].alias("cx"), over["y"].alias("cy"))
     celled = celled.select("arc", "level", "p", "q", F.explode("cx").alias("cx"), "cy").withColumn("cy", F.explode("cy"))
-    celled = materialize(celled.distinct().join(used, "arc"))
-    one = celled.join(changed, ["arc", "level"], "left_semi").toDF(*[f"_{c}" if c in ("arc", "p", "q") else c for c in celled.columns])
-    both = one.join(celled, ["part", "level", "cx", "cy"]).filter(F.col("_arc") != F.col("arc"))
+    return celled.distinct().join(used, "arc")
+
+
+def _meeting(
+    arcs: DataFrame, segments: DataFrame, steps: DataFrame, used: DataFrame, new: DataFrame | None, cells: DataFrame
+) -> DataFrame:
+    """arc and level of lines that meet others of their part.
+
+    ``segments`` and ``new`` are of the lines that have changed, which are compared with those of
+    ``cells``; without ``new`` all have, and each pair is compared once. The boxes are compared in the
+    join, what is left in batches.
+    """
+    sized = segments.join(F.broadcast(steps), "level")
+    one = cells if new is None else new
+    one = one.toDF(*[f"_{c}" if c in ("arc", "p", "q") else c for c in one.columns])
+    pair = F.col("_arc") < F.col("arc") if new is None else F.col("_arc") != F.col("arc")
+    both = one.join(cells, ["part", "level", "cx", "cy"]).filter(pair)
     for c in ("x", "y"):  # most pairs lie apart
         both = both.filter(F.greatest(f"_p.{c}", f"_q.{c}") >= F.least(f"p.{c}", f"q.{c}"))
         both = both.filter(F.least(f"_p.{c}", f"_q.{c}") <= F.greatest(f"p.{c}", f"q.{c}"))
@@ -332,7 +370,7 @@ def _meeting(arcs: DataFrame, lines: DataFrame, used: DataFrame, changed: DataFr
     # a line has moved over another arc if that arc starts between it and what it was
     axis = lambda c: F.transform("chain", lambda v: v[c])
     box = {f"{kind}{c}": of(axis(c)) for c in ("x", "y") for kind, of in (("low_", F.array_min), ("high_", F.array_max))}
-    moved = sized.filter("chain is not null").join(changed, ["arc", "level"], "left_semi").withColumns(box)
+    moved = sized.filter("chain is not null").withColumns(box)
     moved = moved.withColumns({f"c{c}": _cells(F.col(f"low_{c}"), F.col(f"high_{c}"), F.col("step")) for c in ("x", "y")})
     moved = moved.select("arc", "level", "chain", *box, F.explode("cx").alias("cx"), "cy").withColumn("cy", F.explode("cy")).join(used, "arc")
     starts = arcs.select(F.col("arc").alias("_arc"), F.get("points", F.lit(0)).alias("v"))

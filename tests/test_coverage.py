@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from regiofact.functions.geometry import GEOMETRY_TYPE
+from regiofact.operators import coverage
 from regiofact.operators.coverage import coverage_simplify, segments_meet, simplify_arc
 
 
@@ -231,3 +232,15 @@ def test_lines_neither_meet_nor_change_sides(spark, tolerance):
         assert crossings % 2 == 1  # the enclave stays inside of its host
         old = {v for k in (1, 2, 3) for ring in got[part, k]["geometry"][0] for v in ring}
         assert {v for s in shapes.values() for ring in s[0] for v in ring} <= old
+
+
+def test_a_round_deals_only_the_lines_that_have_changed(spark, monkeypatch):
+    dealt, asked = coverage._dealt, []
+
+    def counted(segments, *rest):
+        asked.append(segments.select("arc", "level").distinct().count())
+        return dealt(segments, *rest)
+
+    monkeypatch.setattr(coverage, "_dealt", counted)
+    simplified(spark, {"a": spiked(0.0), "b": spiked(30.0)}, {"t": 200.0})
+    assert len(asked) > 1 and max(asked[1:]) < asked[0]
