@@ -114,14 +114,19 @@ def boundary_snapshots(past: DataFrame, present: DataFrame, level: str, now: str
     """
     spec = LEVELS[level]
     dated = past.withColumns(
-        {"_from": compact_date(F.col("VALID_FROM")), "_to": compact_date(F.col("VALID_UNTI"))}
+        {
+            "_from": compact_date(F.col("VALID_FROM")),
+            "_to": compact_date(F.col("VALID_UNTI")),
+            # once, before a row is repeated for its years, and to the centimetre, so that both
+            # sources draw a border that they share as one line
+            "geometry": map_vertices(reproject(F.col("geometry"), WGS84, LV95), _to_centimetre),
+        }
     )
     gridded = snapshot_grid(dated, "_from", "_to", FIRST_SNAPSHOT, now)
     old = gridded.select(
         "snapshot_date",
         *[F.col(src).alias(c) for c, src in spec.past.items()],
-        # to the centimetre, so that both sources draw a border that they share as one line
-        map_vertices(reproject(F.col("geometry"), WGS84, LV95), _to_centimetre).alias("geometry"),
+        "geometry",
     )
     new = present.select(
         year_start(F.col("_snapshot_year")).alias("snapshot_date"),

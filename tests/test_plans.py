@@ -17,7 +17,7 @@ from regiofact.config import (
 from regiofact.functions.geometry import GEOMETRY_TYPE
 from regiofact.operators.history import VALID_FROM, VALID_TO
 from regiofact.operators.quality import check_columns, check_unique
-from regiofact.plans.geo_dims import build_geo_dim, latest_only, list_geo
+from regiofact.plans.geo_dims import boundary_snapshots, build_geo_dim, latest_only, list_geo
 from regiofact.plans.indicators import build_atlas_indicators, build_cube_indicators
 from regiofact.plans.mart import available_indicators, new_dictionaries
 from regiofact.plans.queries import (
@@ -170,6 +170,20 @@ def test_yearly_dimension(areas):
     assert dim.filter("snapshot_code = '2019-01-01'").first().gemeinde_hist_bfs_id == 11
 
 
+def test_a_border_is_reprojected_once_for_all_its_years(spark):
+    past = spark.createDataFrame(
+        [(10, "Ten", 100, "20170101", "20191231", square(7.0, 47.0, 0.01))],
+        f"BEZNR int, BEZNAME string, KTNR int, VALID_FROM string, VALID_UNTI string, geometry {GEOMETRY_TYPE}",
+    )
+    present = spark.createDataFrame([], f"_snapshot_year int, bezirksnummer int, name string, kantonsnummer int, geometry {GEOMETRY_TYPE}")
+    snapshots = boundary_snapshots(past, present, "bezk", "2020-06-01")
+    plan = snapshots._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    repeated = next(i for i, line in enumerate(plan) if "Generate explode" in line)
+    reprojected = [i for i, line in enumerate(plan) if "ATANH" in line]
+    assert reprojected and min(reprojected) > repeated  # below it in the plan
+    assert snapshots.count() == 3
+
+
 def test_listing_of_a_year(areas):
     assert list_geo(areas["polg"], "polg", 2020).count() == 6
     rows = list_geo(areas["polg"], "polg", 2020, "point", include_latest=False)
