@@ -192,9 +192,8 @@ def store(spark: SparkSession, d: str) -> Warehouse:
     """The written mart with its dictionaries, without areas."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _STORES:
-        parts = [materialize(p) for p in fact_parts(spark, d)]
         path = new_path(spark, "mart")
-        dims = publish(parts, new_dictionaries(spark), path, WIDE_MART)
+        dims = publish(fact_parts(spark, d), new_dictionaries(spark), path, WIDE_MART)
         seed = materialize(catalogue(spark, d))
         _STORES[key] = Warehouse(read_mart(spark, path, WIDE_MART), dims, {}, seed)
     return _STORES[key]
