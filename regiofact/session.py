@@ -47,6 +47,26 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Wide rows that a task groups or sorts at a time without spilling.
+ROWS_PER_TASK = 250_000
+
+
+def spread(df: DataFrame, rows: int, *keys: str, per_task: int = ROWS_PER_TASK, joined: bool = False) -> DataFrame:
+    """Gather rows by keys in as many partitions as their number asks for.
+
+    ``rows`` is about how many there are. Where they need no more tasks than run at a time anyway,
+    the frame comes back as it is. So it does if it is to be ``joined`` by the keys and the session's
+    shuffles have as many partitions, because a join would deal it to those once more.
+    """
+    needed, spark = -(-rows // per_task), df.sparkSession
+    enough = spark.sparkContext.defaultParallelism
+    if joined:
+        enough = max(enough, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if needed <= enough:
+        return df
+    return df.repartition(needed, *keys)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute once into a Parquet table of the shared folder and cut the lineage."""
     path = new_path(df.sparkSession, "step")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regiofact.functions.geometry import bound, point
+from regiofact.session import spread
 from regiofact.sources.releases import save_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,8 +94,18 @@ lines AS (
 )"""
 
 
+def line_count(spark: SparkSession, sf_dir: str) -> int:
+    """How many lines there are, from the files' footers."""
+    return table(spark, sf_dir, "lineitem").count()
+
+
+#: Lines, which are narrow, that a task of their join takes.
+LINES_PER_TASK = 1_000_000
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    li = spread(li, line_count(spark, sf_dir), "l_orderkey", per_task=LINES_PER_TASK, joined=True)
     joined = li.join(o, li.l_orderkey == o.o_orderkey)
     return joined.select(
         "o_orderkey", "o_custkey", "l_suppkey", "l_linenumber",
@@ -131,8 +142,9 @@ SALES = f"""{LINES}, sums AS (
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales as indicator rows before totals and measures."""
     year_end = F.make_date("y", F.lit(12), F.lit(31))
+    # a customer's lines lie together, so neither the sums nor totals over groups shuffle again
     sums = (
-        lines(spark, sf_dir)
+        spread(lines(spark, sf_dir), line_count(spark, sf_dir), "o_custkey")
         .groupBy("o_orderpriority", "o_custkey", "y", "l_returnflag", "o_orderstatus")
         .agg(
             F.sum(F.when(F.col("sd") <= year_end, F.col("v"))).alias("v0"),
