@@ -53,6 +53,7 @@ from workloads.base import (
     SALES,
     TOTALS,
     entry,
+    line_count,
     lines,
     money,
     people,
@@ -106,7 +107,7 @@ def group_totals_with_nulls(spark: SparkSession, d: str) -> DataFrame:
         F.col("o_orderstatus").alias("group_3_value"),
         F.col("v").alias("indicator_value_numeric"),
     )
-    return build_totals(df, 3, "max(indicator_value_numeric)")
+    return build_totals(df, 3, "max(indicator_value_numeric)", line_count(spark, d))
 
 
 @entry(
