@@ -53,12 +53,16 @@ def routed_value(c: Column, is_numeric: Column) -> dict[str, Column]:
 
 
 def build_cube_indicators(
-    history: DataFrame, indicators: Sequence[CubeIndicator], contract: Mapping[str, str] = INTM
+    history: DataFrame,
+    indicators: Sequence[CubeIndicator],
+    contract: Mapping[str, str] = INTM,
+    rows: int | None = None,
 ) -> DataFrame:
     """Indicators of a cube history, with the configured group totals.
 
     Indicators that need the same kind of total, or none, share one pass. Their filters are
-    resolved on the distinct values of the columns they look at.
+    resolved on the distinct values of the columns they look at. ``rows`` is about how many the
+    history has, if known.
     """
     families: dict[tuple[int, str] | None, list[CubeIndicator]] = {}
     for cfg in indicators:
@@ -67,8 +71,9 @@ def build_cube_indicators(
 
     parts = []
     for kind, members in families.items():
-        rows = _cube_rows(history, members)
-        parts.append(build_totals(rows, *kind) if kind else rows)
+        taken = _cube_rows(history, members)
+        many = None if rows is None else rows * len(members)
+        parts.append(build_totals(taken, *kind, many) if kind else taken)
     out = reduce(DataFrame.unionByName, parts).filter(publishable())
     return typecast(out.withColumn("_etl_version", F.lit(1)), contract)
 

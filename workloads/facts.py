@@ -238,7 +238,7 @@ CUBE_INDICATORS = [
 )
 def cube_indicators(spark: SparkSession, d: str) -> DataFrame:
     """Three cube indicators: built totals, source totals with filters, and texts."""
-    out = build_cube_indicators(cube_history(spark, d), CUBE_INDICATORS, WIDE)
+    out = build_cube_indicators(cube_history(spark, d), CUBE_INDICATORS, WIDE, line_count(spark, d))
     return out.select(
         "indicator_id", "geo_value",
         F.col("knowledge_date_from").cast("date").alias("kfrom"), F.col("knowledge_date_to").cast("date").alias("kto"),
