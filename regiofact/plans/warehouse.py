@@ -49,9 +49,10 @@ def cube_family(
     family: CubeFamily,
     population: DataFrame,
     contract: Mapping[str, str] = INTM,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Cube history to measured indicator rows."""
-    facts = build_cube_indicators(history, family.indicators, contract)
+    """Cube history to measured indicator rows; ``rows`` is about how many the history has, if known."""
+    facts = build_cube_indicators(history, family.indicators, contract, rows)
     return measured(facts, population, family.measure, {**contract, "measure_code": "string"})
 
 

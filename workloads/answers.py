@@ -53,6 +53,7 @@ from workloads.base import (
     cell_sql,
     ends_after,
     entry,
+    line_count,
     money,
     people,
     sales,
@@ -560,7 +561,7 @@ def configured_atlas(spark: SparkSession, d: str) -> DataFrame:
 def published_cubes(spark: SparkSession, d: str) -> DataFrame:
     """The indicators of a cube family, published as a release and read back with their texts."""
     family = CubeFamily(CUBE_INDICATORS)
-    facts = cube_family(cube_history(spark, d), family, people(spark, d), WIDE)
+    facts = cube_family(cube_history(spark, d), family, people(spark, d), WIDE, line_count(spark, d))
     root = new_path(spark, "warehouse")
     publish_to(spark, [facts], root, WIDE_MART, [c.indicator_id for c in family.indicators])
     rows = decode(*released_warehouse(spark, root, WIDE_MART))
