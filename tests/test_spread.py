@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from regiofact.operators.totals import build_totals
 from regiofact.session import ROWS_PER_TASK, spread
+from workloads import facts
 
 MANY = 40 * ROWS_PER_TASK
 
@@ -46,3 +47,18 @@ def test_totals_of_many_rows_are_dealt_by_their_number(spark, rows):
 def test_totals_of_rows_that_lie_together_are_not_shuffled_again(spark):
     df = _grouped(spark).repartition(40, "geo_value")
     assert _shuffles(build_totals(df, 2, "sum(indicator_value_numeric)")) == 1
+
+
+def test_lines_are_joined_once_for_all_loads_of_a_history(spark, monkeypatch):
+    asked = []
+
+    def lines(spark, d):
+        asked.append(d)
+        return spark.sql(
+            "select 1L o_orderkey, 'O' o_orderstatus, date '1999-01-01' od, date '2000-01-01' sd, cast(5 as decimal(18,2)) v"
+        )
+
+    monkeypatch.setattr(facts, "lines", lines)
+    written = {tuple(r) for r in facts._written(spark, "here").written().collect()}
+    assert written == {(1, "opened", 1), (2, "opened", 1), (2, "marks", 1)}
+    assert asked == ["here"]

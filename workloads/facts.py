@@ -435,12 +435,16 @@ def _book_sql(n: int) -> str:
         HAVING NOT (o_orderstatus = 'F' AND count(*) FILTER (WHERE sd <= DATE '{day}') = count(*)))"""
 
 
-def _book(spark: SparkSession, d: str, n: int) -> DataFrame:
+def _shipments(spark: SparkSession, d: str) -> DataFrame:
+    """What order books are made of, joined and written once for all days."""
+    return materialize(lines(spark, d).select("o_orderkey", "o_orderstatus", "od", "sd", "v"))
+
+
+def _book(shipments: DataFrame, n: int) -> DataFrame:
     day = F.lit(DAYS[n]).cast("date")
     out = F.col("sd") <= day
     counted = (
-        lines(spark, d)
-        .filter(F.col("od") <= day)
+        shipments.filter(F.col("od") <= day)
         .groupBy(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"))
         .agg(
             F.count_if(out).alias("shipped"),
@@ -476,9 +480,10 @@ def _shown(name: str, where: str = "true") -> str:
 
 
 def _history(spark: SparkSession, d: str, loads: int, hard: bool = True) -> DataFrame:
-    history = open_history(_book(spark, d, 0), DAYS[0])
+    shipments = _shipments(spark, d)
+    history = open_history(_book(shipments, 0), DAYS[0])
     for n in range(1, loads):
-        history = scd2_apply(history, _book(spark, d, n), "k", ["shipped", "amount"], DAYS[n], hard)
+        history = scd2_apply(history, _book(shipments, n), "k", ["shipped", "amount"], DAYS[n], hard)
     return history
 
 
@@ -500,8 +505,9 @@ def history_three_loads(spark: SparkSession, d: str) -> DataFrame:
 def history_five_loads(spark: SparkSession, d: str) -> DataFrame:
     """The order book over five loads, each written as a version of one table."""
     history = HistoryTable(spark, new_path(spark, "history"), "k", ("shipped", "amount"))
+    shipments = _shipments(spark, d)
     for n, day in enumerate(DAYS):
-        history.load(_book(spark, d, n), day)
+        history.load(_book(shipments, n), day)
     return history.read()
 
 
@@ -512,8 +518,9 @@ _FIVE = f"WITH {LINES}, {', '.join(_book_sql(n) for n in range(5))}, {_FIRST}, "
 
 def _written(spark: SparkSession, d: str, folds: tuple[int, ...] = ()) -> HistoryTable:
     history = HistoryTable(spark, new_path(spark, "history"), "k", ("shipped", "amount"))
+    shipments = _shipments(spark, d)
     for n, day in enumerate(DAYS):
-        history.load(_book(spark, d, n), day)
+        history.load(_book(shipments, n), day)
         if n in folds:
             history.fold()
     return history
@@ -570,7 +577,7 @@ def history_current(spark: SparkSession, d: str) -> DataFrame:
 def histories_merged(spark: SparkSession, d: str) -> DataFrame:
     """Two histories joined: the open rows of the first end where the second begins."""
     first = _history(spark, d, 2)
-    second = open_history(_book(spark, d, 2), DAYS[2])
+    second = open_history(_book(_shipments(spark, d), 2), DAYS[2])
     both = union_tagged(close_at_start_of(first, second), second)
     return distinct_on(both, ["k", VALID_FROM], [F.col("src_order").desc()]).drop("src_order")
 
