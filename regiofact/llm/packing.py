@@ -46,21 +46,36 @@ class Ids:
         self.known: dict[str, bytes] = {}
         self.kind = width(path, 0)
 
-    def of(self, text: str, end: int) -> np.ndarray:
-        """The ids of a text and the id that ends every document."""
+    def of(self, texts: list[str], end: int, kind: str) -> list[bytes]:
+        """The ids of texts, each with the id that ends every document."""
         if len(self.known) > MEMORY:
             self.known.clear()
-        tokens = self.pieces.tokens(text)
-        new = list(set(tokens).difference(self.known))
-        ids, sizes = self.pieces.encode_tokens(new)
-        kind = np.dtype(self.kind)
-        data, ends = ids.astype(kind).tobytes(), (kind.itemsize * np.cumsum(sizes)).tolist()
-        start = 0
-        for token, stop in zip(new, ends, strict=True):
-            self.known[token] = data[start:stop]
-            start = stop
-        joined = b"".join(map(self.known.__getitem__, tokens))
-        return np.append(np.frombuffer(joined, dtype=kind), end)
+        rows = [self.pieces.tokens(t) for t in texts]
+        self.learn(set().union(*rows).difference(self.known))
+        joined = [b"".join(map(self.known.__getitem__, tokens)) for tokens in rows]
+        last = np.array([end], kind).tobytes()
+        if kind != self.kind:
+            joined = [np.frombuffer(j, self.kind).astype(kind).tobytes() for j in joined]
+        return [j + last for j in joined]
+
+    def learn(self, tokens: set[str]) -> None:
+        """Remember tokens; a word that several of them have, or that is known, is encoded once."""
+        known, words = self.known, self.pieces.words
+        parts = {t: words(t) for t in tokens if not t.isalpha()}
+        single = tokens.difference(parts)
+        new = list(single.union([w for some in parts.values() for w in some if w not in known]))
+        found = {}
+        if new:
+            ids, sizes = self.pieces.encode_many(new)
+            kind = np.dtype(self.kind)
+            data, ends = ids.astype(kind).tobytes(), (kind.itemsize * np.cumsum(sizes)).tolist()
+            start = 0
+            for word, stop in zip(new, ends, strict=True):
+                found[word] = data[start:stop]
+                start = stop
+        for token, some in parts.items():
+            known[token] = b"".join([found[w] if w in found else known[w] for w in some])
+        known.update(zip(single, map(found.__getitem__, single), strict=True))
 
 
 @lru_cache(maxsize=1)
@@ -98,7 +113,7 @@ class Index:
         sizes = np.array([len(d) for d in docs], dtype=np.float64)
         pairs = [np.unique(d, return_counts=True) for d in docs]
         counts = [len(p[0]) for p in pairs]
-        terms = np.concatenate([p[0] for p in pairs]).astype(np.int32)
+        terms = np.concatenate([p[0] for p in pairs])  # two bytes as a rule, which sort fastest
         times = np.concatenate([p[1] for p in pairs]).astype(np.float64)
         owners = np.repeat(np.arange(n, dtype=np.int32), counts)
         weights = corpus.weights(terms, times, sizes[owners]).astype(np.float32)
@@ -184,8 +199,8 @@ PIECES = (
 def _encoded(path: str, end: int, kind: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = ids_of(path)
-        for ids, texts in texts_of(batches):
-            data = [known.of(t, end).astype(kind).tobytes() for t in texts]
+        for ids, texts in texts_of(batches, 1 << 20):
+            data = known.of(texts, end, kind)
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(data, pa.binary())], ["doc_id", "ids"])
 
     return run

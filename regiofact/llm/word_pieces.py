@@ -11,6 +11,12 @@ import regex
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Characters outside of these are normalised and split by the library, whose tables decide.
 UNUSUAL = regex.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-įı-ň‐-‧]")
+#: How byte-level vocabularies write bytes; a blank stays.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_HIDDEN = sorted(set(range(256)).difference(_SHOWN))
+SPELLED = np.arange(256, dtype="<u4")
+SPELLED[_HIDDEN] = 256 + np.arange(len(_HIDDEN))
+SPELLED[32] = 32
 #: Tokens a worker remembers before it starts anew.
 MEMORY = 800_000
 
@@ -32,6 +38,13 @@ class WordPieces:
         self.bare.encode_special_tokens = True
         self.bare.normalizer = None
         self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # the same for words whose bytes are written as the vocabulary's characters, between blanks
+        self.spelled = Tokenizer.from_str(self.bare.to_str())
+        self.spelled.encode_special_tokens = True
+        self.spelled.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        suffix = getattr(self.full.model, "end_of_word_suffix", None)
+        usable = suffix and all(t.special for t in added.values())
+        self.ends = np.array([usable and p is not None and p.endswith(suffix) for p in self.pieces], dtype=bool)
 
     def split(self, text: str) -> list[str]:
         """The words of a text in order; special strings are one word each."""
@@ -68,20 +81,23 @@ class WordPieces:
             all_sizes.append(len(parts[-1]))
         return np.concatenate([np.zeros(0, np.int64), *parts]), np.array(all_sizes, dtype=np.int64)
 
-    def encode_tokens(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for tokens, the words in each encoded on their own."""
-        words, counts = [], []
-        for t in tokens:
-            if t.isalpha() or t in self.special_ids or UNUSUAL.search(t) is not None:
-                words.append(t)
-                counts.append(1)
-            else:
-                found = WORD.findall(t)
-                words += found
-                counts.append(len(found))
-        ids, sizes = self.encode(words)
-        ends = np.cumsum(np.append(0, sizes))[np.cumsum([0, *counts])]
-        return ids, np.diff(ends)
+    def encode_many(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same in one call, where pieces that end words tell the words apart."""
+        text = " ".join(words)
+        alone = text.count(" ") == len(words) - 1 and "" not in words
+        if alone and self.special_ids.keys().isdisjoint(words):
+            text = SPELLED[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-32-le")
+            ids = np.array(self.spelled.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int64)
+            last = np.nonzero(self.ends[ids])[0]
+            if len(last) == len(words):
+                return ids, np.diff(last, prepend=-1)
+        return self.encode(words)
+
+    def words(self, token: str) -> list[str]:
+        """The words of a token, each encoded on its own."""
+        if token.isalpha() or token in self.special_ids or UNUSUAL.search(token) is not None:
+            return [token]
+        return WORD.findall(token)
 
     @property
     def pieces(self) -> list[str | None]:

@@ -407,3 +407,27 @@ def test_languages(spark):
     assert language.identify(empty, language.fit(empty)).count() == 0
     unlabelled = language.fit(docs.withColumn("lang", F.lit(None).cast("string")))
     assert language.identify(docs, unlabelled).filter("lang_pred = 'und'").count() == len(rows)
+
+
+def test_words_encoded_in_one_call_are_the_library_s():
+    from regiofact.llm.base import tokenizer
+    from regiofact.llm.packing import Ids
+    from regiofact.llm.word_pieces import word_pieces
+
+    path = tokenizer("word_bpe_49k.json")
+    pieces = word_pieces(path)
+    words = ["hello", "née", "''", "!?", "7", "á", "x\ty", "\x85", "unbelievabilities", "çà"]
+    for some in (words, [*words, "<|endoftext|>"], [*words, "two words"], [*words, ""], []):
+        ids, sizes = pieces.encode_many(some)
+        expected, lengths = pieces.encode(some)
+        assert ids.tolist() == expected.tolist() and sizes.tolist() == lengths.tolist()
+    texts = ["", "Hello, hello! x''s don't 1234", "né,née ﬁne <|endoftext|> Hello", "\x00 a\tb <|x hello"]
+    known = Ids(path)
+    asked = []
+    known.pieces = type("Counted", (), {
+        "tokens": staticmethod(pieces.tokens), "words": staticmethod(pieces.words),
+        "encode_many": staticmethod(lambda some: asked.extend(some) or pieces.encode_many(some)),
+    })
+    expected = [np.array([*pieces.full.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes() for t in texts]
+    assert known.of(texts, 2, "<u4") == expected == known.of(texts, 2, "<u4")
+    assert asked.count("hello") == 1 and len(asked) == len(set(asked))
