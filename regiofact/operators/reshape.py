@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiofact.operators.joins import lookup_join
-from regiofact.session import materialize
+from regiofact.session import materialize, spread
 
 
 def union_tagged(*tables: DataFrame, tag: str = "src_order") -> DataFrame:
@@ -19,12 +19,19 @@ def union_tagged(*tables: DataFrame, tag: str = "src_order") -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def distinct_on(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def distinct_on(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], rows: int | None = None
+) -> DataFrame:
     """First row per key in the given order.
 
     The rank filter reaches the map side (window group limit), so at most one row
     per key leaves each task however hot the key is.
+
+    Where keys have few rows each, that only sorts all rows once more. With ``rows``, about how many
+    there are, they are dealt by key to as many tasks as that asks for, and sorted there.
     """
+    if rows is not None:
+        df = spread(df, rows, *keys)
     first = Window.partitionBy(*keys).orderBy(*order)
     return (
         df.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") == 1).drop("_rank")

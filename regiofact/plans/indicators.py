@@ -178,7 +178,7 @@ def _atlas_v1(v1: DataFrame, v2: DataFrame | None, cfgs: Sequence[AtlasIndicator
     )
 
 
-def _atlas_v2(v2: DataFrame, cfgs: Sequence[AtlasIndicator]) -> DataFrame:
+def _atlas_v2(v2: DataFrame, cfgs: Sequence[AtlasIndicator], n: int | None) -> DataFrame:
     wanted = sorted({c.v2.indicateur_id for c in cfgs})
     rows = v2.filter(
         F.col("bfs_indicateur_id").isin(*wanted) & known_level(F.col("bfs_nivgeo"), prefix=True)
@@ -191,6 +191,7 @@ def _atlas_v2(v2: DataFrame, cfgs: Sequence[AtlasIndicator]) -> DataFrame:
             F.col("map_id").desc_nulls_first(),
             F.col("indicator_value").desc_nulls_last(),
         ],
+        n,
     )
     since, until = Options(), Options()
     rules = rule_table(
@@ -227,12 +228,13 @@ def build_atlas_indicators(
     indicators: Sequence[AtlasIndicator],
     keys: Sequence[str] = tuple(KEY_NOGROUPS),
     contract: Mapping[str, str] = INTM,
+    rows: int | None = None,
 ) -> DataFrame:
     """Indicators over both atlas generations, one row per key.
 
     Where both generations have a row the second wins. The default key has no
     groups, so groups collapse, the total first; add the group values to ``keys`` to
-    keep them.
+    keep them. ``rows`` is about how many both histories have, if known.
     """
     first = [c for c in indicators if c.v1 is not None]
     second = [c for c in indicators if c.v2 is not None]
@@ -240,7 +242,7 @@ def build_atlas_indicators(
     if first:
         parts.append(_atlas_v1(v1, v2 if second else None, first))
     if second:
-        parts.append(_atlas_v2(v2, second))
+        parts.append(_atlas_v2(v2, second, rows))
     out = reduce(DataFrame.unionByName, parts)
     order = [
         F.col("_etl_version").desc(),
@@ -251,7 +253,7 @@ def build_atlas_indicators(
         F.col("indicator_value_text").desc_nulls_last(),
         F.col("source").asc_nulls_last(),
     ]
-    return typecast(distinct_on(out, list(keys), order), contract)
+    return typecast(distinct_on(out, list(keys), order, rows), contract)
 
 
 def build_portrait_indicators(

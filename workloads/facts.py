@@ -264,6 +264,11 @@ def atlas_v1(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def atlas_rows(spark: SparkSession, d: str) -> int:
+    """How many rows both generations have."""
+    return table(spark, d, "orders").count() + line_count(spark, d)
+
+
 def atlas_v2(spark: SparkSession, d: str, ids: Column | None = None) -> DataFrame:
     li = lines(spark, d)
     by_priority = F.concat(F.lit("prio"), F.substring("o_orderpriority", 1, 1))
@@ -323,7 +328,7 @@ def atlas_indicators(spark: SparkSession, d: str) -> DataFrame:
         ),
         AtlasIndicator(7, "duedate", "year", v2=AtlasV2("prio3", period_ref=end, grouping=GroupSpec("group_name", "Flag", "N"))),
     ]
-    out = build_atlas_indicators(atlas_v1(spark, d), atlas_v2(spark, d), cfg, contract=WIDE)
+    out = build_atlas_indicators(atlas_v1(spark, d), atlas_v2(spark, d), cfg, contract=WIDE, rows=atlas_rows(spark, d))
     return out.select(
         "indicator_id", "geo_code", "geo_value",
         F.col("knowledge_date_from").cast("date").alias("kfrom"), F.col("knowledge_date_to").cast("date").alias("kto"),
