@@ -21,10 +21,14 @@ def collect_group_values(facts: DataFrame) -> DataFrame:
 
 
 def collect_texts(facts: DataFrame) -> DataFrame:
-    """Distinct sources, group names and group values as (kind, text), in one pass."""
+    """Distinct sources, group names and group values as (kind, text), in one pass.
+
+    Only the different combinations of texts are taken apart, not every row.
+    """
     columns = {"source": ["source"]}
     for kind, part in (("group", "name"), ("group_value", "value")):
         columns[kind] = [f"group_{n}_{part}" for n in GROUPS]
+    facts = facts.select(*[c for names in columns.values() for c in names]).distinct()
     pairs = F.array(
         *[
             F.struct(F.lit(kind).alias("kind"), F.col(c).alias("text"))

@@ -21,7 +21,7 @@ from regiofact.plans.mart import (
     new_texts,
 )
 from regiofact.plans.staging import typecast
-from regiofact.schemas import INTM, INTM_MEASURED, MART
+from regiofact.schemas import GROUPS, INTM, INTM_MEASURED, MART
 from regiofact.session import materialize
 from regiofact.sources.files import clear_indicators, mart_writer, write_mart
 from regiofact.sources.releases import (
@@ -62,9 +62,13 @@ def atlas_family(
     indicators: Sequence[AtlasIndicator],
     population: DataFrame,
     contract: Mapping[str, str] = INTM,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Atlas histories to measured indicator rows, each indicator with its own measures."""
-    facts = build_atlas_indicators(v1, v2, indicators, contract=contract)
+    """Atlas histories to measured indicator rows, each indicator with its own measures.
+
+    ``rows`` is about how many both histories have, if known.
+    """
+    facts = build_atlas_indicators(v1, v2, indicators, contract=contract, rows=rows)
     specs = {cfg.indicator_id: cfg.measure for cfg in indicators}
     return measured(facts, population, specs, {**contract, "measure_code": "string"})
 
@@ -83,15 +87,26 @@ def publish(
     loses its old ones too.
     """
     facts = materialize(reduce(DataFrame.unionByName, parts))
-    dims = extend_dictionaries(known, facts)
-    write_mart(build_mart(facts, dims, contract), path)
+    held = held_texts(facts)
+    dims = extend_dictionaries(known, held)
+    by_indicator = rows_by_indicator(held)
+    write_mart(build_mart(facts, dims, contract), path, by_indicator)
     if indicators is not None:
-        # as many values as indicators are configured
-        held = {r[0] for r in facts.select("indicator_id").distinct().collect()}
-        clear_indicators(facts.sparkSession, path, contract, set(indicators) - held)
+        clear_indicators(facts.sparkSession, path, contract, set(indicators) - set(by_indicator))
     return dims
 
 
+def held_texts(facts: DataFrame) -> DataFrame:
+    """Rows by indicator and texts, written: all that dictionaries and a release ask of the facts."""
+    texts = ["source", *[f"group_{n}_{part}" for n in GROUPS for part in ("name", "value")]]
+    return materialize(facts.groupBy("indicator_id", *texts).agg(F.count("*").alias("rows")))
+
+
+def rows_by_indicator(held: DataFrame) -> dict[int, int]:
+    """How many rows each indicator has; as many entries as indicators are configured."""
+    return dict(held.groupBy("indicator_id").agg(F.sum("rows")).collect())
+
+
 def released_dictionaries(spark: SparkSession, root: str, release: Release) -> Dictionaries:
     """The dictionaries of a release, or those of an empty warehouse."""
     new = new_dictionaries(spark)
@@ -106,21 +121,25 @@ def publish_to(
     contract: Mapping[str, str] = MART,
     indicators: Iterable[int] | None = None,
     save: Save = save_parquet,
+    written: bool = False,
 ) -> Release:
     """Publish into a stored warehouse as one release; ids once given are kept over all of them.
 
     Dictionaries that have new texts, then the facts, are written as new versions, and the record
     that makes them the ones to read is written last. Indicators of other loads stay where
     they are. With ``indicators``, those of the load's configuration, an indicator that has no
-    rows any more is in the release no longer. One writer at a time.
+    rows any more is in the release no longer. Parts that are ``written``, or plain selections of written
+    tables, are read where they are; others are computed and written once. One writer at a time.
     """
     last = read_release(spark, root)
     known = released_dictionaries(spark, root, last)
-    facts = materialize(reduce(DataFrame.unionByName, parts))
-    fresh = materialize(new_texts(known, facts))
-    # three kinds, and as many indicators as are configured
-    changed = {r[0] for r in fresh.select("kind").distinct().collect()}
-    held = {r[0] for r in facts.select("indicator_id").distinct().collect()}
+    facts = reduce(DataFrame.unionByName, parts)
+    if not written:
+        facts = materialize(facts)
+    texts = held_texts(facts)
+    fresh = materialize(new_texts(known, texts))
+    changed = {r[0] for r in fresh.select("kind").distinct().collect()}  # three kinds
+    held = rows_by_indicator(texts)
     tables = dict(last.tables)
     for f in fields(known):
         name = f"dictionaries/{f.name}"
@@ -132,7 +151,7 @@ def publish_to(
     bound = Release(last.next, tables)
     rows = build_mart(facts, released_dictionaries(spark, root, bound), contract)
     if held:
-        save(mart_writer(rows), f"{root}/mart/version={last.next}")
+        save(mart_writer(rows, held), f"{root}/mart/version={last.next}")
     kept = {i: v for i, v in last.indicators.items() if i not in set(indicators or ())}
     release = Release(last.next, tables, kept | dict.fromkeys(held, last.next))
     write_release(spark, root, release, save)

@@ -59,12 +59,14 @@ def spread(df: DataFrame, rows: int, *keys: str, per_task: int = ROWS_PER_TASK,
     shuffles have as many partitions, because a join would deal it to those once more.
     """
     needed, spark = -(-rows // per_task), df.sparkSession
-    enough = spark.sparkContext.defaultParallelism
-    if joined:
-        enough = max(enough, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    if needed <= enough:
+    if joined and needed <= int(spark.conf.get("spark.sql.shuffle.partitions")):
         return df
-    return df.repartition(needed, *keys)
+    return df.repartition(needed, *keys) if many(spark, rows, per_task) else df
+
+
+def many(spark: SparkSession, rows: int, per_task: int = ROWS_PER_TASK) -> bool:
+    """Whether rows need more tasks than run at a time."""
+    return -(-rows // per_task) > spark.sparkContext.defaultParallelism
 
 
 def materialize(df: DataFrame) -> DataFrame:

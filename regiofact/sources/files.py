@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from regiofact.functions.geometry import GEOMETRY_TYPE, to_geojson, to_wkb, to_wkt
 from regiofact.operators.numbering import number_rows
+from regiofact.session import many
 
 SEED_INDICATOR = (
     "indicator_id int, indicator_name string, topic_1 string, topic_2 string, topic_3 string,"
@@ -94,20 +96,37 @@ def write_snapshot_year(df: DataFrame, path: str, year: int | None = None) -> No
     )
 
 
-def mart_writer(df: DataFrame) -> DataFrameWriter:
+#: Fact rows of a file where there are many; a task sorts as many at a time.
+ROWS_PER_FILE = 500_000
+
+
+def mart_writer(df: DataFrame, rows: Mapping[int, int] | None = None) -> DataFrameWriter:
     """A writer of fact rows as one partition per indicator.
 
     Rows are gathered by indicator; the rebalance hint lets adaptive execution split a
     large indicator over many tasks and files and merge small ones. Files are sorted by
     area for min/max skipping.
+
+    Adaptive execution goes by compressed bytes, of which a sort takes many times as much. With
+    ``rows``, how many each indicator has, an indicator of large facts is dealt by area and period
+    to tasks of about ``ROWS_PER_FILE``.
     """
-    rows = df.hint("rebalance", "indicator_id").sortWithinPartitions("indicator_id", "geo_code", "geo_value")
-    return rows.write.partitionBy("indicator_id")
+    order = ["indicator_id", "geo_code", "geo_value"]
+    if rows and many(df.sparkSession, sum(rows.values()), ROWS_PER_FILE):
+        tasks = {i: -(-n // ROWS_PER_FILE) for i, n in rows.items()}
+        first = dict(zip(tasks, accumulate(tasks.values(), initial=0), strict=False))
+        places = F.create_map(*[F.lit(x) for i, n in tasks.items() for x in (i, [first[i], n])])
+        place = places[F.col("indicator_id").cast("int")]
+        task = place[0] + F.pmod(F.xxhash64("geo_code", "geo_value", "period_ref"), place[1])
+        dealt = df.repartitionById(sum(tasks.values()), task.cast("int"))
+    else:
+        dealt = df.hint("rebalance", "indicator_id")
+    return dealt.sortWithinPartitions(*order).write.partitionBy("indicator_id")
 
 
-def write_mart(df: DataFrame, path: str) -> None:
+def write_mart(df: DataFrame, path: str, rows: Mapping[int, int] | None = None) -> None:
     """Write fact rows by indicator. Only the partitions in ``df`` are replaced."""
-    mart_writer(df).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    mart_writer(df, rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def clear_indicators(

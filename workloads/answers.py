@@ -60,7 +60,7 @@ from workloads.base import (
     table,
     to_wgs84_sql,
 )
-from workloads.facts import CUBE_INDICATORS, WIDE, atlas_v1, atlas_v2, cube_history
+from workloads.facts import CUBE_INDICATORS, WIDE, atlas_rows, atlas_v1, atlas_v2, cube_history
 from workloads.geography import _MOMENTS
 
 WIDE_FACT = widened(INTM_MEASURED, geo_value="bigint")
@@ -448,8 +448,8 @@ def _facts(spark: SparkSession, d: str) -> DataFrame:
 
 def _twice(spark: SparkSession, d: str, first: str, second: str, indicators=None) -> str:
     root, facts = new_path(spark, "warehouse"), _facts(spark, d)
-    publish_to(spark, [facts.filter(first)], root, WIDE_MART)
-    publish_to(spark, [facts.filter(second)], root, WIDE_MART, indicators)
+    publish_to(spark, [facts.filter(first)], root, WIDE_MART, written=True)
+    publish_to(spark, [facts.filter(second)], root, WIDE_MART, indicators, written=True)
     return root
 
 
@@ -489,11 +489,13 @@ def publication_interrupted(spark: SparkSession, d: str) -> DataFrame:
     Its writes are the dictionary of sources, the facts, and the record of the release.
     """
     root, facts = new_path(spark, "warehouse"), _facts(spark, d)
-    publish_to(spark, [facts.filter("indicator_id >= 103")], root, WIDE_MART)
+    publish_to(spark, [facts.filter("indicator_id >= 103")], root, WIDE_MART, written=True)
     states = []
     for writes in range(4):
         try:
-            publish_to(spark, [facts.filter("indicator_id <> 104")], root, WIDE_MART, range(101, 106), ends_after(writes))
+            publish_to(
+                spark, [facts.filter("indicator_id <> 104")], root, WIDE_MART, range(101, 106), ends_after(writes), written=True
+            )
         except Interrupted:
             pass
         mart, dictionaries = released_warehouse(spark, root, WIDE_MART)
@@ -547,7 +549,7 @@ def configured_atlas(spark: SparkSession, d: str) -> DataFrame:
     v1 = atlas_v1(spark, d).withColumn("variable", F.concat(F.lit("Orders of "), F.date_format(VALID_FROM, "MM")))
     v2 = atlas_v2(spark, d, F.concat(F.lit("lot"), (28 + F.col("l_suppkey") % 66).cast("string")))
     indicators = [atlas_indicator(raw) for raw in _settings()]
-    facts = atlas_family(v1, v2, indicators, people(spark, d), WIDE)
+    facts = atlas_family(v1, v2, indicators, people(spark, d), WIDE, atlas_rows(spark, d))
     root = new_path(spark, "warehouse")
     publish_to(spark, [facts], root, WIDE_MART, [c.indicator_id for c in indicators])
     rows = decode(*released_warehouse(spark, root, WIDE_MART))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regiofact.functions.geometry import bound, point
-from regiofact.session import spread
+from regiofact.session import many, spread
 from regiofact.sources.releases import save_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -205,8 +205,10 @@ PEOPLE = """people AS (
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
-    counted = o.groupBy("o_custkey", F.year("o_orderdate").alias("y")).count()
+    o = table(spark, sf_dir, "orders")
+    counted = o.filter("o_orderstatus = 'F'").groupBy("o_custkey", F.year("o_orderdate").alias("y")).count()
+    if many(spark, o.count()):  # too many to broadcast: facts that meet them hashed need not be sorted
+        counted = counted.hint("shuffle_hash")
     return counted.select(
         F.lit("polg").alias("geo_code"),
         F.col("o_custkey").alias("geo_value"),
