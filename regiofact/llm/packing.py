@@ -15,6 +15,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regiofact.llm.base import picked, query, stored, table, texts_of, tokenizer
-from regiofact.llm.word_pieces import MEMORY, word_pieces
+from regiofact.llm.word_pieces import CODE, MEMORY, parted, usual, word_pieces
 
 #: Tokens of a shard.
 SHARD = 4 << 20
@@ -39,43 +40,61 @@ def width(path: str, end: int) -> str:
 
 
 class Ids:
-    """Ids of texts, with a worker's memory of tokens."""
+    """Ids of texts, with a worker's memory of words."""
 
     def __init__(self, path: str):
         self.pieces = word_pieces(path)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
         self.kind = width(path, 0)
 
     def of(self, texts: list[str], end: int, kind: str) -> list[bytes]:
         """The ids of texts, each with the id that ends every document."""
         if len(self.known) > MEMORY:
             self.known.clear()
-        rows = [self.pieces.tokens(t) for t in texts]
-        self.learn(set().union(*rows).difference(self.known))
-        joined = [b"".join(map(self.known.__getitem__, tokens)) for tokens in rows]
+        plain = [usual(t) for t in texts]
+        quick = self.of_usual([t for t, p in zip(texts, plain, strict=True) if p])
+        slow = self.of_others([t for t, p in zip(texts, plain, strict=True) if not p])
+        joined = [next(quick if p else slow) for p in plain]
         last = np.array([end], kind).tobytes()
         if kind != self.kind:
             joined = [np.frombuffer(j, self.kind).astype(kind).tobytes() for j in joined]
         return [j + last for j in joined]
 
-    def learn(self, tokens: set[str]) -> None:
-        """Remember tokens; a word that several of them have, or that is known, is encoded once."""
-        known, words = self.known, self.pieces.words
-        parts = {t: words(t) for t in tokens if not t.isalpha()}
-        single = tokens.difference(parts)
-        new = list(single.union([w for some in parts.values() for w in some if w not in known]))
-        found = {}
-        if new:
-            ids, sizes = self.pieces.encode_many(new)
-            kind = np.dtype(self.kind)
-            data, ends = ids.astype(kind).tobytes(), (kind.itemsize * np.cumsum(sizes)).tolist()
-            start = 0
-            for word, stop in zip(new, ends, strict=True):
-                found[word] = data[start:stop]
-                start = stop
-        for token, some in parts.items():
-            known[token] = b"".join([found[w] if w in found else known[w] for w in some])
-        known.update(zip(single, map(found.__getitem__, single), strict=True))
+    def of_usual(self, texts: list[str]) -> Iterator[bytes]:
+        """The same for usual texts: the batch's distinct words are looked up, and taken for each place."""
+        if not texts:
+            return
+        words, ends = parted(texts)
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, distinct))
+        new = [w for w, f in zip(distinct, found, strict=True) if f is None]
+        if new:  # usual words have no such character
+            self.learn(new, b"\x01\0".join(new).decode(CODE).split("\x01"))
+            found = list(map(self.known.__getitem__, distinct))
+        _, offsets, data = pa.array(found, pa.large_binary()).take(words.indices).buffers()
+        stops = np.frombuffer(offsets, np.int64)[ends].tolist()
+        data = memoryview(data) if data is not None else b""
+        for start, stop in zip([0, *stops], stops, strict=False):
+            yield bytes(data[start:stop])
+
+    def of_others(self, texts: list[str]) -> Iterator[bytes]:
+        """The same for texts that the library splits."""
+        rows = [[(w.encode(CODE), w) for w in self.pieces.tokens(t)] for t in texts]
+        new = {key: w for words in rows for key, w in words if key not in self.known}
+        self.learn(list(new), list(new.values()))
+        for words in rows:
+            yield b"".join([self.known[key] for key, _ in words])
+
+    def learn(self, keys: list[bytes], words: list[str]) -> None:
+        """Remember words; all of them are encoded in one call."""
+        if not keys:
+            return
+        ids, sizes = self.pieces.encode_many(words)
+        kind = np.dtype(self.kind)
+        data, start = ids.astype(kind).tobytes(), 0
+        for key, stop in zip(keys, (kind.itemsize * np.cumsum(sizes)).tolist(), strict=True):
+            self.known[key] = data[start:stop]
+            start = stop
 
 
 @lru_cache(maxsize=1)
@@ -99,10 +118,46 @@ class Corpus:
         return self.idf[terms] * times * (K1 + 1) / (times + norm)
 
 
+def terms_of(docs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Documents, their distinct ids and how often each occurs there, both ascending, some documents at a time.
+
+    Documents are sorted together, about 2^16 ids at once: the id behind the document's number.
+    """
+    kind, bits = docs[0].dtype, 8 * docs[0].dtype.itemsize
+    wide = np.dtype(f"<u{2 * kind.itemsize}")
+    sizes = np.fromiter(map(len, docs), np.int64, len(docs))
+    blocks = np.cumsum(sizes + 1) - 1 >> 16
+    for first, stop in pairwise([0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(docs)]):
+        keys = np.repeat(np.arange(stop - first, dtype=wide) << bits, sizes[first:stop])
+        if not len(keys):
+            continue
+        keys |= np.concatenate(docs[first:stop])
+        keys.sort()
+        at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        found = keys[at]
+        yield first + (found >> bits).astype(np.int64), found.astype(kind), np.diff(at, append=len(keys))
+
+
+def held_by(docs: list[np.ndarray]) -> np.ndarray:
+    """The number of documents that have each id."""
+    held = np.zeros(0, dtype=np.int64)
+    for _, terms, _ in terms_of(docs):
+        held = added(held, np.bincount(terms))
+    return held
+
+
+def added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The sum of two lists, the shorter one continued with zeros."""
+    if len(a) < len(b):
+        a, b = b, a
+    total = a.copy()
+    total[: len(b)] += b
+    return total
+
+
 def corpus_of(docs: list[np.ndarray]) -> Corpus:
     """The figures of a list of documents."""
-    held = np.bincount(np.concatenate([np.unique(d) for d in docs]).astype(np.int64))
-    return Corpus(held, len(docs), sum(map(len, docs)))
+    return Corpus(held_by(docs), len(docs), sum(map(len, docs)))
 
 
 class Index:
@@ -111,15 +166,12 @@ class Index:
     def __init__(self, docs: list[np.ndarray], corpus: Corpus):
         n = len(docs)
         sizes = np.array([len(d) for d in docs], dtype=np.float64)
-        pairs = [np.unique(d, return_counts=True) for d in docs]
-        counts = [len(p[0]) for p in pairs]
-        terms = np.concatenate([p[0] for p in pairs])  # two bytes as a rule, which sort fastest
-        times = np.concatenate([p[1] for p in pairs]).astype(np.float64)
-        owners = np.repeat(np.arange(n, dtype=np.int32), counts)
-        weights = corpus.weights(terms, times, sizes[owners]).astype(np.float32)
-        self.starts, self.terms = np.concatenate([[0], np.cumsum(counts)]), terms
+        # terms of two bytes as a rule, which sort fastest
+        owners, terms, times = map(np.concatenate, zip(*terms_of(docs), strict=True))
+        weights = corpus.weights(terms, times.astype(np.float64), sizes[owners]).astype(np.float32)
+        self.starts, self.terms = np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=n))]), terms
         order = np.argsort(terms, kind="stable")
-        self.posted, self.posted_weights = owners[order], weights[order]
+        self.posted, self.posted_weights = owners[order].astype(np.int32), weights[order]
         held = np.bincount(terms)
         self.first = np.concatenate([[0], np.cumsum(held)])
         # adding a row of all documents is faster than adding at a frequent term's documents
@@ -138,13 +190,17 @@ class Index:
         terms = self.terms[self.starts[seed] : self.starts[seed + 1]]
         rows = self.row_of[terms]
         scores = np.zeros(self.n, dtype=np.float32)
-        for row in rows[rows >= 0]:
+        for row in rows[rows >= 0].tolist():
             scores += self.rows[row]
-        for t in terms[rows < 0]:
-            at = slice(self.first[t], self.first[t + 1])
-            scores[self.posted[at]] += self.posted_weights[at]  # a term has a document once
-        found = np.nonzero((scores > 0) & unused)[0]
-        return found[np.lexsort((found, -scores[found]))]
+        rare = terms[rows < 0].astype(np.int64)
+        first, counts = self.first[rare], self.first[rare + 1] - self.first[rare]
+        at = np.arange(counts.sum()) + np.repeat(first - np.cumsum(counts) + counts, counts)
+        np.add.at(scores, self.posted[at], self.posted_weights[at])
+        found = np.flatnonzero((scores > 0) & unused)
+        # bits of positive numbers ascend as they do: one sort by score, then number
+        keys = (~scores[found].view("<u4")).astype("<u8") << 32 | found.astype("<u8")
+        keys.sort()
+        return (keys & 0xFFFFFFFF).astype(np.int64)
 
 
 def pack(docs: list[np.ndarray], window: int, corpus: Corpus | None = None) -> list[tuple[int, int, int, int, int]]:
@@ -196,63 +252,70 @@ PIECES = (
 )
 
 
-def _encoded(path: str, end: int, kind: str):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ids_of(path)
-        for ids, texts in texts_of(batches, 1 << 20):
-            data = known.of(texts, end, kind)
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(data, pa.binary())], ["doc_id", "ids"])
-
-    return run
-
+#: A row is a document or, without ids, the number of documents of the task's that have a term.
+ENCODED = "doc_id long, ids binary, term long, held long"
+#: In place of a term: the task's documents and their tokens.
+DOCS, TOKENS = -1, -2
 
-def _held(kind: str):
-    """A task's documents by term, and as terms -1 and -2 its documents and tokens."""
 
+def _encoded(path: str, end: int, kind: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = ids_of(path)
         held, docs, tokens = np.zeros(0, dtype=np.int64), 0, 0
-        for batch in batches:
-            rows = [np.frombuffer(d.as_buffer(), kind) for d in batch.column("ids")]
-            if not rows:
-                continue
-            more = np.bincount(np.concatenate([np.unique(r) for r in rows]).astype(np.int64), minlength=len(held))
-            more[: len(held)] += held
-            held, docs, tokens = more, docs + len(rows), tokens + sum(map(len, rows))
-        terms = np.nonzero(held)[0]
-        arrays = [np.concatenate([[-1, -2], terms]), np.concatenate([[docs, tokens], held[terms]])]
-        yield pa.record_batch([pa.array(a.astype(np.int64)) for a in arrays], ["term", "held"])
+        names = [f.split()[0] for f in ENCODED.split(", ")]
+        for ids, texts in texts_of(batches):
+            data = known.of(texts, end, kind)
+            rows = [np.frombuffer(d, kind) for d in data]
+            held, docs, tokens = added(held, held_by(rows)), docs + len(rows), tokens + sum(map(len, rows))
+            none = pa.nulls(len(ids), pa.int64())
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(data, pa.binary()), none, none], names)
+        terms = np.flatnonzero(held)
+        counts = [np.concatenate([[DOCS, TOKENS], terms]), np.concatenate([[docs, tokens], held[terms]])]
+        none = [pa.nulls(len(terms) + 2, k) for k in (pa.int64(), pa.binary())]
+        yield pa.record_batch([*none, *(pa.array(c.astype(np.int64)) for c in counts)], names)
 
     return run
 
 
-def _corpus(encoded: DataFrame, kind: str) -> Corpus:
+def _corpus(encoded: DataFrame) -> Corpus:
     """The figures of all documents; what reaches the driver is bounded by the vocabulary."""
-    counts = encoded.select("ids").mapInArrow(_held(kind), "term long, held long").groupBy("term").agg(F.sum("held").alias("held"))
+    counts = encoded.filter("term is not null").groupBy("term").agg(F.sum("held").alias("held"))
     found = {r["term"]: r["held"] for r in counts.collect()}
-    docs, tokens = found.pop(-1, 0), found.pop(-2, 0)
+    docs, tokens = found.pop(DOCS, 0), found.pop(TOKENS, 0)
     held = np.zeros(max(found, default=-1) + 1, dtype=np.int64)
     held[list(found)] = list(found.values())
     return Corpus(held, docs, tokens)
 
 
+def heaviest(docs: list[np.ndarray], corpus: Corpus) -> np.ndarray:
+    """The two heaviest terms of each document that others have too, ties to the smaller; -1 for none."""
+    tops = np.full((2, len(docs)), -1, dtype=np.int64)
+    sizes = np.fromiter(map(len, docs), np.float64, len(docs))
+    for owners, terms, times in terms_of(docs):
+        some = corpus.shared[terms]
+        owners, terms, times = owners[some], terms[some], times[some]
+        weights = corpus.weights(terms, times, sizes[owners])
+        for top in tops:
+            if not len(owners):
+                break
+            starts = np.flatnonzero(np.diff(owners, prepend=-1))
+            most = np.repeat(np.maximum.reduceat(weights, starts), np.diff(starts, append=len(owners)))
+            best = np.flatnonzero(weights == most)
+            best = best[np.diff(owners[best], prepend=-1) > 0]
+            top[owners[best]] = terms[best]
+            owners, terms, weights = (np.delete(a, best) for a in (owners, terms, weights))
+    return tops
+
+
 def _placed(shared, kind: str):
     """Documents with their two heaviest terms among those that other documents have."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        corpus = shared.value
         for batch in batches:
-            tops = []
-            for d in batch.column("ids"):
-                ids = np.frombuffer(d.as_buffer(), kind)
-                terms, times = np.unique(ids, return_counts=True)
-                some = corpus.shared[terms]
-                terms, times = terms[some], times[some]
-                order = np.argsort(-corpus.weights(terms, times, len(ids)), kind="stable")[:2]
-                tops.append([*terms[order].tolist(), -1, -1][:2])
-            columns = zip(*tops, strict=True) if tops else [[], []]
+            docs = [np.frombuffer(d.as_buffer(), kind) for d in batch.column("ids")]
+            tops = heaviest(docs, shared.value) if docs else np.zeros((2, 0), dtype=np.int64)
             yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("ids"), *(pa.array(c, pa.int64()) for c in columns)],
-                ["doc_id", "ids", "top", "second"],
+                [batch.column("doc_id"), batch.column("ids"), *map(pa.array, tops)], ["doc_id", "ids", "top", "second"]
             )
 
     return run
@@ -300,10 +363,11 @@ def packed(docs: DataFrame, path: str, window: int = 4096, end: int = 2, shard:
     """
     kind = width(path, end)
     texts = picked(docs, doc_id="long", text="string")
-    encoded = stored(texts.mapInArrow(_encoded(path, end, kind), "doc_id long, ids binary"), "ids")
-    corpus = _corpus(encoded, kind)
+    encoded = stored(texts.mapInArrow(_encoded(path, end, kind), ENCODED), "ids")
+    corpus = _corpus(encoded)
     shared = docs.sparkSession.sparkContext.broadcast(corpus)
-    terms = encoded.mapInArrow(_placed(shared, kind), "doc_id long, ids binary, top long, second long")
+    terms = encoded.filter("ids is not null").select("doc_id", "ids")
+    terms = terms.mapInArrow(_placed(shared, kind), "doc_id long, ids binary, top long, second long")
     terms = stored(terms, "placed")  # the bounds of ranges are sampled from them before they are dealt
     order = ("top", "second", F.xxhash64("ids"), "doc_id")
     dealt = terms.repartitionByRange(-(-corpus.tokens // shard) or 1, *order).sortWithinPartitions(*order)

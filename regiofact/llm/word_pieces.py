@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import regex
 
 #: Fixed value: the split pattern of the vocabulary, on lower-case text.
@@ -17,10 +18,53 @@ _HIDDEN = sorted(set(range(256)).difference(_SHOWN))
 SPELLED = np.arange(256, dtype="<u4")
 SPELLED[_HIDDEN] = 256 + np.arange(len(_HIDDEN))
 SPELLED[32] = 32
-#: Tokens a worker remembers before it starts anew.
+#: Kinds of the characters of usual texts; numbers and the end of a text are words of one character.
+BLANK, OTHER, LETTER, NUMBER, END = range(5)
+KINDS = np.array([
+    LETTER if regex.match(r"\p{L}", c) else NUMBER if regex.match(r"\p{N}", c) else BLANK if c.isspace() else OTHER
+    for c in map(chr, range(0x2028))
+], dtype=np.uint8)
+KINDS[0] = END
+#: Two bytes for each of these characters.
+CODE = "utf-16-le"
+#: Words a worker remembers before it starts anew.
 MEMORY = 800_000
 
 
+def usual(text: str) -> bool:
+    """Whether the split pattern alone decides where the words of a text are."""
+    return UNUSUAL.search(text) is None and "<|" not in text
+
+
+def parted(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Words of usual texts in order, in ``CODE``, and the place where each text ends.
+
+    This is the split pattern over all characters at once. Stretches of blanks and the zero that
+    ends a text have places too, and are null.
+    """
+    data = "".join([t + "\0" for t in texts]).lower().encode(CODE)
+    chars = np.frombuffer(data, "<u2")
+    kinds = KINDS[chars]
+    starts = np.ones(len(chars) + 1, dtype=bool)
+    starts[1:-1] = (kinds[1:] != kinds[:-1]) | (kinds[1:] >= NUMBER)
+    # an apostrophe on its own takes the letters of a contraction from the word after it
+    marks = np.flatnonzero(chars[:-2] == ord("'"))
+    marks = marks[starts[marks] & (kinds[marks + 1] == LETTER)]
+    first, second = chars[marks + 1], chars[marks + 2]
+    one = np.isin(first, [ord(c) for c in "stmd"])
+    two = np.zeros(len(marks), dtype=bool)
+    for a, b in ("re", "ve", "ll"):
+        two |= (first == ord(a)) & (second == ord(b))
+    marks, sizes = marks[one | two], np.where(one, 1, 2)[one | two]
+    starts[marks + 1] = False
+    starts[marks + 1 + sizes] = True
+    bounds = np.flatnonzero(starts)
+    words = (kinds[bounds[:-1]] != BLANK) & (kinds[bounds[:-1]] != END)
+    buffers = [pa.py_buffer(np.packbits(words, bitorder="little")), pa.py_buffer(2 * bounds), pa.py_buffer(data)]
+    found = pa.Array.from_buffers(pa.large_binary(), len(words), buffers).dictionary_encode()
+    return found, np.searchsorted(bounds, np.flatnonzero(kinds == END))
+
+
 class WordPieces:
     """Splits texts into words, and words into ids, with a vocabulary file."""
 
@@ -48,14 +92,14 @@ class WordPieces:
 
     def split(self, text: str) -> list[str]:
         """The words of a text in order; special strings are one word each."""
-        if UNUSUAL.search(text) is None and "<|" not in text:
+        if usual(text):
             return WORD.findall(text.lower())
         parts = self.special.split(text) if self.special is not None else [text]
         return [w for p in parts for w in ([p] if p in self.special_ids else self._slow(p))]
 
     def tokens(self, text: str) -> list[str]:
         """What white space divides, lower case: no word reaches over it. Other texts as words."""
-        if UNUSUAL.search(text) is None and "<|" not in text:
+        if usual(text):
             return text.lower().split()
         return self.split(text)
 

@@ -431,3 +431,71 @@ def test_words_encoded_in_one_call_are_the_library_s():
     expected = [np.array([*pieces.full.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes() for t in texts]
     assert known.of(texts, 2, "<u4") == expected == known.of(texts, 2, "<u4")
     assert asked.count("hello") == 1 and len(asked) == len(set(asked))
+
+
+def test_packing_looks_up_a_batch_s_distinct_words_once():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            Counted.asked += 1
+            return super().get(key, default)
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+
+    known = packing.Ids(WORD)
+    known.known = Counted()
+    texts = ["Again and again, it's " * 500, "", "again ", "\n\n"]
+    library = Tokenizer.from_file(WORD)
+    expected = [np.array([*library.encode(t, add_special_tokens=False).ids, 2], "<u2").tobytes() for t in texts]
+    assert known.of(texts, 2, "<u2") == expected == known.of(texts, 2, "<u2")
+    assert Counted.asked < 50
+
+
+def test_words_of_many_texts_are_the_pattern_s():
+    from regiofact.llm.word_pieces import CODE, KINDS, parted, usual, word_pieces
+
+    pieces = word_pieces(WORD)
+    rng = random.Random(3)
+    parts = ["'", "'s", "'re", "'LL", "'ve", "'d", "s", "r", "l", " ", "\n", "1", "²", "!", "É", "ß", "ª", "“", "ab"]
+    texts = ["", "'", "''s", "a'", "'rex'vet", *("".join(rng.choices(parts, k=rng.randint(0, 20))) for _ in range(500))]
+    texts += [f"a{c}b {c}{c}'s" for c in map(chr, range(len(KINDS))) if usual(c)]
+    words, ends = parted(texts)
+    words, at = words.to_pylist(), 0
+    assert len(ends) == len(texts)
+    for text, end in zip(texts, ends, strict=True):
+        assert [w.decode(CODE) for w in words[at:end] if w is not None] == pieces.split(text)
+        at = end + 1
+    assert parted(["", " "])[1].tolist() == [0, 2]
+    # a zero, or a blank of Python's alone, is a word of the library where a text has others too
+    odd = ["\0", "a \0 b", "\x1c", "日本 \x1c\0", " ", ""]
+    library = Tokenizer.from_file(WORD)
+    expected = [np.array([*library.encode(t, add_special_tokens=False).ids, 2], "<u2").tobytes() for t in odd]
+    assert packing.Ids(WORD).of(odd, 2, "<u2") == expected
+
+
+def test_packing_counts_terms_of_many_documents_at_once(spark):
+    rng = np.random.default_rng(4)
+    for kind, most in (("<u2", 1 << 16), ("<u4", 1 << 20)):
+        docs = [rng.integers(0, rng.choice([3, most]), size=s).astype(kind) for s in [1, 70_000, 1, 300, 5, 66_000, 2]]
+        owners, terms, times = map(np.concatenate, zip(*packing.terms_of(docs), strict=True))
+        for i, d in enumerate(docs):
+            ids, counts = np.unique(d, return_counts=True)
+            assert terms[owners == i].tolist() == ids.tolist() and times[owners == i].tolist() == counts.tolist()
+        corpus = packing.corpus_of(docs)
+        for i, tops in enumerate(packing.heaviest(docs, corpus).T.tolist()):
+            ids, counts = np.unique(docs[i], return_counts=True)
+            ids, counts = ids[corpus.shared[ids]], counts[corpus.shared[ids]]
+            order = np.argsort(-corpus.weights(ids, counts, len(docs[i])), kind="stable")[:2]
+            assert tops == [*ids[order].tolist(), -1, -1][:2]
+    # the figures of the corpus are written by the tasks that encode, with null and repeated rows
+    rows = [(1, "one two two"), (1, "one two two"), (None, "three"), (4, None), (5, "")]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = packing._corpus(texts.mapInArrow(packing._encoded(WORD, 2, "<u2"), packing.ENCODED))
+    library = Tokenizer.from_file(WORD)
+    docs = [np.array([*library.encode(t or "", add_special_tokens=False).ids, 2], "<u2") for _, t in rows]
+    expected = packing.corpus_of(docs)
+    assert (found.docs, found.tokens) == (5, sum(map(len, docs)))
+    assert np.array_equal(found.idf, expected.idf) and np.array_equal(found.shared, expected.shared)
