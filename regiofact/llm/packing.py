@@ -263,7 +263,7 @@ def _encoded(path: str, end: int, kind: str):
         known = ids_of(path)
         held, docs, tokens = np.zeros(0, dtype=np.int64), 0, 0
         names = [f.split()[0] for f in ENCODED.split(", ")]
-        for ids, texts in texts_of(batches):
+        for ids, texts in texts_of(batches, 4 << 20):
             data = known.of(texts, end, kind)
             rows = [np.frombuffer(d, kind) for d in data]
             held, docs, tokens = added(held, held_by(rows)), docs + len(rows), tokens + sum(map(len, rows))
