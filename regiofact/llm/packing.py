@@ -273,6 +273,7 @@ def _encoded(path: str, end: int, kind: str):
         counts = [np.concatenate([[DOCS, TOKENS], terms]), np.concatenate([[docs, tokens], held[terms]])]
         none = [pa.nulls(len(terms) + 2, k) for k in (pa.int64(), pa.binary())]
         yield pa.record_batch([*none, *(pa.array(c.astype(np.int64)) for c in counts)], names)
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
     return run
 
