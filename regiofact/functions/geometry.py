@@ -159,6 +159,74 @@ def reproject(geom: Column, src: int, dst: int) -> Column:
     return map_vertices(geom, _CONVERSIONS[src, dst])
 
 
+def _at_once_to_wgs84(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_to_wgs84`` of many places."""
+    i, u = (x - _EAST0) / _RADIUS, (y - _NORTH0) / _RADIUS
+    sin = on_sphere = _COS0 * np.tanh(u) + _SIN0 * np.cos(i) / np.cosh(u)
+    lon = _LON0 + np.arctan2(np.sin(i), _COS0 * np.cos(i) - _SIN0 * np.sinh(u)) / _RATIO
+    q = (np.arctanh(on_sphere) - _CONSTANT) / _RATIO
+    for _ in range(_ROUNDS):
+        sin = np.tanh(q + _E * np.arctanh(_E * sin))
+    normal = _BESSEL_AXIS / np.sqrt(1 - _BESSEL_E2 * sin * sin)
+    across = normal * np.sqrt(1 - sin * sin)
+    x, y = across * np.cos(lon) + _SHIFT[0], across * np.sin(lon) + _SHIFT[1]
+    z = normal * (1 - _BESSEL_E2) * sin + _SHIFT[2]
+    short, run = _WGS84_AXIS * math.sqrt(1 - _WGS84_E2), np.hypot(x, y)
+    turned = np.arctan2(z * _WGS84_AXIS, run * short)
+    rise = z + _WGS84_E2 / (1 - _WGS84_E2) * short * np.sin(turned) ** 3
+    return np.degrees(np.arctan2(y, x)), np.degrees(np.arctan2(rise, run - _WGS84_E2 * _WGS84_AXIS * np.cos(turned) ** 3))
+
+
+_POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
+
+
+@F.arrow_udf(T.ArrayType(T.ArrayType(T.ArrayType(_POINT))))
+def to_wgs84(geom: pa.Array) -> pa.Array:
+    """LV95 borders in WGS84, as by ``reproject``, for very many of them; not inside of other functions of arrays."""
+    lists = [geom]
+    for _ in range(2):
+        lists.append(lists[-1].flatten())
+    vertices = lists[-1].flatten()
+    x, y = (c.to_numpy(zero_copy_only=False) for c in vertices.flatten())
+    out: pa.Array = pa.StructArray.from_arrays([pa.array(c) for c in _at_once_to_wgs84(x, y)], fields=list(vertices.type))
+    for each in reversed(lists):
+        sizes = each.value_lengths().fill_null(0).to_numpy()
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), mask=np.append(each.is_null().to_numpy(zero_copy_only=False), False))
+        out = pa.ListArray.from_arrays(offsets, out, type=each.type)
+    return out
+
+
+@F.arrow_udf(_POINT)
+def centre_in_wgs84(geom: pa.Array) -> pa.Array:
+    """``centroid`` of LV95 borders in WGS84, for very many of them; not inside of other functions of arrays."""
+    polygons = geom.flatten()
+    rings = polygons.flatten()
+    x, y = (c.to_numpy(zero_copy_only=False) for c in rings.flatten().flatten())
+    count, per_polygon, size = (a.value_lengths().fill_null(0).to_numpy().astype(np.int64) for a in (geom, polygons, rings))
+    n, first_polygon, first_ring, first = len(geom), np.cumsum(count) - count, np.cumsum(per_polygon) - per_polygon, np.cumsum(size) - size
+    of_ring = np.repeat(np.repeat(np.arange(n), count), per_polygon)
+    shell = np.zeros(len(size), bool)
+    shell[first_ring[per_polygon > 0]] = True
+    known = count > 0
+    known[known] = per_polygon[first_polygon[known]] > 0
+    known[known] = size[first_ring[first_polygon[known]]] > 0
+    origin = np.zeros(n, np.int64)
+    origin[known] = first[first_ring[first_polygon[known]]]
+    ox, oy = (np.where(known, c[origin], 0.0) if len(c) else np.zeros(n) for c in (x, y))
+    ring, of = np.repeat(np.arange(len(size)), size), np.repeat(of_ring, size)
+    dx, dy = x - ox[of], y - oy[of]
+    p = np.flatnonzero(ring[1:] == ring[:-1])
+    cross = dx[p] * dy[p + 1] - dx[p + 1] * dy[p]
+    a, mx, my = (np.bincount(ring[p], w, len(size)) for w in (cross, (dx[p] + dx[p + 1]) * cross, (dy[p] + dy[p + 1]) * cross))
+    sign = np.where(shell, 1.0, -1.0) * np.sign(a)
+    a, mx, my = (np.bincount(of_ring, sign * m, n) for m in (a, mx, my))
+    vertices = np.bincount(of, minlength=n)
+    with np.errstate(all="ignore"):
+        cx, cy = (np.where(a != 0, m / (3.0 * a), np.bincount(of, d, n) / vertices) for m, d in ((mx, dx), (my, dy)))
+        lon, lat = _at_once_to_wgs84(ox + cx, oy + cy)
+    return pa.StructArray.from_arrays([pa.array(c, mask=~known) for c in (lon, lat)], names=["x", "y"])
+
+
 def _ring_moments(ring: Column, origin: Column) -> Column:
     """Twice the signed area and six times the first moments of a ring.
 

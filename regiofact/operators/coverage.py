@@ -1,28 +1,33 @@
 """Simplification of a polygon coverage that stays a coverage.
 
-The coverage is cut into arcs at its nodes, the vertices where other than two border pieces
+A shape that many parts (snapshots) have is one row with a mask of its parts. The coverage is cut
+into arcs at its nodes, the vertices where other than two border pieces
 meet. An arc is one row of a global table, in one canonical direction, whichever polygons of
-whichever snapshots use it, and is simplified once for each tolerance. The lines are then compared
-through a grid of cells: where two of them meet other than in a common end, or one has moved
+whichever snapshots use it, and is simplified for all tolerances at once. The lines are then compared
+by tiles, in each through a grid of cells: where two of them meet other than in a common end, or one has moved
 over another, they are simplified again with half the tolerance, until no two are left. At
-worst an arc keeps all its vertices, so the result is valid wherever the input is.
+worst an arc keeps all its vertices, so the result is valid wherever the input is. A ring is put
+together once for all parts that cut it at the same vertices.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regiofact.functions.geometry import bound
-from regiofact.operators.joins import lookup_join
-from regiofact.session import materialize
+from regiofact.functions.geometry import GEOMETRY_TYPE
+from regiofact.session import drop_steps, materialize
 
 Point = tuple[float, float]
 
@@ -113,151 +118,74 @@ def kept_places(points: Sequence[Point], tolerance: float) -> list[int]:
     return [i for i, keep in enumerate(alive) if keep]
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _kept(coordinates: pd.Series, tolerance: pd.Series) -> pd.Series:
-    """Places of the vertices that stay; coordinates are x and y of all vertices in turn."""
-    out = []
-    for flat, limit in zip(coordinates, tolerance):
-        points = list(map(tuple, np.asarray(flat).reshape(-1, 2).tolist()))
-        out.append(kept_places(points, limit) if limit > 0 else list(range(len(points))))
-    return pd.Series(out)
-
-
-def _corners(ring: Column) -> Column:
-    """Every vertex of a closed ring with the vertices before and after it."""
-    n = F.size(ring) - 1
-    return F.transform(
-        F.slice(ring, F.lit(1), F.greatest(n, F.lit(0))),
-        lambda v, i: F.struct(
-            i.alias("place"),
-            v["x"].alias("x"),
-            v["y"].alias("y"),
-            F.get(ring, F.when(i == 0, n - 1).otherwise(i - 1)).alias("before"),
-            F.get(ring, i + 1).alias("after"),
-        ),
-    )
-
-
-#: A line that meets others is simplified again with half the tolerance so many times, then not at all.
-HALVINGS = 6
-
-
-def coverage_simplify(
-    df: DataFrame,
-    keys: Sequence[str],
-    part: str,
-    geom: str,
-    tolerances: Mapping[str, float],
-) -> DataFrame:
-    """Add one simplified geometry per (new column -> tolerance).
-
-    ``keys`` identify a polygon inside its ``part`` (one coverage per part). Of a valid coverage
-    the results are valid: borders stay shared, no lines cross or touch but at nodes, and nothing
-    changes sides. A missing or empty geometry stays as it is.
-    """
-    ident = [part, *keys]
-    rings = df.select(*ident, F.posexplode(F.flatten(geom)).alias("ring_no", "ring")).filter(F.size("ring") > 1)
-    uses = materialize(_arc_uses(rings, _cuts(rings, ident, part), ident))
-    # equal arcs of neighbours and of other parts are one row; the work on them is spread
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    arcs = materialize(uses.groupBy("arc").agg(F.first("points").alias("points")).repartition(tasks, "arc"))
-    used = materialize(uses.select(F.col(part).alias("part"), "arc").distinct())
-    levels = F.array(*[F.struct(F.lit(i).alias("level"), F.lit(float(t)).alias("tolerance")) for i, t in enumerate(tolerances.values())])
-    lines = materialize(_simplified(arcs.select("arc", "points", F.inline(levels))))
-    segments = materialize(_segments(arcs, lines))
-    # one row a tolerance; the cells stay the same in all rounds
-    steps = materialize(segments.groupBy("level").agg((2 * F.avg(_long()) + F.lit(1e-9)).alias("step")))
-    cells = materialize(_dealt(segments, steps, used))
-    meeting, halvings = materialize(_meeting(arcs, segments, steps, used, None, cells)), 0
-    while True:
-        redo = materialize(lines.join(meeting, ["arc", "level"]).filter("tolerance > 0"))
-        if redo.isEmpty():
-            break
-        halvings += 1
-        less = F.col("tolerance") / 2 if halvings <= HALVINGS else F.lit(0.0)
-        again = materialize(_simplified(redo.join(arcs, "arc").select("arc", "points", "level", less.alias("tolerance"))))
-        lines = materialize(lines.join(redo, ["arc", "level"], "left_anti").unionByName(again))
-        # only what is new is dealt again, and compared with itself and all the rest
-        segments = materialize(_segments(arcs, again))
-        new = materialize(_dealt(segments, steps, used))
-        cells = cells.join(redo, ["arc", "level"], "left_anti").unionByName(new)
-        meeting = materialize(_meeting(arcs, segments, steps, used, new, cells))
-    return _assembled(df, rings, uses, arcs, lines, ident, geom, list(tolerances))
-
-
-def _cuts(rings: DataFrame, ident: Sequence[str], part: str) -> DataFrame:
-    """(ident, ring_no, cut): the sorted places of a ring's nodes."""
-    corners = rings.select(*ident, "ring_no", F.explode(_corners(F.col("ring"))).alias("c"))
-    corners = corners.select(*ident, "ring_no", "c.*")
-    met = F.array_union(F.collect_set("before"), F.collect_set("after"))
-    nodes = materialize(
-        corners.groupBy(part, "x", "y")
-        .agg(F.size(met).alias("degree"))
-        .filter("degree != 2")
-        .select(part, "x", "y")
-    )
+#: Arcs of so many vertices are simplified many at a time.
+SHORT = 24
 
-    def places(of: DataFrame) -> DataFrame:
-        found = lookup_join(corners, of, [part, "x", "y"], "left_semi")
-        return found.select(*ident, "ring_no", "place")
 
-    at_nodes = materialize(places(nodes))
-    # A ring cut at two nodes only could collapse to a line: pin its far vertex too,
-    # for every polygon that shares it.
-    two = (
-        at_nodes.groupBy(*ident, "ring_no")
-        .agg(F.collect_list("place").alias("cut"))
-        .filter(F.size("cut") == 2)
-    )
-    ring = F.col("ring")
-    p, q = F.get(ring, F.get("cut", F.lit(0))), F.get(ring, F.get("cut", F.lit(1)))
-    far = F.array_max(
-        F.transform(
-            ring,
-            lambda v: F.struct(
-                F.abs(
-                    (q["x"] - p["x"]) * (v["y"] - p["y"]) - (q["y"] - p["y"]) * (v["x"] - p["x"])
-                ).alias("d"),
-                v["x"].alias("x"),
-                v["y"].alias("y"),
-            ),
-        )
-    )
-    pinned = materialize(
-        rings.join(two, [*ident, "ring_no"])
-        .select(part, far.alias("far"))
-        .select(part, "far.x", "far.y")
-        .distinct()
-    )
-    found = at_nodes.unionByName(places(pinned)).distinct().groupBy(*ident, "ring_no")
-    return found.agg(F.sort_array(F.collect_list("place")).alias("cut"))
+def _kept_of_short(x: np.ndarray, y: np.ndarray, limits: Sequence[float]) -> list[np.ndarray]:
+    """Which vertices stay of arcs (rows) with as many vertices each, as by ``kept_places``, for area limits that rise."""
+    m, n = x.shape
+    every, places = np.arange(m), np.arange(n)
+    before, after = np.tile(places - 1, (m, 1)), np.tile(places + 1, (m, 1))
+    alive, left, sizes = np.ones((m, n), bool), np.full(m, n), np.full((m, n), np.inf)
+    fewest = np.where((x[:, 0] == x[:, -1]) & (y[:, 0] == y[:, -1]), 4, 2)
 
+    def corner(r: np.ndarray, i: np.ndarray) -> list[Place]:
+        return [(x[r, j], y[r, j]) for j in (before[r, i], i, after[r, i])]
 
-def _arc_uses(rings: DataFrame, cuts: DataFrame, ident: Sequence[str]) -> DataFrame:
-    """(ident, ring_no, k, arc, backwards, points): the arcs of each ring in turn.
+    def measure(r: np.ndarray, i: np.ndarray) -> None:
+        sizes[r, i] = np.abs(_turn(*corner(r, i))) / 2.0
 
-    A ring without nodes is one arc that starts at its smallest vertex. ``arc`` is a digest of
-    the points, which are in the arc's own direction; ``backwards`` if the ring runs against it.
-    """
-    body = F.slice("ring", 1, F.size("ring") - 1)
-    cut = rings.join(cuts, [*ident, "ring_no"], "left").withColumn("body", body).withColumn("n", F.size("body"))
-    smallest = F.array((F.array_position("body", F.array_min("body")) - 1).cast("int"))
-    cut = cut.withColumn("cut", F.coalesce("cut", smallest))
-    cut = cut.select(*ident, "ring_no", "n", "cut", F.concat("body", "body", F.slice("body", 1, 1)).alias("twice"), F.posexplode("cut").alias("k", "start"))
-    stop = F.coalesce(F.get("cut", F.col("k") + 1), F.get("cut", F.lit(0)) + F.col("n"))
-    cut = cut.select(*ident, "ring_no", "k", F.slice("twice", F.col("start") + 1, stop - F.col("start") + 1).alias("points"))
-    first, last = F.get("points", F.lit(0)), F.get("points", F.size("points") - 1)
-    second, before = F.get("points", F.lit(1)), F.get("points", F.size("points") - 2)
-    cut = cut.withColumn("backwards", F.when(first == last, second > before).otherwise(first > last))
-    points = F.when(F.col("backwards"), F.reverse("points")).otherwise(F.col("points"))
-    cut = cut.select(*ident, "ring_no", "k", "backwards", points.alias("points"))
-    return cut.withColumn("arc", F.unhex(F.md5(F.to_json("points").cast("binary"))))
-
-
-def _simplified(asked: DataFrame) -> DataFrame:
-    """arc, level, tolerance and kept (places that stay) of arcs with points and tolerances."""
-    flat = F.flatten(F.transform("points", lambda v: F.array(v["x"], v["y"])))
-    return asked.select("arc", "level", "tolerance", _kept(flat, F.col("tolerance")).alias("kept"))
+    for i in range(1, n - 1):
+        measure(every, np.full(m, i))
+    out = []
+    for limit in limits:
+        while True:
+            best = sizes.argmin(axis=1)
+            r = np.flatnonzero((sizes[every, best] < limit) & (left > fewest))
+            if not len(r):
+                break
+            i, p = best[r], (x[r], y[r])
+            a, b, c = ((vx[:, None], vy[:, None]) for vx, vy in corner(r, i))
+            within = alive[r] & ~(_same(p, a) | _same(p, b) | _same(p, c))
+            for k in (0, 1):
+                within &= (p[k] >= np.minimum(np.minimum(a[k], b[k]), c[k])) & (p[k] <= np.maximum(np.maximum(a[k], b[k]), c[k]))
+            sides = np.stack([_turn(a, b, p), _turn(b, c, p), _turn(c, a, p)])
+            within &= (sides.min(axis=0) >= 0) | (sides.max(axis=0) <= 0)
+            sizes[r, i] = np.inf
+            free = ~within.any(axis=1)
+            r, i = r[free], i[free]
+            alive[r, i] = False
+            left[r] -= 1
+            p, q = before[r, i], after[r, i]
+            after[r, p], before[r, q] = q, p
+            for j in (p, q):
+                inner = (j > 0) & (j < n - 1)
+                measure(r[inner], j[inner])
+        out.append(alive.copy())
+    return out
+
+
+def _kept_many(arcs: Sequence[np.ndarray], tolerances: Sequence[float]) -> list[list[np.ndarray]]:
+    """Places of the vertices that stay, by arc and tolerance."""
+    order = sorted(range(len(tolerances)), key=lambda i: tolerances[i])
+    limits = [max(tolerances[i], 0.0) * max(tolerances[i], 0.0) for i in order]
+    out: list[list[np.ndarray]] = [[np.empty(0, int)] * len(order) for _ in arcs]
+    by_length: dict[int, list[int]] = {}
+    for at, points in enumerate(arcs):
+        by_length.setdefault(len(points), []).append(at)
+    for n, members in by_length.items():
+        for some in (members[i : i + 20_000] for i in range(0, len(members), 20_000)):
+            if n <= SHORT:
+                points = np.stack([arcs[at] for at in some])
+                for i, alive in zip(order, _kept_of_short(points[..., 0], points[..., 1], limits)):
+                    for at, row in zip(some, alive):
+                        out[at][i] = np.flatnonzero(row)
+                continue
+            for at in some:
+                line = list(map(tuple, arcs[at].tolist()))
+                out[at] = [np.array(kept_places(line, t) if t > 0 else range(n)) for t in tolerances]
+    return out
 
 
 Place = tuple[np.ndarray, np.ndarray]
@@ -271,13 +199,7 @@ def _same(p: Place, q: Place) -> np.ndarray:
     return (p[0] == q[0]) & (p[1] == q[1])
 
 
-@F.pandas_udf(T.BooleanType())
-def _meet(
-    ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series, cx: pd.Series, cy: pd.Series, dx: pd.Series, dy: pd.Series
-) -> pd.Series:
-    flat = [v.to_numpy(dtype=float) for v in (ax, ay, bx, by, cx, cy, dx, dy)]
-    a, b, c, d = zip(flat[::2], flat[1::2])
-
+def _met(a: Place, b: Place, c: Place, d: Place) -> np.ndarray:
     def inside(p: Place, s: Place, e: Place, turn: np.ndarray) -> np.ndarray:
         within = (p[0] >= np.minimum(s[0], e[0])) & (p[0] <= np.maximum(s[0], e[0]))
         within &= (p[1] >= np.minimum(s[1], e[1])) & (p[1] <= np.maximum(s[1], e[1]))
@@ -286,7 +208,15 @@ def _meet(
     abc, abd, cda, cdb = _turn(a, b, c), _turn(a, b, d), _turn(c, d, a), _turn(c, d, b)
     across = (np.sign(abc) * np.sign(abd) < 0) & (np.sign(cda) * np.sign(cdb) < 0)
     equal = (_same(a, c) & _same(b, d)) | (_same(a, d) & _same(b, c))
-    return pd.Series(across | equal | inside(c, a, b, abc) | inside(d, a, b, abd) | inside(a, c, d, cda) | inside(b, c, d, cdb))
+    return across | equal | inside(c, a, b, abc) | inside(d, a, b, abd) | inside(a, c, d, cda) | inside(b, c, d, cdb)
+
+
+@F.pandas_udf(T.BooleanType())
+def _meet(
+    ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series, cx: pd.Series, cy: pd.Series, dx: pd.Series, dy: pd.Series
+) -> pd.Series:
+    flat = [v.to_numpy(dtype=float) for v in (ax, ay, bx, by, cx, cy, dx, dy)]
+    return pd.Series(_met(*zip(flat[::2], flat[1::2])))
 
 
 def segments_meet(a: Column, b: Column, c: Column, d: Column) -> Column:
@@ -309,114 +239,617 @@ def _ray(p: Column, s: Column, e: Column) -> Column:
     return spans & (p["x"] < (e["x"] - s["x"]) * (p["y"] - s["y"]) / (e["y"] - s["y"]) + s["x"])
 
 
-def _cells(low: Column, high: Column, step: Column) -> Column:
-    return F.sequence(F.floor(low / step), F.floor(high / step))
+#: A line that meets others is simplified again with half the tolerance so many times, then not at all.
+HALVINGS = 6
+#: Parts that a mask of 64 bits has room for.
+PARTS = 62
+#: Vertices that a task gathers, and pairs that it compares at a time.
+VERTICES, PAIRS = 400_000, 1_000_000
+#: Cells are twice as wide as lines are long on average; the side of a tile is as long as so many of the widest.
+TILE = 8
+#: So many arcs are broadcast.
+FEW = 200_000
+SHAPE = ["_g", "_h1", "_h2", "_times"]
+_CORNERS = "g int, x double, y double, bx double, by double, ax double, ay double, shape bigint, ring_no int, place int, mask bigint"
+_USES = "shape bigint, g int, ring_no int, mask bigint, loose boolean, k int, arc binary, backwards boolean, points array<double>"
+_LINES = "arc binary, points array<double>, gs array<int>, masks array<bigint>, tolerances array<double>, kept array<array<int>>, lengths array<double>"
+_CELLS = "g int, tx bigint, ty bigint, arc binary, mask bigint, fresh int, points array<double>, kept array<array<int>>"
+Batches = Iterable[pa.RecordBatch]
 
 
-def _long() -> Column:
-    return F.hypot(F.col("q.x") - F.col("p.x"), F.col("q.y") - F.col("p.y"))
+def coverage_simplify(
+    df: DataFrame,
+    keys: Sequence[str],
+    part: str,
+    geom: str,
+    tolerances: Mapping[str, float],
+) -> DataFrame:
+    """Add one simplified geometry per (new column -> tolerance).
 
+    ``keys`` identify a polygon inside its ``part`` (one coverage per part). Of a valid coverage
+    the results are valid: borders stay shared, no lines cross or touch but at nodes, and nothing
+    changes sides. A missing or empty geometry stays as it is.
+    """
+    return with_shapes(*coverage_shapes(df, keys, part, geom, tolerances)).select(*df.columns, *tolerances)
 
-def _segments(arcs: DataFrame, lines: DataFrame) -> DataFrame:
-    """arc, level, p, q and the chain of vertices that a segment stands for, if there are more than two."""
-    pieces = lines.join(arcs, "arc").select(
-        "arc", "level", "points", F.explode(F.arrays_zip(
-            F.slice("kept", 1, F.size("kept") - 1).alias("i"), F.slice("kept", 2, F.size("kept") - 1).alias("j")
-        )).alias("s"),
-    )
-    at = lambda i: F.get("points", F.col(i))
-    return pieces.select(
-        "arc", "level", at("s.i").alias("p"), at("s.j").alias("q"),
-        F.when(F.col("s.j") > F.col("s.i") + 1, F.slice("points", F.col("s.i") + 1, F.col("s.j") - F.col("s.i") + 1)).alias("chain"),
+
+def coverage_shapes(
+    df: DataFrame,
+    keys: Sequence[str],
+    part: str,
+    geom: str,
+    tolerances: Mapping[str, float],
+    save: Callable[[DataFrame], DataFrame] = materialize,
+) -> tuple[DataFrame, DataFrame]:
+    """The rows, with the columns that name their shape instead of it, and the shapes with the simplified ones, each once.
+
+    Both are written, the shapes by ``save``, which returns how they are read.
+    """
+    ident = [part, *keys]
+    numbered = materialize(df.select(part).dropna().distinct().select(part, (F.row_number().over(Window.orderBy(part)) - 1).alias("_no")))
+    coded = numbered.select(part, F.expr(f"int(_no div {PARTS})").alias("_g"), F.expr(f"shiftleft(1L, int(_no % {PARTS}))").alias("_bit"))
+    repeated = materialize(df.groupBy(*ident).agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1"))
+    rows = df.join(F.broadcast(coded), part, "left")
+    rows = rows.withColumn("_times", F.lit(1).cast("bigint")) if repeated.isEmpty() else rows.join(repeated, ident, "left").fillna(1, ["_times"])
+    known = reduce(Column.__and__, [F.col(c).isNotNull() for c in ident])
+    # arrays are hashed as what is in them, one after the other
+    form = F.to_json(F.transform(geom, lambda polygon: F.transform(polygon, F.size)))
+    rows = rows.withColumns({
+        "_g": F.coalesce("_g", F.lit(-1)), "_bit": F.when(known, F.col("_bit")).otherwise(0), "_loose": F.when(~known, F.coalesce("_bit", F.lit(0))).otherwise(0),
+        "_h1": F.xxhash64(form, geom), "_h2": F.xxhash64(F.lit(1), form, geom),
+    })
+    rows = materialize(rows)
+    shapes = rows.groupBy(*SHAPE).agg(
+        F.bit_or("_bit").alias("mask"), F.bit_or("_loose").alias("loose"), F.bool_or(~known).alias("plain"), F.first(geom).alias(geom)
     )
+    shapes = materialize(shapes.select(F.monotonically_increasing_id().alias("shape"), "*"))
+    simple, steps = _simplified(shapes, geom, tolerances)
+    out = save(simple)
+    drop_steps(numbered, repeated, shapes, *steps)
+    return rows.drop("_loose", geom), out
+
+
+def with_shapes(rows: DataFrame, simple: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """The rows with the columns of their shape; each has one, ``also`` with the same of these columns."""
+    fits = (F.col("_mask").bitwiseAND(F.col("_bit")) != 0) | (F.col("_mask") == F.col("_bit"))
+    on = [*SHAPE, *also]
+    same = [F.col(f"_r.{c}") == F.col(f"_s.{c}") for c in on]
+    return rows.alias("_r").join(simple.alias("_s"), reduce(Column.__and__, [*same, fits])).drop(*[F.col(f"_s.{c}") for c in on])
+
+
+def _simplified(shapes: DataFrame, geom: str, tolerances: Mapping[str, float]) -> tuple[DataFrame, list[DataFrame]]:
+    """The columns of SHAPE, _mask (the parts of it), the geometry and the simplified ones; and the written steps that this reads."""
+    spark = shapes.sparkSession
+    vertices = shapes.agg(F.sum(F.size(F.flatten(F.flatten(geom))))).first()[0] or 0
+    tasks = max(1, min(spark.sparkContext.defaultParallelism, vertices // 5_000), -(-vertices // VERTICES))
+    steps: list[DataFrame] = []
+
+    def step(df: DataFrame) -> DataFrame:
+        steps.append(materialize(df))
+        return steps[-1]
+
+    rings = F.flatten(geom).alias("rings")
+    corners = shapes.select(F.col("_g").alias("g"), "shape", F.col("mask").bitwiseOR(F.col("loose")), rings).mapInArrow(_corners_of, _CORNERS)
+    cut = F.collect_list(F.struct("ring_no", "place", "mask"))
+    cuts = corners.repartition(tasks, "g", "x", "y").mapInArrow(_at_nodes, "shape bigint, ring_no int, place int, mask bigint").groupBy("shape").agg(cut.alias("cuts"))
+    wanted = shapes.select("shape", F.col("_g").alias("g"), F.col("_times").alias("times"), "mask", "loose", rings)
+    placed = step(wanted.join(cuts, "shape", "left"))
+    # A ring cut at two nodes only could collapse to a line: pin its far vertex too,
+    # for every polygon that shares it.
+    pins = step(placed.mapInArrow(_pins, "g int, x double, y double, mask bigint").groupBy("g", "x", "y").agg(F.bit_or("mask").alias("pin")))
+    if not pins.isEmpty():
+        more = corners.join(pins, ["g", "x", "y"]).withColumn("mask", F.col("mask").bitwiseAND(F.col("pin"))).filter("mask != 0")
+        more = more.groupBy("shape").agg(cut.alias("more"))
+        both = F.concat(F.coalesce("cuts", F.array()), F.coalesce("more", F.array()))
+        placed = step(placed.join(more, "shape", "left").withColumn("cuts", both).drop("more"))
+    uses = step(placed.mapInArrow(_arc_uses, _USES))
+    limits = [float(t) for t in tolerances.values()]
+    lines = step(uses.select("arc", "g", "mask", "points").repartition(tasks, "arc").mapInArrow(_lines_of(limits), _LINES))
+    sums = lines.agg(*[F.sum(F.get("lengths", F.lit(i))) for i in range(len(limits))], *[F.sum(F.size(F.get("kept", F.lit(i))) - 1) for i in range(len(limits))]).first()
+    widths = [2 * (s or 0.0) / (n or 1) + 1e-9 for s, n in zip(sums[: len(limits)], sums[len(limits) :])]
+    tile = TILE * max(widths, default=1.0)
+    cells = step(_dealt(lines.withColumn("level", F.array(*map(F.lit, range(len(limits)))).cast("array<int>")), tile))
+    meeting, halvings = step(_meeting(cells, widths, tile, tasks)), 0
+    changed = new = None
+    while True:
+        now = lines if changed is None else lines.join(_few(changed.select("arc")), "arc", "left_anti").unionByName(changed)
+        redo = now.join(_few(meeting.groupBy("arc").agg(F.collect_set("level").alias("level")), meeting), "arc")
+        redo = step(redo.withColumn("level", F.filter("level", lambda i: F.get("tolerances", i) > 0)).filter(F.size("level") > 0))
+        if redo.isEmpty():
+            break
+        halvings += 1
+        again = step(redo.mapInArrow(_again(halvings <= HALVINGS), f"{_LINES}, level array<int>"))
+        # only what is new is dealt again, and compared with itself and all the rest of its tiles
+        dealt = step(_dealt(again, tile))
+        rest = cells if new is None else cells.join(_few(changed.select("arc")), "arc", "left_anti").unionByName(new)
+        # tiles are far fewer than lines
+        touched = F.broadcast(dealt.select("g", "tx", "ty").distinct())
+        rest = rest.join(touched, ["g", "tx", "ty"], "left_semi").join(_few(again.select("arc")), "arc", "left_anti")
+        meeting = step(_meeting(rest.withColumn("fresh", F.lit(0)).unionByName(dealt), widths, tile, tasks))
+        new = dealt if new is None else step(new.join(_few(again.select("arc")), "arc", "left_anti").unionByName(dealt))
+        again = again.drop("level")
+        changed = again if changed is None else step(changed.join(_few(again.select("arc")), "arc", "left_anti").unionByName(again))
+    pieces = uses.filter("not loose").drop("points", "g", "loose").join(now.select("arc", "points", "kept"), "arc")
+    gathered = pieces.groupBy("shape").agg(F.collect_list(F.struct("ring_no", "mask", "k", "backwards", "points", "kept")).alias("pieces"))
+    whole = shapes.join(gathered, "shape", "left").select(*SHAPE, "mask", "plain", F.col(geom).alias("geometry"), "pieces")
+    schema = f"_g int, _h1 bigint, _h2 bigint, _times bigint, _mask bigint, `{geom}` {GEOMETRY_TYPE}"
+    schema += "".join(f", `{name}` {GEOMETRY_TYPE}" for name in tolerances)
+    return whole.mapInArrow(_assembled(len(limits)), schema), steps
 
 
-def _dealt(segments: DataFrame, steps: DataFrame, used: DataFrame) -> DataFrame:
-    """The segments by part and cell of a grid twice as wide as they are long on average.
+def _few(arcs: DataFrame, written: DataFrame | None = None) -> DataFrame:
+    """Arcs to be joined, broadcast if there are but few, so that not all lines are shuffled for them."""
+    return F.broadcast(arcs) if (written or arcs).count() <= FEW else arcs
 
-    Longer ones are cut for that, so no more cells are named than they pass.
-    """
-    # by arc, as the parts are, so that cells named twice and parts are found without another shuffle
-    sized = segments.select("arc", "level", "p", "q").join(F.broadcast(steps), "level").repartition("arc")
-    parts = F.ceil(_long() / F.col("step")).cast("int")
-    along = sized.select("*", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)).alias("k"), F.greatest(parts, F.lit(1)).alias("n"))
-    place = lambda c, k: F.col(f"p.{c}") + (F.col(f"q.{c}") - F.col(f"p.{c}")) * k / F.col("n")
-    ends = {c: (place(c, F.col("k")), place(c, F.col("k") + 1)) for c in ("x", "y")}
-    over = {c: _cells(F.least(*e), F.greatest(*e), F.col("step")) for c, e in ends.items()}
-    celled = along.select("arc", "level", "p", "q", over["x"].alias("cx"), over["y"].alias("cy"))
-    celled = celled.select("arc", "level", "p", "q", F.explode("cx").alias("cx"), "cy").withColumn("cy", F.explode("cy"))
-    return celled.distinct().join(used, "arc")
-
-
-def _meeting(
-    arcs: DataFrame, segments: DataFrame, steps: DataFrame, used: DataFrame, new: DataFrame | None, cells: DataFrame
-) -> DataFrame:
-    """arc and level of lines that meet others of their part.
 
-    ``segments`` and ``new`` are of the lines that have changed, which are compared with those of
-    ``cells``; without ``new`` all have, and each pair is compared once. The boxes are compared in the
-    join, what is left in batches.
-    """
-    sized = segments.join(F.broadcast(steps), "level")
-    one = cells if new is None else new
-    one = one.toDF(*[f"_{c}" if c in ("arc", "p", "q") else c for c in one.columns])
-    pair = F.col("_arc") < F.col("arc") if new is None else F.col("_arc") != F.col("arc")
-    both = one.join(cells, ["part", "level", "cx", "cy"]).filter(pair)
-    for c in ("x", "y"):  # most pairs lie apart
-        both = both.filter(F.greatest(f"_p.{c}", f"_q.{c}") >= F.least(f"p.{c}", f"q.{c}"))
-        both = both.filter(F.least(f"_p.{c}", f"_q.{c}") <= F.greatest(f"p.{c}", f"q.{c}"))
-    crossed = both.filter(segments_meet(F.col("_p"), F.col("_q"), F.col("p"), F.col("q")))
-    crossed = crossed.select("level", F.explode(F.array("_arc", "arc")).alias("arc"))
-    # a line has moved over another arc if that arc starts between it and what it was
-    axis = lambda c: F.transform("chain", lambda v: v[c])
-    box = {f"{kind}{c}": of(axis(c)) for c in ("x", "y") for kind, of in (("low_", F.array_min), ("high_", F.array_max))}
-    moved = sized.filter("chain is not null").withColumns(box)
-    moved = moved.withColumns({f"c{c}": _cells(F.col(f"low_{c}"), F.col(f"high_{c}"), F.col("step")) for c in ("x", "y")})
-    moved = moved.select("arc", "level", "chain", *box, F.explode("cx").alias("cx"), "cy").withColumn("cy", F.explode("cy")).join(used, "arc")
-    starts = arcs.select(F.col("arc").alias("_arc"), F.get("points", F.lit(0)).alias("v"))
-    starts = starts.crossJoin(F.broadcast(steps)).join(used.withColumnRenamed("arc", "_arc"), "_arc").select(
-        "part", "level", "_arc", "v", F.floor(F.col("v.x") / F.col("step")).alias("cx"), F.floor(F.col("v.y") / F.col("step")).alias("cy")
-    )
-    over_it = moved.join(starts, ["part", "level", "cx", "cy"]).filter(
-        (F.col("_arc") != F.col("arc")) & F.col("v.x").between(F.col("low_x"), F.col("high_x"))
-        & F.col("v.y").between(F.col("low_y"), F.col("high_y")) & (F.col("v") != F.get("chain", F.lit(0))) & (F.col("v") != F.element_at("chain", -1))
-        & inside_loop(F.col("v"), F.col("chain"))
-    )
-    return crossed.unionByName(over_it.select("level", "arc")).distinct()
+def _batch(schema: Sequence[str], *columns: object) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=list(schema))
 
 
-def _assembled(
-    df: DataFrame, rings: DataFrame, uses: DataFrame, arcs: DataFrame, lines: DataFrame, ident: Sequence[str], geom: str, names: Sequence[str]
-) -> DataFrame:
-    """The polygons with their rings put together from lines."""
-    found = lines.groupBy("arc").agg(*[F.max(F.when(F.col("level") == i, F.col("kept"))).alias(f"k{i}") for i in range(len(names))])
-    wide = arcs.join(found, "arc").select(
-        "arc", *[F.transform(f"k{i}", lambda k: F.get("points", k)).alias(f"l{i}") for i in range(len(names))]
-    )
+def _gathered(batches: Batches) -> pa.Table | None:
+    found = list(batches)
+    return pa.Table.from_batches(found).combine_chunks() if sum(b.num_rows for b in found) else None
+
+
+def _column(table: pa.Table, name: str) -> pa.Array:
+    return table.column(name).combine_chunks() if table.column(name).num_chunks != 1 else table.column(name).chunk(0)
+
+
+def _sizes(lists: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+
+
+def _firsts(sizes: np.ndarray) -> np.ndarray:
+    return np.cumsum(sizes) - sizes
+
+
+def _within(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each size in turn."""
+    return np.arange(sizes.sum()) - np.repeat(_firsts(sizes), sizes)
+
+
+def _lists(sizes: Iterable[int], values: pa.Array, kind: pa.DataType | None = None) -> pa.Array:
+    offsets = pa.array(np.concatenate([[0], np.cumsum(np.fromiter(sizes, np.int64))]).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, values, type=kind) if kind else pa.ListArray.from_arrays(offsets, values)
 
-    def piece(i: int) -> Column:
-        line = F.when(F.col("backwards"), F.reverse(f"l{i}")).otherwise(F.col(f"l{i}"))
-        return F.slice(line, 1, F.size(f"l{i}") - 1).alias(f"l{i}")
 
-    ordered = uses.drop("points").join(wide, "arc").select(*ident, "ring_no", F.struct("k", *map(piece, range(len(names)))).alias("s"))
-    by_ring = ordered.groupBy(*ident, "ring_no").agg(F.sort_array(F.collect_list("s")).alias("s"))
+def _rings(rings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """How many rings each shape has, how many vertices each ring, and their coordinates."""
+    flat = rings.flatten()
+    x, y = flat.flatten().flatten()
+    return _sizes(rings), _sizes(flat), x.to_numpy(zero_copy_only=False), y.to_numpy(zero_copy_only=False)
 
-    def ring(i: int) -> Column:
-        body = F.flatten(F.transform("s", lambda a: a[f"l{i}"]))
-        return bound(body, lambda b: F.concat(b, F.slice(b, 1, 1))).alias(f"r{i}")
 
-    closed = by_ring.select(*ident, F.struct("ring_no", *map(ring, range(len(names)))).alias("r"))
-    by_shape = closed.groupBy(*ident).agg(F.sort_array(F.collect_list("r")).alias("_rings"))
-    out = df.join(by_shape, ident, "left")
+def _corners_of(batches: Batches) -> Iterator[pa.RecordBatch]:
+    """Every vertex of a closed ring with the vertices before and after it."""
+    for batch in batches:
+        count, size, x, y = _rings(batch.column(3))
+        owner, ring_no = np.repeat(np.arange(len(count)), count), _within(count)
+        keep = size > 1
+        n, first = size[keep] - 1, _firsts(size)[keep]
+        place, first, last = _within(n), np.repeat(first, n), np.repeat(n - 1, n)
+        at, before = first + place, first + np.where(place == 0, last, place - 1)
+        who = np.repeat(owner[keep], n)
+        g, shape, mask = (batch.column(i).to_numpy()[who] for i in range(3))
+        yield _batch(
+            ["g", "x", "y", "bx", "by", "ax", "ay", "shape", "ring_no", "place", "mask"], g, x[at], y[at], x[before], y[before],
+            x[at + 1], y[at + 1], shape, np.repeat(ring_no[keep], n).astype(np.int32), place.astype(np.int32), mask,
+        )
 
-    def shape(i: int) -> Column:
-        def polygon(rings: Column, p: Column) -> Column:
-            before = F.aggregate(F.slice(geom, F.lit(1), p), F.lit(0), lambda n, other: n + F.size(other))
-            own = F.transform(rings, lambda r, k: F.struct((before + k).alias("no"), r.alias("r")))
-            return F.transform(own, lambda o: bound(
-                F.filter("_rings", lambda x: x["ring_no"] == o["no"]), lambda hit: F.coalesce(F.get(hit, F.lit(0))[f"r{i}"], o["r"])
-            ))
 
-        return F.when(F.col("_rings").isNull(), F.col(geom)).otherwise(F.transform(geom, polygon))
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows begins."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = reduce(np.logical_or, [c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
+def _at_nodes(batches: Batches) -> Iterator[pa.RecordBatch]:
+    """The places of a ring's nodes, with the parts in which they are some."""
+    table = _gathered(batches)
+    if table is None:
+        return
+    g, x, y, bx, by, ax, ay, shape, ring_no, place, mask = (c.to_numpy() for c in table.columns)
+    order = np.lexsort((y, x, g))
+    vertex = np.zeros(len(order), np.int64)
+    starts = _starts(g[order], x[order], y[order])
+    vertex[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
+    v, ex, ey, parts = np.tile(vertex, 2), np.concatenate([bx, ax]), np.concatenate([by, ay]), np.tile(mask, 2)
+    order = np.lexsort((ey, ex, v))
+    v, ex, ey, parts = v[order], ex[order], ey[order], parts[order]
+    first = _starts(v, ex, ey)
+    v, parts = v[first], np.bitwise_or.reduceat(parts, first)
+    degree = np.diff(np.append(_starts(v), len(v)))
+    # the parts in which one, two and three border pieces or more meet at a vertex
+    one, two, three = (np.zeros(len(starts), np.int64) for _ in range(3))
+    rank = _within(degree)
+    turns = np.argsort(rank, kind="stable")
+    for some in np.split(turns, np.flatnonzero(np.diff(rank[turns])) + 1):
+        at, m = v[some], parts[some]
+        three[at] |= two[at] & m
+        two[at] |= one[at] & m
+        one[at] |= m
+    cut = mask & (one & ~(two & ~three))[vertex]
+    keep = cut != 0
+    yield _batch(["shape", "ring_no", "place", "mask"], shape[keep], ring_no[keep], place[keep], cut[keep])
+
+
+def _variants(mask: int, cuts: Mapping[int, int]) -> list[tuple[int, list[int]]]:
+    """The parts that cut a ring at the same places, and these."""
+    blocks: list[tuple[int, list[int]]] = [(mask, [])] if mask else []
+    for place in sorted(cuts):
+        m = cuts[place]
+        blocks = [(b & m, [*at, place]) for b, at in blocks if b & m] + [(b & ~m, at) for b, at in blocks if b & ~m]
+    return blocks
+
+
+def _shaped(batches: Batches) -> Iterator[tuple[dict, list[tuple[int, list[Point], dict[int, int]]]]]:
+    """Each shape with its closed rings: number, vertices, and the parts that cut it by place."""
+    for batch in batches:
+        count, size, x, y = _rings(batch.column("rings"))
+        points, ends = list(zip(x.tolist(), y.tolist())), np.cumsum(size).tolist()
+        cuts = batch.column("cuts")
+        cut_ends = np.cumsum(_sizes(cuts)).tolist()
+        cuts = list(zip(*[c.to_pylist() for c in cuts.flatten().flatten()]))
+        ring = cut = 0
+        for i, row in enumerate(batch.select(["shape", "g", "times", "mask", "loose"]).to_pylist()):
+            by_ring: dict[int, dict[int, int]] = {}
+            for no, place, mask in cuts[cut : cut_ends[i]]:
+                found = by_ring.setdefault(no, {})
+                found[place] = found.get(place, 0) | mask
+            cut = cut_ends[i]
+            rings = []
+            for no in range(count[i]):
+                vertices = points[ends[ring + no] - size[ring + no] : ends[ring + no]]
+                if len(vertices) > 1:
+                    rings.append((no, vertices, by_ring.get(no, {})))
+            ring += count[i]
+            yield row, rings
+
+
+def _pins(batches: Batches) -> Iterator[pa.RecordBatch]:
+    out = []
+    for row, rings in _shaped(batches):
+        for _, ring, cuts in rings:
+            for mask, at in _variants(row["mask"], cuts):
+                if len(at) * row["times"] == 2:
+                    p, q = ring[at[0]], ring[at[-1]]
+                    far = max((abs((q[0] - p[0]) * (v[1] - p[1]) - (q[1] - p[1]) * (v[0] - p[0])), *v) for v in ring)
+                    out.append((row["g"], far[1], far[2], mask))
+    if out:
+        g, x, y, mask = zip(*out)
+        yield _batch(["g", "x", "y", "mask"], pa.array(g, pa.int32()), x, y, mask)
+
+
+def _arc_uses(batches: Batches) -> Iterator[pa.RecordBatch]:
+    """The arcs of each ring in turn, for all parts that cut it at the same places.
+
+    A ring without nodes is one arc that starts at its smallest vertex. ``arc`` is a digest of
+    the points, which are in the arc's own direction; ``backwards`` if the ring runs against it.
+    A polygon without a key is ``loose``: it is in the way of lines, but stays as it is.
+    """
+    names, out = ["shape", "g", "ring_no", "mask", "loose", "k", "arc", "backwards"], []
+    flat: list[np.ndarray] = []
+
+    def told() -> pa.RecordBatch:
+        columns = [pa.array(c, kind) for c, kind in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.bool_()))]
+        return _batch([*names, "points"], *columns, _lists(map(len, flat), pa.array(np.concatenate(flat))))
+
+    for row, rings in _shaped(batches):
+        for no, ring, cuts in rings:
+            n = len(ring) - 1
+            twice = ring[:n] + ring[:n] + ring[:1]
+            for mask, at, loose in [*((*v, False) for v in _variants(row["mask"], cuts)), *([(row["loose"], [], True)] if row["loose"] else [])]:
+                at = at or [ring.index(min(ring[:n]))]
+                for k, start in enumerate(at):
+                    points = twice[start : (at[k + 1] if k + 1 < len(at) else at[0] + n) + 1]
+                    backwards = points[1] > points[-2] if points[0] == points[-1] else points[0] > points[-1]
+                    line = np.array(points[::-1] if backwards else points).ravel() + 0.0  # no negative zero
+                    flat.append(line)
+                    out.append((row["shape"], row["g"], no, mask, loose, k, hashlib.md5(line.tobytes()).digest(), backwards))
+        if len(out) >= 20_000:
+            yield told()
+            out.clear()
+            flat.clear()
+    if out:
+        yield told()
+
+
+def _line_batch(arcs: Sequence[bytes], points: Sequence[np.ndarray], uses: Sequence[Mapping[int, int]], tolerances: Sequence[Sequence[float]], kept: Sequence[Sequence[np.ndarray]]) -> list:
+    """The columns of lines; points are coordinates in turn."""
+    many = len(kept[0])
+    flat = np.concatenate(points)
+    sizes = np.fromiter((len(k) for each in kept for k in each), np.int64)
+    places = np.concatenate([k for each in kept for k in each])
+    at = np.repeat(np.repeat(_firsts(np.fromiter(map(len, points), np.int64)), many), sizes) + 2 * places
+    long = np.zeros(len(at) + 1)
+    long[1:-1] = np.hypot(np.diff(flat[at]), np.diff(flat[at + 1]))
+    long[_firsts(sizes)] = 0.0
+    total = np.cumsum(long)
+    lengths = total[np.cumsum(sizes) - 1] - total[_firsts(sizes)]
+    three = [many] * len(arcs)
+    return [
+        pa.array(arcs, pa.binary()), _lists(map(len, points), pa.array(flat)), pa.array([list(u) for u in uses], pa.list_(pa.int32())),
+        pa.array([list(u.values()) for u in uses], pa.list_(pa.int64())), pa.array([list(t) for t in tolerances], pa.list_(pa.float64())),
+        _lists(three, _lists(sizes, pa.array(places.astype(np.int32)))), _lists(three, pa.array(lengths)),
+    ]
+
+
+_LINE_NAMES = ["arc", "points", "gs", "masks", "tolerances", "kept", "lengths"]
+
+
+def _lines_of(tolerances: Sequence[float]) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
+    """Each arc once with the places that stay at each tolerance; equal arcs lie in one task."""
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        found: dict[bytes, tuple[np.ndarray, dict[int, int]]] = {}
+        for batch in batches:
+            points = batch.column("points")
+            ends, values, sizes = np.cumsum(_sizes(points)).tolist(), points.flatten().to_numpy(), _sizes(points).tolist()
+            for i, (arc, g, mask) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("arc", "g", "mask")])):
+                if arc not in found:
+                    found[arc] = (values[ends[i] - sizes[i] : ends[i]], {})
+                uses = found[arc][1]
+                uses[g] = uses.get(g, 0) | mask
+        arcs = list(found)
+        for some in (arcs[i : i + 20_000] for i in range(0, len(arcs), 20_000)):
+            points, uses = [found[a][0] for a in some], [found[a][1] for a in some]
+            kept = _kept_many([p.reshape(-1, 2) for p in points], tolerances)
+            yield _batch(_LINE_NAMES, *_line_batch(some, points, uses, [tolerances] * len(some), kept))
+
+    return run
+
+
+def _again(halved: bool) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
+    """The lines of the levels named, with half the tolerance or none."""
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows, tolerances, kept = batch.to_pylist(), [], []
+            points = [np.array(r["points"]) for r in rows]
+            for r, line in zip(rows, points):
+                less = [(t / 2 if halved else 0.0) if i in r["level"] else t for i, t in enumerate(r["tolerances"])]
+                line = list(map(tuple, line.reshape(-1, 2).tolist()))
+                tolerances.append(less)
+                kept.append([
+                    np.array(r["kept"][i] if i not in r["level"] else kept_places(line, t) if t > 0 else range(len(line))) for i, t in enumerate(less)
+                ])
+            uses = [dict(zip(r["gs"], r["masks"])) for r in rows]
+            columns = _line_batch([r["arc"] for r in rows], points, uses, tolerances, kept)
+            yield _batch([*_LINE_NAMES, "level"], *columns, pa.array([r["level"] for r in rows], pa.list_(pa.int32())))
+
+    return run
+
+
+def _dealt(lines: DataFrame, tile: float) -> DataFrame:
+    """The lines by the tiles that they, or the vertices that they stand for, may pass; ``fresh`` has a bit for each of their ``level``."""
+    fresh = F.expr("aggregate(level, 0, (a, i) -> a | shiftleft(1, i))")
+    each = lines.select("arc", F.explode(F.arrays_zip("gs", "masks")).alias("u"), fresh.alias("fresh"), "points", "kept")
+    each = each.select(F.col("u.gs").alias("g"), "arc", F.col("u.masks").alias("mask"), "fresh", "points", "kept")
+    margin = 1e-6 * tile
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            points = batch.column("points")
+            sizes, flat = _sizes(points), points.flatten().to_numpy()
+            first = _firsts(sizes)
+            box = []
+            for axis in (0, 1):
+                at = first // 2
+                box += [np.floor((np.minimum.reduceat(flat[axis::2], at) - margin) / tile).astype(np.int64)]
+                box += [np.floor((np.maximum.reduceat(flat[axis::2], at) + margin) / tile).astype(np.int64)]
+            x0, x1, y0, y1 = box
+            count = (x1 - x0 + 1) * (y1 - y0 + 1)
+            plain = np.flatnonzero(count <= 4)
+            who, k = np.repeat(plain, count[plain]), _within(count[plain])
+            high = (y1 - y0 + 1)[who]
+            tx, ty = x0[who] + k // high, y0[who] + k % high
+            for i in np.flatnonzero(count > 4).tolist():  # by the vertices that each segment stands for
+                line = flat[first[i] : first[i] + sizes[i]].reshape(-1, 2)
+                over = set()
+                for kept in batch.column("kept")[i].as_py():
+                    for s, e in zip(kept, kept[1:]):
+                        low = np.floor((line[s : e + 1].min(axis=0) - margin) / tile).astype(int)
+                        top = np.floor((line[s : e + 1].max(axis=0) + margin) / tile).astype(int)
+                        over |= {(a, b) for a in range(low[0], top[0] + 1) for b in range(low[1], top[1] + 1)}
+                who = np.append(who, np.full(len(over), i))
+                tx, ty = (np.append(t, [o[axis] for o in over]) for axis, t in ((0, tx), (1, ty)))
+            taken = batch.take(pa.array(who))
+            yield _batch(["g", "tx", "ty", "arc", "mask", "fresh", "points", "kept"], taken.column("g"), tx, ty, *[taken.column(c) for c in ("arc", "mask", "fresh", "points", "kept")])
+
+    return each.mapInArrow(run, _CELLS)
+
+
+def _meeting(cells: DataFrame, widths: Sequence[float], tile: float, tasks: int) -> DataFrame:
+    """arc and level of lines that meet others of their part.
 
-    return out.select(*df.columns, *[shape(i).alias(name) for i, name in enumerate(names)])
+    Lines that are fresh are compared with each other and with all others of their tile, in cells of it that are
+    about as wide as ``widths`` says. The boxes are compared first, and so many pairs at a time that memory is bounded.
+    """
+    side = [max(1, int(tile / w)) for w in widths]  # cells in a row of a tile
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        table = _gathered(batches)
+        if table is None:
+            return
+        met = _met_lines(table, side, tile)
+        rows, level = np.nonzero(met)
+        yield _batch(["arc", "level"], _column(table, "arc").take(pa.array(rows)), level.astype(np.int32))
+
+    return cells.repartition(tasks, "g", "tx", "ty").mapInArrow(run, "arc binary, level int").distinct()
+
+
+def _pairs(counts: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, first[i]), (i, first[i] + 1), ... for each i and its count, some at a time."""
+    ends, start = np.cumsum(counts), 0
+    while start < len(counts):
+        done = ends[start] - counts[start]
+        stop = max(start + 1, int(np.searchsorted(ends, done + PAIRS, "right")))
+        some = counts[start:stop]
+        i = np.repeat(np.arange(start, stop), some)
+        yield i, first[i] + _within(some)
+        start = stop
+
+
+def _met_lines(table: pa.Table, side: Sequence[int], tile: float) -> np.ndarray:
+    """Whether the line of a row and level meets another one of its tile or has moved over the start of an arc."""
+    g, tx, ty, mask, fresh = (table.column(c).to_numpy() for c in ("g", "tx", "ty", "mask", "fresh"))
+    points, kept = _column(table, "points"), _column(table, "kept")
+    flat, start = points.flatten().to_numpy(), _firsts(_sizes(points)) // 2
+    x, y = flat[::2], flat[1::2]
+    order = np.lexsort((ty, tx, g))
+    first = _starts(g[order], tx[order], ty[order])
+    group = np.zeros(len(order), np.int64)
+    group[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+    lists = kept.flatten()
+    places, sizes = lists.flatten().to_numpy(), _sizes(lists)
+    at, levels = _firsts(sizes), len(side)
+    met = np.zeros((len(g), levels), bool)
+    # starts of arcs by tile and x
+    extent = x.max() - x.min() + 1.0
+    by_x = np.argsort(group * (2 * extent) + (x[start] - x.min()), kind="stable")
+    found = (group * (2 * extent) + (x[start] - x.min()))[by_x]
+    for level in range(levels):
+        mine = np.arange(len(g)) * levels + level
+        n, bit = sizes[mine], (fresh >> level & 1).astype(bool)
+        if not bit.any():
+            continue
+        place = places[np.repeat(at[mine], n) + _within(n)]
+        row = np.repeat(np.arange(len(g)), n)
+        inner = np.flatnonzero(row[1:] == row[:-1])
+        row, i, j = row[inner], place[inner], place[inner + 1]
+        p, q = start[row] + i, start[row] + j
+        width = tile / side[level]
+        # longer ones are cut, so no more cells are named than they pass
+        pieces = np.maximum(1, np.ceil(np.hypot(x[q] - x[p], y[q] - y[p]) / width)).astype(np.int64)
+        seg, k = np.repeat(np.arange(len(p)), pieces), _within(pieces)
+        ends = []
+        for c in (x, y):
+            a, d = c[p][seg], (c[q] - c[p])[seg]
+            s, e = a + d * k / pieces[seg], a + d * (k + 1) / pieces[seg]
+            ends += [np.floor(np.minimum(s, e) / width).astype(np.int64), np.floor(np.maximum(s, e) / width).astype(np.int64)]
+        x0, x1, y0, y1 = ends
+        count = (x1 - x0 + 1) * (y1 - y0 + 1)
+        who, k = np.repeat(np.arange(len(seg)), count), _within(count)
+        high = (y1 - y0 + 1)[who]
+        cx, cy, seg = x0[who] + k // high, y0[who] + k % high, seg[who]
+        own = (cx // side[level] == tx[row[seg]]) & (cy // side[level] == ty[row[seg]])
+        cx, cy, seg = cx[own], cy[own], seg[own]
+        order = np.lexsort((cy, cx, group[row[seg]]))
+        cx, cy, seg = cx[order], cy[order], seg[order]
+        if len(seg):
+            first = _starts(group[row[seg]], cx, cy)
+            stop = np.repeat(np.append(first[1:], len(seg)), np.diff(np.append(first, len(seg))))
+            here = np.arange(len(seg))
+            for a, b in _pairs(stop - here - 1, here + 1):
+                a, b = seg[a], seg[b]
+                r, s = row[a], row[b]
+                near = (r != s) & (mask[r] & mask[s] != 0) & (bit[r] | bit[s])
+                for c in (x, y):
+                    near &= np.maximum(c[p[a]], c[q[a]]) >= np.minimum(c[p[b]], c[q[b]])
+                    near &= np.minimum(c[p[a]], c[q[a]]) <= np.maximum(c[p[b]], c[q[b]])
+                a, b = a[near], b[near]
+                hit = _met((x[p[a]], y[p[a]]), (x[q[a]], y[q[a]]), (x[p[b]], y[p[b]]), (x[q[b]], y[q[b]]))
+                met[row[a[hit]], level] = met[row[b[hit]], level] = True
+        # a line has moved over another arc if that arc starts between it and what it was
+        chain = np.flatnonzero((j > i + 1) & bit[row])
+        if not len(chain):
+            continue
+        cuts = np.stack([p[chain], q[chain] + 1], axis=1).ravel()
+        box = [of.reduceat(np.append(c, 0.0), cuts)[::2] for c in (x, y) for of in (np.minimum, np.maximum)]
+        base = group[row[chain]] * (2 * extent) - x.min()
+        low, top = np.searchsorted(found, base + box[0] - 1e-3, "left"), np.searchsorted(found, base + box[1] + 1e-3, "right")
+        for a, b in _pairs(top - low, low):
+            c, s = chain[a], by_x[b]
+            v = (x[start[s]], y[start[s]])
+            near = (s != row[c]) & (group[s] == group[row[c]]) & (mask[s] & mask[row[c]] != 0)
+            near &= (v[0] >= box[0][a]) & (v[0] <= box[1][a]) & (v[1] >= box[2][a]) & (v[1] <= box[3][a])
+            near &= ~_same(v, (x[p[c]], y[p[c]])) & ~_same(v, (x[q[c]], y[q[c]]))
+            c, v = c[near], (v[0][near], v[1][near])
+            if len(c):
+                n = q[c] - p[c] + 1
+                k = _within(n)
+                f, t = np.repeat(p[c], n) + k, np.repeat(p[c], n) + (k + 1) % np.repeat(n, n)
+                vx, vy = np.repeat(v[0], n), np.repeat(v[1], n)
+                with np.errstate(all="ignore"):
+                    crossed = ((y[f] > vy) != (y[t] > vy)) & (vx < (x[t] - x[f]) * (vy - y[f]) / (y[t] - y[f]) + x[f])
+                inside = np.add.reduceat(crossed.astype(np.int64), _firsts(n)) % 2 == 1
+                met[row[c[inside]], level] = True
+    return met
+
+
+def _assembled(levels: int) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
+    """The shapes with their rings put together from lines, once for all parts that cut them at the same places."""
+
+    def shape_of(found: list[tuple[list[list[np.ndarray]], list[int]]], level: int, kind: pa.DataType) -> pa.Array:
+        coordinates = np.concatenate([c for f in found for c in f[0][level]] or [np.empty((0, 2))])
+        vertex = kind.value_type.value_type.value_type
+        flat = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(coordinates[:, i])) for i in (0, 1)], fields=[vertex.field(0), vertex.field(1)])
+        rings = _lists((len(c) for f in found for c in f[0][level]), flat, kind.value_type.value_type)
+        return _lists((len(f[1]) for f in found), _lists((n for f in found for n in f[1]), rings, kind.value_type), kind)
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            geometry, pieces = batch.column("geometry"), batch.column("pieces")
+            polygons = geometry.flatten()
+            count = _sizes(geometry)  # polygons of a shape
+            rings, size, x, y = _rings(polygons)
+            own = np.stack([x, y], axis=1)
+            ends, ring_ends = np.cumsum(size), np.cumsum(rings)
+            piece_ends, per_shape = np.cumsum(_sizes(pieces)), _sizes(pieces)
+            no, parts, k, backwards, points, kept = pieces.flatten().flatten()
+            no, parts, k, backwards = (c.to_pylist() for c in (no, parts, k, backwards))
+            flat, last = points.flatten().to_numpy(), np.cumsum(_sizes(points))
+            sizes = _sizes(points)
+            lists = kept.flatten()
+            places, list_ends, list_sizes = lists.flatten().to_numpy(), np.cumsum(_sizes(lists)), _sizes(lists)
+            made, rows, masks, source, polygon = [], [], [], [], 0
+            for i, (mask, plain, times) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("mask", "plain", "_times")])):
+                mine = sorted(range(piece_ends[i] - per_shape[i], piece_ends[i]), key=lambda e: (no[e], parts[e], k[e]))
+                of: dict[tuple[int, int], list[int]] = {}
+                for e in mine:
+                    of.setdefault((no[e], parts[e]), []).append(e)
+                blocks = [mask] if mask else []
+                for _, m in of:
+                    if m != mask:
+                        blocks = [b & w for b in blocks for w in (m, ~m) if b & w]
+                sides = rings[polygon : polygon + count[i]].tolist()
+                ring = int(ring_ends[polygon] - rings[polygon]) if count[i] else 0
+                polygon += count[i]
+                for block in blocks:
+                    rows.append(i)
+                    masks.append(block)
+                    if not mine:
+                        source.append(None)
+                        continue
+                    by_no = {n: each for (n, m), each in of.items() if m & block}
+                    lines: list[list[np.ndarray]] = [[] for _ in range(levels)]
+                    for n in range(sum(sides)):
+                        for level in range(levels):
+                            body = []
+                            for e in by_no.get(n, ()):
+                                f = e * levels + level
+                                line = flat[last[e] - sizes[e] : last[e]].reshape(-1, 2)[places[list_ends[f] - list_sizes[f] : list_ends[f]]]
+                                body += [line[:0:-1] if backwards[e] else line[:-1]] * times
+                            if body:
+                                lines[level].append(np.concatenate([*body, body[0][:1]]))
+                            else:
+                                lines[level].append(own[ends[ring + n] - size[ring + n] : ends[ring + n]])
+                    source.append(len(made))
+                    made.append((lines, sides))
+                if plain:
+                    rows.append(i)
+                    masks.append(0)
+                    source.append(None)
+            taken = pa.array([len(made) + r if s is None else s for r, s in zip(rows, source)], pa.int64())
+            out = [batch.column(c).take(pa.array(rows, pa.int64())) for c in ("_g", "_h1", "_h2", "_times")]
+            out += [pa.array(masks, pa.int64()), geometry.take(pa.array(rows, pa.int64()))]
+            for level in range(levels):
+                out.append(pa.concat_arrays([shape_of(made, level, geometry.type), geometry]).take(taken))
+            yield pa.RecordBatch.from_arrays(out, names=["_g", "_h1", "_h2", "_times", "_mask", "geometry", *[f"l{i}" for i in range(levels)]])
+
+    return run

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,14 +13,14 @@ from regiofact.functions.dates import compact_date, snapshot_code, year_start
 from regiofact.functions.geometry import (
     LV95,
     WGS84,
-    centroid,
+    centre_in_wgs84,
     force_2d,
     map_vertices,
     point,
     reproject,
-    reproject_point,
+    to_wgs84,
 )
-from regiofact.operators.coverage import coverage_simplify
+from regiofact.operators.coverage import SHAPE, coverage_shapes, with_shapes
 from regiofact.operators.joins import lookup_join
 from regiofact.operators.numbering import page
 from regiofact.operators.reshape import (
@@ -27,8 +29,9 @@ from regiofact.operators.reshape import (
     snapshot_grid,
     union_tagged,
 )
-from regiofact.session import materialize
+from regiofact.session import materialize, save_step
 
+Save = Callable[[DataFrame], DataFrame]
 LATEST = "latest"
 FIRST_SNAPSHOT = "1850-01-01"
 #: Simplified borders and their tolerance in metres.
@@ -37,6 +40,8 @@ TOLERANCES = {
     "geom_border_simple_100m": 100.0,
     "geom_border_simple_500m": 500.0,
 }
+#: The year and the geometries of a row of a dimension.
+GEOMETRIES = ["geometry", "snapshot_year", "geom_border", *TOLERANCES, "geom_center"]
 #: Geometry mode of a query -> dimension column; None stands for the default.
 GEOMETRY_MODES = {
     None: "geom_border_simple_100m",
@@ -156,62 +161,97 @@ def add_latest(snapshots: DataFrame, key: str) -> DataFrame:
     )
 
 
-def equal_snapshots(coded: DataFrame, key: str) -> DataFrame:
-    """snapshot_code and shape_code, the first of the snapshots with the same areas and borders."""
-    row = F.xxhash64(key, "geometry")
-    content = coded.groupBy("snapshot_code").agg(
-        F.count(F.lit(1)).alias("n"), F.bit_xor(row).alias("h"), F.sum(row.bitwiseAND(F.lit((1 << 40) - 1))).alias("s")
+@dataclass(frozen=True)
+class GeoDim:
+    """A dimension as rows that name their shape, and the shapes with their geometries, each once."""
+
+    level: str
+    rows: DataFrame
+    shapes: DataFrame
+
+    def frame(self) -> DataFrame:
+        """The rows with their geometries."""
+        shown = with_shapes(self.rows, self.shapes, ["version"] if "version" in self.rows.columns else [])
+        return shown.select("snapshot_code", "snapshot_date", *LEVELS[self.level].columns, *GEOMETRIES)
+
+
+def in_wgs84(simple: DataFrame) -> DataFrame:
+    """The shapes with their borders, simplified borders and centres in WGS84."""
+    return simple.select(
+        *[c for c in simple.columns if c not in TOLERANCES],
+        to_wgs84("geometry").alias("geom_border"),
+        *[to_wgs84(c).alias(c) for c in TOLERANCES],
+        centre_in_wgs84("geometry").alias("geom_center"),
     )
-    # one row a snapshot
-    alike = Window.partitionBy("n", "h", "s")
-    return content.select("snapshot_code", F.min("snapshot_code").over(alike).alias("shape_code"))
 
 
-def build_geo_dim(past: DataFrame, present: DataFrame, level: str, now: str) -> DataFrame:
+def geo_dim(past: DataFrame, present: DataFrame, level: str, now: str, save: Save = materialize) -> GeoDim:
     """The dimension of one level with borders, simplified borders and centres in WGS84.
 
-    Shapes are made once for all snapshots that have the same areas and borders.
+    A shape is made once for all snapshots that cut it at the same vertices; ``save`` writes the shapes.
     """
     spec = LEVELS[level]
-    snapshots = materialize(boundary_snapshots(past, present, level, now))
-    coded = materialize(add_latest(snapshots, spec.key))
-    alike = materialize(equal_snapshots(coded, spec.key))
-    first = alike.filter("snapshot_code = shape_code").select("shape_code")
-    once = coded.select(F.col("snapshot_code").alias("shape_code"), spec.key, "geometry").join(first, "shape_code")
-    simple = coverage_simplify(once, [spec.key], "shape_code", "geometry", TOLERANCES)
-    shapes = materialize(simple.select(
-        "shape_code",
-        spec.key,
-        reproject(F.col("geometry"), LV95, WGS84).alias("geom_border"),
-        *[reproject(F.col(c), LV95, WGS84).alias(c) for c in TOLERANCES],
-        reproject_point(centroid(F.col("geometry")), LV95, WGS84).alias("geom_center"),
-    ))
-    return coded.join(alike, "snapshot_code").join(shapes, ["shape_code", spec.key]).select(
-        "snapshot_code",
-        "snapshot_date",
-        *spec.columns,
-        "geometry",
-        F.year("snapshot_date").alias("snapshot_year"),
-        "geom_border",
-        *TOLERANCES,
-        "geom_center",
-    )
+    snapshots = boundary_snapshots(past, present, level, now)
+    snapshots = snapshots if spec.filled else materialize(snapshots)
+    coded = add_latest(snapshots, spec.key)
+    rows, shapes = coverage_shapes(coded, [spec.key], "snapshot_code", "geometry", TOLERANCES, lambda simple: save(in_wgs84(simple)))
+    return GeoDim(level, rows.withColumn("snapshot_year", F.year("snapshot_date")), shapes)
+
+
+def build_geo_dim(past: DataFrame, present: DataFrame, level: str, now: str) -> DataFrame:
+    """The same as one frame."""
+    return geo_dim(past, present, level, now).frame()
+
+
+def _shapes_saved(level: str, path: str, version: str) -> Save:
+    """Writes the shapes of a level beside its rows, as a version that rows name: rows of other years keep theirs."""
+
+    def save(shapes: DataFrame) -> DataFrame:
+        folder = f"{path}/shapes/level={level}/version={version}"
+        save_step(shapes.write, folder, shapes.sparkSession)
+        return shapes.sparkSession.read.schema(shapes.schema).parquet(folder)
+
+    return save
+
+
+def store_geo_dim(past: DataFrame, present: DataFrame, level: str, now: str, path: str) -> None:
+    """Build a level's dimension and write it; only the years it holds are replaced.
+
+    Its shapes are written where they stay, and not once more.
+    """
+    version = uuid.uuid4().hex
+    _write_rows(geo_dim(past, present, level, now, _shapes_saved(level, path, version)), version, path)
 
 
 def write_geo_dim(dim: DataFrame, level: str, path: str) -> None:
-    """Write a level's dimension by snapshot year; only the years it holds are replaced."""
-    rows = dim.withColumn("level", F.lit(level)).hint("rebalance", "snapshot_year")
-    writer = rows.sortWithinPartitions("snapshot_year", LEVELS[level].key).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy("level", "snapshot_year").parquet(path)
+    """Write a level's dimension by snapshot year; only the years it holds are replaced.
+
+    Rows name their shapes, which are written once.
+    """
+    # every row's shape is whole, so it has but one part
+    content = [F.to_json(F.transform(c, lambda p: F.transform(p, F.size))) for c in ("geometry", "geom_border", *TOLERANCES)]
+    content += [F.col(c) for c in GEOMETRIES if c != "snapshot_year"]
+    named = materialize(dim.withColumns({
+        "_g": F.lit(0), "_h1": F.xxhash64(*content), "_h2": F.xxhash64(F.lit(1), *content), "_times": F.lit(1).cast("bigint"), "_bit": F.lit(1).cast("bigint"),
+    }))
+    shown = [c for c in GEOMETRIES if c != "snapshot_year"]
+    shapes = named.groupBy(*SHAPE).agg(F.first("_bit").alias("_mask"), *[F.first(c).alias(c) for c in shown])
+    version = uuid.uuid4().hex
+    _write_rows(GeoDim(level, named.drop(*shown), _shapes_saved(level, path, version)(shapes)), version, path)
+
+
+def _write_rows(dim: GeoDim, version: str, path: str) -> None:
+    rows = dim.rows.withColumns({"level": F.lit(dim.level), "version": F.lit(version)}).hint("rebalance", "snapshot_year")
+    writer = rows.sortWithinPartitions("snapshot_year", LEVELS[dim.level].key).write.mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("level", "snapshot_year")
+    save_step(writer, path, dim.rows.sparkSession)
 
 
 def read_geo_dim(spark: SparkSession, level: str, path: str, year: int | None = None) -> DataFrame:
     """A written dimension, or one snapshot year of it, which reads that year's files only."""
-    spec = LEVELS[level]
     rows = spark.read.parquet(f"{path}/level={level}")  # levels have columns of their own
     rows = rows if year is None else rows.filter(F.col("snapshot_year") == year)
-    shapes = ["geometry", "snapshot_year", "geom_border", *TOLERANCES, "geom_center"]
-    return rows.select("snapshot_code", "snapshot_date", *spec.columns, *shapes)
+    return GeoDim(level, rows, spark.read.parquet(f"{path}/shapes/level={level}")).frame()
 
 
 def latest_only(dim: DataFrame) -> DataFrame:

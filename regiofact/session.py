@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -69,8 +69,32 @@ def many(spark: SparkSession, rows: int, per_task: int = ROWS_PER_TASK) -> bool:
     return -(-rows // per_task) > spark.sparkContext.defaultParallelism
 
 
+#: Lets Spark delete a query's shuffle files when the query has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def save_step(writer: DataFrameWriter, path: str, spark: SparkSession) -> None:
+    """Write Parquet files; the shuffle files of the query are not needed again and go at once."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute once into a Parquet table of the shared folder and cut the lineage."""
-    path = new_path(df.sparkSession, "step")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, new_path(df.sparkSession, "step")
+    save_step(df.write, path, spark)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_steps(*steps: DataFrame) -> None:
+    """Delete written steps that nothing reads any more; only whole ones, as ``materialize`` returned them."""
+    for step in steps:
+        spark = step.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in step.inputFiles()}:
+            if folder.rsplit("/", 1)[1].startswith("step-"):
+                place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -244,3 +244,37 @@ def test_a_round_deals_only_the_lines_that_have_changed(spark, monkeypatch):
     monkeypatch.setattr(coverage, "_dealt", counted)
     simplified(spark, {"a": spiked(0.0), "b": spiked(30.0)}, {"t": 200.0})
     assert len(asked) > 1 and max(asked[1:]) < asked[0]
+
+
+@pytest.mark.parametrize("closed", [False, True])
+def test_short_arcs_are_simplified_together_like_alone(closed):
+    rnd = random.Random(11)
+    arcs = [[(float(rnd.randint(0, 60)), float(rnd.randint(0, 60))) for _ in range(3 + i % 20)] for i in range(200)]
+    arcs = [[*a, a[0]] if closed else a for a in arcs]
+    limits = [30.0, 4.0, 0.0, 12.0]
+    got = coverage._kept_many([coverage.np.array(a) for a in arcs], limits)
+    for arc, kept in zip(arcs, got):
+        assert [k.tolist() for k in kept] == [coverage.kept_places(arc, t) if t > 0 else list(range(len(arc))) for t in limits]
+
+
+def test_a_shape_is_made_once_for_all_parts_that_cut_it_alike(spark):
+    cells = grid(2, 2)
+    parts = {f"p{i:02}": cells for i in range(70)} | {"alone": {0: cells[0]}}  # more parts than a mask has bits
+    data = [(part, key, geom) for part, shapes in parts.items() for key, geom in shapes.items()]
+    df = spark.createDataFrame(data, f"part string, id int, geometry {GEOMETRY_TYPE}")
+    rows, shapes = coverage.coverage_shapes(df, ["id"], "part", "geometry", {"t": 100.0})
+    assert rows.count() == len(data) and "geometry" not in rows.columns
+    assert shapes.count() == 4 * 2 + 1  # 62 and 8 parts, and one cell that is cut otherwise
+    got = {(r.part, r.id): r.t for r in coverage.with_shapes(rows, shapes).collect()}
+    assert len(got) == len(data) and got["alone", 0] != got["p00", 0]
+    assert all(got[f"p{i:02}", k] == got["p00", k] for i in range(70) for k in cells)
+
+
+def test_shapes_of_the_same_vertices_in_other_rings_are_different(spark):
+    a, b = [(0.0, 0.0), (9.0, 0.0), (9.0, 9.0), (0.0, 0.0)], [(30.0, 0.0), (39.0, 0.0), (39.0, 9.0), (30.0, 0.0)]
+    shapes = {"a": {1: [[a], [b]], 2: []}, "b": {1: [[a, b]]}, "c": {1: None}}
+    data = [(part, key, geom) for part, cells in shapes.items() for key, geom in cells.items()]
+    df = spark.createDataFrame(data, f"part string, id int, geometry {GEOMETRY_TYPE}")
+    got = {(r.part, r.id): r.t for r in coverage_simplify(df, ["id"], "part", "geometry", {"t": 1.0}).collect()}
+    assert [len(p) for p in got["a", 1]] == [1, 1] and [len(p) for p in got["b", 1]] == [2]
+    assert got["a", 2] == [] and got["c", 1] is None

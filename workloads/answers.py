@@ -14,13 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiofact.config import CubeFamily, MeasureSpec, atlas_indicator
-from regiofact.functions.geometry import LV95, WGS84, centroid, reproject, reproject_point
-from regiofact.operators.coverage import coverage_simplify
+from regiofact.operators.coverage import coverage_shapes, with_shapes
 from regiofact.operators.filters import known_at
 from regiofact.operators.history import VALID_FROM
 from regiofact.operators.measures import expand_measures
 from regiofact.operators.totals import build_totals
-from regiofact.plans.geo_dims import TOLERANCES, join_geo
+from regiofact.plans.geo_dims import TOLERANCES, in_wgs84, join_geo
 from regiofact.plans.mart import available_indicators, decode, new_dictionaries
 from regiofact.plans.queries import (
     Warehouse,
@@ -40,7 +39,7 @@ from regiofact.plans.warehouse import (
     released_warehouse,
 )
 from regiofact.schemas import INTM_MEASURED, MART, widened
-from regiofact.session import materialize, new_path
+from regiofact.session import drop_steps, materialize, new_path
 from regiofact.sources.files import read_mart
 from workloads.base import (
     LINES,
@@ -159,22 +158,15 @@ def _areas(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     ]
     # the levels are separate coverages, simplified together
     shaped = materialize(reduce(DataFrame.union, borders))
-    simple = coverage_simplify(shaped, ["id"], "level", "geometry", TOLERANCES)
-    shapes = materialize(
-        simple.select(
-            "level",
-            "id",
-            reproject(F.col("geometry"), LV95, WGS84).alias("geom_border"),
-            *[reproject(F.col(t), LV95, WGS84).alias(t) for t in TOLERANCES],
-            reproject_point(centroid(F.col("geometry")), LV95, WGS84).alias("geom_center"),
-        )
-    )
-    return {
+    rows, shapes = coverage_shapes(shaped, ["id"], "level", "geometry", TOLERANCES, lambda simple: materialize(in_wgs84(simple).drop("geometry")))
+    areas = {
         level: materialize(
-            df.join(shapes.filter(F.col("level") == level), F.col(key) == F.col("id")).drop("level", "id")
+            df.join(with_shapes(rows.filter(F.col("level") == level), shapes).select("id", "geom_border", *TOLERANCES, "geom_center"), F.col(key) == F.col("id")).drop("id")
         )
         for level, (df, key, _) in levels.items()
     }
+    drop_steps(shaped, rows, shapes)
+    return areas
 
 
 def fact_parts(spark: SparkSession, d: str) -> list[DataFrame]:

@@ -20,6 +20,7 @@ from regiofact.functions.geometry import (
     point_to_wkt,
     reproject,
     to_geojson,
+    to_wgs84,
     to_wkb,
     to_wkt,
 )
@@ -27,10 +28,9 @@ from regiofact.operators.coverage import coverage_simplify, inside_loop, segment
 from regiofact.plans.geo_dims import (
     add_latest,
     boundary_snapshots,
-    build_geo_dim,
     list_geo,
     read_geo_dim,
-    write_geo_dim,
+    store_geo_dim,
 )
 from regiofact.session import materialize, new_path
 from regiofact.sources.files import export
@@ -244,6 +244,8 @@ def boundary_sources(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]
     late = o.filter(F.year("o_orderdate") >= 1999).groupBy(
         "o_custkey", F.year("o_orderdate").alias("_snapshot_year")
     ).agg(F.bool_or(F.col("o_orderstatus") == "F").alias("finished"))
+    # together, so that a customer's border is made once for all years
+    late = late.groupBy("o_custkey").agg(F.collect_list(F.struct("_snapshot_year", "finished")).alias("years"))
     placed = c.join(n, c.c_nationkey == n.n_nationkey)
     shape = cell(F.col("c_custkey"))
     past = placed.join(early, placed.c_custkey == early.o_custkey).select(
@@ -251,13 +253,14 @@ def boundary_sources(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]
         F.col("c_nationkey").alias("BEZNR"), F.col("n_name").alias("BEZNAME"),
         F.col("n_regionkey").alias("KTNR"), F.lit("K").alias("KTKZ"), F.lit("CH").alias("CODE_ISO"),
         F.date_format("f", "yyyyMMdd").alias("VALID_FROM"), F.date_format("t", "yyyyMMdd").alias("VALID_UNTI"),
-        reproject(shape, LV95, WGS84).alias("geometry"),
+        to_wgs84(shape).alias("geometry"),
     )
-    present = placed.join(late, placed.c_custkey == late.o_custkey).select(
+    drawn = placed.join(late, placed.c_custkey == late.o_custkey).withColumn("shape", shape)
+    present = drawn.select("*", F.inline("years")).select(
         "_snapshot_year", F.col("c_custkey").alias("bfs_nummer"), F.lit(1).alias("hist_nr"),
         F.col("c_name").alias("name"),
         F.when(F.col("finished"), F.col("c_nationkey")).alias("bezirksnummer"),
-        F.col("n_regionkey").alias("kantonsnummer"), shape.alias("geometry"),
+        F.col("n_regionkey").alias("kantonsnummer"), F.col("shape").alias("geometry"),
     )
     return past, present
 
@@ -330,7 +333,7 @@ def dimensions(spark: SparkSession, d: str) -> str:
         path = new_path(spark, "areas")
         for level in ("polg", "bezk", "kant"):
             past, present = boundary_sources(spark, d) if level == "polg" else _coarse_sources(spark, d, level)
-            write_geo_dim(build_geo_dim(past, present, level, NOW), level, path)
+            store_geo_dim(past, present, level, NOW, path)
         _WRITTEN[key] = path
     return _WRITTEN[key]
 
