@@ -22,7 +22,7 @@ from regiofact.plans.mart import (
 )
 from regiofact.plans.staging import typecast
 from regiofact.schemas import GROUPS, INTM, INTM_MEASURED, MART
-from regiofact.session import materialize
+from regiofact.session import drop_steps, materialize
 from regiofact.sources.files import clear_indicators, mart_writer, write_mart
 from regiofact.sources.releases import (
     Release,
@@ -93,6 +93,7 @@ def publish(
     write_mart(build_mart(facts, dims, contract), path, by_indicator)
     if indicators is not None:
         clear_indicators(facts.sparkSession, path, contract, set(indicators) - set(by_indicator))
+    drop_steps(facts, held)
     return dims
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from regiofact.functions.geometry import GEOMETRY_TYPE, to_geojson, to_wkb, to_wkt
 from regiofact.operators.numbering import number_rows
-from regiofact.session import many
+from regiofact.session import many, save_step
 
 SEED_INDICATOR = (
     "indicator_id int, indicator_name string, topic_1 string, topic_2 string, topic_3 string,"
@@ -124,9 +125,27 @@ def mart_writer(df: DataFrame, rows: Mapping[int, int] | None = None) -> DataFra
     return dealt.sortWithinPartitions(*order).write.partitionBy("indicator_id")
 
 
+#: Fact rows that are shuffled at a time, which take about 6 GB of disk.
+ROWS_PER_WRITE = 200_000_000
+
+
 def write_mart(df: DataFrame, path: str, rows: Mapping[int, int] | None = None) -> None:
-    """Write fact rows by indicator. Only the partitions in ``df`` are replaced."""
-    mart_writer(df, rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    """Write fact rows by indicator. Only the partitions in ``df`` are replaced.
+
+    Where ``rows`` says that there are very many, some indicators are written after the others, because
+    shuffled rows are several times as large as written ones.
+    """
+    groups: list[dict[int, int]] = [{}]
+    for indicator, n in (rows or {}).items():
+        if groups[-1] and sum(groups[-1].values()) + n > ROWS_PER_WRITE:
+            groups.append({})
+        groups[-1][indicator] = n
+    for group in groups:
+        some = df
+        if len(groups) > 1:
+            some = df.filter(reduce(Column.__or__, [F.col("indicator_id").eqNullSafe(F.lit(i)) for i in group]))
+        writer = mart_writer(some, group or rows).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        save_step(writer, path, df.sparkSession)
 
 
 def clear_indicators(

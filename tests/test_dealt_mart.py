@@ -4,11 +4,12 @@ from pyspark.sql import functions as F
 
 from regiofact.operators.reshape import distinct_on
 from regiofact.plans.warehouse import publish_to, released_warehouse, rows_by_indicator, held_texts
-from regiofact.schemas import INTM_MEASURED, widened
+from regiofact.schemas import INTM_MEASURED, MART, widened
 from regiofact.session import ROWS_PER_TASK
 from regiofact.sources import files
 
 FACT = widened(INTM_MEASURED, geo_value="bigint")
+MART_OF = widened(MART, geo_value="bigint")
 
 
 def _facts(spark, n):
@@ -62,3 +63,28 @@ def test_first_rows_of_many_are_dealt_by_key(spark):
     assert out._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     assert out.rdd.getNumPartitions() == 40
     assert {tuple(r) for r in out.collect()} == {(1, 2), (None, 4), (2, None)}
+
+
+def test_very_many_facts_are_written_some_indicators_after_the_others(spark, tmp_path, monkeypatch):
+    writes, kept = [], files.save_step
+    monkeypatch.setattr(files, "ROWS_PER_WRITE", 50)
+    monkeypatch.setattr(files, "save_step", lambda *a: writes.append(a[1]) or kept(*a))
+    df = _facts(spark, 80)
+    files.write_mart(df, str(tmp_path / "mart"), {1: 60, 2: 20})
+    assert len(writes) == 2
+    back = spark.read.parquet(str(tmp_path / "mart"))
+    assert {tuple(r) for r in back.groupBy("indicator_id").count().collect()} == {(1, 60), (2, 20)}
+
+
+def test_facts_go_when_the_mart_is_written(spark, tmp_path):
+    from pathlib import Path
+
+    from regiofact.plans.mart import new_dictionaries
+    from regiofact.plans.warehouse import publish
+
+    steps = lambda: {p.name for p in Path(spark.sparkContext.getCheckpointDir().removeprefix("file:")).glob("step-*")}
+    before = steps()
+    dims = publish([_facts(spark, 8)], new_dictionaries(spark), str(tmp_path / "mart"), MART_OF)
+    left = [spark.read.parquet(f"{spark.sparkContext.getCheckpointDir()}/{n}").columns for n in steps() - before]
+    assert "geo_value" not in {c for columns in left for c in columns}
+    assert dims.source.count() == 1 and spark.read.parquet(str(tmp_path / "mart")).count() == 8
